@@ -1,0 +1,99 @@
+"""The append, upsert and specified-ingestion streams."""
+
+from __future__ import annotations
+
+from collections.abc import Callable
+
+from pyspark.sql import Column, DataFrame
+from pyspark.sql.streaming import StreamingQuery
+
+from vedrina.operators.parsing import PROBLEMS, RAW, accepted, rejected, without_key
+from vedrina.schemas import OBSERVATION_KEYS, OBSERVATIONS
+from vedrina.sinks.append import append_batch
+from vedrina.sinks.merge import upsert
+from vedrina.sources.ingestion_spec import DAY, IngestionSpec, parse_specified
+from vedrina.sources.message_log import ARRIVAL
+from vedrina.streaming.run import run_stream
+
+
+def append_stream(
+    parsed: DataFrame, table: str, checkpoint: str, quarantine: str | None = None, **settings
+) -> StreamingQuery:
+    """Append parsed messages (``operators.parsing``) to ``table``.
+
+    Messages with problems go to ``quarantine``; unreadable ones are not appended to the table.
+    ``settings`` go to ``run_stream``.
+    """
+
+    def store(batch: DataFrame, stream_id: str, batch_id: int) -> None:
+        append_batch(accepted(batch), table, stream_id, batch_id)
+
+    return run_stream(parsed, _with_quarantine(store, quarantine), checkpoint, **settings)
+
+
+def upsert_stream(
+    parsed: DataFrame,
+    table: str,
+    checkpoint: str,
+    quarantine: str,
+    order: list[str | Column] | None = None,
+    **settings,
+) -> StreamingQuery:
+    """Upsert parsed messages into ``table`` by city and date.
+
+    The message that arrived last counts; pass ``order=["lokalno_vreme"]`` to let event time decide
+    within a batch. ``parsed`` must carry the columns of ``order`` (``keep`` of the parser). Messages
+    with problems, and those without city or date, go to ``quarantine``.
+    """
+    order = order or ARRIVAL
+
+    def store(batch: DataFrame, stream_id: str, batch_id: int) -> None:
+        state = f"{checkpoint}/upsert/{stream_id}"
+        upsert(accepted(batch), table, OBSERVATIONS, OBSERVATION_KEYS, "datum", order, state, batch_id)
+
+    settings = {"output_mode": "update", **settings}
+    return run_stream(parsed, _with_quarantine(store, quarantine, OBSERVATION_KEYS), checkpoint, **settings)
+
+
+def ingest(
+    messages: DataFrame,
+    spec: IngestionSpec,
+    table: str,
+    checkpoint: str,
+    quarantine: str | None = None,
+    **settings,
+) -> StreamingQuery:
+    """Ingest messages as a specification asks, one directory per day; rows whose time cannot be
+    read go to ``quarantine`` only."""
+
+    def store(batch: DataFrame, stream_id: str, batch_id: int) -> None:
+        rows = accepted(batch).filter(f"`{spec.time_column}` is not null")
+        append_batch(rows, table, stream_id, batch_id, DAY, spec.max_rows_per_file)
+
+    parsed = parse_specified(messages, spec)
+    return run_stream(parsed, _with_quarantine(store, quarantine), checkpoint, **settings)
+
+
+def _with_quarantine(
+    store: Callable[[DataFrame, str, int], None], quarantine: str | None, keys: list[str] | None = None
+) -> Callable[[DataFrame, str, int], None]:
+    """Store a batch and, if a place is given, the messages with problems or without a key.
+
+    The batch is then read twice, so it is pinned meanwhile.
+    """
+    if quarantine is None:
+        return store
+
+    def store_both(batch: DataFrame, stream_id: str, batch_id: int) -> None:
+        batch.persist()
+        try:
+            store(batch, stream_id, batch_id)
+            aside = rejected(batch).select(PROBLEMS, RAW)
+            if keys:
+                aside = without_key(batch, keys).unionByName(aside)
+            path = f"{quarantine}/stream={stream_id}/batch_id={batch_id}"
+            aside.write.mode("overwrite").parquet(path)
+        finally:
+            batch.unpersist()
+
+    return store_both
