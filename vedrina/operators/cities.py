@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from vedrina.functions.text import fold, translate_words
 from vedrina.operators.latest import latest_per_key
-from vedrina.operators.rows import extract_columns
+from vedrina.operators.rows import extract_columns, with_values
 from vedrina.schemas import COUNTRY_WORDS
 
 CITY_LINE = r"^([^,]+),(.*)$"
@@ -24,16 +24,18 @@ def city_lines(lines: DataFrame, column: str = "value") -> DataFrame:
 def consolidate_cities(lists: list[DataFrame], countries: dict[str, str] = COUNTRY_WORDS) -> DataFrame:
     """One row per city of all lists, accents and country suffixes ignored.
 
-    The kept spelling is the smallest one. Copies are dropped first, by a hash aggregate that shuffles
-    each spelling once per task; only distinct spellings reach the second grouping.
+    The most frequent spelling is kept, the smallest of equally frequent ones; ``listed`` counts the
+    city's lines. Spellings are counted first, by a hash aggregate that shuffles each spelling once
+    per task; only distinct spellings reach the second grouping.
     """
     every = reduce(DataFrame.unionByName, [cities.select("city", "country") for cities in lists])
-    spellings = every.distinct().select(
-        "city",
-        fold(F.col("city")).alias("city_key"),
-        translate_words(F.col("country"), countries).alias("country"),
+    every = every.withColumn("country", translate_words(F.col("country"), countries))
+    spellings = every.groupBy("city", "country").agg(F.count("*").alias("lines"))
+    picks = spellings.groupBy(fold(F.col("city")).alias("city_key"), "country").agg(
+        F.min(F.struct((-F.col("lines")).alias("rank"), "city")).alias("first"),
+        F.sum("lines").alias("listed"),
     )
-    return spellings.groupBy("city_key", "country").agg(F.min("city").alias("city"))
+    return picks.select("city_key", "country", F.col("first.city").alias("city"), "listed")
 
 
 def enrich_cities(
@@ -44,5 +46,5 @@ def enrich_cities(
     ``cities`` holds a city once. Replies are cut to one row per city before the join, so the join
     itself sees no repeated key on either side.
     """
-    replies = replies.dropna(subset=keys)
-    return cities.join(latest_per_key(replies, keys, order), keys, "left")
+    latest = latest_per_key(with_values(replies, keys), keys, order)
+    return cities.join(latest, keys, "left")

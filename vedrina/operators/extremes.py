@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from vedrina.operators.rows import in_countries
+from vedrina.operators.rows import in_countries, with_values
 from vedrina.schemas import EXTREMES_KEYS, REPORT_COUNTRIES
 from vedrina.shared import written
 
@@ -16,7 +16,8 @@ HIGHEST, LOWEST = "max_value", "min_value"
 
 
 def _measured(df: DataFrame, keys: list[str], measure: str) -> DataFrame:
-    return df.dropna(subset=[*keys, measure])
+    """The rows that take part: those with all keys and the measure."""
+    return with_values(df, [*keys, measure])
 
 
 def extreme_values(df: DataFrame, keys: list[str], measure: str) -> DataFrame:
@@ -39,7 +40,7 @@ def agg_join_back(df: DataFrame, keys: list[str], measure: str, values_path: str
 
 def extreme_ties(df: DataFrame, keys: list[str], measure: str, values_path: str) -> DataFrame:
     """All rows that hold their group's largest or smallest measure, tied rows included."""
-    rows = agg_join_back(df, keys, measure, values_path)
+    rows = agg_join_back(_measured(df, keys, measure), keys, measure, values_path)
     at_top, at_bottom = F.col(measure) == F.col(HIGHEST), F.col(measure) == F.col(LOWEST)
     return rows.filter(at_top | at_bottom).select(
         *df.columns, at_top.alias("is_highest"), at_bottom.alias("is_lowest")

@@ -9,7 +9,8 @@ from vedrina.functions.json_fields import CORRUPT, read_record, typed
 from vedrina.functions.times import date_of
 from vedrina.schemas import FLAT_MESSAGE, NESTED_MESSAGE
 
-RAW, PROBLEMS = "raw", "problems"
+READABLE, PROBLEMS, RAW = "readable", "problems", "raw"
+FINDINGS = [READABLE, PROBLEMS, RAW]
 UNREADABLE = "message"
 
 
@@ -19,32 +20,39 @@ def parse_messages(
     value: str = "value",
     keep: list[str] | None = None,
 ) -> DataFrame:
-    """One typed row per message.
+    """One typed row per message; none is dropped here.
 
-    ``fields`` lists (path, column, type). Besides these columns a row has ``problems``, the names of
-    the fields whose text did not fit their type (``message`` when the text is no JSON object), and
-    ``raw``, the text of a message with problems. Nothing is dropped here.
+    ``fields`` lists (path, column, type). Besides these columns a row has ``readable``, false when
+    the text is no JSON object; ``problems``, the names of the fields whose text did not fit their
+    type (``message`` for an unreadable text); and ``raw``, the text of a message with problems.
     """
     keep = keep or []
     record = read_record(F.col("_text"), [path for path, _, _ in fields])
+    # Exploding the one record makes it a column of its own. As a plain expression it would be
+    # parsed again in every filter that the optimizer moves below this projection.
     parsed = messages.select(*keep, F.col(value).cast("string").alias("_text")).select(
-        *keep, "_text", record.alias("_record")
+        *keep, "_text", F.explode(F.array(record)).alias("_record")
     )
     columns = [typed(F.col(f"_record.{path}"), kind).alias(name) for path, name, kind in fields]
+    readable = F.col("_record").isNotNull() & F.col(f"_record.{CORRUPT}").isNull()
+    problems = _problems(fields, readable)
     return parsed.select(
-        *keep, *columns, _problems(fields).alias(PROBLEMS), F.col("_text").alias(RAW)
-    ).withColumn(RAW, F.when(F.size(PROBLEMS) > 0, F.col(RAW)))
+        *keep,
+        *columns,
+        readable.alias(READABLE),
+        problems.alias(PROBLEMS),
+        F.when(F.size(problems) > 0, F.col("_text")).alias(RAW),
+    )
 
 
-def _problems(fields: list[tuple[str, str, str]]) -> Column:
-    unreadable = F.col("_record").isNull() | F.col(f"_record.{CORRUPT}").isNotNull()
+def _problems(fields: list[tuple[str, str, str]], readable: Column) -> Column:
     misfits = []
     for path, name, kind in fields:
         text = F.col(f"_record.{path}")
         if kind != "string":
             misfits.append(F.when(text.isNotNull() & typed(text, kind).isNull(), F.lit(name)))
     names = F.array_compact(F.array(*misfits)) if misfits else F.array().cast("array<string>")
-    return F.when(unreadable, F.array(F.lit(UNREADABLE))).otherwise(names)
+    return F.when(readable, names).otherwise(F.array(F.lit(UNREADABLE)))
 
 
 def parse_flat(messages: DataFrame, value: str = "value", keep: list[str] | None = None) -> DataFrame:
@@ -55,14 +63,13 @@ def parse_flat(messages: DataFrame, value: str = "value", keep: list[str] | None
 def parse_nested(messages: DataFrame, value: str = "value", keep: list[str] | None = None) -> DataFrame:
     """Nested observation messages; the date comes from the local time."""
     rows = parse_messages(messages, NESTED_MESSAGE, value, keep)
-    others = [name for name in rows.columns if name not in (PROBLEMS, RAW)]
-    return rows.select(*others, date_of(F.col("lokalno_vreme")).alias("datum"), PROBLEMS, RAW)
+    others = [name for name in rows.columns if name not in FINDINGS]
+    return rows.select(*others, date_of(F.col("lokalno_vreme")).alias("datum"), *FINDINGS)
 
 
 def accepted(parsed: DataFrame) -> DataFrame:
     """The rows to store: every message that is a JSON object, misfit fields as null."""
-    readable = ~F.array_contains(PROBLEMS, UNREADABLE)
-    return parsed.filter(readable).drop(PROBLEMS, RAW)
+    return parsed.filter(READABLE).drop(*FINDINGS)
 
 
 def rejected(parsed: DataFrame) -> DataFrame:
@@ -74,6 +81,6 @@ def without_key(parsed: DataFrame, keys: list[str]) -> DataFrame:
     """The messages without problems that lack a key, so that no upsert can place them: the names of
     the missing keys as ``problems``, and the parsed row as ``raw``."""
     missing = F.array_compact(F.array(*[F.when(F.col(key).isNull(), F.lit(key)) for key in keys]))
-    row = F.to_json(F.struct(*[name for name in parsed.columns if name not in (PROBLEMS, RAW)]))
+    row = F.to_json(F.struct(*[name for name in parsed.columns if name not in FINDINGS]))
     clean = parsed.filter(F.size(PROBLEMS) == 0)
     return clean.select(missing.alias(PROBLEMS), row.alias(RAW)).filter(F.size(PROBLEMS) > 0)

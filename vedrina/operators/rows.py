@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import and_
 from typing import Any
 
 from pyspark.sql import Column, DataFrame
@@ -12,6 +14,12 @@ from vedrina.functions.text import extract
 from vedrina.schemas import REPORT_COUNTRIES
 
 
+def with_values(df: DataFrame, columns: list[str]) -> DataFrame:
+    """The rows that have a value in every listed column. Plain null tests, which a scan can push
+    down; ``dropna`` counts nulls instead, which it cannot."""
+    return df.filter(reduce(and_, [F.col(name).isNotNull() for name in columns]))
+
+
 def in_countries(df: DataFrame, countries: list[str] = REPORT_COUNTRIES, column: str = "drzava") -> DataFrame:
     """The rows of the listed countries; rows without a country drop out."""
     return df.filter(F.col(column).isin(*countries))

@@ -153,15 +153,18 @@ FROM (SELECT page_id, url, '^(https?)://([^/]+)/([a-z]+)/([0-9]+)' AS pattern,
   WHERE n = 1)
 SELECT grad, drzava, latest.temperatura, latest.stanje, latest.lokalno_vreme, latest.event_id
 FROM cities LEFT JOIN latest USING (grad, drzava)""",
-    "city_dedup": f"""SELECT translate(city, '{ACCENTED}', '{PLAIN}') AS city_key,
-  CASE WHEN country = 'en' THEN 'English' ELSE country END AS country, min(city) AS city
-FROM (SELECT unnest(string_split(text, ' ')) AS city, lang AS country FROM documents
-      UNION ALL SELECT unnest(string_split(text, ' ')) AS city, role AS country FROM conversations)
-GROUP BY 1, 2""",
+    "city_dedup": f"""SELECT city_key, country, city, CAST(sum(n) OVER w AS BIGINT) AS listed FROM (
+  SELECT city, country, translate(city, '{ACCENTED}', '{PLAIN}') AS city_key, count(*) AS n FROM (
+    SELECT city, CASE WHEN country = 'en' THEN 'English' ELSE country END AS country
+    FROM (SELECT unnest(string_split(text, ' ')) AS city, lang AS country FROM documents
+          UNION ALL SELECT unnest(string_split(text, ' ')) AS city, role AS country FROM conversations))
+  GROUP BY city, country)
+WINDOW w AS (PARTITION BY city_key, country)
+QUALIFY row_number() OVER (PARTITION BY city_key, country ORDER BY n DESC, city) = 1""",
     "quarantine": f"""WITH {OBS} SELECT event_id,
   CASE WHEN stanje IN ('click', 'error') THEN 'message' WHEN stanje = 'purchase' THEN 'vlaznost'
        WHEN stanje = 'view' THEN 'temperatura,lokalno_vreme' ELSE '' END AS problems,
-  stanje IN ('click', 'error') AS unreadable,
+  stanje NOT IN ('click', 'error') AS readable,
   stanje <> 'signup' AS kept_raw,
   CASE WHEN stanje IN ('purchase', 'signup') THEN temperatura END AS temperatura,
   CASE WHEN stanje IN ('view', 'signup') THEN vlaznost END AS vlaznost,

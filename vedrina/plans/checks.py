@@ -12,7 +12,7 @@ from vedrina.operators import extremes as ex
 from vedrina.operators.cities import consolidate_cities, enrich_cities
 from vedrina.operators.conform import MISFITS, conform
 from vedrina.operators.dictionary import translate_with
-from vedrina.operators.parsing import PROBLEMS, UNREADABLE, accepted, parse_flat, parse_nested
+from vedrina.operators.parsing import PROBLEMS, accepted, parse_flat, parse_nested
 from vedrina.operators.rows import extract_columns, in_countries, set_columns, split_json, split_lines
 from vedrina.plans.observations import (
     cities,
@@ -228,7 +228,7 @@ def quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
     return parsed.select(
         F.col("offset").alias("event_id"),
         F.array_join(PROBLEMS, ",").alias("problems"),
-        F.array_contains(PROBLEMS, UNREADABLE).alias("unreadable"),
+        "readable",
         F.col("raw").isNotNull().alias("kept_raw"),
         "temperatura",
         "vlaznost",

@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame
 
 from vedrina.operators.latest import latest_per_key
+from vedrina.operators.rows import with_values
 
 
 def write_table(
@@ -49,7 +50,7 @@ def upsert_table(
     moves it in one statement. ``execute`` runs a statement on the caller's own connection, in one
     transaction. Rows without a key must have been set aside before."""
     values = [name for name in columns if name not in keys]
-    latest = latest_per_key(batch.dropna(subset=keys), keys, order, values).select(*columns)
+    latest = latest_per_key(with_values(batch, keys), keys, order, values).select(*columns)
     staged = {"truncate": "true", **(properties or {})}
     write_table(latest, url, staging, "overwrite", staged, connections)
     execute(upsert_statement(table, staging, columns, keys))

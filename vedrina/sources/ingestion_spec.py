@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from vedrina.functions.times import auto_time, date_of
-from vedrina.operators.parsing import PROBLEMS, RAW, parse_messages
+from vedrina.operators.parsing import PROBLEMS, RAW, READABLE, parse_messages
 from vedrina.sources.message_log import log_options
 
 DAY = "day"
@@ -69,16 +69,15 @@ class IngestionSpec:
 def parse_specified(messages: DataFrame, spec: IngestionSpec, value: str = "value") -> DataFrame:
     """Messages to the specified columns; ``problems`` names the time when it cannot be read."""
     names = [spec.time_column, *spec.dimensions]
-    rows = parse_messages(messages.withColumn(value, F.col(value).cast("string")),
-                          [(name, name, "string") for name in names], value, keep=[value])
-    text = F.col(spec.time_column)
-    time = auto_time(text)
-    unread_time = (F.size(PROBLEMS) == 0) & time.isNull()
+    rows = parse_messages(messages, [(name, name, "string") for name in names], value, keep=[value])
+    time = auto_time(F.col(spec.time_column))
+    unread_time = F.col(READABLE) & time.isNull()
     problems = F.when(unread_time, F.array(F.lit(spec.time_column))).otherwise(F.col(PROBLEMS))
     return rows.select(
         time.alias(spec.time_column),
         *spec.dimensions,
         date_of(time).alias(DAY),
+        READABLE,
         problems.alias(PROBLEMS),
-        F.when(F.size(problems) > 0, F.col(value)).alias(RAW),
+        F.when(F.size(problems) > 0, F.col(value).cast("string")).alias(RAW),
     )
