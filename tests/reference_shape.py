@@ -1,0 +1,24 @@
+"""The daily report as plain joins of aggregates, to compare the library's forms with."""
+
+from pyspark.sql import functions as F
+
+KEYS = ["datum", "drzava"]
+
+
+def tied_rows(df, aggregate, measure="temperatura"):
+    values = df.groupBy(*KEYS).agg(aggregate(measure).alias("extreme"))
+    return values.join(df, KEYS).filter(F.col(measure) == F.col("extreme"))
+
+
+def report(df):
+    hot = tied_rows(df, F.max).groupBy(*KEYS).agg(
+        F.first("grad").alias("najtopliji_grad"),
+        F.first("extreme").alias("max_temperatura"),
+        F.first("stanje").alias("stanje_najtoplijeg"),
+    )
+    cold = tied_rows(df, F.min).groupBy(*KEYS).agg(
+        F.first("grad").alias("najhladniji_grad"),
+        F.first("extreme").alias("min_temperatura"),
+        F.first("stanje").alias("stanje_najhladnijeg"),
+    )
+    return hot.join(cold, KEYS)

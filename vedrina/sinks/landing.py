@@ -21,6 +21,8 @@ def write_partitioned(
     splits a value that holds much of the rows over several tasks.
     """
     writer = rows.hint("rebalance", partition_by).write.mode(mode).partitionBy(partition_by)
+    # Overwriting replaces the whole path, whatever the session's default for partitions is.
+    writer = writer.option("partitionOverwriteMode", "static")
     if max_rows_per_file:
         writer = writer.option("maxRecordsPerFile", max_rows_per_file)
     if file_format == "json":
