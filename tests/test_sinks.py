@@ -1,0 +1,109 @@
+import datetime as dt
+from decimal import Decimal
+
+import pytest
+
+from vedrina.operators.conform import conform
+from vedrina.schemas import WIDE_TABLE
+from vedrina.sinks import append, jdbc
+from vedrina.sinks.ddl import insert_rows, replace_table, with_row_id
+
+
+def test_conform_keeps_what_fits_and_names_the_rest(spark):
+    columns = [("a", "decimal(5,2)"), ("b", "varchar(3)"), ("c", "int"), ("d", "timestamp_ntz"), ("e", "bigint")]
+    df = spark.createDataFrame(
+        [("1", "1013.25", "abcd", "x", "junk"), ("2", "13.255", "abc", "7", "2025-03-26 9:05"), ("3", None, None, None, None)],
+        "n string, a string, b string, c string, d string",
+    )
+    bad, good, empty = conform(df, columns, keep=["n"]).orderBy("n").collect()
+    assert tuple(bad) == ("1", None, None, None, None, None, ["a", "b", "c", "d"])
+    assert tuple(good) == ("2", Decimal("13.26"), "abc", 7, dt.datetime(2025, 3, 26, 9, 5), None, [])
+    assert tuple(empty) == ("3", None, None, None, None, None, [])
+
+
+def test_letters_are_counted_not_bytes(spark):
+    df = spark.createDataFrame([("Šid",)], "b string")
+    assert conform(df, [("b", "varchar(3)")]).first().b == "Šid"
+
+
+def test_replace_table_empties_it_and_has_the_declared_columns(spark, path):
+    for _ in range(2):
+        table = replace_table(spark, "wide_test", WIDE_TABLE, path("wide"))
+        assert table.columns == [name for name, _ in WIDE_TABLE] and len(table.columns) == 40
+        assert table.count() == 0
+        rows = spark.createDataFrame([("Nis", 1742979900, "10.55")], "city string, last_updated_epoch bigint, temp_c string")
+        columns = [column for column in WIDE_TABLE if column[0] != "id"]
+        insert_rows(with_row_id(conform(rows, columns)), "wide_test")
+        assert spark.table("wide_test").count() == 1
+    types = {row.col_name: row.data_type for row in spark.sql("DESCRIBE wide_test").collect()}
+    assert types == dict(WIDE_TABLE)
+    spark.sql("DROP TABLE wide_test")
+
+
+def test_row_id_depends_on_the_natural_key_only(spark):
+    df = spark.createDataFrame([("Nis", 1, 2.0), ("Nis", 1, 3.0), ("Bor", 1, 2.0)], "city string, last_updated_epoch bigint, t double")
+    ids = [row.id for row in with_row_id(df).collect()]
+    assert ids[0] == ids[1] != ids[2]
+
+
+def test_upsert_statement():
+    duckdb = pytest.importorskip("duckdb")
+    statement = jdbc.upsert_statement("target", "staged", ["k", "d", "v"], ["k", "d"])
+    assert statement == (
+        "INSERT INTO target (k, d, v) SELECT k, d, v FROM staged WHERE true "
+        "ON CONFLICT (k, d) DO UPDATE SET v = EXCLUDED.v"
+    )
+    connection = duckdb.connect()
+    connection.execute("CREATE TABLE target (k int, d int, v int, PRIMARY KEY (k, d))")
+    connection.execute("INSERT INTO target VALUES (1, 1, 10), (2, 1, 20)")
+    connection.execute("CREATE TABLE staged AS SELECT * FROM (VALUES (1, 1, NULL), (3, 1, 30)) AS t(k, d, v)")
+    for _ in range(2):
+        connection.execute(statement)
+        assert sorted(connection.sql("SELECT * FROM target").fetchall(), key=str) == [(1, 1, None), (2, 1, 20), (3, 1, 30)]
+    assert jdbc.upsert_statement("t", "s", ["k"], ["k"]).endswith("ON CONFLICT (k) DO NOTHING")
+
+
+class Written:
+    """Stands in for a frame's database writer."""
+
+    def __init__(self, monkeypatch):
+        self.calls = []
+        from pyspark.sql.readwriter import DataFrameWriter
+
+        written = self
+
+        def record(writer, url, table, mode=None, properties=None):
+            rows = sorted(map(tuple, writer._df.collect()), key=str)
+            written.calls.append((url, table, mode, properties, writer._df.columns, rows))
+
+        monkeypatch.setattr(DataFrameWriter, "jdbc", record)
+
+
+def test_database_append_numbers_the_batch(spark, monkeypatch):
+    written = Written(monkeypatch)
+    rows = spark.createDataFrame([("Nis", 1.0)], "grad string, t double")
+    append.append_jdbc(rows, "jdbc:x", "daily_weather", 7, {"user": "u"}, connections=4)
+    assert written.calls == [
+        ("jdbc:x", "daily_weather", "append", {"user": "u", "numPartitions": "4"}, ["grad", "t", "batch_id"], [("Nis", 1.0, 7)])
+    ]
+
+
+def test_database_upsert_stages_one_row_per_key_then_runs_one_statement(spark, monkeypatch):
+    written, statements = Written(monkeypatch), []
+    batch = spark.createDataFrame(
+        [("a", 1, 1.0, 1), ("a", 1, None, 2), ("b", 1, 3.0, 1), (None, 1, 4.0, 1)], "k string, d int, v double, n int"
+    )
+    jdbc.upsert_table(batch, "jdbc:x", "target", "staged", ["k", "d"], ["n"], statements.append, ["k", "d", "v"])
+    [(url, table, mode, properties, columns, rows)] = written.calls
+    assert (url, table, mode, columns) == ("jdbc:x", "staged", "overwrite", ["k", "d", "v"])
+    assert properties["truncate"] == "true"
+    assert rows == [("a", 1, None), ("b", 1, 3.0)]
+    assert statements == [jdbc.upsert_statement("target", "staged", ["k", "d", "v"], ["k", "d"])]
+
+
+def test_plain_database_write(spark, monkeypatch):
+    written = Written(monkeypatch)
+    jdbc.write_table(spark.createDataFrame([(1,)], "a int"), "jdbc:x", "t", "overwrite", {"user": "u"})
+    assert written.calls == [
+        ("jdbc:x", "t", "overwrite", {"batchsize": "10000", "user": "u", "numPartitions": "16"}, ["a"], [(1,)])
+    ]

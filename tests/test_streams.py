@@ -1,0 +1,213 @@
+import json
+
+import pytest
+from pyspark.sql import functions as F
+
+from tests.conftest import SF_DIR
+from vedrina.operators.parsing import parse_flat, parse_nested
+from vedrina.plans.checks import EVENT_SPEC
+from vedrina.plans.jobs import append_job, daily_extremes_job, upsert_job
+from vedrina.plans.observations import envelope, flat_text, nested_text, observations
+from vedrina.operators.extremes import daily_extremes
+from vedrina.operators.latest import latest_per_key
+from vedrina.schemas import CONDITION_WORDS, EXTREMES, OBSERVATION_KEYS, OBSERVATIONS
+from vedrina.sinks.append import append_batch, read_appended
+from vedrina.sinks.landing import write_landing
+from vedrina.sources.files import read_landing, stream_landing
+from vedrina.sources.ingestion_spec import IngestionSpec
+from vedrina.sources.message_log import ARRIVAL, ENVELOPE
+from vedrina.streaming.pipelines import append_stream, ingest, upsert_stream
+
+MESSAGE = ENVELOPE.replace("timestamp timestamp", "timestamp timestamp_ntz") + ", stanje string"
+
+
+def rows_of(df):
+    return sorted(map(tuple, df.select(sorted(df.columns)).collect()), key=repr)
+
+
+@pytest.fixture(scope="module")
+def obs(spark):
+    df = observations(spark, SF_DIR).cache()
+    yield df
+    df.unpersist()
+
+
+class Log:
+    """A message log kept as parquet files; one file is one micro-batch."""
+
+    def __init__(self, spark, path):
+        self.spark, self.path = spark, path("log")
+
+    def add(self, messages):
+        messages.coalesce(1).write.mode("append").parquet(self.path)
+
+    def add_in_parts(self, messages, last, parts):
+        for part in range(parts):
+            low, high = last * part // parts, last * (part + 1) // parts
+            self.add(messages.filter((F.col("offset") >= low) & (F.col("offset") < high)))
+
+    def stream(self):
+        return self.spark.readStream.schema(MESSAGE).option("maxFilesPerTrigger", 1).parquet(self.path)
+
+
+@pytest.fixture
+def log(spark, path):
+    return Log(spark, path)
+
+
+def raw_messages(spark, *texts):
+    rows = [(bytearray(text.encode()), "t", 0, n, None, "") for n, text in enumerate(texts)]
+    return spark.createDataFrame(rows, MESSAGE)
+
+
+def test_append_in_batches_and_restart(spark, path, log, obs):
+    log.add_in_parts(envelope(obs, flat_text()), 10_000, 4)
+    table, checkpoint = path("table"), path("checkpoint")
+    query = append_stream(parse_flat(log.stream()), table, checkpoint)
+    query.awaitTermination()
+    expected = rows_of(obs.drop("event_id"))
+    assert spark.read.parquet(table).select("batch_id").distinct().count() == 4
+    assert rows_of(read_appended(spark, table, OBSERVATIONS)) == expected
+    again = append_stream(parse_flat(log.stream()), table, checkpoint)
+    again.awaitTermination()
+    assert again.id == query.id
+    assert rows_of(read_appended(spark, table, OBSERVATIONS)) == expected
+
+
+def test_repeated_batch_changes_nothing_and_a_new_stream_adds(spark, path, obs):
+    rows, table = obs.drop("event_id").filter("vlaznost < 10"), path("table")
+    for _ in range(2):
+        append_batch(rows, table, "one", 0)
+    assert read_appended(spark, table, OBSERVATIONS).count() == rows.count()
+    append_batch(rows, table, "two", 0)
+    assert read_appended(spark, table, OBSERVATIONS).count() == 2 * rows.count()
+
+
+def test_append_survives_a_failure_in_the_sink(spark, path, log, obs, monkeypatch):
+    from vedrina.streaming import pipelines
+
+    log.add_in_parts(envelope(obs, flat_text()), 10_000, 3)
+    table, checkpoint = path("table"), path("checkpoint")
+    real = pipelines.append_batch
+
+    def failing(rows, target, stream_id, batch_id):
+        real(rows, target, stream_id, batch_id)
+        if batch_id == 1:
+            raise RuntimeError("lost after writing")
+
+    with monkeypatch.context() as patch:
+        patch.setattr(pipelines, "append_batch", failing)
+        with pytest.raises(Exception, match="lost after writing"):
+            append_stream(parse_flat(log.stream()), table, checkpoint).awaitTermination()
+    append_stream(parse_flat(log.stream()), table, checkpoint).awaitTermination()
+    assert rows_of(read_appended(spark, table, OBSERVATIONS)) == rows_of(obs.drop("event_id"))
+
+
+def test_append_job_quarantines_unreadable_messages(spark, path, log):
+    good = {"grad": "Nis", "datum": "2025-03-26", "temperatura": 1.5, "vlaznost": 3000000000}
+    log.add(raw_messages(spark, "not json", json.dumps(good), "[]"))
+    append_job(log.stream(), path("table"), path("checkpoint"), path("bad")).awaitTermination()
+    [row] = read_appended(spark, path("table"), OBSERVATIONS).collect()
+    assert (row.grad, row.temperatura, row.vlaznost) == ("Nis", 1.5, None)
+    aside = spark.read.parquet(path("bad")).select("problems", "raw").collect()
+    assert sorted((r.problems[0], r.raw[:5]) for r in aside) == [
+        ("message", "[]"), ("message", "not j"), ("vlaznost", '{"gra'),
+    ]
+
+
+def test_upsert_in_batches_equals_the_latest_message_per_key(spark, path, log, obs):
+    log.add_in_parts(envelope(obs, nested_text()), 10_000, 4)
+    table, checkpoint = path("table"), path("checkpoint")
+    for _ in range(2):
+        parsed = parse_nested(log.stream(), keep=ARRIVAL)
+        upsert_stream(parsed, table, checkpoint, path("bad")).awaitTermination()
+        expected = latest_per_key(obs, OBSERVATION_KEYS, ["event_id"]).drop("event_id")
+        assert rows_of(read_landing(spark, table, OBSERVATIONS, "parquet")) == rows_of(expected)
+
+
+def test_upsert_by_event_time(spark, path, log):
+    def message(time, degrees):
+        body = {"location": {"name": "Nis", "localtime": time}, "current": {"temp_c": degrees}}
+        return json.dumps(body)
+
+    log.add(raw_messages(spark, message("2025-03-26 9:05", 9.0), message("2025-03-26 7:05", 7.0)))
+    for order, kept in ((None, 7.0), (["lokalno_vreme"], 9.0)):
+        name = f"table{kept}"
+        parsed = parse_nested(log.stream(), keep=ARRIVAL)
+        upsert_stream(parsed, path(name), path(name + "-c"), path(name + "-q"), order=order).awaitTermination()
+        [row] = read_landing(spark, path(name), OBSERVATIONS, "parquet").collect()
+        assert row.temperatura == kept
+
+
+def test_upsert_job_translates_and_quarantines(spark, path, log):
+    def message(name, time, text):
+        return json.dumps({"location": {"name": name, "localtime": time}, "current": {"condition": {"text": text}}})
+
+    log.add(
+        raw_messages(
+            spark,
+            message("Nis", "2025-03-26 9:05", "Sunny"),
+            message("Bor", "2025-03-26 9:05", "sunny"),
+            message("Pirot", "2025-03-26 9:05", None),
+            message(None, "2025-03-26 9:05", "Mist"),
+            message("Cacak", "junk", "Mist"),
+            "{",
+        )
+    )
+    upsert_job(log.stream(), path("table"), path("checkpoint"), path("bad")).awaitTermination()
+    found = {row.grad: row.stanje for row in read_landing(spark, path("table"), OBSERVATIONS, "parquet").collect()}
+    assert found == {"Nis": CONDITION_WORDS["Sunny"], "Bor": "sunny", "Pirot": None}
+    aside = spark.read.parquet(path("bad")).collect()
+    assert sorted(row.problems for row in aside) == [["grad"], ["lokalno_vreme"], ["message"]]
+
+
+def test_daily_extremes_job(spark, path, obs):
+    report, state = path("report"), path("state")
+    for batch_id in (0, 1):
+        assert daily_extremes_job(spark, obs, report, state, None, batch_id)
+        expected = rows_of(daily_extremes(obs, None))
+        assert rows_of(read_landing(spark, report, EXTREMES, "parquet")) == expected
+    assert not daily_extremes_job(spark, obs, report, state, None, 1)
+
+
+def test_landing_zone_as_stream(spark, path, obs):
+    rows = obs.drop("event_id").filter("vlaznost < 20")
+    write_landing(rows, path("landing"))
+    target = path("copy")
+    stream = stream_landing(spark, path("landing"), OBSERVATIONS, max_files_per_batch=8)
+    query = (
+        stream.writeStream.format("parquet").option("checkpointLocation", path("checkpoint"))
+        .trigger(availableNow=True).start(target)
+    )
+    query.awaitTermination()
+    assert rows_of(spark.read.parquet(target)) == rows_of(rows)
+
+
+def test_landing_filter_on_the_date_skips_directories(spark, path, obs):
+    write_landing(obs.drop("event_id"), path("landing"))
+    df = read_landing(spark, path("landing"), OBSERVATIONS).filter("datum = date'2024-01-05'")
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(datum" in plan
+    assert df.count() == obs.filter("datum = date'2024-01-05'").count()
+
+
+def test_specified_ingestion(spark, path, log, tmp_path):
+    lines = [json.dumps({"timestamp": 1711450000123 + n, "city": f"c{n}", "temperature": n + 0.5, "x": 1}) for n in range(25)]
+    lines += ['{"timestamp":"2024-03-26T10:00:00","city":"t"}', '{"timestamp":"whenever","city":"u"}', "junk"]
+    log.add(raw_messages(spark, *lines))
+    body = json.loads(json.dumps(EVENT_SPEC))
+    body["spec"]["tuningConfig"]["maxRowsPerSegment"] = 10
+    spec = IngestionSpec.read(json.dumps(body))
+    ingest(log.stream(), spec, path("table"), path("checkpoint"), path("bad")).awaitTermination()
+    stored = read_appended(spark, path("table"), spec.schema())
+    assert stored.columns == ["timestamp", "city", "temperature", "humidity", "day"]
+    found = {row.city: (str(row.timestamp), row.temperature, str(row.day)) for row in stored.collect()}
+    assert len(found) == 26
+    assert found["c0"] == ("2024-03-26 10:46:40.123000", "0.5", "2024-03-26")
+    assert found["t"] == ("2024-03-26 10:00:00", None, "2024-03-26")
+    files = list((tmp_path / "table").rglob("*.parquet"))
+    assert len(files) == 3
+    aside = spark.read.parquet(path("bad")).collect()
+    assert sorted((row.problems, row.raw) for row in aside) == [
+        (["message"], "junk"), (["timestamp"], '{"timestamp":"whenever","city":"u"}'),
+    ]

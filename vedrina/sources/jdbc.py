@@ -24,7 +24,7 @@ def bucket_predicates(expression: str, partitions: int) -> list[str]:
     exactly one predicate; null goes to the first.
     """
     bucket = f"abs(mod({expression}, {partitions}))"
-    return [f"{bucket} = 0 OR ({expression}) IS NULL"] + [f"{bucket} = {n}" for n in range(1, partitions)]
+    return [f"({bucket} = 0 OR ({expression}) IS NULL)"] + [f"{bucket} = {n}" for n in range(1, partitions)]
 
 
 def read_table(
