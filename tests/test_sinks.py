@@ -21,6 +21,25 @@ def test_conform_keeps_what_fits_and_names_the_rest(spark):
     assert tuple(empty) == ("3", None, None, None, None, None, [])
 
 
+@pytest.mark.parametrize(
+    "written, data_type, fitted",
+    [
+        ("'65.0'", "int", 65), ("'6.5e1'", "int", 65), ("'65.5'", "int", None), ("'2147483647'", "int", 2147483647),
+        ("'2147483648'", "int", None), ("'-2147483648'", "int", -2147483648), ("'Infinity'", "int", None),
+        ("'9223372036854775807'", "bigint", 9223372036854775807), ("'9223372036854775808'", "bigint", None),
+        ("' 7 '", "bigint", 7), ("'x'", "bigint", None), ("7.0D", "int", 7), ("7.5D", "int", None),
+        ("double('NaN')", "int", None), ("1e300D", "bigint", None), ("-5L", "int", -5), ("3000000000L", "int", None),
+        ("999.994D", "decimal(5,2)", Decimal("999.99")), ("999.995D", "decimal(5,2)", None),
+        ("12.345BD", "decimal(5,2)", Decimal("12.35")), ("1e2D", "decimal(5,2)", Decimal("100.00")),
+        ("double('NaN')", "decimal(5,2)", None), ("'1.5'", "decimal(10,4)", Decimal("1.5000")), ("7", "decimal(5,2)", Decimal("7.00")),
+    ],
+)
+def test_numbers(spark, written, data_type, fitted):
+    [row] = conform(spark.sql(f"SELECT {written} AS v"), [("v", data_type)]).collect()
+    assert row.v == fitted
+    assert row.misfits == ([] if fitted is not None else ["v"])
+
+
 def test_letters_are_counted_not_bytes(spark):
     df = spark.createDataFrame([("Šid",)], "b string")
     assert conform(df, [("b", "varchar(3)")]).first().b == "Šid"
@@ -50,13 +69,13 @@ def test_upsert_statement():
     duckdb = pytest.importorskip("duckdb")
     statement = jdbc.upsert_statement("target", "staged", ["k", "d", "v"], ["k", "d"])
     assert statement == (
-        "INSERT INTO target (k, d, v) SELECT k, d, v FROM staged WHERE true "
+        "INSERT INTO target (k, d, v) SELECT DISTINCT k, d, v FROM staged WHERE true "
         "ON CONFLICT (k, d) DO UPDATE SET v = EXCLUDED.v"
     )
     connection = duckdb.connect()
     connection.execute("CREATE TABLE target (k int, d int, v int, PRIMARY KEY (k, d))")
     connection.execute("INSERT INTO target VALUES (1, 1, 10), (2, 1, 20)")
-    connection.execute("CREATE TABLE staged AS SELECT * FROM (VALUES (1, 1, NULL), (3, 1, 30)) AS t(k, d, v)")
+    connection.execute("CREATE TABLE staged AS SELECT * FROM (VALUES (1, 1, NULL), (3, 1, 30), (3, 1, 30)) AS t(k, d, v)")
     for _ in range(2):
         connection.execute(statement)
         assert sorted(connection.sql("SELECT * FROM target").fetchall(), key=str) == [(1, 1, None), (2, 1, 20), (3, 1, 30)]
@@ -79,12 +98,16 @@ class Written:
         monkeypatch.setattr(DataFrameWriter, "jdbc", record)
 
 
-def test_database_append_numbers_the_batch(spark, monkeypatch):
-    written = Written(monkeypatch)
+def test_database_append_numbers_the_batch_and_removes_its_earlier_rows(spark, monkeypatch):
+    written, statements = Written(monkeypatch), []
     rows = spark.createDataFrame([("Nis", 1.0)], "grad string, t double")
-    append.append_jdbc(rows, "jdbc:x", "daily_weather", 7, {"user": "u"}, connections=4)
+    append.append_jdbc(rows, "jdbc:x", "daily_weather", "s1", 7, statements.append, {"user": "u"}, connections=4)
+    assert statements == ["DELETE FROM daily_weather WHERE stream_id = 's1' AND batch_id = 7"]
     assert written.calls == [
-        ("jdbc:x", "daily_weather", "append", {"user": "u", "numPartitions": "4"}, ["grad", "t", "batch_id"], [("Nis", 1.0, 7)])
+        (
+            "jdbc:x", "daily_weather", "append", {"batchsize": "10000", "user": "u", "numPartitions": "4"},
+            ["grad", "t", "stream_id", "batch_id"], [("Nis", 1.0, "s1", 7)],
+        )
     ]
 
 

@@ -16,7 +16,13 @@ from vedrina.sinks.landing import write_landing
 from vedrina.sources.files import read_landing, stream_landing
 from vedrina.sources.ingestion_spec import IngestionSpec
 from vedrina.sources.message_log import ARRIVAL, ENVELOPE
-from vedrina.streaming.pipelines import append_stream, ingest, upsert_stream
+from vedrina.streaming.pipelines import (
+    append_stream,
+    append_stream_jdbc,
+    ingest,
+    upsert_stream,
+    upsert_stream_jdbc,
+)
 
 MESSAGE = ENVELOPE.replace("timestamp timestamp", "timestamp timestamp_ntz") + ", stanje string"
 
@@ -211,3 +217,31 @@ def test_specified_ingestion(spark, path, log, tmp_path):
     assert sorted((row.problems, row.raw) for row in aside) == [
         (["message"], "junk"), (["timestamp"], '{"timestamp":"whenever","city":"u"}'),
     ]
+
+
+def test_streams_into_a_database(spark, path, log, monkeypatch):
+    """The statements and staged rows only; no database takes part."""
+    from pyspark.sql.readwriter import DataFrameWriter
+
+    written, statements = [], []
+
+    def record(writer, url, table, mode=None, properties=None):
+        written.append((table, mode, writer._df.columns, writer._df.count()))
+
+    monkeypatch.setattr(DataFrameWriter, "jdbc", record)
+    body = json.dumps({"location": {"name": "Nis", "localtime": "2025-03-26 9:05"}})
+    log.add(raw_messages(spark, body, body, "junk"))
+    query = append_stream_jdbc(
+        parse_nested(log.stream()), "jdbc:x", "daily", path("c1"), path("q1"), statements.append
+    )
+    query.awaitTermination()
+    upsert_stream_jdbc(
+        parse_nested(log.stream(), keep=ARRIVAL), "jdbc:x", "stream", "staged", path("c2"), path("q2"), statements.append
+    ).awaitTermination()
+    columns = ["grad", "region", "drzava", "temperatura", "osecaj", "vlaznost", "stanje", "lokalno_vreme", "datum"]
+    assert written == [
+        ("daily", "append", [*columns, "stream_id", "batch_id"], 2),
+        ("staged", "overwrite", columns, 1),
+    ]
+    assert statements[0] == f"DELETE FROM daily WHERE stream_id = '{query.id}' AND batch_id = 0"
+    assert statements[1].startswith("INSERT INTO stream (grad,") and "ON CONFLICT (grad, datum)" in statements[1]

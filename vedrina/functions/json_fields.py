@@ -6,6 +6,8 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from vedrina.functions.numbers import whole_from_text
+
 CORRUPT = "_corrupt"
 
 
@@ -51,8 +53,6 @@ def typed(text: Column, data_type: str) -> Column:
     if data_type in ("timestamp_ntz", "date"):
         return text.try_cast(data_type)
     number = F.btrim(text, F.lit('"'))
-    if data_type in ("int", "bigint"):
-        real = number.try_cast("double")
-        whole = F.when(real == F.floor(real), real.try_cast(data_type))
-        return F.coalesce(number.try_cast(data_type), whole)
+    if data_type == "int":
+        return whole_from_text(number, data_type)
     return number.try_cast(data_type)

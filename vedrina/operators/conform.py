@@ -6,16 +6,26 @@ import re
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from vedrina.functions.numbers import decimal, whole_from_real, whole_from_text
 
 MISFITS = "misfits"
 
 
-def conform_column(value: Column, data_type: str) -> Column:
-    """The value in the given SQL type; null where it does not fit."""
+def conform_column(value: Column, source: T.DataType, data_type: str) -> Column:
+    """The value, of type ``source``, in the given SQL type; null where it does not fit."""
     text_type = re.fullmatch(r"varchar\((\d+)\)", data_type)
     if text_type:
         text = value.cast("string")
         return F.when(F.char_length(text) <= int(text_type.group(1)), text)
+    if data_type.startswith("decimal"):
+        return decimal(value, data_type)
+    if data_type in ("int", "bigint"):
+        if isinstance(source, T.StringType):
+            return whole_from_text(value, data_type)
+        if isinstance(source, (T.FloatType, T.DoubleType)):
+            return whole_from_real(value, data_type)
     return value.try_cast(data_type)
 
 
@@ -24,13 +34,28 @@ def conform(df: DataFrame, columns: list[tuple[str, str]], keep: list[str] | Non
 
     ``misfits`` names the columns whose value did not fit; it is empty for a clean row.
     """
-    present = {name.lower() for name in df.columns}
-    fitted, misfits = [], []
-    for name, data_type in columns:
-        if name not in present:
-            fitted.append(F.lit(None).cast(re.sub(r"varchar\(\d+\)", "string", data_type)).alias(name))
-            continue
-        value = conform_column(F.col(name), data_type)
-        fitted.append(value.alias(name))
-        misfits.append(F.when(F.col(name).isNotNull() & value.isNull(), F.lit(name)))
-    return df.select(*(keep or []), *fitted, F.array_compact(F.array(*misfits)).alias(MISFITS))
+    keep = keep or []
+    sources = {field.name.lower(): field.dataType for field in df.schema.fields}
+    present = [(name, data_type) for name, data_type in columns if name in sources]
+    fitted = F.struct(
+        *[conform_column(F.col(name), sources[name], data_type).alias(name) for name, data_type in present]
+    )
+    given = F.struct(*[F.col(name).alias(name) for name, _ in present])
+    # Exploding the one struct keeps its casts from being repeated in ``misfits`` and in filters on it.
+    rows = df.select(*keep, given.alias("_given"), F.explode(F.array(fitted)).alias("_fitted"))
+    misfits = [
+        F.when(F.col(f"_given.{name}").isNotNull() & F.col(f"_fitted.{name}").isNull(), F.lit(name))
+        for name, _ in present
+    ]
+    return rows.select(
+        *keep,
+        *[
+            F.col(f"_fitted.{name}") if name in sources else F.lit(None).cast(_plain(data_type)).alias(name)
+            for name, data_type in columns
+        ],
+        F.array_compact(F.array(*misfits)).alias(MISFITS),
+    )
+
+
+def _plain(data_type: str) -> str:
+    return "string" if data_type.startswith("varchar") else data_type

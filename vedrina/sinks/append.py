@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from vedrina.sinks.jdbc import write_table
 from vedrina.sinks.landing import write_partitioned
 
 
@@ -35,12 +38,18 @@ def append_jdbc(
     rows: DataFrame,
     url: str,
     table: str,
+    stream_id: str,
     batch_id: int,
+    execute: Callable[[str], None] | None = None,
     properties: dict[str, str] | None = None,
     connections: int = 16,
 ) -> None:
-    """Append a micro-batch to a database table, with its number, by which copies left by a repeated
-    batch can be told apart. At most ``connections`` tasks write at once."""
-    numbered = rows.withColumn("batch_id", F.lit(batch_id).cast("bigint"))
-    options = {**(properties or {}), "numPartitions": str(connections)}
-    numbered.write.jdbc(url, table, mode="append", properties=options)
+    """Append a micro-batch to a database table that has the columns ``stream_id`` and ``batch_id``
+    besides those of the rows. ``execute`` runs a statement on the caller's connection; with it, a
+    repeated batch first removes what it had appended before."""
+    if execute:
+        execute(f"DELETE FROM {table} WHERE stream_id = '{stream_id}' AND batch_id = {batch_id}")
+    numbered = rows.withColumns(
+        {"stream_id": F.lit(stream_id), "batch_id": F.lit(batch_id).cast("bigint")}
+    )
+    write_table(numbered, url, table, "append", properties, connections)

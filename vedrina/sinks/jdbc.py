@@ -24,12 +24,13 @@ def write_table(
 
 
 def upsert_statement(table: str, staging: str, columns: list[str], keys: list[str]) -> str:
-    """One set-based statement that upserts all staged rows."""
+    """One set-based statement that upserts all staged rows. A task that was run again may have staged
+    its rows twice, hence the DISTINCT."""
     names = ", ".join(columns)
     updates = ", ".join(f"{name} = EXCLUDED.{name}" for name in columns if name not in keys)
     action = f"DO UPDATE SET {updates}" if updates else "DO NOTHING"
     return (
-        f"INSERT INTO {table} ({names}) SELECT {names} FROM {staging} "
+        f"INSERT INTO {table} ({names}) SELECT DISTINCT {names} FROM {staging} "
         f"WHERE true ON CONFLICT ({', '.join(keys)}) {action}"
     )
 

@@ -8,8 +8,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql.streaming import StreamingQuery
 
 from vedrina.operators.parsing import PROBLEMS, RAW, accepted, rejected, without_key
-from vedrina.schemas import OBSERVATION_KEYS, OBSERVATIONS
-from vedrina.sinks.append import append_batch
+from vedrina.schemas import FLAT_MESSAGE, OBSERVATION_KEYS, OBSERVATIONS
+from vedrina.sinks.append import append_batch, append_jdbc
+from vedrina.sinks.jdbc import upsert_table
 from vedrina.sinks.merge import upsert
 from vedrina.sources.ingestion_spec import DAY, IngestionSpec, parse_specified
 from vedrina.sources.message_log import ARRIVAL
@@ -19,7 +20,7 @@ from vedrina.streaming.run import run_stream
 def append_stream(
     parsed: DataFrame, table: str, checkpoint: str, quarantine: str | None = None, **settings
 ) -> StreamingQuery:
-    """Append parsed messages (``operators.parsing``) to ``table``.
+    """Append parsed messages (``operators.parsing``) to the parquet table at ``table``.
 
     Messages with problems go to ``quarantine``; unreadable ones are not appended to the table.
     ``settings`` go to ``run_stream``.
@@ -31,6 +32,24 @@ def append_stream(
     return run_stream(parsed, _with_quarantine(store, quarantine), checkpoint, **settings)
 
 
+def append_stream_jdbc(
+    parsed: DataFrame,
+    url: str,
+    table: str,
+    checkpoint: str,
+    quarantine: str | None = None,
+    execute: Callable[[str], None] | None = None,
+    properties: dict[str, str] | None = None,
+    **settings,
+) -> StreamingQuery:
+    """Append parsed messages to a database table (``sinks.append.append_jdbc``)."""
+
+    def store(batch: DataFrame, stream_id: str, batch_id: int) -> None:
+        append_jdbc(accepted(batch), url, table, stream_id, batch_id, execute, properties)
+
+    return run_stream(parsed, _with_quarantine(store, quarantine), checkpoint, **settings)
+
+
 def upsert_stream(
     parsed: DataFrame,
     table: str,
@@ -39,17 +58,42 @@ def upsert_stream(
     order: list[str | Column] | None = None,
     **settings,
 ) -> StreamingQuery:
-    """Upsert parsed messages into ``table`` by city and date.
+    """Upsert parsed messages into the parquet table at ``table`` by city and date.
 
     The message that arrived last counts; pass ``order=["lokalno_vreme"]`` to let event time decide
     within a batch. ``parsed`` must carry the columns of ``order`` (``keep`` of the parser). Messages
-    with problems, and those without city or date, go to ``quarantine``.
+    with problems, and those without city or date, go to ``quarantine``. The state of the upsert is
+    kept with the checkpoint.
     """
-    order = order or ARRIVAL
 
     def store(batch: DataFrame, stream_id: str, batch_id: int) -> None:
         state = f"{checkpoint}/upsert/{stream_id}"
-        upsert(accepted(batch), table, OBSERVATIONS, OBSERVATION_KEYS, "datum", order, state, batch_id)
+        rows = accepted(batch)
+        upsert(rows, table, OBSERVATIONS, OBSERVATION_KEYS, "datum", order or ARRIVAL, state, batch_id)
+
+    settings = {"output_mode": "update", **settings}
+    return run_stream(parsed, _with_quarantine(store, quarantine, OBSERVATION_KEYS), checkpoint, **settings)
+
+
+def upsert_stream_jdbc(
+    parsed: DataFrame,
+    url: str,
+    table: str,
+    staging: str,
+    checkpoint: str,
+    quarantine: str,
+    execute: Callable[[str], None],
+    order: list[str | Column] | None = None,
+    properties: dict[str, str] | None = None,
+    **settings,
+) -> StreamingQuery:
+    """Upsert parsed messages into a database table by city and date (``sinks.jdbc.upsert_table``);
+    otherwise as ``upsert_stream``."""
+    columns = [name for _, name, _ in FLAT_MESSAGE]
+
+    def store(batch: DataFrame, stream_id: str, batch_id: int) -> None:
+        rows = accepted(batch)
+        upsert_table(rows, url, table, staging, OBSERVATION_KEYS, order or ARRIVAL, execute, columns, properties)
 
     settings = {"output_mode": "update", **settings}
     return run_stream(parsed, _with_quarantine(store, quarantine, OBSERVATION_KEYS), checkpoint, **settings)
