@@ -2,11 +2,13 @@ import datetime as dt
 from decimal import Decimal
 
 import pytest
+from pyspark.sql import functions as F
 
 from vedrina.operators.conform import conform
 from vedrina.schemas import WIDE_TABLE
 from vedrina.sinks import append, jdbc
 from vedrina.sinks.ddl import insert_rows, replace_table, with_row_id
+from vedrina.sinks.landing import write_partitioned
 
 
 def test_conform_keeps_what_fits_and_names_the_rest(spark):
@@ -130,3 +132,21 @@ def test_plain_database_write(spark, monkeypatch):
     assert written.calls == [
         ("jdbc:x", "t", "overwrite", {"batchsize": "10000", "user": "u", "numPartitions": "16"}, ["a"], [(1,)])
     ]
+
+
+def test_a_hot_date_is_written_by_several_tasks_and_others_by_one(spark, tmp_path):
+    name = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
+    before = spark.conf.get(name, None)
+    spark.conf.set(name, "512k")
+    try:
+        hot = F.when(F.col("id") % 3 == 0, F.lit(0)).otherwise(F.col("id") % 40)
+        rows = spark.range(0, 60_000, 1, 8).select(
+            F.sha2(F.col("id").cast("string"), 256).alias("v"), F.date_add(F.lit("2025-01-01").cast("date"), hot.cast("int")).alias("datum")
+        )
+        write_partitioned(rows, str(tmp_path / "t"), "datum", "parquet")
+    finally:
+        spark.conf.unset(name) if before is None else spark.conf.set(name, before)
+    files = {day.name: len(list(day.glob("*.parquet"))) for day in (tmp_path / "t").glob("datum=*")}
+    assert files["datum=2025-01-01"] >= 3
+    assert sum(files.values()) - files["datum=2025-01-01"] < 2 * 39
+    assert spark.read.parquet(str(tmp_path / "t")).count() == 60_000

@@ -88,7 +88,8 @@ def group_extremes(
     * without ``values_path``, one aggregation over one scan. Its buffers hold text, so Spark sorts
       each task's rows. Best when ``df`` is costly to compute twice (joins) or small.
     * with ``values_path``, two scans and no sort: a hash aggregate of the numbers, then a join that
-      keeps the rows at an extreme. Best for a large stored table.
+      keeps the rows at an extreme. Best for a large stored table, one that does not change
+      between the scans.
     """
     order = list(order)
     if values_path is None:
