@@ -15,7 +15,7 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tests import reference_shape
+from tests import joined_aggregates
 from vedrina.operators.extremes import daily_extremes
 from vedrina.plans.checks import QUERIES
 from vedrina.plans.observations import observations
@@ -65,7 +65,7 @@ def main() -> None:
     queries |= {
         "stored_extremes": lambda: daily_extremes(stored, None),
         "stored_extremes_two_pass": lambda: daily_extremes(stored, None, values_path=new_path(spark, "values")),
-        "stored_joined_aggregates": lambda: reference_shape.report(stored),
+        "stored_joined_aggregates": lambda: joined_aggregates.report(stored),
     }
     seconds = {name: timed(query) for name, query in queries.items() if not ONLY or name in ONLY}
     result = {

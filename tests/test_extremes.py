@@ -4,7 +4,7 @@ import math
 import pytest
 from pyspark.sql import functions as F
 
-from tests import reference_shape
+from tests import joined_aggregates
 from tests.conftest import SF_DIR
 from vedrina.operators import extremes as ex
 from vedrina.operators.rows import in_countries
@@ -109,11 +109,11 @@ def comparable(rows):
 def test_same_values_as_joined_aggregates_and_city_among_the_tied(spark, path, form):
     df = rough(spark).cache()
     ours = report(df, path, form)
-    theirs = reference_shape.report(df)
+    theirs = joined_aggregates.report(df)
     values = ["datum", "drzava", "max_temperatura", "min_temperatura"]
     assert comparable(ours.select(*values).collect()) == comparable(theirs.select(*values).collect())
     for aggregate, city in ((F.max, "najtopliji_grad"), (F.min, "najhladniji_grad")):
-        tied = reference_shape.tied_rows(df, aggregate).groupBy(*ex.EXTREMES_KEYS).agg(F.min("grad").alias(city))
+        tied = joined_aggregates.tied_rows(df, aggregate).groupBy(*ex.EXTREMES_KEYS).agg(F.min("grad").alias(city))
         columns = [*ex.EXTREMES_KEYS, city]
         assert comparable(ours.select(*columns).collect()) == comparable(tied.select(*columns).collect())
     df.unpersist()

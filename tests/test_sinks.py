@@ -1,10 +1,12 @@
 import datetime as dt
+import json
 from decimal import Decimal
 
 import pytest
 from pyspark.sql import functions as F
 
 from vedrina.operators.conform import conform
+from vedrina.plans.jobs import wide_job
 from vedrina.schemas import WIDE_TABLE
 from vedrina.sinks import append, jdbc
 from vedrina.sinks.ddl import insert_rows, replace_table, with_row_id
@@ -61,6 +63,22 @@ def test_replace_table_empties_it_and_has_the_declared_columns(spark, path):
     spark.sql("DROP TABLE wide_test")
 
 
+def test_wide_job(spark, path):
+    replace_table(spark, "wide_job_test", WIDE_TABLE, path("wide"))
+    texts = [
+        {"city": "Nis", "last_updated": "2025-03-26 9:05", "last_updated_epoch": 1742976300, "temp_c": 10.55, "pressure_mb": 1013.25},
+        {"city": "Bor", "last_updated_epoch": 1742976300, "temp_c": 1013.25, "humidity": "65.0"},
+    ]
+    messages = spark.createDataFrame([(json.dumps(text),) for text in texts] + [("junk",)], "value string")
+    wide_job(messages, "wide_job_test", path("misfits"))
+    nis, bor = spark.table("wide_job_test").orderBy("city", ascending=False).collect()
+    assert (nis.temp_c, nis.pressure_mb, nis.last_updated) == (Decimal("10.55"), Decimal("1013.25"), dt.datetime(2025, 3, 26, 9, 5))
+    assert (bor.temp_c, bor.humidity) == (None, 65) and bor.id != nis.id
+    [misfit] = spark.read.parquet(path("misfits")).collect()
+    assert (misfit.city, misfit.misfits) == ("Bor", ["temp_c"])
+    spark.sql("DROP TABLE wide_job_test")
+
+
 def test_row_id_depends_on_the_natural_key_only(spark):
     df = spark.createDataFrame([("Nis", 1, 2.0), ("Nis", 1, 3.0), ("Bor", 1, 2.0)], "city string, last_updated_epoch bigint, t double")
     ids = [row.id for row in with_row_id(df).collect()]

@@ -16,7 +16,7 @@ from vedrina.sinks.landing import write_landing
 from vedrina.sources.files import read_landing, stream_landing
 from vedrina.sources.ingestion_spec import IngestionSpec
 from vedrina.sources.message_log import ARRIVAL, ENVELOPE
-from vedrina.streaming.pipelines import (
+from vedrina.streaming.streams import (
     append_stream,
     append_stream_jdbc,
     ingest,
@@ -90,11 +90,11 @@ def test_repeated_batch_changes_nothing_and_a_new_stream_adds(spark, path, obs):
 
 
 def test_append_survives_a_failure_in_the_sink(spark, path, log, obs, monkeypatch):
-    from vedrina.streaming import pipelines
+    from vedrina.streaming import streams
 
     log.add_in_parts(envelope(obs, flat_text()), 10_000, 3)
     table, checkpoint = path("table"), path("checkpoint")
-    real = pipelines.append_batch
+    real = streams.append_batch
 
     def failing(rows, target, stream_id, batch_id):
         real(rows, target, stream_id, batch_id)
@@ -102,7 +102,7 @@ def test_append_survives_a_failure_in_the_sink(spark, path, log, obs, monkeypatc
             raise RuntimeError("lost after writing")
 
     with monkeypatch.context() as patch:
-        patch.setattr(pipelines, "append_batch", failing)
+        patch.setattr(streams, "append_batch", failing)
         with pytest.raises(Exception, match="lost after writing"):
             append_stream(parse_flat(log.stream()), table, checkpoint).awaitTermination()
     append_stream(parse_flat(log.stream()), table, checkpoint).awaitTermination()

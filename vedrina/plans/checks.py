@@ -33,7 +33,7 @@ from vedrina.sinks.merge import upsert
 from vedrina.sources.files import read_landing
 from vedrina.sources.ingestion_spec import IngestionSpec
 from vedrina.sources.message_log import ARRIVAL
-from vedrina.streaming.pipelines import append_stream, ingest, upsert_stream
+from vedrina.streaming.streams import append_stream, ingest, upsert_stream
 
 # The four countries of the report checks.
 COUNTRIES = ["NATION_3", "NATION_7", "NATION_11", "NATION_19"]
