@@ -39,12 +39,16 @@ def consolidate_cities(lists: list[DataFrame], countries: dict[str, str] = COUNT
 
 
 def enrich_cities(
-    cities: DataFrame, replies: DataFrame, keys: list[str], order: list[str | Column]
+    cities: DataFrame,
+    replies: DataFrame,
+    keys: list[str],
+    order: list[str | Column],
+    values_path: str | None = None,
 ) -> DataFrame:
     """Every city with its latest captured reply; cities without one keep nulls.
 
     ``cities`` holds a city once. Replies are cut to one row per city before the join, so the join
-    itself sees no repeated key on either side.
+    itself sees no repeated key on either side. ``values_path`` as in ``latest_per_key``.
     """
-    latest = latest_per_key(with_values(replies, keys), keys, order)
+    latest = latest_per_key(with_values(replies, keys), keys, order, values_path=values_path)
     return cities.join(latest, keys, "left")
