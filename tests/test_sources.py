@@ -117,20 +117,21 @@ def test_specification_with_unknown_time_format_or_column():
 
 
 class Session:
-    def __init__(self, master, folder=None):
+    """Stands in for a session with a master and, perhaps, a folder."""
+
+    def __init__(self, master, folder=None, checkpoint=None):
         self.settings = {} if folder is None else {"spark.checkpoint.dir": folder}
-        self.sparkContext = type("Context", (), {"master": master})
+        names = {"master": master, "applicationId": f"app-{id(self)}", "getCheckpointDir": lambda: checkpoint}
+        self.sparkContext = type("Context", (), {name: staticmethod(value) if callable(value) else value for name, value in names.items()})
         self.conf = self
 
     def get(self, name, default):
         return self.settings.get(name, default)
 
-    def set(self, name, value):
-        self.settings[name] = value
-
 
 def test_shared_folder():
     assert shared_folder(Session("yarn", "hdfs://x/y/")) == "hdfs://x/y"
+    assert shared_folder(Session("yarn", None, "hdfs://x/z")) == "hdfs://x/z"
     local = Session("local[2]")
     assert shared_folder(local) == shared_folder(local)
     with pytest.raises(ValueError, match="spark.checkpoint.dir"):

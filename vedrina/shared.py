@@ -11,19 +11,25 @@ from pyspark.sql import DataFrame, SparkSession
 CHECKPOINT_SETTING = "spark.checkpoint.dir"
 
 
+# Temporary folders of local sessions that name none, by application.
+_local_folders: dict[str, str] = {}
+
+
 def shared_folder(spark: SparkSession) -> str:
     """The folder every executor can reach, as the session names it.
 
-    A local session without the setting (as in tests) gets a temporary folder. On a cluster such a
-    folder would exist on one machine only, so there the setting is required.
+    A local session that names none (as in tests) gets a temporary folder. On a cluster such a folder
+    would exist on one machine only, so there the setting is required.
     """
-    folder = spark.conf.get(CHECKPOINT_SETTING, None)
-    if folder is None:
-        if not spark.sparkContext.master.startswith("local"):
-            raise ValueError(f"set {CHECKPOINT_SETTING} to a folder that all executors share")
-        folder = tempfile.mkdtemp(prefix="vedrina-")
-        spark.conf.set(CHECKPOINT_SETTING, folder)
-    return folder.rstrip("/")
+    context = spark.sparkContext
+    folder = spark.conf.get(CHECKPOINT_SETTING, None) or context.getCheckpointDir()
+    if folder:
+        return folder.rstrip("/")
+    if not context.master.startswith("local"):
+        raise ValueError(f"set {CHECKPOINT_SETTING} to a folder that all executors share")
+    if context.applicationId not in _local_folders:
+        _local_folders[context.applicationId] = tempfile.mkdtemp(prefix="vedrina-")
+    return _local_folders[context.applicationId]
 
 
 def new_path(spark: SparkSession, name: str) -> str:
