@@ -133,18 +133,19 @@ def test_upsert_in_batches_equals_the_latest_message_per_key(spark, path, log, o
         assert rows_of(read_landing(spark, table, OBSERVATIONS, "parquet")) == rows_of(expected)
 
 
-def test_upsert_by_event_time(spark, path, log):
-    def message(time, degrees):
-        body = {"location": {"name": "Nis", "localtime": time}, "current": {"temp_c": degrees}}
+@pytest.mark.parametrize("by_event_time, kept", [(False, (7.0, 3.0)), (True, (9.0, 5.0))])
+def test_upsert_by_arrival_or_event_time(spark, path, log, by_event_time, kept):
+    def message(city, time, degrees):
+        body = {"location": {"name": city, "localtime": time}, "current": {"temp_c": degrees}}
         return json.dumps(body)
 
-    log.add(raw_messages(spark, message("2025-03-26 9:05", 9.0), message("2025-03-26 7:05", 7.0)))
-    for order, kept in ((None, 7.0), (["lokalno_vreme"], 9.0)):
-        name = f"table{kept}"
-        parsed = parse_nested(log.stream(), keep=ARRIVAL)
-        upsert_stream(parsed, path(name), path(name + "-c"), path(name + "-q"), order=order).awaitTermination()
-        [row] = read_landing(spark, path(name), OBSERVATIONS, "parquet").collect()
-        assert row.temperatura == kept
+    log.add(raw_messages(spark, message("Nis", "2025-03-26 9:05", 9.0), message("Nis", "2025-03-26 7:05", 7.0)))
+    log.add(raw_messages(spark, message("Bor", "2025-03-26 5:05", 5.0)))
+    log.add(raw_messages(spark, message("Bor", "2025-03-26 3:05", 3.0), message("Pec", "2025-03-26 1:05", 1.0)))
+    parsed = parse_nested(log.stream(), keep=ARRIVAL)
+    upsert_stream(parsed, path("table"), path("checkpoint"), path("bad"), by_event_time).awaitTermination()
+    found = {row.grad: row.temperatura for row in read_landing(spark, path("table"), OBSERVATIONS, "parquet").collect()}
+    assert found == {"Nis": kept[0], "Bor": kept[1], "Pec": 1.0}
 
 
 def test_upsert_job_translates_and_quarantines(spark, path, log):

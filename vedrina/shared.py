@@ -44,10 +44,10 @@ def written(df: DataFrame, path: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def read_if_exists(spark: SparkSession, path: str, schema) -> DataFrame | None:
+def read_if_exists(spark: SparkSession, path: str, schema: str, **options: str) -> DataFrame | None:
     """A parquet table, or None while nothing has been written to ``path``."""
     try:
-        return spark.read.schema(schema).parquet(path)
+        return spark.read.schema(schema).options(**options).parquet(path)
     except AnalysisException as error:
         if error.getCondition() == "PATH_NOT_FOUND":
             return None

@@ -17,7 +17,11 @@ DAY = "day"
 
 @dataclass(frozen=True)
 class IngestionSpec:
-    """What a specification asks for."""
+    """What a specification asks for.
+
+    Its numbers of tasks and replicas are left to Spark and to the storage. Rows per segment become
+    rows per file, and the rows held before they are published become rows per micro-batch.
+    """
 
     table: str
     topic: str

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql.streaming import StreamingQuery
 
 from vedrina.operators.parsing import PROBLEMS, RAW, accepted, rejected, without_key
@@ -51,25 +51,21 @@ def append_stream_jdbc(
 
 
 def upsert_stream(
-    parsed: DataFrame,
-    table: str,
-    checkpoint: str,
-    quarantine: str,
-    order: list[str | Column] | None = None,
-    **settings,
+    parsed: DataFrame, table: str, checkpoint: str, quarantine: str, by_event_time: bool = False, **settings
 ) -> StreamingQuery:
     """Upsert parsed messages into the parquet table at ``table`` by city and date.
 
-    The message that arrived last counts; pass ``order=["lokalno_vreme"]`` to let event time decide
-    within a batch. ``parsed`` must carry the columns of ``order`` (``keep`` of the parser). Messages
-    with problems, and those without city or date, go to ``quarantine``. The state of the upsert is
-    kept with the checkpoint.
+    The message that arrived last counts or, ``by_event_time``, the one with the latest local time,
+    whichever batch it came in. ``parsed`` must carry the arrival columns (``keep`` of the parser).
+    Messages with problems, and those without city or date, go to ``quarantine``. The state of the
+    upsert is kept with the checkpoint.
     """
+    time = ["lokalno_vreme"] if by_event_time else []
 
     def store(batch: DataFrame, stream_id: str, batch_id: int) -> None:
         state = f"{checkpoint}/upsert/{stream_id}"
-        rows = accepted(batch)
-        upsert(rows, table, OBSERVATIONS, OBSERVATION_KEYS, "datum", order or ARRIVAL, state, batch_id)
+        rows, order = accepted(batch), [*time, *ARRIVAL]
+        upsert(rows, table, OBSERVATIONS, OBSERVATION_KEYS, "datum", order, state, batch_id, time)
 
     settings = {"output_mode": "update", **settings}
     return run_stream(parsed, _with_quarantine(store, quarantine, OBSERVATION_KEYS), checkpoint, **settings)
@@ -83,17 +79,16 @@ def upsert_stream_jdbc(
     checkpoint: str,
     quarantine: str,
     execute: Callable[[str], None],
-    order: list[str | Column] | None = None,
     properties: dict[str, str] | None = None,
     **settings,
 ) -> StreamingQuery:
     """Upsert parsed messages into a database table by city and date (``sinks.jdbc.upsert_table``);
-    otherwise as ``upsert_stream``."""
+    otherwise as ``upsert_stream``. The message that arrived last counts."""
     columns = [name for _, name, _ in FLAT_MESSAGE]
 
     def store(batch: DataFrame, stream_id: str, batch_id: int) -> None:
         rows = accepted(batch)
-        upsert_table(rows, url, table, staging, OBSERVATION_KEYS, order or ARRIVAL, execute, columns, properties)
+        upsert_table(rows, url, table, staging, OBSERVATION_KEYS, ARRIVAL, execute, columns, properties)
 
     settings = {"output_mode": "update", **settings}
     return run_stream(parsed, _with_quarantine(store, quarantine, OBSERVATION_KEYS), checkpoint, **settings)
