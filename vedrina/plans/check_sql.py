@@ -181,6 +181,16 @@ FROM obs""",
 SELECT * FROM new_hot JOIN new_cold USING (datum, drzava)
 UNION ALL
 SELECT * FROM hot JOIN cold USING (datum, drzava) WHERE NOT {IN_COUNTRIES}""",
+    "upsert_by_time": f"""WITH {OBS}, late AS (
+  SELECT event_id, grad, region, drzava, -temperatura AS temperatura, osecaj, vlaznost, stanje,
+         lokalno_vreme - INTERVAL 1 HOUR AS lokalno_vreme,
+         CAST(lokalno_vreme - INTERVAL 1 HOUR AS DATE) AS datum
+  FROM obs)
+SELECT {OBS_COLUMNS} FROM (
+  SELECT *, row_number() OVER (PARTITION BY grad, datum ORDER BY lokalno_vreme DESC, batch DESC, event_id DESC) AS n
+  FROM (SELECT event_id, {OBS_COLUMNS}, 0 AS batch FROM obs
+        UNION ALL SELECT event_id, {OBS_COLUMNS}, 1 AS batch FROM late))
+WHERE n = 1""",
     "append_stream": APPENDED,
     "upsert_stream": f"""WITH {OBS} SELECT {OBS_COLUMNS} FROM (
   SELECT *, row_number() OVER (PARTITION BY grad, datum ORDER BY lokalno_vreme DESC, event_id DESC) AS n FROM obs)

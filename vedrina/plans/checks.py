@@ -24,7 +24,7 @@ from vedrina.plans.observations import (
     observations,
     table,
 )
-from vedrina.schemas import CONDITION_WORDS, EXTREMES, EXTREMES_KEYS, OBSERVATIONS, WIDE_TABLE
+from vedrina.schemas import CONDITION_WORDS, EXTREMES, EXTREMES_KEYS, OBSERVATION_KEYS, OBSERVATIONS, WIDE_TABLE
 from vedrina.shared import new_path
 from vedrina.sinks.append import read_appended
 from vedrina.sinks.ddl import insert_rows, replace_table, with_row_id
@@ -271,8 +271,8 @@ def _wide_input(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def conform_wide(spark: SparkSession, sf_dir: str) -> DataFrame:
-    name = "vedrina_weather_data"
-    replace_table(spark, name, WIDE_TABLE, new_path(spark, "weather-data"))
+    name = "vedrina_wide_check"
+    replace_table(spark, name, WIDE_TABLE, new_path(spark, "wide"))
     columns = [column for column in WIDE_TABLE if column[0] != "id"]
     insert_rows(with_row_id(conform(_wide_input(spark, sf_dir), columns).drop(MISFITS)), name)
     # The id is a hash of Spark's own, so the check leaves it out.
@@ -298,6 +298,23 @@ def upsert_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_landing(spark, report, EXTREMES, "parquet")
 
 
+def upsert_by_time(spark: SparkSession, sf_dir: str) -> DataFrame:
+    # All observations, then all of them again as if made an hour earlier: late rows, which count only
+    # for the dates on which nothing later is stored.
+    rows = observations(spark, sf_dir)
+    earlier = F.col("lokalno_vreme") - F.expr("INTERVAL 1 HOUR")
+    late = rows.withColumns(
+        {"lokalno_vreme": earlier, "datum": date_of(earlier), "temperatura": -F.col("temperatura")}
+    )
+    target, state = new_path(spark, "by-time"), new_path(spark, "by-time-state")
+    for batch in (rows, late):
+        upsert(
+            batch, target, OBSERVATIONS, OBSERVATION_KEYS, "datum", ["lokalno_vreme", "event_id"], state,
+            stored_order=["lokalno_vreme"],
+        )
+    return read_landing(spark, target, OBSERVATIONS, "parquet")
+
+
 def append_stream_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = observations(spark, sf_dir, event_stream(spark, sf_dir))
     target, checkpoint = new_path(spark, "appended"), new_path(spark, "append-checkpoint")
@@ -367,6 +384,7 @@ QUERIES = {
     "conform_wide": conform_wide,
     "conform_misfits": conform_misfits,
     "upsert_batch": upsert_batch,
+    "upsert_by_time": upsert_by_time,
     "append_stream": append_stream_query,
     "upsert_stream": upsert_stream_query,
     "landing_roundtrip": landing_roundtrip,
