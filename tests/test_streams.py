@@ -10,7 +10,7 @@ from vedrina.plans.jobs import append_job, daily_extremes_job, upsert_job
 from vedrina.plans.observations import envelope, flat_text, nested_text, observations
 from vedrina.operators.extremes import daily_extremes
 from vedrina.operators.latest import latest_per_key
-from vedrina.schemas import CONDITION_WORDS, EXTREMES, OBSERVATION_KEYS, OBSERVATIONS
+from vedrina.schemas import CONDITION_WORDS, COUNTRY_WORDS, EXTREMES, OBSERVATION_KEYS, OBSERVATIONS
 from vedrina.sinks.append import append_batch, read_appended
 from vedrina.sinks.landing import write_landing
 from vedrina.sources.files import read_landing, stream_landing
@@ -170,6 +170,19 @@ def test_upsert_job_translates_and_quarantines(spark, path, log):
     assert sorted(row.problems for row in aside) == [["grad"], ["lokalno_vreme"], ["message"]]
 
 
+def test_upsert_job_with_country_names_feeds_the_report(spark, path, log):
+    def message(name, country, degrees):
+        body = {"location": {"name": name, "country": country, "localtime": "2025-03-26 9:05"}}
+        return json.dumps({**body, "current": {"temp_c": degrees, "condition": {"text": "Clear"}}})
+
+    log.add(raw_messages(spark, message("Nis", "Serbia", 9.0), message("Bor", "Serbia", 4.0), message("Rim", "Italy", 30.0)))
+    upsert_job(log.stream(), path("t"), path("c"), path("q"), countries=COUNTRY_WORDS).awaitTermination()
+    daily_extremes_job(spark, read_landing(spark, path("t"), OBSERVATIONS, "parquet"), path("report"), path("state"))
+    [row] = read_landing(spark, path("report"), EXTREMES, "parquet").collect()
+    assert (row.drzava, row.najtopliji_grad, row.najhladniji_grad) == ("Srbija", "Nis", "Bor")
+    assert row.stanje_najtoplijeg == CONDITION_WORDS["Clear"]
+
+
 def test_daily_extremes_job(spark, path, obs):
     report, state = path("report"), path("state")
     for batch_id in (0, 1):
