@@ -177,7 +177,7 @@ def test_upsert_job_with_country_names_feeds_the_report(spark, path, log):
 
     log.add(raw_messages(spark, message("Nis", "Serbia", 9.0), message("Bor", "Serbia", 4.0), message("Rim", "Italy", 30.0)))
     upsert_job(log.stream(), path("t"), path("c"), path("q"), countries=COUNTRY_WORDS).awaitTermination()
-    daily_extremes_job(spark, read_landing(spark, path("t"), OBSERVATIONS, "parquet"), path("report"), path("state"))
+    daily_extremes_job(read_landing(spark, path("t"), OBSERVATIONS, "parquet"), path("report"), path("state"))
     [row] = read_landing(spark, path("report"), EXTREMES, "parquet").collect()
     assert (row.drzava, row.najtopliji_grad, row.najhladniji_grad) == ("Srbija", "Nis", "Bor")
     assert row.stanje_najtoplijeg == CONDITION_WORDS["Clear"]
@@ -186,10 +186,10 @@ def test_upsert_job_with_country_names_feeds_the_report(spark, path, log):
 def test_daily_extremes_job(spark, path, obs):
     report, state = path("report"), path("state")
     for batch_id in (0, 1):
-        assert daily_extremes_job(spark, obs, report, state, None, batch_id)
+        assert daily_extremes_job(obs, report, state, None, batch_id)
         expected = rows_of(daily_extremes(obs, None))
         assert rows_of(read_landing(spark, report, EXTREMES, "parquet")) == expected
-    assert not daily_extremes_job(spark, obs, report, state, None, 1)
+    assert not daily_extremes_job(obs, report, state, None, 1)
 
 
 def test_landing_zone_as_stream(spark, path, obs):

@@ -89,7 +89,7 @@ def group_extremes(
       each task's rows. Best when ``df`` is costly to compute twice (joins) or small.
     * with ``values_path``, two scans and no sort: a hash aggregate of the numbers, then a join that
       keeps the rows at an extreme. Best for a large stored table, one that does not change
-      between the scans.
+      between the scans. The result reads ``values_path``: give each result a path of its own.
     """
     order = list(order)
     if values_path is None:
