@@ -74,8 +74,9 @@ def test_wide_job(spark, path):
     nis, bor = spark.table("wide_job_test").orderBy("city", ascending=False).collect()
     assert (nis.temp_c, nis.pressure_mb, nis.last_updated) == (Decimal("10.55"), Decimal("1013.25"), dt.datetime(2025, 3, 26, 9, 5))
     assert (bor.temp_c, bor.humidity) == (None, 65) and bor.id != nis.id
-    [misfit] = spark.read.parquet(path("misfits")).collect()
+    misfit, unreadable = spark.read.parquet(path("misfits")).orderBy("readable", ascending=False).collect()
     assert (misfit.city, misfit.misfits) == ("Bor", ["temp_c"])
+    assert (unreadable.readable, unreadable.raw) == (False, "junk")
     spark.sql("DROP TABLE wide_job_test")
 
 

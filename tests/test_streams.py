@@ -69,12 +69,12 @@ def raw_messages(spark, *texts):
 def test_append_in_batches_and_restart(spark, path, log, obs):
     log.add_in_parts(envelope(obs, flat_text()), 10_000, 4)
     table, checkpoint = path("table"), path("checkpoint")
-    query = append_stream(parse_flat(log.stream()), table, checkpoint)
+    query = append_stream(parse_flat(log.stream()), table, checkpoint, None)
     query.awaitTermination()
     expected = rows_of(obs.drop("event_id"))
     assert spark.read.parquet(table).select("batch_id").distinct().count() == 4
     assert rows_of(read_appended(spark, table, OBSERVATIONS)) == expected
-    again = append_stream(parse_flat(log.stream()), table, checkpoint)
+    again = append_stream(parse_flat(log.stream()), table, checkpoint, None)
     again.awaitTermination()
     assert again.id == query.id
     assert rows_of(read_appended(spark, table, OBSERVATIONS)) == expected
@@ -104,8 +104,8 @@ def test_append_survives_a_failure_in_the_sink(spark, path, log, obs, monkeypatc
     with monkeypatch.context() as patch:
         patch.setattr(streams, "append_batch", failing)
         with pytest.raises(Exception, match="lost after writing"):
-            append_stream(parse_flat(log.stream()), table, checkpoint).awaitTermination()
-    append_stream(parse_flat(log.stream()), table, checkpoint).awaitTermination()
+            append_stream(parse_flat(log.stream()), table, checkpoint, None).awaitTermination()
+    append_stream(parse_flat(log.stream()), table, checkpoint, None).awaitTermination()
     assert rows_of(read_appended(spark, table, OBSERVATIONS)) == rows_of(obs.drop("event_id"))
 
 

@@ -318,9 +318,10 @@ def upsert_by_time(spark: SparkSession, sf_dir: str) -> DataFrame:
 def append_stream_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = observations(spark, sf_dir, event_stream(spark, sf_dir))
     target, checkpoint = new_path(spark, "appended"), new_path(spark, "append-checkpoint")
+    aside = new_path(spark, "quarantine")
     # Run twice on one checkpoint: the second run must add nothing.
     for _ in range(2):
-        append_stream(parse_flat(envelope(rows, flat_text())), target, checkpoint).awaitTermination()
+        append_stream(parse_flat(envelope(rows, flat_text())), target, checkpoint, aside).awaitTermination()
     return read_appended(spark, target, OBSERVATIONS)
 
 
@@ -351,9 +352,8 @@ def spec_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("stanje").isin("click", "view"), F.to_json(F.struct(millis.alias("timestamp"), *values))
     ).otherwise(F.to_json(F.struct(F.col("lokalno_vreme").cast("string").alias("timestamp"), *values)))
     spec = IngestionSpec.read(EVENT_SPEC)
-    target = new_path(spark, spec.table)
-    query = ingest(envelope(rows, text), spec, target, new_path(spark, "ingest-checkpoint"))
-    query.awaitTermination()
+    target, checkpoint = new_path(spark, spec.table), new_path(spark, "ingest-checkpoint")
+    ingest(envelope(rows, text), spec, target, checkpoint, new_path(spark, "quarantine")).awaitTermination()
     return read_appended(spark, target, spec.schema())
 
 

@@ -18,12 +18,12 @@ from vedrina.streaming.run import run_stream
 
 
 def append_stream(
-    parsed: DataFrame, table: str, checkpoint: str, quarantine: str | None = None, **settings
+    parsed: DataFrame, table: str, checkpoint: str, quarantine: str | None, **settings
 ) -> StreamingQuery:
     """Append parsed messages (``operators.parsing``) to the parquet table at ``table``.
 
-    Messages with problems go to ``quarantine``; unreadable ones are not appended to the table.
-    ``settings`` go to ``run_stream``.
+    Messages with problems go to ``quarantine``; unreadable ones are not appended to the table, so
+    with None for ``quarantine`` they are given up. ``settings`` go to ``run_stream``.
     """
 
     def store(batch: DataFrame, stream_id: str, batch_id: int) -> None:
@@ -37,7 +37,7 @@ def append_stream_jdbc(
     url: str,
     table: str,
     checkpoint: str,
-    quarantine: str | None = None,
+    quarantine: str | None,
     execute: Callable[[str], None] | None = None,
     properties: dict[str, str] | None = None,
     **settings,
@@ -99,7 +99,7 @@ def ingest(
     spec: IngestionSpec,
     table: str,
     checkpoint: str,
-    quarantine: str | None = None,
+    quarantine: str | None,
     **settings,
 ) -> StreamingQuery:
     """Ingest messages as a specification asks, one directory per day; rows whose time cannot be
