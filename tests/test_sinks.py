@@ -10,7 +10,7 @@ from vedrina.plans.jobs import wide_job
 from vedrina.schemas import WIDE_TABLE
 from vedrina.sinks import append, jdbc
 from vedrina.sinks.ddl import insert_rows, replace_table, with_row_id
-from vedrina.sinks.landing import write_partitioned
+from vedrina.sinks.landing import rebalanced, write_partitioned
 
 
 def test_conform_keeps_what_fits_and_names_the_rest(spark):
@@ -169,3 +169,16 @@ def test_a_hot_date_is_written_by_several_tasks_and_others_by_one(spark, tmp_pat
     assert files["datum=2025-01-01"] >= 3
     assert sum(files.values()) - files["datum=2025-01-01"] < 2 * 39
     assert spark.read.parquet(str(tmp_path / "t")).count() == 60_000
+
+
+def test_no_rebalance_without_adaptive_execution(spark):
+    rows = spark.range(10).selectExpr("id", "date'2025-01-01' AS datum")
+    name = "spark.sql.adaptive.enabled"
+    before = spark.conf.get(name)
+    try:
+        for adaptive, shuffles in (("true", 1), ("false", 0)):
+            spark.conf.set(name, adaptive)
+            plan = rebalanced(rows, "datum")._jdf.queryExecution().executedPlan().toString()
+            assert plan.count("Exchange") == shuffles
+    finally:
+        spark.conf.set(name, before)

@@ -7,6 +7,14 @@ from pyspark.sql import DataFrame
 from vedrina.sources.files import TIME_PATTERN
 
 
+def rebalanced(rows: DataFrame, by: str) -> DataFrame:
+    """Rows brought together by a column, for partitioned writes: adaptive execution joins small
+    groups in one task and splits a group that holds much of the rows. Without adaptive execution a
+    hot group would end in one task, so the rows then stay where they are."""
+    adaptive = rows.sparkSession.conf.get("spark.sql.adaptive.enabled", "true")
+    return rows.hint("rebalance", by) if adaptive == "true" else rows
+
+
 def write_partitioned(
     rows: DataFrame,
     path: str,
@@ -15,12 +23,8 @@ def write_partitioned(
     max_rows_per_file: int | None = None,
     mode: str = "overwrite",
 ) -> None:
-    """Write one directory per value of ``partition_by``.
-
-    The rebalance keeps tasks from each writing a small file for every value; adaptive execution
-    splits a value that holds much of the rows over several tasks.
-    """
-    writer = rows.hint("rebalance", partition_by).write.mode(mode).partitionBy(partition_by)
+    """Write one directory per value of ``partition_by``, without a small file per task in each."""
+    writer = rebalanced(rows, partition_by).write.mode(mode).partitionBy(partition_by)
     # Overwriting replaces the whole path, whatever the session's default for partitions is.
     writer = writer.option("partitionOverwriteMode", "static")
     if max_rows_per_file:
