@@ -33,6 +33,10 @@ def any_zone(spark, request):
         ("2024-03-26T10:46:40", dt.datetime(2024, 3, 26, 10, 46, 40)),
         ("2024-03-26 9:05", dt.datetime(2024, 3, 26, 9, 5)),
         ("2025-03-30 02:30", dt.datetime(2025, 3, 30, 2, 30)),
+        ("2024-03-26T10:46:40Z", dt.datetime(2024, 3, 26, 10, 46, 40)),
+        ("2024-03-26T10:46:40.5+02:00", dt.datetime(2024, 3, 26, 8, 46, 40, 500000)),
+        ("2024-10-27 01:30:00+00:00", dt.datetime(2024, 10, 27, 1, 30)),
+        ("2024-03-26", dt.datetime(2024, 3, 26)), ("25:00:00Z", None),
         ("9999999999999999", None), ("99999999999999999999999", None), ("junk", None), ("", None), (None, None),
     ],
 )

@@ -7,7 +7,7 @@ from vedrina.plans.checks import EVENT_SPEC
 from vedrina.shared import shared_folder
 from vedrina.sources import jdbc, message_log
 from vedrina.sources.files import read_lines
-from vedrina.sources.ingestion_spec import IngestionSpec
+from vedrina.sources.ingestion_spec import IngestionSpec, parse_specified
 
 
 class Recorder:
@@ -105,6 +105,17 @@ def test_specification():
     }
 
 
+def test_dimension_called_like_the_message_column(spark):
+    body = json.loads(json.dumps(EVENT_SPEC))
+    body["spec"]["parser"]["parseSpec"] = {
+        "timestampSpec": {"column": "timestamp", "format": "auto"}, "dimensionsSpec": {"dimensions": ["value"]},
+    }
+    messages = spark.createDataFrame([('{"timestamp": 0, "value": 7}',), ("junk",)], "value string")
+    first, second = parse_specified(messages, IngestionSpec.read(body)).collect()
+    assert (first.value, str(first.timestamp), first.raw) == ("7", "1970-01-01 00:00:00", None)
+    assert (second.value, second.problems, second.raw) == (None, ["message"], "junk")
+
+
 def test_specification_with_unknown_time_format_or_column():
     body = json.loads(json.dumps(EVENT_SPEC))
     body["spec"]["parser"]["parseSpec"]["timestampSpec"]["format"] = "ruby"

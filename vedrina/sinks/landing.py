@@ -12,7 +12,7 @@ def rebalanced(rows: DataFrame, by: str) -> DataFrame:
     groups in one task and splits a group that holds much of the rows. Without adaptive execution a
     hot group would end in one task, so the rows then stay where they are."""
     adaptive = rows.sparkSession.conf.get("spark.sql.adaptive.enabled", "true")
-    return rows.hint("rebalance", by) if adaptive == "true" else rows
+    return rows.hint("rebalance", by) if adaptive.lower() == "true" else rows
 
 
 def write_partitioned(

@@ -73,7 +73,9 @@ class IngestionSpec:
 def parse_specified(messages: DataFrame, spec: IngestionSpec, value: str = "value") -> DataFrame:
     """Messages to the specified columns; ``problems`` names the time when it cannot be read."""
     names = [spec.time_column, *spec.dimensions]
-    rows = parse_messages(messages, [(name, name, "string") for name in names], value, keep=[value])
+    # Under a name of its own: a dimension may be called like the message column.
+    texts = messages.select(F.col(value).cast("string").alias("_message"))
+    rows = parse_messages(texts, [(name, name, "string") for name in names], "_message", ["_message"])
     time = auto_time(F.col(spec.time_column))
     unread_time = F.col(READABLE) & time.isNull()
     problems = F.when(unread_time, F.array(F.lit(spec.time_column))).otherwise(F.col(PROBLEMS))
@@ -83,5 +85,5 @@ def parse_specified(messages: DataFrame, spec: IngestionSpec, value: str = "valu
         date_of(time).alias(DAY),
         READABLE,
         problems.alias(PROBLEMS),
-        F.when(F.size(problems) > 0, F.col(value).cast("string")).alias(RAW),
+        F.when(F.size(problems) > 0, F.col("_message")).alias(RAW),
     )
