@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from vedrina.functions.text import ACCENTED, PLAIN
-from vedrina.plans.checks import COUNTRIES, EVENT_CONDITIONS
+from vedrina.plans.checks import COUNTRIES, EVENT_CONDITIONS, WIDE_SOURCES
 from vedrina.schemas import CONDITION_WORDS, WIDE_TABLE
 
 
@@ -62,28 +62,8 @@ LINES = """SELECT doc_id, CAST(n - 1 AS INTEGER) AS {number}, parts[n] AS line
 FROM (SELECT doc_id, parts, unnest(range(1, len(parts) + 1)) AS n
       FROM (SELECT doc_id, string_split(text, chr(10)) AS parts FROM documents))"""
 
-# The wide table's columns that the check fills, as SQL over line items and their supplier.
-WIDE_SOURCES = {
-    "city": "s_name",
-    "region": "r_name",
-    "country": "n_name",
-    "lat": "s_acctbal",
-    "lon": "l_tax",
-    "tz_id": "'UTC'",
-    "local_time": "l_shipdate",
-    "localtime_epoch": "epoch_us(l_shipdate) // 1000000",
-    "last_updated": "l_shipdate",
-    "last_updated_epoch": "epoch_us(l_shipdate) // 1000000",
-    "temp_c": "l_quantity",
-    "is_day": "l_linenumber",
-    "condition_text": "l_returnflag",
-    "condition_code": "l_partkey",
-    "wind_dir": "r_name",
-    "pressure_mb": "l_extendedprice",
-    "precip_mm": "l_extendedprice",
-    "uv": "l_discount",
-    "humidity": "l_quantity",
-}
+EPOCH_SECONDS = "epoch_us(l_shipdate) // 1000000"
+WIDE_SQL = {**WIDE_SOURCES, "localtime_epoch": EPOCH_SECONDS, "last_updated_epoch": EPOCH_SECONDS}
 WIDE_FROM = """FROM lineitem JOIN supplier ON l_suppkey = s_suppkey
 JOIN nation ON s_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey"""
 
@@ -93,9 +73,9 @@ def _wide_columns() -> str:
     for name, data_type in WIDE_TABLE:
         if name == "id":
             continue
-        source = WIDE_SOURCES.get(name, "NULL")
+        source = WIDE_SQL[name]
         sql_type = "TIMESTAMP" if data_type == "timestamp_ntz" else data_type
-        if data_type.startswith("varchar") and source != "NULL":
+        if data_type.startswith("varchar"):
             size = data_type[len("varchar(") : -1]
             columns.append(f"CASE WHEN length({source}) <= {size} THEN {source} END AS {name}")
         else:
@@ -151,7 +131,7 @@ FROM (SELECT page_id, url, '^(https?)://([^/]+)/([a-z]+)/([0-9]+)' AS pattern,
   SELECT grad, drzava, temperatura, stanje, lokalno_vreme, event_id FROM (
     SELECT *, row_number() OVER (PARTITION BY grad, drzava ORDER BY lokalno_vreme DESC, event_id DESC) AS n FROM obs)
   WHERE n = 1)
-SELECT grad, drzava, latest.temperatura, latest.stanje, latest.lokalno_vreme, latest.event_id
+SELECT grad, drzava, latest.temperatura, latest.stanje, latest.lokalno_vreme
 FROM cities LEFT JOIN latest USING (grad, drzava)""",
     "city_dedup": f"""SELECT city_key, country, city, CAST(sum(n) OVER w AS BIGINT) AS listed FROM (
   SELECT city, country, translate(city, '{ACCENTED}', '{PLAIN}') AS city_key, count(*) AS n FROM (
@@ -167,7 +147,7 @@ QUALIFY row_number() OVER (PARTITION BY city_key, country ORDER BY n DESC, city)
   stanje NOT IN ('click', 'error') AS readable,
   stanje <> 'signup' AS kept_raw,
   CASE WHEN stanje IN ('purchase', 'signup') THEN temperatura END AS temperatura,
-  CASE WHEN stanje IN ('view', 'signup') THEN vlaznost END AS vlaznost,
+  CASE WHEN stanje IN ('view', 'signup') THEN CAST(vlaznost AS VARCHAR) END AS vlaznost,
   CASE WHEN stanje IN ('purchase', 'signup') THEN lokalno_vreme END AS lokalno_vreme
 FROM obs""",
     "conform_wide": f"SELECT {_wide_columns()} {WIDE_FROM}",

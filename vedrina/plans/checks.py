@@ -193,7 +193,7 @@ def enrich_cities_query(spark: SparkSession, sf_dir: str) -> DataFrame:
         "grad", "drzava", "temperatura", "stanje", "lokalno_vreme", "event_id"
     )
     places = cities(spark, sf_dir).select("grad", "drzava")
-    return enrich_cities(places, replies, ["grad", "drzava"], ["lokalno_vreme", "event_id"])
+    return enrich_cities(places, replies, ["grad", "drzava"], ["lokalno_vreme", "event_id"]).drop("event_id")
 
 
 def city_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -231,43 +231,69 @@ def quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
         "readable",
         F.col("raw").isNotNull().alias("kept_raw"),
         "temperatura",
-        "vlaznost",
+        F.col("vlaznost").cast("string").alias("vlaznost"),
         "lokalno_vreme",
     )
 
 
+# The wide table's columns and the check columns that fill them: line items, with their supplier, its
+# nation and region. Some regions are too long for wind_dir, and most prices too large for precip_mm.
+WIDE_SOURCES = {
+    "city": "s_name",
+    "region": "r_name",
+    "country": "n_name",
+    "lat": "s_acctbal",
+    "lon": "l_tax",
+    "tz_id": "l_linestatus",
+    "local_time": "l_shipdate",
+    "last_updated": "l_shipdate",
+    "temp_c": "l_quantity",
+    "temp_f": "l_discount",
+    "is_day": "l_linenumber",
+    "condition_text": "l_returnflag",
+    "condition_icon": "s_name",
+    "condition_code": "l_partkey",
+    "wind_mph": "l_discount",
+    "wind_kph": "l_tax",
+    "wind_degree": "l_linenumber",
+    "wind_dir": "r_name",
+    "pressure_mb": "l_extendedprice",
+    "pressure_in": "l_quantity",
+    "precip_mm": "l_extendedprice",
+    "precip_in": "l_discount",
+    "humidity": "l_quantity",
+    "cloud": "l_linenumber",
+    "feelslike_c": "l_quantity",
+    "feelslike_f": "l_tax",
+    "windchill_c": "l_discount",
+    "windchill_f": "l_tax",
+    "heatindex_c": "l_quantity",
+    "heatindex_f": "l_discount",
+    "dewpoint_c": "l_tax",
+    "dewpoint_f": "l_quantity",
+    "vis_km": "l_discount",
+    "vis_miles": "l_tax",
+    "uv": "l_discount",
+    "gust_mph": "l_quantity",
+    "gust_kph": "l_tax",
+}
+
+
 def _wide_input(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Line items with their supplier, under the names of the wide table. ``wind_dir`` is too long
-    for some regions and ``precip_mm`` too large for most prices."""
     nation = table(spark, sf_dir, "nation")
     region = table(spark, sf_dir, "region")
     places = nation.join(region, F.col("n_regionkey") == F.col("r_regionkey"))
     suppliers = table(spark, sf_dir, "supplier").join(places, F.col("s_nationkey") == F.col("n_nationkey"))
     items = table(spark, sf_dir, "lineitem").join(suppliers, F.col("l_suppkey") == F.col("s_suppkey"))
     seconds = to_epoch(F.col("l_shipdate"))
-    return items.select(
+    wide = items.select(
         "l_orderkey",
         "l_linenumber",
-        F.col("s_name").alias("city"),
-        F.col("r_name").alias("region"),
-        F.col("n_name").alias("country"),
-        F.col("s_acctbal").alias("lat"),
-        F.col("l_tax").alias("lon"),
-        F.lit("UTC").alias("tz_id"),
-        F.col("l_shipdate").cast("string").alias("local_time"),
+        *[F.col(source).alias(name) for name, source in WIDE_SOURCES.items()],
         seconds.cast("string").alias("localtime_epoch"),
-        F.col("l_shipdate").alias("last_updated"),
         seconds.alias("last_updated_epoch"),
-        F.col("l_quantity").alias("temp_c"),
-        F.col("l_linenumber").alias("is_day"),
-        F.col("l_returnflag").alias("condition_text"),
-        F.col("l_partkey").alias("condition_code"),
-        F.col("r_name").alias("wind_dir"),
-        F.col("l_extendedprice").alias("pressure_mb"),
-        F.col("l_extendedprice").alias("precip_mm"),
-        F.col("l_discount").alias("uv"),
-        F.col("l_quantity").alias("humidity"),
     )
+    return wide.withColumn("local_time", F.col("local_time").cast("string"))
 
 
 def conform_wide(spark: SparkSession, sf_dir: str) -> DataFrame:
