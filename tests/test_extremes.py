@@ -137,6 +137,14 @@ def test_other_measure_types(spark, path):
             assert (row.top_n, row.bottom_n, float(row.max_value)) == ("b", "a", high)
 
 
+def test_smallest_whole_numbers(spark, path):
+    for kind, least in (("int", -(2**31)), ("bigint", -(2**63))):
+        df = spark.createDataFrame([("a", least), ("b", 5), ("c", 2)], f"n string, v {kind}").withColumn("k", F.lit(1))
+        for values_path in (None, path(kind)):
+            [row] = ex.group_extremes(df, ["k"], "v", ["n"], values_path).collect()
+            assert (row.max_value, row.top_n, row.min_value, row.bottom_n) == (5, "b", least, "a")
+
+
 def test_ties_keep_every_tied_row(spark, path):
     df = rows_of(
         spark,

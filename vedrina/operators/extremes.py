@@ -49,17 +49,18 @@ def extreme_ties(df: DataFrame, keys: list[str], measure: str, values_path: str)
 
 def _one_pass(df: DataFrame, keys: list[str], measure: str, order: list[str]) -> DataFrame:
     """Both picks in one aggregation: the least of (rank of the measure, tie order) per group."""
-    value = F.col(measure)
+    value, kind = F.col(measure), df.schema[measure].dataType
     # NaN is the largest number; negated it would come last, so it is ranked by a flag.
-    fractional = isinstance(df.schema[measure].dataType, (T.FloatType, T.DoubleType))
-    not_nan = ~F.isnan(value) if fractional else F.lit(True)
+    not_nan = ~F.isnan(value) if isinstance(kind, (T.FloatType, T.DoubleType)) else F.lit(True)
+    # Turns the order round and is its own inverse; the smallest whole number has no negative.
+    reverse = F.bitwise_not if isinstance(kind, T.IntegralType) else F.negative
     # Aliases by position: a struct may not repeat a name, and the order columns may include any.
     ties = [F.col(name).alias(f"by{n}") for n, name in enumerate(order)]
-    top = F.min(F.struct(not_nan.alias("not_nan"), (-value).alias("negative"), *ties))
+    top = F.min(F.struct(not_nan.alias("not_nan"), reverse(value).alias("reversed"), *ties))
     bottom = F.min(F.struct(value.alias("value"), *ties))
     picks = _measured(df, keys, measure).groupBy(*keys).agg(top.alias("top"), bottom.alias("bottom"))
     return picks.select(
-        *keys, (-F.col("top.negative")).alias(HIGHEST), "top", F.col("bottom.value").alias(LOWEST), "bottom"
+        *keys, reverse(F.col("top.reversed")).alias(HIGHEST), "top", F.col("bottom.value").alias(LOWEST), "bottom"
     )
 
 
