@@ -133,6 +133,30 @@ def test_upsert_in_batches_equals_the_latest_message_per_key(spark, path, log, o
         assert rows_of(read_landing(spark, table, OBSERVATIONS, "parquet")) == rows_of(expected)
 
 
+def test_upsert_survives_a_failure_between_staging_and_publishing(spark, path, log, obs, monkeypatch):
+    from vedrina.sinks import merge
+
+    log.add_in_parts(envelope(obs, nested_text()), 10_000, 3)
+    table, checkpoint, bad = path("table"), path("checkpoint"), path("bad")
+    real = merge._publish
+
+    def failing(session, target, schema, partition_by, state, batch_id):
+        if batch_id == 1:
+            raise RuntimeError("lost before publishing")
+        real(session, target, schema, partition_by, state, batch_id)
+
+    def start():
+        return upsert_stream(parse_nested(log.stream(), keep=ARRIVAL), table, checkpoint, bad)
+
+    with monkeypatch.context() as patch:
+        patch.setattr(merge, "_publish", failing)
+        with pytest.raises(Exception, match="lost before publishing"):
+            start().awaitTermination()
+    start().awaitTermination()
+    expected = latest_per_key(obs, OBSERVATION_KEYS, ["event_id"]).drop("event_id")
+    assert rows_of(read_landing(spark, table, OBSERVATIONS, "parquet")) == rows_of(expected)
+
+
 @pytest.mark.parametrize("by_event_time, kept", [(False, (7.0, 3.0)), (True, (9.0, 5.0))])
 def test_upsert_by_arrival_or_event_time(spark, path, log, by_event_time, kept):
     def message(city, time, degrees):
