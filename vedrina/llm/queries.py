@@ -7,10 +7,10 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vedrina.llm import exact_dedup, mixing, quality, simhash
+from vedrina.llm import exact_dedup, html_text, language_model, licenses, mixing, quality, simhash, toxicity
 from vedrina.llm import sentencepiece as pieces_codec
 from vedrina.llm import token_counts as counts
-from vedrina.llm.sql import DEDUP_SQL, MIXING_SQL, QUALITY_SQL
+from vedrina.llm.sql import DEDUP_SQL, LICENSE_SQL, MIXING_SQL, QUALITY_SQL
 from vedrina.llm.text import filled
 
 
@@ -22,6 +22,15 @@ def token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return counts.token_counts(_documents(spark, sf_dir))
 
 
+def lm_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    held_out = F.pmod(F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit(""))), F.lit(7)) == 2
+    return language_model.lm_scores(_documents(spark, sf_dir), held_out)
+
+
+def license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.license_scan(_documents(spark, sf_dir))
+
+
 def exact_copies(spark: SparkSession, sf_dir: str) -> DataFrame:
     digest = {"text_sha256": F.sha2(filled("text"), 256)}
     return exact_dedup.exact_copies(_documents(spark, sf_dir), carry=digest)
@@ -46,6 +55,19 @@ def mixed(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mixed(_documents(spark, sf_dir))
 
 
+def toxic(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = _documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet")
+    held_out = F.pmod(F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit(""))), F.lit(3)) == 1
+    lexicon = toxicity.learn(docs, labels.select("doc_id", "toxic"), ~held_out)
+    scores = toxicity.scored(docs.select("doc_id", "text"), lexicon)
+    return scores.select("doc_id", held_out.alias("held_out"), "score", (F.col("score") >= 0.7).cast("int").alias("predicted"))
+
+
+def main_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = spark.read.parquet(f"{sf_dir}/pages.parquet")
+    return html_text.extracted(pages, html_text.learn(pages))
+
+
 def near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = simhash.near_duplicates(_documents(spark, sf_dir))
     fingerprint = F.lower(F.lpad(F.hex("fp"), 16, "0"))
@@ -54,14 +76,19 @@ def near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_token_counts": token_counts,
+    "op2_lm_scores": lm_scores,
+    "op3_license_scan": license_scan,
     "op4_exact_dedup": exact_copies,
     "op5_sentencepiece": encoded,
     "op6_quality_rules": quality_rules,
     "op7_mixing": mixed,
+    "op8_toxicity": toxic,
+    "op9_html_text": main_texts,
     "op10_simhash": near_duplicates,
 }
 
 ORACLE_SQL: dict[str, str] = {
+    "op3_license_scan": LICENSE_SQL,
     "op4_exact_dedup": DEDUP_SQL,
     "op6_quality_rules": QUALITY_SQL,
     "op7_mixing": MIXING_SQL,

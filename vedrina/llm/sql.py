@@ -1,5 +1,7 @@
 """The check queries' results in SQL (DuckDB)."""
 
+from vedrina.llm.known_licenses import KNOWN, SPELLINGS
+
 _WORD = r"'[^\x20\x09-\x0D]+'"
 
 DEDUP_SQL = """
@@ -96,3 +98,38 @@ SELECT doc_id, size, source_size, target,
        CAST(coalesce(times * size + least(size, greatest(once_more - (so_far - size), 0)), 0) AS BIGINT) AS taken
 FROM laid LEFT JOIN passes USING (ordinal, shard)
 """
+
+
+def _quoted(text: str) -> str:
+    return "'" + text.replace("'", "''") + "'"
+
+
+def _canonical(text: str) -> str:
+    copyright_line = r"'(^|\n)[^\p{L}\p{N}©\n]*(?:copyright|\(c\)|©|all rights reserved)[^\n]*'"
+    plain = f"regexp_replace(lower({text}), {copyright_line}, ' ', 'g')"
+    plain = f"' ' || regexp_replace({plain}, '[^\\p{{L}}\\p{{N}}]+', '  ', 'g') || ' '"
+    for spelling, same_as in SPELLINGS:
+        plain = f"replace({plain}, {_quoted(' ' + spelling.replace(' ', '  ') + ' ')}, {_quoted(' ' + same_as + ' ')})"
+    return f"trim(regexp_replace({plain}, ' +', ' ', 'g'))"
+
+
+LICENSE_SQL = f"""
+WITH known AS (
+    SELECT sha256({_canonical("t")}) AS digest, min(name) AS license
+    FROM (VALUES {", ".join(f"({_quoted(name)}, {_quoted(text)})" for name, texts in KNOWN.items() for text in texts)}) AS v(name, t)
+    GROUP BY 1
+), split AS (
+    SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS lines, coalesce(text, '') AS text FROM documents
+), units AS (
+    SELECT doc_id, -1 AS line, text AS unit FROM split
+    UNION ALL
+    SELECT doc_id, i, lines[i + 1] FROM split, unnest(range(0, len(lines))) AS t(i)
+), digests AS (
+    SELECT doc_id, line, sha256({_canonical("unit")}) AS digest FROM units
+)
+SELECT doc_id, count(*) FILTER (line >= 0) AS n_lines, count(license) FILTER (line >= 0) AS n_matching_lines,
+       coalesce(string_agg(DISTINCT license, ',' ORDER BY license), '') AS licenses,
+       bool_or(line = -1 AND license IS NOT NULL) AS is_license
+FROM digests LEFT JOIN known USING (digest)
+GROUP BY doc_id
+"""
