@@ -19,10 +19,12 @@ taken. An empty table gives an empty result. Reruns give the same rows, as only
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from vedrina.llm.text import words
+from vedrina.llm.text import WORD, filled, words
 from vedrina.shared import new_path, written
 
 WEIGHTS = (3, 1, 2)
@@ -31,6 +33,8 @@ BLOCK_WORDS = 16
 SHARD_WORDS = 1 << 16
 # At most so many shards a source, so that dealing out its blocks stays a small job; they grow instead.
 MOST_SHARDS = 4096
+# The table of shards (some 50 bytes a row) is broadcast up to this many rows, and joined by a shuffle beyond.
+BROADCAST_SHARDS = 200_000
 
 
 def source_targets(sizes: DataFrame, weights: tuple[int, ...], share: float, most: int) -> DataFrame:
@@ -86,24 +90,35 @@ def dealt(rows: DataFrame, group: list[str], weight: str, blocks: str, order: st
     return rows.join(won, [*group, order])
 
 
-def mixed(
-    docs: DataFrame,
-    id: str = "doc_id",
-    text: str = "text",
-    source: str = "source",
-    weights: tuple[int, ...] = WEIGHTS,
-    share: float = SHARE,
-    most: int = MOST,
-    seed: int = 0,
-    block_words: int = BLOCK_WORDS,
-    shard_words: int = SHARD_WORDS,
-) -> DataFrame:
-    """One row per document: its id, ``size``, ``source_size``, ``target`` (of its source), ``taken``."""
+def _hash(id: str, seed: int) -> Column:
+    """A hash of the id that splits into shards by its first digits and orders by the others."""
+    return F.md5(F.concat(F.lit(f"{seed}|"), F.coalesce(F.col(id).cast("string"), F.lit(""))))
+
+
+def _shard(n_shards: Column) -> Column:
+    return F.pmod(F.conv(F.substring("_hash", 1, 8), 16, 10).cast("bigint"), n_shards)
+
+
+def _order() -> Column:
+    return F.substring("_hash", 9, 24)
+
+
+@dataclass(frozen=True)
+class Mix:
+    """``quotas``: by ``source``, what the source gets; ``laid``: by document, with ``_times`` that all of its shard
+    is taken, and the words of it that are taken once more (``_again``). Both as written tables."""
+
+    quotas: DataFrame
+    laid: DataFrame
+
+
+def _mix(
+    docs: DataFrame, id: str, text: str, source: str, weights: tuple[int, ...], share: float, most: int, seed: int,
+    block_words: int, shard_words: int,
+) -> Mix:
     spark = docs.sparkSession
-    # The hash splits into shards by its first digits and orders by the others.
-    hashed = F.md5(F.concat(F.lit(f"{seed}|"), F.coalesce(F.col(id).cast("string"), F.lit(""))))
     sized = docs.select(
-        F.col(id).alias("_id"), F.col(source).alias("_source"), F.size(words(text)).cast("bigint").alias("size"), hashed.alias("_hash")
+        F.col(id).alias("_id"), F.col(source).alias("_source"), F.size(words(text)).cast("bigint").alias("size"), _hash(id, seed).alias("_hash")
     )
     sized = written(sized, new_path(spark, "mix-sizes"))
     sizes = sized.groupBy(F.col("_source").alias("source")).agg(F.sum("size").alias("source_size"))
@@ -117,10 +132,8 @@ def mixed(
     )
     quotas = written(quotas, new_path(spark, "mix-quotas"))
 
-    first_digits = F.conv(F.substring("_hash", 1, 8), 16, 10).cast("bigint")
     placed = sized.join(quotas, F.col("_source").eqNullSafe(F.col("source"))).select(
-        F.col("_id").alias(id), "size", "source_size", "target", "ordinal", "source_blocks",
-        F.pmod(first_digits, F.col("n_shards")).alias("shard"), F.substring("_hash", 9, 24).alias("_order"),
+        "_id", "size", "source_size", "target", "ordinal", "source_blocks", _shard(F.col("n_shards")).alias("shard"), _order().alias("_order")
     )
     shards = placed.groupBy("ordinal", "shard").agg(F.sum("size").alias("shard_size"), F.first("source_blocks").alias("source_blocks"))
     shards = dealt(shards.filter("shard_size > 0"), ["ordinal"], "shard_size", "source_blocks", "shard", "quota")
@@ -133,20 +146,60 @@ def mixed(
     )
     shards = written(shards, new_path(spark, "mix-shards"))
 
-    so_far = Window.partitionBy("ordinal", "shard").orderBy("_order", id).rowsBetween(Window.unboundedPreceding, 0)
+    so_far = Window.partitionBy("ordinal", "shard").orderBy("_order", "_id").rowsBetween(Window.unboundedPreceding, 0)
     laid = placed.withColumn("_end", F.sum("size").over(so_far)).join(shards, ["ordinal", "shard"], "left")
     again = F.least(F.col("size"), F.greatest(F.col("_once_more") - (F.col("_end") - F.col("size")), F.lit(0)))
-    taken = F.coalesce(F.col("_times") * F.col("size") + again, F.lit(0)).cast("bigint")
-    return laid.select(id, "size", "source_size", "target", taken.alias("taken"))
-
-
-def mixture(docs: DataFrame, id: str = "doc_id", **settings) -> DataFrame:
-    """The rows of the mix with all their columns: a document as often as the mix takes its words, to the
-    nearest whole number. Documents are not cut: a shard's one partly taken document goes in or not."""
-    times = F.floor(F.col("taken") / F.col("size") + 0.5).cast("int")
-    # Rows that repeat an id are counted together, so that each gets its part of what they take.
-    wanted = mixed(docs, id, **settings).filter("taken > 0").select(id, times.alias("_times"))
-    wanted = wanted.groupBy(id).agg((F.sum("_times") / F.count("*")).cast("int").alias("_times")).filter("_times > 0")
-    wanted = written(wanted, new_path(docs.sparkSession, "mix-wanted"))
-    chosen = docs.join(wanted, id)
-    return chosen.select(*docs.columns, F.explode(F.sequence(F.lit(1), "_times")).alias("_copy")).drop("_copy")
+    return Mix(quotas, laid.withColumn("_again", again))
+
+
+def mixed(
+    docs: DataFrame,
+    id: str = "doc_id",
+    text: str = "text",
+    source: str = "source",
+    weights: tuple[int, ...] = WEIGHTS,
+    share: float = SHARE,
+    most: int = MOST,
+    seed: int = 0,
+    block_words: int = BLOCK_WORDS,
+    shard_words: int = SHARD_WORDS,
+) -> DataFrame:
+    """One row per document: its id, ``size``, ``source_size``, ``target`` (of its source), ``taken``."""
+    mix = _mix(docs, id, text, source, weights, share, most, seed, block_words, shard_words)
+    taken = F.coalesce(F.col("_times") * F.col("size") + F.col("_again"), F.lit(0)).cast("bigint")
+    return mix.laid.select(F.col("_id").alias(id), "size", "source_size", "target", taken.alias("taken"))
+
+
+def mixture(
+    docs: DataFrame,
+    id: str = "doc_id",
+    text: str = "text",
+    source: str = "source",
+    weights: tuple[int, ...] = WEIGHTS,
+    share: float = SHARE,
+    most: int = MOST,
+    seed: int = 0,
+    block_words: int = BLOCK_WORDS,
+    shard_words: int = SHARD_WORDS,
+) -> DataFrame:
+    """The rows of the mix with all their columns: a document as often as the mix takes its words, to the nearest
+    whole number. Documents are not cut: a shard's one partly taken document goes in or not.
+
+    The documents that a shard takes once more are the first ones in its order, so one place in that order per shard tells
+    them, and the texts are not shuffled.
+    """
+    spark = docs.sparkSession
+    mix = _mix(docs, id, text, source, weights, share, most, seed, block_words, shard_words)
+    once_more = F.when((F.col("size") > 0) & (F.col("_again") * 2 >= F.col("size")), F.col("_order"))
+    cuts = mix.laid.groupBy(F.col("ordinal").alias("_ordinal"), F.col("shard").alias("_shard")).agg(
+        F.max("_times").cast("int").alias("_times"), F.max(once_more).alias("_cut")
+    )
+    cuts = written(cuts.filter("_times > 0 or _cut is not null"), new_path(spark, "mix-cuts"))
+    if cuts.count() <= BROADCAST_SHARDS:
+        cuts = F.broadcast(cuts)
+    sources = mix.quotas.select(F.col("source").alias("_source"), F.col("ordinal").alias("_ordinal_of"), "n_shards")
+    found = docs.filter(filled(text).rlike(WORD)).withColumn("_hash", _hash(id, seed))
+    found = found.join(sources.withColumnRenamed("n_shards", "_n_shards"), F.col(source).eqNullSafe(F.col("_source")))
+    found = found.join(cuts, (F.col("_ordinal_of") == F.col("_ordinal")) & (_shard(F.col("_n_shards")) == F.col("_shard")))
+    times = F.col("_times") + F.coalesce((_order() <= F.col("_cut")).cast("int"), F.lit(0))
+    return found.filter(times > 0).select(*docs.columns, F.explode(F.sequence(F.lit(1), times)).alias("_copy")).drop("_copy")
