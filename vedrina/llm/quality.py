@@ -28,10 +28,10 @@ SAMPLE_ROWS = 2_000
 
 @dataclass(frozen=True)
 class Rule:
-    """``broken`` tells from the text whether the document is to be rejected."""
+    """``broken`` tells from the text and the list of its words whether the document is to be rejected."""
 
     name: str
-    broken: Callable[[Column], Column]
+    broken: Callable[[Column, Column], Column]
 
 
 # --- measures of a text -------------------------------------------------------------------------
@@ -113,27 +113,29 @@ def with_measures(docs: DataFrame, text: str = "text") -> DataFrame:
 # --- rules --------------------------------------------------------------------------------------
 
 
-def _few_words(text: Column) -> Column:
-    return F.size(words(text)) < 50
+def _few_words(text: Column, word_list: Column) -> Column:
+    return F.size(word_list) < 50
 
 
-def _repeats(text: Column) -> Column:
-    return bound(words(text), lambda w: bound(windows(w), n_repeat_words) * 100 > F.size(w) * 50)
+def _repeats(text: Column, word_list: Column) -> Column:
+    return bound(windows(word_list), n_repeat_words) * 100 > F.size(word_list) * 50
 
 
-def _symbols(text: Column) -> Column:
-    return n_symbols(text) * 10 > F.size(words(text)) * 3
+def _symbols(text: Column, word_list: Column) -> Column:
+    return n_symbols(text) * 10 > F.size(word_list) * 3
 
 
-def _duplicate_lines(text: Column) -> Column:
-    return bound(lines_with_words(text), lambda l: (F.size(l) - F.size(F.array_distinct(l))) * 10 > F.size(l) * 6)
+def _duplicate_lines(text: Column, word_list: Column) -> Column:
+    lines = lines_with_words(text)
+    return bound(lines, lambda l: (F.size(l) - F.size(F.array_distinct(l))) * 10 > F.size(l) * 6)
 
 
-def _word_length(text: Column) -> Column:
-    return bound(words(text), lambda w: bound(word_chars(w), lambda n: (n < F.size(w) * 2) | (n > F.size(w) * 20)))
+def _word_length(text: Column, word_list: Column) -> Column:
+    least, most = F.size(word_list) * 2, F.size(word_list) * 20
+    return bound(word_chars(word_list), lambda n: (n < least) | (n > most))
 
 
-def _shouting(text: Column) -> Column:
+def _shouting(text: Column, word_list: Column) -> Column:
     capitals = F.length(F.regexp_replace(filled(text), r"\P{Lu}+", ""))
     letters = F.length(F.regexp_replace(filled(text), r"\P{L}+", ""))
     return capitals * 2 > letters
@@ -168,7 +170,7 @@ def estimate(docs: DataFrame, rules: list[Rule], text: str = "text", rows: int =
     """Each rule's cost and selectivity on a sample of about ``rows`` documents, best first."""
     total = docs.count()
     share = min(1.0, rows / total) if total else 1.0
-    sample = docs.select(filled(text).alias("text")).sample(share, seed=7)
+    sample = docs.select(filled(text).alias("text")).sample(share, seed=7).withColumn("words", words("text"))
     sample = written(sample, new_path(docs.sparkSession, "quality-sample"))
 
     def timed(column: Column) -> tuple[float, float]:
@@ -180,17 +182,22 @@ def estimate(docs: DataFrame, rules: list[Rule], text: str = "text", rows: int =
     reading = min(timed(F.lit(True))[0] for _ in range(2))
     found = []
     for rule in rules:
-        runs = [timed(rule.broken(F.col("text"))) for _ in range(2)]
+        runs = [timed(rule.broken(F.col("text"), F.col("words"))) for _ in range(2)]
         found.append(Estimate(rule, min(seconds for seconds, _ in runs) - reading, runs[0][1]))
     return sorted(found, key=lambda e: -e.worth)
 
 
 def first_broken(rules: list[Rule], text: str = "text") -> Column:
-    """The name of the first rule in the given order that the text breaks, else null. Later ones are not tried."""
-    first = F.lit(None).cast("string")
-    for rule in reversed(rules):
-        first = F.when(rule.broken(F.col(text)), F.lit(rule.name)).otherwise(first)
-    return first
+    """The name of the first rule in the given order that the text breaks, else null. Later ones are not tried. The words
+    are listed once for all rules."""
+
+    def tried(word_list: Column) -> Column:
+        first = F.lit(None).cast("string")
+        for rule in reversed(rules):
+            first = F.when(rule.broken(F.col(text), word_list), F.lit(rule.name)).otherwise(first)
+        return first
+
+    return bound(words(text), tried)
 
 
 def quality_cascade(docs: DataFrame, rules: list[Rule] = RULES, text: str = "text") -> DataFrame:
