@@ -1,8 +1,8 @@
 """Time the registered queries and print one JSON line.
 
 Every query runs once to warm up and then BENCH_RUNS times; the median counts. Rows are computed in
-full and thrown away. The stored_* entries run the daily report on an observation table written once
-beforehand: in one pass, in two passes, and as plain joins of aggregates.
+full and thrown away. The stored_* entries run on an observation table written once beforehand: the daily
+report in one pass and in two passes, and the aggregates joined back to all rows.
 """
 
 from __future__ import annotations
@@ -10,21 +10,24 @@ from __future__ import annotations
 import json
 import os
 import statistics
+import tempfile
 import time
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tests import joined_aggregates
-from vedrina.operators.extremes import daily_extremes
+from vedrina.operators.extremes import agg_join_back, daily_extremes
 from vedrina.plans.checks import QUERIES
 from vedrina.plans.observations import observations
+from vedrina.schemas import EXTREMES_KEYS
 from vedrina.shared import new_path
 
 SF_DIR = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
 CPUS = os.environ.get("BENCH_CPUS", "8")
 RUNS = int(os.environ.get("BENCH_RUNS", "3"))
 ONLY = os.environ.get("BENCH_ONLY", "").split()
+# A local run; on a cluster this is a folder that all executors share.
+FOLDER = os.environ.get("BENCH_FOLDER") or tempfile.mkdtemp(prefix="vedrina-bench-")
 
 
 def session() -> SparkSession:
@@ -36,6 +39,8 @@ def session() -> SparkSession:
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.driver.memory", "12g")
+        .config("spark.checkpoint.dir", FOLDER)
+        .config("spark.sql.warehouse.dir", f"{FOLDER}/warehouse")
     )
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("OFF")
@@ -65,7 +70,7 @@ def main() -> None:
     queries |= {
         "stored_extremes": lambda: daily_extremes(stored, None),
         "stored_extremes_two_pass": lambda: daily_extremes(stored, None, values_path=new_path(spark, "values")),
-        "stored_joined_aggregates": lambda: joined_aggregates.report(stored),
+        "stored_agg_join_back": lambda: agg_join_back(stored, EXTREMES_KEYS, "temperatura", new_path(spark, "values")),
     }
     seconds = {name: timed(query) for name, query in queries.items() if not ONLY or name in ONLY}
     result = {

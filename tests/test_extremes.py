@@ -4,7 +4,6 @@ import math
 import pytest
 from pyspark.sql import functions as F
 
-from tests import joined_aggregates
 from tests.conftest import SF_DIR
 from vedrina.operators import extremes as ex
 from vedrina.operators.dictionary import translate_with
@@ -106,18 +105,42 @@ def comparable(rows):
     return sorted(tuple(repr(value) for value in row) for row in rows)
 
 
+def by_hand(rows):
+    """The report worked out row by row: NaN above all numbers, ties to the first by name, time, condition."""
+    groups = {}
+    for row in rows:
+        if None not in (row.datum, row.drzava, row.temperatura):
+            groups.setdefault((row.datum, row.drzava), []).append(row)
+    found = []
+    for key, members in groups.items():
+        ranked = [((math.isnan(r.temperatura), 0 if math.isnan(r.temperatura) else r.temperatura), r) for r in members]
+        picked = []
+        for extreme in (max(rank for rank, _ in ranked), min(rank for rank, _ in ranked)):
+            tied = [r for rank, r in ranked if rank == extreme]
+            first = min(tied, key=lambda r: (r.grad, r.lokalno_vreme, r.stanje))
+            picked += [first.grad, first.temperatura, first.stanje]
+        found.append((*key, *picked))
+    return found
+
+
 @both_forms
-def test_same_values_as_joined_aggregates_and_city_among_the_tied(spark, path, form):
-    df = rough(spark).cache()
-    ours = report(df, path, form)
-    theirs = joined_aggregates.report(df)
-    values = ["datum", "drzava", "max_temperatura", "min_temperatura"]
-    assert comparable(ours.select(*values).collect()) == comparable(theirs.select(*values).collect())
-    for aggregate, city in ((F.max, "najtopliji_grad"), (F.min, "najhladniji_grad")):
-        tied = joined_aggregates.tied_rows(df, aggregate).groupBy(*ex.EXTREMES_KEYS).agg(F.min("grad").alias(city))
-        columns = [*ex.EXTREMES_KEYS, city]
-        assert comparable(ours.select(*columns).collect()) == comparable(tied.select(*columns).collect())
-    df.unpersist()
+def test_same_report_as_by_hand(spark, path, form):
+    df = rough(spark)
+    assert comparable(report(df, path, form).collect()) == comparable(by_hand(df.collect()))
+
+
+def test_columns_called_like_those_inside_the_plans(spark, path):
+    df = rough(spark)
+    clashing = df.withColumns({name: F.lit(7) for name in ("max_value", "min_value", "is_highest", "is_lowest")})
+    for values_path in (None, path("values")):
+        assert comparable(ex.daily_extremes(clashing, None, values_path=values_path).collect()) == comparable(
+            ex.daily_extremes(df, None).collect()
+        )
+    ties = ex.extreme_ties(clashing, ["datum", "drzava"], "temperatura", path("ties"))
+    assert ties.columns == [*df.columns, "max_value", "min_value", "is_highest", "is_lowest"]
+    assert ties.filter("is_highest").count() > 0
+    joined = ex.agg_join_back(clashing, ["datum", "drzava"], "temperatura", path("joined"))
+    assert joined.columns.count("max_value") == 1 and joined.filter("max_value > 7").count() > 0
 
 
 def test_forms_agree_and_partitioning_does_not_matter(spark, path):

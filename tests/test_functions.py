@@ -4,10 +4,11 @@ import pytest
 from pyspark.sql import functions as F
 
 from vedrina.functions import text, times
-from vedrina.functions.json_fields import json_path
+from vedrina.functions.json_fields import json_path, typed
+from vedrina.functions.numbers import whole_from_text
 from vedrina.operators.cities import consolidate_cities, enrich_cities
-from vedrina.operators.dictionary import translate_with
-from vedrina.operators.rows import extract_columns, set_columns, split_json, split_lines
+from vedrina.operators.dictionary import check_dictionary, translate_with
+from vedrina.operators.rows import extract_columns, set_columns, split_json, split_json_rejected, split_lines
 from vedrina.schemas import CONDITION_WORDS, COUNTRY_WORDS, REPORT_COUNTRIES
 
 
@@ -37,6 +38,14 @@ def any_zone(spark, request):
         ("2024-03-26T10:46:40.5+02:00", dt.datetime(2024, 3, 26, 8, 46, 40, 500000)),
         ("2024-10-27 01:30:00+00:00", dt.datetime(2024, 10, 27, 1, 30)),
         ("2024-03-26", dt.datetime(2024, 3, 26)), ("25:00:00Z", None),
+        ("2025-03-26T14:05:00+02", dt.datetime(2025, 3, 26, 12, 5)), ("2025-03-26T14:05:00+2:00", dt.datetime(2025, 3, 26, 12, 5)),
+        ("2025-03-26 14:05:00 UTC", dt.datetime(2025, 3, 26, 14, 5)), ("2025-03-26T14:05:00+0200", dt.datetime(2025, 3, 26, 12, 5)),
+        ("2025-03-26 14:05:00 Europe/Belgrade", dt.datetime(2025, 3, 26, 13, 5)),
+        ("2025-03-26 14:05 Europe/Belgrade", dt.datetime(2025, 3, 26, 13, 5)),
+        ("2025-03-26T14:05+02:00", dt.datetime(2025, 3, 26, 12, 5)), ("2025-03-26T14:05:00z", dt.datetime(2025, 3, 26, 14, 5)),
+        ("2025-03-26T14:05:00-0530", dt.datetime(2025, 3, 26, 19, 35)),
+        ("2025-03-26 14:05:00 Nowhere/Land", None), ("2025-03-26 14:05:00 later", None), ("2025-03-26Z", None),
+        ("2025-03-26 14:05:00+99:00", None), ("2025-13-26 14:05:00", None),
         ("9999999999999999", None), ("99999999999999999999999", None), ("junk", None), ("", None), (None, None),
     ],
 )
@@ -81,8 +90,9 @@ def test_dictionary_table(spark):
     found = translate_with(df, "v", words)
     assert found.columns == ["id", "v"]
     assert sorted(map(tuple, found.collect())) == [(1, "A"), (2, "b"), (3, "c"), (4, None)]
+    check_dictionary(words)
     with pytest.raises(ValueError, match="'a'"):
-        translate_with(df, "v", words.union(words))
+        check_dictionary(words.union(words))
 
 
 @pytest.mark.parametrize(
@@ -134,10 +144,39 @@ def test_lines_keep_empty_ones(spark):
 
 
 def test_json_array(spark):
-    df = spark.createDataFrame([(1, '[{"a":1},{"a":2,"b":"x"}]'), (2, "[]"), (3, "junk"), (4, None)], "id int, body string")
-    assert [tuple(row) for row in split_json(df, "body", "struct<a:int,b:string>").collect() if row.a] == [
-        (1, 0, 1, None), (1, 1, 2, "x"),
+    texts = ['[{"a":1},{"a":2,"b":"x"}]', "[]", "junk", None, '[{"a":3},{"a"', '{"a":4}', '[{"a":"many","b":"y"},5,null,{"c":6}]', "", "null"]
+    df = spark.createDataFrame(list(enumerate(texts, 1)), "id int, body string")
+    fields = [("a", "a", "int"), ("b", "b", "string")]
+    assert sorted(map(tuple, split_json(df, "body", fields).collect())) == [(1, 0, 1, None), (1, 1, 2, "x"), (7, 0, None, "y")]
+    aside = sorted((row.id, -1 if row.element_no is None else row.element_no, row.problems, row.raw) for row in split_json_rejected(df, "body", fields).collect())
+    assert [row[:3] for row in aside] == [
+        (3, -1, ["message"]), (5, -1, ["message"]), (6, -1, ["message"]),
+        (7, 0, ["a"]), (7, 1, ["message"]), (7, 2, ["message"]), (7, 3, ["message"]), (8, -1, ["message"]), (9, -1, ["message"]),
     ]
+    assert aside[0][3] == "junk" and aside[2][3] == '{"a":4}' and aside[4][3] == "5"
+
+
+@pytest.mark.parametrize(
+    "written, whole",
+    [
+        ("65", 65), ("65.0", 65), ("6.5e1", 65), (" -7 ", -7), ("+8", 8), ("1e3", 1000), ("65.5", None), ("1f", None), ("1d", None),
+        ("0x1p3", None), ("1L", None), ("", None), ("NaN", None), ("Infinity", None), ("junk", None), (None, None),
+    ],
+)
+def test_whole_numbers_read_alike(spark, written, whole):
+    for kind in ("int", "bigint"):
+        assert value(spark, whole_from_text(F.col("v").cast("string"), kind), v=written) == whole
+
+
+def test_range_of_whole_numbers(spark):
+    for kind, bits in (("int", 31), ("bigint", 63)):
+        for number, fits in ((2**bits - 1, True), (-(2**bits), True), (2**bits, False), (-(2**bits) - 1, False)):
+            assert value(spark, whole_from_text(F.col("v"), kind), v=f"{number}.0") == (number if fits else None)
+
+
+@pytest.mark.parametrize("written, real", [("1.5", 1.5), ('"1.5"', 1.5), ("1e2", 100.0), ("1.5d", None), ("0x1p3", None), ("warm", None)])
+def test_written_reals(spark, written, real):
+    assert value(spark, typed(F.col("v"), "double"), v=written) == real
 
 
 def test_json_path(spark):

@@ -126,9 +126,11 @@ def test_field_names_are_case_sensitive(spark):
     assert row.grad is None and row.readable
 
 
-def test_flat_parser_finds_nothing_in_nested_messages(spark):
-    row = parsed_flat(spark, json.dumps(NESTED))
-    assert row.readable and row.grad is None and row.datum is None
+@pytest.mark.parametrize("text", [json.dumps(NESTED), "{}", '{"other": 1}', '{"grad": null}'])
+def test_messages_of_another_shape_are_set_aside(spark, text):
+    row = parsed_flat(spark, text)
+    assert (row.readable, row.problems, row.raw) == (False, ["message"], text)
+    assert accepted(parse_flat(messages(spark, text))).count() == 0
 
 
 def test_rows_without_key(spark):

@@ -6,9 +6,9 @@ import pytest
 from pyspark.sql import functions as F
 
 from vedrina.operators.conform import conform
-from vedrina.plans.jobs import wide_job
+from vedrina.plans.jobs import read_wide, wide_job
 from vedrina.schemas import WIDE_TABLE
-from vedrina.sinks import append, jdbc
+from vedrina.sinks import append, jdbc, merge
 from vedrina.sinks.ddl import insert_rows, replace_table, with_row_id
 from vedrina.sinks.landing import rebalanced, write_partitioned
 
@@ -63,27 +63,67 @@ def test_replace_table_empties_it_and_has_the_declared_columns(spark, path):
     spark.sql("DROP TABLE wide_test")
 
 
+def wide_messages(spark, *texts):
+    lines = [text if isinstance(text, str) else json.dumps(text) for text in texts]
+    return spark.createDataFrame([(line,) for line in lines], "value string")
+
+
 def test_wide_job(spark, path):
-    replace_table(spark, "wide_job_test", WIDE_TABLE, path("wide"))
     texts = [
         {"city": "Nis", "last_updated": "2025-03-26 9:05", "last_updated_epoch": 1742976300, "temp_c": 10.55, "pressure_mb": 1013.25},
         {"city": "Bor", "last_updated_epoch": 1742976300, "temp_c": 1013.25, "humidity": "65.0"},
     ]
-    messages = spark.createDataFrame([(json.dumps(text),) for text in texts] + [("junk",)], "value string")
-    wide_job(messages, "wide_job_test", path("misfits"))
-    nis, bor = spark.table("wide_job_test").orderBy("city", ascending=False).collect()
+    keyless = {"city": "Rim", "temp_c": 1}
+    assert wide_job(wide_messages(spark, *texts, keyless, "junk"), path("wide"), path("aside"), path("state"))
+    table = read_wide(spark, path("wide"))
+    assert table.columns == [name for name, _ in WIDE_TABLE]
+    nis, bor = table.orderBy("city", ascending=False).collect()
     assert (nis.temp_c, nis.pressure_mb, nis.last_updated) == (Decimal("10.55"), Decimal("1013.25"), dt.datetime(2025, 3, 26, 9, 5))
     assert (bor.temp_c, bor.humidity) == (None, 65) and bor.id != nis.id
-    misfit, unreadable = spark.read.parquet(path("misfits")).orderBy("readable", ascending=False).collect()
+    misfit, unreadable, without_key = sorted(spark.read.parquet(path("aside")).collect(), key=lambda row: str(row.city))
     assert (misfit.city, misfit.misfits) == ("Bor", ["temp_c"])
     assert (unreadable.readable, unreadable.raw) == (False, "junk")
-    spark.sql("DROP TABLE wide_job_test")
+    assert (without_key.city, without_key.readable, without_key.misfits) == ("Rim", True, [])
+
+
+def test_wide_job_again(spark, path):
+    """A repeated run changes nothing; another run keeps what was set aside and stores each key once."""
+    def row(city, degrees):
+        return {"city": city, "last_updated_epoch": 1742976300, "temp_c": degrees}
+
+    def run(run_id, *texts):
+        return wide_job(wide_messages(spark, *texts), path("wide"), path("aside"), path("state"), run_id)
+
+    first = (row("Nis", 1), row("Nis", 2), row("Bor", 3), "junk", "more junk")
+    assert run(0, *first) and not run(0, *first)
+    assert run(1, row("Nis", 9), row("Rim", 4), "other junk")
+    rows = read_wide(spark, path("wide")).collect()
+    assert sorted((r.city, float(r.temp_c)) for r in rows) == [("Bor", 3.0), ("Nis", 9.0), ("Rim", 4.0)]
+    assert len({r.id for r in rows}) == 3
+    aside = spark.read.parquet(path("aside")).collect()
+    assert sorted(r.raw for r in aside) == ["junk", "more junk", "other junk"]
+
+
+def test_wide_job_lost_between_staging_and_publishing(spark, path, monkeypatch):
+    def lost(*args):
+        raise RuntimeError("driver lost")
+
+    messages = wide_messages(spark, {"city": "Nis", "last_updated_epoch": 1}, "junk")
+    with monkeypatch.context() as patched:
+        patched.setattr(merge, "_publish", lost)
+        with pytest.raises(RuntimeError):
+            wide_job(messages, path("wide"), path("aside"), path("state"), 0)
+    assert not wide_job(messages, path("wide"), path("aside"), path("state"), 0)
+    assert read_wide(spark, path("wide")).count() == 1
+    assert [r.raw for r in spark.read.parquet(path("aside")).collect()] == ["junk"]
 
 
 def test_row_id_depends_on_the_natural_key_only(spark):
     df = spark.createDataFrame([("Nis", 1, 2.0), ("Nis", 1, 3.0), ("Bor", 1, 2.0)], "city string, last_updated_epoch bigint, t double")
     ids = [row.id for row in with_row_id(df).collect()]
-    assert ids[0] == ids[1] != ids[2]
+    assert ids[0] == ids[1] != ids[2] and len(ids[0]) == 64
+    keyless = spark.createDataFrame([(None, 1), ("Nis", None)], "city string, last_updated_epoch bigint")
+    assert [row.id for row in with_row_id(keyless).collect()] == [None, None]
 
 
 def test_upsert_statement():
@@ -126,7 +166,7 @@ def test_database_append_numbers_the_batch_and_removes_its_earlier_rows(spark, m
     assert statements == ["DELETE FROM daily_weather WHERE stream_id = 's1' AND batch_id = 7"]
     assert written.calls == [
         (
-            "jdbc:x", "daily_weather", "append", {"batchsize": "10000", "user": "u", "numPartitions": "4"},
+            "jdbc:x", "daily_weather", "append", {"batchsize": "10000", "user": "u"},
             ["grad", "t", "stream_id", "batch_id"], [("Nis", 1.0, "s1", 7)],
         )
     ]
@@ -149,10 +189,17 @@ def test_plain_database_write(spark, monkeypatch):
     written = Written(monkeypatch)
     jdbc.write_table(spark.createDataFrame([(1,)], "a int"), "jdbc:x", "t", "overwrite", {"user": "u"})
     assert written.calls == [
-        ("jdbc:x", "t", "overwrite", {"batchsize": "10000", "user": "u", "numPartitions": "16"}, ["a"], [(1,)])
+        ("jdbc:x", "t", "overwrite", {"batchsize": "10000", "user": "u"}, ["a"], [(1,)])
     ]
 
 
+def test_connections_bound_the_writers_and_not_the_work_before(spark):
+    rows = spark.range(0, 1000, 1, 12).selectExpr("id", "spark_partition_id() AS made_in")
+    parts = jdbc.for_connections(rows, 3)
+    assert parts.rdd.getNumPartitions() == 3
+    assert parts.select("made_in").distinct().count() == 12
+
+
 def test_a_hot_date_is_written_by_several_tasks_and_others_by_one(spark, tmp_path):
     name = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
     before = spark.conf.get(name, None)

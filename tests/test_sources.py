@@ -2,7 +2,7 @@ import json
 
 import pytest
 
-from vedrina.operators.cities import city_lines
+from vedrina.operators.cities import city_lines, other_lines
 from vedrina.plans.checks import EVENT_SPEC
 from vedrina.shared import shared_folder
 from vedrina.sources import jdbc, message_log
@@ -92,16 +92,22 @@ def test_lines_of_files(spark, tmp_path):
     assert sorted(map(tuple, city_lines(lines).collect())) == [
         ("Bor", "Serbia East"), ("Niš", "Serbia"), ("Zagreb", "Croatia"),
     ]
+    assert [tuple(row) for row in other_lines(lines).collect()] == [("no country", "b.txt")]
+
+
+def test_lines_end_at_line_feeds_only(spark, tmp_path):
+    (tmp_path / "a.txt").write_bytes("a\rb\n\nc".encode())
+    assert [row.value for row in read_lines(spark, str(tmp_path)).collect()] == ["a\rb", "", "c"]
 
 
 def test_specification():
     spec = IngestionSpec.read(EVENT_SPEC)
     assert spec == IngestionSpec.read(json.dumps(EVENT_SPEC))
-    assert (spec.table, spec.time_column, spec.dimensions) == ("event_data", "timestamp", ["city", "temperature", "humidity"])
-    assert spec.max_rows_per_file == 50000
+    assert (spec.table, spec.time_column, spec.dimensions) == ("event_data", "made_at", ["station", "degrees", "kind"])
+    assert spec.max_rows_per_file == 30000
     assert spec.log_options() == {
         "kafka.bootstrap.servers": "log:9092", "subscribe": "events", "kafka.group.id": "events",
-        "maxOffsetsPerTrigger": "1000000",
+        "maxOffsetsPerTrigger": "700000",
     }
 
 
@@ -122,8 +128,8 @@ def test_specification_with_unknown_time_format_or_column():
     with pytest.raises(ValueError, match="ruby"):
         IngestionSpec.read(body)
     body = json.loads(json.dumps(EVENT_SPEC))
-    body["spec"]["parser"]["parseSpec"]["columns"].remove("city")
-    with pytest.raises(ValueError, match="city"):
+    body["spec"]["parser"]["parseSpec"]["columns"].remove("station")
+    with pytest.raises(ValueError, match="station"):
         IngestionSpec.read(body)
 
 

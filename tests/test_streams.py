@@ -6,14 +6,15 @@ from pyspark.sql import functions as F
 from tests.conftest import SF_DIR
 from vedrina.operators.parsing import parse_flat, parse_nested
 from vedrina.plans.checks import EVENT_SPEC
-from vedrina.plans.jobs import append_job, daily_extremes_job, upsert_job
+from vedrina.plans import jobs
+from vedrina.plans.jobs import append_job, daily_extremes_job, landing_job, read_report, upsert_job
 from vedrina.plans.observations import envelope, flat_text, nested_text, observations
 from vedrina.operators.extremes import daily_extremes
 from vedrina.operators.latest import latest_per_key
-from vedrina.schemas import CONDITION_WORDS, COUNTRY_WORDS, EXTREMES, OBSERVATION_KEYS, OBSERVATIONS
+from vedrina.schemas import CONDITION_WORDS, COUNTRY_WORDS, OBSERVATION_KEYS, OBSERVATIONS
 from vedrina.sinks.append import append_batch, read_appended
 from vedrina.sinks.landing import write_landing
-from vedrina.sources.files import read_landing, stream_landing
+from vedrina.sources.files import read_landing, read_landing_lines, stream_landing
 from vedrina.sources.ingestion_spec import IngestionSpec
 from vedrina.sources.message_log import ARRIVAL, ENVELOPE
 from vedrina.streaming.streams import (
@@ -202,7 +203,7 @@ def test_upsert_job_with_country_names_feeds_the_report(spark, path, log):
     log.add(raw_messages(spark, message("Nis", "Serbia", 9.0), message("Bor", "Serbia", 4.0), message("Rim", "Italy", 30.0)))
     upsert_job(log.stream(), path("t"), path("c"), path("q"), countries=COUNTRY_WORDS).awaitTermination()
     daily_extremes_job(read_landing(spark, path("t"), OBSERVATIONS, "parquet"), path("report"), path("state"))
-    [row] = read_landing(spark, path("report"), EXTREMES, "parquet").collect()
+    [row] = read_report(spark, path("report")).collect()
     assert (row.drzava, row.najtopliji_grad, row.najhladniji_grad) == ("Srbija", "Nis", "Bor")
     assert row.stanje_najtoplijeg == CONDITION_WORDS["Clear"]
 
@@ -212,10 +213,66 @@ def test_daily_extremes_job(spark, path, obs):
     for batch_id in (0, 1):
         assert daily_extremes_job(obs, report, state, None, batch_id)
         expected = rows_of(daily_extremes(obs, None))
-        assert rows_of(read_landing(spark, report, EXTREMES, "parquet")) == expected
+        assert rows_of(read_report(spark, report)) == expected
     assert not daily_extremes_job(obs, report, state, None, 1)
 
 
+def test_daily_job_of_some_dates(spark, path, obs, tmp_path):
+    """Only their rows are replaced; the others' are those of the first run, in a directory per month."""
+    dates = ("2024-01-10", "2024-01-12")
+    turned = obs.withColumn("temperatura", -F.col("temperatura"))
+    for two_passes in (True, False):
+        report, state = path(f"report-{two_passes}"), path(f"state-{two_passes}")
+        assert daily_extremes_job(obs, report, state, None, two_passes=two_passes)
+        assert daily_extremes_job(turned, report, state, None, dates=dates, two_passes=two_passes)
+        inside = F.col("datum").between(*dates)
+        expected = daily_extremes(obs, None).filter(~inside).unionByName(daily_extremes(turned, None).filter(inside))
+        assert rows_of(read_report(spark, report)) == rows_of(expected)
+        assert len(list((tmp_path / f"report-{two_passes}").glob("mesec=*"))) == 1
+
+
+def test_daily_job_prunes_the_dates_and_reads_one_copy(spark, path, obs, monkeypatch):
+    write_landing(obs.drop("event_id"), path("t"), file_format="parquet")
+    plans = []
+    real = jobs.written
+
+    def keep(df, to):
+        plans.append(df._jdf.queryExecution().executedPlan().toString())
+        return real(df, to)
+
+    monkeypatch.setattr(jobs, "written", keep)
+    rows = read_landing(spark, path("t"), OBSERVATIONS, "parquet")
+    daily_extremes_job(rows, path("report"), path("state"), None, dates=("2024-01-10", "2024-01-12"))
+    [plan] = plans
+    assert "PartitionFilters: [isnotnull(datum" in plan and "osecaj" not in plan
+
+
+def test_landing_job(spark, path, obs):
+    rows = obs.drop("event_id").filter("vlaznost < 20")
+    write_landing(rows, path("landing"))
+    bad = spark.createDataFrame([("not json",), ('{"grad":"Nis","vlaznost":"many"}',), ('{"stanje":"Sunny"}',)], "value string")
+    bad.coalesce(1).write.mode("append").text(path("landing") + "/datum=2024-01-05")
+    args = (spark, path("landing"), path("table"), path("aside"), path("state"))
+    assert landing_job(*args, 0, words={}) and not landing_job(*args, 0, words={})
+    stored = read_landing(spark, path("table"), OBSERVATIONS, "parquet")
+    expected = rows.groupBy("grad", "datum").agg(F.max("lokalno_vreme").alias("lokalno_vreme"))
+    found = rows_of(stored.filter("grad <> 'Nis'").select("grad", "datum", "lokalno_vreme"))
+    assert found == rows_of(expected)
+    assert stored.filter("grad = 'Nis'").first().vlaznost is None
+    aside = spark.read.parquet(path("aside")).collect()
+    assert sorted(row.problems for row in aside) == [["grad"], ["message"], ["vlaznost"]]
+
+
+def test_lines_that_are_no_records_are_reported(spark, path):
+    lines = ["not json", '{"grad":"Nis","temperatura":"1.5","lokalno_vreme":"2025-03-26 14:05"}', '{"grad":"Bor","vlaznost":"x"}']
+    spark.createDataFrame([(line,) for line in lines], "value string").coalesce(1).write.text(path("landing") + "/datum=2025-03-26")
+    first, second, third = read_landing_lines(spark, path("landing"), OBSERVATIONS).collect()
+    assert (first.readable, first.raw) == (False, "not json")
+    assert (second.temperatura, str(second.lokalno_vreme), second.problems) == (1.5, "2025-03-26 14:05:00", [])
+    assert (third.grad, third.vlaznost, third.problems) == ("Bor", None, ["vlaznost"])
+    assert read_landing(spark, path("landing"), OBSERVATIONS).count() == 2
+
+
 def test_landing_zone_as_stream(spark, path, obs):
     rows = obs.drop("event_id").filter("vlaznost < 20")
     write_landing(rows, path("landing"))
@@ -238,16 +295,16 @@ def test_landing_filter_on_the_date_skips_directories(spark, path, obs):
 
 
 def test_specified_ingestion(spark, path, log, tmp_path):
-    lines = [json.dumps({"timestamp": 1711450000123 + n, "city": f"c{n}", "temperature": n + 0.5, "x": 1}) for n in range(25)]
-    lines += ['{"timestamp":"2024-03-26T10:00:00","city":"t"}', '{"timestamp":"whenever","city":"u"}', "junk"]
+    lines = [json.dumps({"made_at": 1711450000123 + n, "station": f"c{n}", "degrees": n + 0.5, "x": 1}) for n in range(25)]
+    lines += ['{"made_at":"2024-03-26T10:00:00","station":"t"}', '{"made_at":"whenever","station":"u"}', "junk"]
     log.add(raw_messages(spark, *lines))
     body = json.loads(json.dumps(EVENT_SPEC))
     body["spec"]["tuningConfig"]["maxRowsPerSegment"] = 10
     spec = IngestionSpec.read(json.dumps(body))
     ingest(log.stream(), spec, path("table"), path("checkpoint"), path("bad")).awaitTermination()
     stored = read_appended(spark, path("table"), spec.schema())
-    assert stored.columns == ["timestamp", "city", "temperature", "humidity", "day"]
-    found = {row.city: (str(row.timestamp), row.temperature, str(row.day)) for row in stored.collect()}
+    assert stored.columns == ["made_at", "station", "degrees", "kind", "day"]
+    found = {row.station: (str(row.made_at), row.degrees, str(row.day)) for row in stored.collect()}
     assert len(found) == 26
     assert found["c0"] == ("2024-03-26 10:46:40.123000", "0.5", "2024-03-26")
     assert found["t"] == ("2024-03-26 10:00:00", None, "2024-03-26")
@@ -255,7 +312,7 @@ def test_specified_ingestion(spark, path, log, tmp_path):
     assert len(files) == 3
     aside = spark.read.parquet(path("bad")).collect()
     assert sorted((row.problems, row.raw) for row in aside) == [
-        (["message"], "junk"), (["timestamp"], '{"timestamp":"whenever","city":"u"}'),
+        (["made_at"], '{"made_at":"whenever","station":"u"}'), (["message"], "junk"),
     ]
 
 

@@ -6,7 +6,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from vedrina.functions.numbers import whole_from_text
+from vedrina.functions.numbers import real_from_text, whole_from_text
 
 CORRUPT = "_corrupt"
 
@@ -16,9 +16,11 @@ def json_path(text: Column, path: str) -> Column:
     return F.get_json_object(text, path)
 
 
-def json_elements(text: Column, element: str) -> Column:
-    """A JSON array as an array of ``element`` (a DDL type); explode it to get one row each."""
-    return F.from_json(text, f"array<{element}>")
+def read_elements(text: Column) -> Column:
+    """A JSON array as a struct: ``items``, the text of each element, and ``_corrupt``, the text when it is no such
+    array."""
+    wrapped = F.concat(F.lit('{"items":'), text, F.lit("}"))
+    return F.from_json(wrapped, f"items array<string>, {CORRUPT} string", {"columnNameOfCorruptRecord": CORRUPT})
 
 
 def text_schema(paths: list[str]) -> T.StructType:
@@ -53,6 +55,8 @@ def typed(text: Column, data_type: str) -> Column:
     if data_type in ("timestamp_ntz", "date"):
         return text.try_cast(data_type)
     number = F.btrim(text, F.lit('"'))
-    if data_type == "int":
+    if data_type in ("int", "bigint"):
         return whole_from_text(number, data_type)
+    if data_type in ("float", "double"):
+        return real_from_text(number, data_type)
     return number.try_cast(data_type)

@@ -6,6 +6,10 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+# A written number, as JSON and databases write it. The casts alone also take ``1f``, ``1.5d`` and ``0x1p3``.
+WRITTEN = r"^\s*[+-]?(\d+(\.\d*)?|\.\d+)([eE][+-]?\d{1,3})?\s*$"
+NOT_FINITE = r"(?i)^\s*([+-]?inf(inity)?|nan)\s*$"
+
 # The range of each whole-number type; the upper end is the first value beyond it.
 WHOLE_RANGES = {"int": (-float(2**31), float(2**31)), "bigint": (-float(2**63), float(2**63))}
 
@@ -19,11 +23,19 @@ def whole_from_real(real: Column, data_type: str) -> Column:
 
 def whole_from_text(text: Column, data_type: str) -> Column:
     """A written whole number; ``65``, ``65.0`` and ``6.5e1`` are one."""
+    written = F.when(text.rlike(WRITTEN), text)
     if data_type == "int":
         # A double holds every int exactly.
-        return whole_from_real(text.try_cast("double"), data_type)
-    digits = F.when(text.rlike(r"^\s*[+-]?\d{1,19}\s*$"), text)
-    return digits.try_cast(data_type)
+        return whole_from_real(written.try_cast("double"), data_type)
+    # Every bigint fits before this point, and 18 digits of a fraction behind it.
+    number = written.try_cast("decimal(38,18)")
+    fits = (number == F.floor(number)) & number.between(F.lit(-(2**63)).cast("decimal(38,0)"), F.lit(2**63 - 1).cast("decimal(38,0)"))
+    return F.when(fits, number.try_cast(data_type))
+
+
+def real_from_text(text: Column, data_type: str = "double") -> Column:
+    """A written number, or one of the names of infinity and NaN."""
+    return F.when(text.rlike(WRITTEN) | text.rlike(NOT_FINITE), text).try_cast(data_type)
 
 
 def decimal(value: Column, data_type: str) -> Column:

@@ -16,11 +16,16 @@ CITY_LINE = r"^([^,]+),(.*)$"
 
 
 def city_lines(lines: DataFrame, column: str = "value") -> DataFrame:
-    """``city,country`` lines to columns; other lines drop out."""
+    """``city,country`` lines to columns; for the other lines see ``other_lines``."""
     cities = extract_columns(lines, column, CITY_LINE, ["city", "country"])
     return cities.filter("city is not null").select(F.trim("city").alias("city"), F.trim("country").alias("country"))
 
 
+def other_lines(lines: DataFrame, column: str = "value") -> DataFrame:
+    """The lines that ``city_lines`` leaves out, null ones too, with all their columns."""
+    return lines.filter(~F.coalesce(F.col(column).rlike(CITY_LINE), F.lit(False)))
+
+
 def consolidate_cities(lists: list[DataFrame], countries: dict[str, str] = COUNTRY_WORDS) -> DataFrame:
     """One row per city of all lists, accents and country suffixes ignored.
 

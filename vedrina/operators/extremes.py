@@ -13,6 +13,9 @@ from vedrina.shared import written
 # Ties go to the smallest name, then the earliest time, then the smallest condition.
 TIE_ORDER = ["grad", "lokalno_vreme", "stanje"]
 HIGHEST, LOWEST = "max_value", "min_value"
+# Names inside the plans that an input does not use.
+_AT_TOP, _AT_BOTTOM = "_at_top", "_at_bottom"
+_HIGHEST, _LOWEST = "_highest", "_lowest"
 
 
 def _measured(df: DataFrame, keys: list[str], measure: str) -> DataFrame:
@@ -27,24 +30,38 @@ def extreme_values(df: DataFrame, keys: list[str], measure: str) -> DataFrame:
     )
 
 
-def agg_join_back(df: DataFrame, keys: list[str], measure: str, values_path: str) -> DataFrame:
-    """Every row of ``df`` with its group's largest and smallest measure.
+def _with_values(df: DataFrame, keys: list[str], measure: str, values_path: str) -> DataFrame:
+    """Every row of ``df`` with its group's values under names of their own.
 
     The values are written to ``values_path`` (in the shared folder) first. The planner then sees
     their real size: it broadcasts them below its threshold and leaves ``df`` in place, and above it
     shuffles two plain inputs, where adaptive execution splits a hot group's partition.
     """
-    values = written(extreme_values(df, keys, measure), values_path)
-    return df.join(values, keys)
+    values = extreme_values(df, keys, measure)
+    values = values.withColumnsRenamed({HIGHEST: _HIGHEST, LOWEST: _LOWEST})
+    return df.join(written(values, values_path), keys)
+
+
+def agg_join_back(df: DataFrame, keys: list[str], measure: str, values_path: str) -> DataFrame:
+    """Every row of ``df`` with its group's largest and smallest measure, as ``max_value`` and ``min_value``. Columns of
+    the input with these names are replaced."""
+    rows = _with_values(df.drop(HIGHEST, LOWEST) if measure not in (HIGHEST, LOWEST) else df, keys, measure, values_path)
+    kept = [name for name in df.columns if name not in (HIGHEST, LOWEST)]
+    return rows.select(*kept, F.col(_HIGHEST).alias(HIGHEST), F.col(_LOWEST).alias(LOWEST))
+
+
+def _tied(df: DataFrame, keys: list[str], measure: str, values_path: str) -> DataFrame:
+    rows = _with_values(_measured(df, keys, measure), keys, measure, values_path)
+    at_top, at_bottom = F.col(measure) == F.col(_HIGHEST), F.col(measure) == F.col(_LOWEST)
+    return rows.filter(at_top | at_bottom).select(*df.columns, at_top.alias(_AT_TOP), at_bottom.alias(_AT_BOTTOM))
 
 
 def extreme_ties(df: DataFrame, keys: list[str], measure: str, values_path: str) -> DataFrame:
-    """All rows that hold their group's largest or smallest measure, tied rows included."""
-    rows = agg_join_back(_measured(df, keys, measure), keys, measure, values_path)
-    at_top, at_bottom = F.col(measure) == F.col(HIGHEST), F.col(measure) == F.col(LOWEST)
-    return rows.filter(at_top | at_bottom).select(
-        *df.columns, at_top.alias("is_highest"), at_bottom.alias("is_lowest")
-    )
+    """All rows that hold their group's largest or smallest measure, tied rows included, with ``is_highest`` and
+    ``is_lowest``. Columns of the input with these names are replaced."""
+    kept = [name for name in df.columns if name not in ("is_highest", "is_lowest")]
+    tied = _tied(df, keys, measure, values_path)
+    return tied.select(*kept, F.col(_AT_TOP).alias("is_highest"), F.col(_AT_BOTTOM).alias("is_lowest"))
 
 
 def _one_pass(df: DataFrame, keys: list[str], measure: str, order: list[str]) -> DataFrame:
@@ -66,14 +83,14 @@ def _one_pass(df: DataFrame, keys: list[str], measure: str, order: list[str]) ->
 
 def _two_pass(df: DataFrame, keys: list[str], measure: str, order: list[str], values_path: str) -> DataFrame:
     """The values first, by a hash aggregate; then the tie order, among the rows that hold them."""
-    at_extreme = extreme_ties(df, keys, measure, values_path)
+    at_extreme = _tied(df, keys, measure, values_path)
     ties = F.struct(*[F.col(name).alias(f"by{n}") for n, name in enumerate(order)])
     value = F.col(measure)
     return at_extreme.groupBy(*keys).agg(
         F.max(value).alias(HIGHEST),
-        F.min(F.when(F.col("is_highest"), ties)).alias("top"),
+        F.min(F.when(F.col(_AT_TOP), ties)).alias("top"),
         F.min(value).alias(LOWEST),
-        F.min(F.when(F.col("is_lowest"), ties)).alias("bottom"),
+        F.min(F.when(F.col(_AT_BOTTOM), ties)).alias("bottom"),
     )
 
 

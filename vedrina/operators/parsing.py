@@ -23,8 +23,9 @@ def parse_messages(
     """One typed row per message; none is dropped here.
 
     ``fields`` lists (path, column, type). Besides these columns a row has ``readable``, false when
-    the text is no JSON object; ``problems``, the names of the fields whose text did not fit their
-    type (``message`` for an unreadable text); and ``raw``, the text of a message with problems.
+    the text is no JSON object or has none of the fields (a message of another shape); ``problems``,
+    the names of the fields whose text did not fit their type (``message`` for an unreadable text); and
+    ``raw``, the text of a message with problems.
     """
     keep = keep or []
     record = read_record(F.col("_text"), [path for path, _, _ in fields])
@@ -34,7 +35,8 @@ def parse_messages(
         *keep, "_text", F.explode(F.array(record)).alias("_record")
     )
     columns = [typed(F.col(f"_record.{path}"), kind).alias(name) for path, name, kind in fields]
-    readable = F.col("_record").isNotNull() & F.col(f"_record.{CORRUPT}").isNull()
+    any_field = F.coalesce(*[F.col(f"_record.{path}") for path, _, _ in fields]).isNotNull()
+    readable = F.col("_record").isNotNull() & F.col(f"_record.{CORRUPT}").isNull() & any_field
     problems = _problems(fields, readable)
     return parsed.select(
         *keep,
@@ -68,7 +70,7 @@ def parse_nested(messages: DataFrame, value: str = "value", keep: list[str] | No
 
 
 def accepted(parsed: DataFrame) -> DataFrame:
-    """The rows to store: every message that is a JSON object, misfit fields as null."""
+    """The rows to store: every readable message, misfit fields as null."""
     return parsed.filter(READABLE).drop(*FINDINGS)
 
 

@@ -9,8 +9,9 @@ from typing import Any
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from vedrina.functions.json_fields import json_elements
+from vedrina.functions.json_fields import CORRUPT, read_elements
 from vedrina.functions.text import extract
+from vedrina.operators.parsing import FINDINGS, PROBLEMS, RAW, READABLE, UNREADABLE, parse_messages
 from vedrina.schemas import REPORT_COUNTRIES
 
 
@@ -32,11 +33,36 @@ def split_lines(df: DataFrame, column: str = "text") -> DataFrame:
     return df.select(*others, lines)
 
 
-def split_json(df: DataFrame, column: str, element: str) -> DataFrame:
-    """One row per element of a JSON array of objects, numbered from 0."""
+def parse_json_arrays(df: DataFrame, column: str, fields: list[tuple[str, str, str]]) -> DataFrame:
+    """One row per element of a JSON array of objects, numbered from 0, and one (without number) for a text that is
+    no array; none is dropped here. ``fields`` and the columns of the findings are those of ``parse_messages``; the
+    problem of a text that is no array is ``message``, too. An empty array and a null give no row."""
     others = [name for name in df.columns if name != column]
-    elements = F.posexplode(json_elements(F.col(column), element)).alias("element_no", "element")
-    return df.select(*others, elements).select(*others, "element_no", "element.*")
+    read = df.select(*others, F.col(column).alias("_array"), F.explode(F.array(read_elements(F.col(column)))).alias("_read"))
+    whole = F.col(f"_read.{CORRUPT}").isNull() & F.col("_read.items").isNotNull()
+    # A text that is no array takes the place of its one element, which cannot be read either.
+    items = F.when(whole, F.col("_read.items")).otherwise(F.array(F.col("_array")))
+    elements = read.filter(F.col("_array").isNotNull()).select(*others, whole.alias("_whole"), F.posexplode(items).alias("_place", "_element"))
+    parsed = parse_messages(elements, fields, "_element", [*others, "_whole", "_place", "_element"])
+    readable = F.col("_whole") & F.col(READABLE)
+    return parsed.select(
+        *others,
+        F.when(F.col("_whole"), F.col("_place")).alias("element_no"),
+        *[name for _, name, _ in fields],
+        readable.alias(READABLE),
+        F.when(F.col("_whole"), F.col(PROBLEMS)).otherwise(F.array(F.lit(UNREADABLE))).alias(PROBLEMS),
+        F.when(F.col("_whole"), F.col(RAW)).otherwise(F.col("_element")).alias(RAW),
+    )
+
+
+def split_json(df: DataFrame, column: str, fields: list[tuple[str, str, str]]) -> DataFrame:
+    """The readable elements of JSON arrays, misfit fields as null; see ``split_json_rejected`` for the others."""
+    return parse_json_arrays(df, column, fields).filter(READABLE).drop(*FINDINGS)
+
+
+def split_json_rejected(df: DataFrame, column: str, fields: list[tuple[str, str, str]]) -> DataFrame:
+    """The texts that are no arrays, the elements that are no such objects, and those with misfit fields."""
+    return parse_json_arrays(df, column, fields).filter(F.size(PROBLEMS) > 0)
 
 
 def extract_columns(df: DataFrame, column: str, pattern: str, names: list[str]) -> DataFrame:

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from vedrina.functions.text import ACCENTED, PLAIN
-from vedrina.plans.checks import COUNTRIES, EVENT_CONDITIONS, WIDE_SOURCES
+from vedrina.plans.checks import COUNTRIES, EVENT_CONDITIONS, REPORT_DATES, WIDE_SOURCES
 from vedrina.schemas import CONDITION_WORDS, WIDE_TABLE
 
 
@@ -63,7 +63,18 @@ FROM (SELECT doc_id, parts, unnest(range(1, len(parts) + 1)) AS n
       FROM (SELECT doc_id, string_split(text, chr(10)) AS parts FROM documents))"""
 
 EPOCH_SECONDS = "epoch_us(l_shipdate) // 1000000"
-WIDE_SQL = {**WIDE_SOURCES, "localtime_epoch": EPOCH_SECONDS, "last_updated_epoch": EPOCH_SECONDS}
+WIDE_SQL = {
+    **WIDE_SOURCES,
+    "localtime_epoch": f"CASE WHEN l_linenumber = 3 THEN 65 WHEN l_linenumber NOT IN (2, 6) THEN {EPOCH_SECONDS} END",
+    "last_updated_epoch": EPOCH_SECONDS,
+    "cloud": "CASE WHEN l_linenumber IN (4, 7) THEN 65 WHEN l_linenumber NOT IN (5, 6) THEN l_linenumber END",
+}
+WIDE_MISFITS = """concat_ws(',',
+  CASE WHEN l_linenumber IN (2, 6) THEN 'localtime_epoch' END,
+  CASE WHEN length(r_name) > 10 THEN 'wind_dir' END,
+  CASE WHEN TRY_CAST(l_extendedprice AS DECIMAL(7,2)) IS NULL THEN 'pressure_mb' END,
+  CASE WHEN TRY_CAST(l_extendedprice AS DECIMAL(5,2)) IS NULL THEN 'precip_mm' END,
+  CASE WHEN l_linenumber IN (5, 6) THEN 'cloud' END)"""
 WIDE_FROM = """FROM lineitem JOIN supplier ON l_suppkey = s_suppkey
 JOIN nation ON s_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey"""
 
@@ -83,6 +94,17 @@ def _wide_columns() -> str:
     return ", ".join(columns)
 
 
+URL = "'^(https?)://([^/]+)/([a-z]+)/([0-9]+)'"
+
+
+def _group(number: int) -> str:
+    return f"CASE WHEN regexp_matches(url, {URL}) THEN regexp_extract(url, {URL}, {number}) END"
+
+
+def _groups(*names: str) -> str:
+    return ", ".join(f"{_group(number)} AS {name}" for number, name in enumerate(names, 1))
+
+
 ORACLE_SQL = {
     "extremes": EXTREMES,
     "extremes_joined": EXTREMES,
@@ -104,29 +126,30 @@ FROM lineitem JOIN (
     "parse_nested": PARSED,
     "json_path": """SELECT event_id, json_extract_string(props, '$.k') AS k,
   json_extract_string(props, '$.a.b') AS missing FROM events""",
-    "split_json": LINES.format(number="element_no"),
+    "split_json": f"""WITH lines AS ({LINES.format(number="element_no")}), spoiled AS (
+  SELECT doc_id, source = 'src3' AS no_number FROM documents WHERE lang NOT IN ('fr', 'es')
+), rows AS (
+  SELECT doc_id, element_no, line, CASE WHEN NOT (no_number AND element_no = 0) THEN element_no END AS n
+  FROM lines JOIN spoiled USING (doc_id))
+SELECT *, '' AS problems, false AS aside FROM rows
+UNION ALL SELECT *, 'n' AS problems, true AS aside FROM rows WHERE n IS NULL
+UNION ALL SELECT doc_id, NULL, NULL, NULL, 'message', true FROM documents WHERE lang IN ('fr', 'es')""",
+    "file_lines": LINES.format(number="line_no"),
     "split_lines": LINES.format(number="line_no"),
     "temporal": """SELECT event_id, date_trunc('minute', ts) AS lokalno_vreme, CAST(ts AS DATE) AS datum,
   CAST(ts AS DATE) AS datum_vremena FROM events""",
     "epoch": """SELECT event_id, epoch_us(ts) // 1000000 AS epoch, date_trunc('second', ts) AS time
 FROM events""",
-    "auto_time": """SELECT event_id, CASE WHEN event_type IN ('click', 'view')
-  THEN date_trunc('millisecond', ts) ELSE ts END AS time FROM events""",
+    "auto_time": """SELECT event_id, CASE event_type WHEN 'click' THEN date_trunc('millisecond', ts)
+  WHEN 'view' THEN ts - INTERVAL 2 HOUR WHEN 'purchase' THEN ts - INTERVAL 330 MINUTE
+  WHEN 'error' THEN NULL ELSE ts END AS time FROM events""",
     "translate": f"""SELECT event_id, condition, {_case('condition', CONDITION_WORDS)} AS stanje
 FROM (SELECT event_id, {_case('event_type', EVENT_CONDITIONS)} AS condition FROM events)""",
     "translate_join": """SELECT o_orderkey, coalesce(c_name, CAST(o_custkey AS VARCHAR)) AS grad
 FROM orders LEFT JOIN (SELECT c_custkey, c_name FROM customer WHERE c_acctbal > 5000) ON o_custkey = c_custkey""",
-    "extract_text": """SELECT page_id,
-  CASE WHEN found THEN regexp_extract(url, pattern, 1) END AS scheme,
-  CASE WHEN found THEN regexp_extract(url, pattern, 2) END AS host,
-  CASE WHEN found THEN regexp_extract(url, pattern, 3) END AS lang,
-  CASE WHEN found THEN regexp_extract(url, pattern, 4) END AS item,
-  'pages' AS source,
-  CASE WHEN found THEN upper(regexp_extract(url, pattern, 2)) END AS host_upper
-FROM (SELECT page_id, url, '^(https?)://([^/]+)/([a-z]+)/([0-9]+)' AS pattern,
-             regexp_matches(url, '^(https?)://([^/]+)/([a-z]+)/([0-9]+)') AS found FROM pages)""".replace(
-        "url, pattern, ", "url, '^(https?)://([^/]+)/([a-z]+)/([0-9]+)', "
-    ),
+    "extract_text": f"""SELECT page_id, {_groups('scheme', 'host', 'lang', 'item')}, 'pages' AS source,
+  upper({_group(2)}) AS host_upper
+FROM pages""",
     "enrich_cities": f"""WITH {OBS}, latest AS (
   SELECT grad, drzava, temperatura, stanje, lokalno_vreme, event_id FROM (
     SELECT *, row_number() OVER (PARTITION BY grad, drzava ORDER BY lokalno_vreme DESC, event_id DESC) AS n FROM obs)
@@ -151,11 +174,22 @@ QUALIFY row_number() OVER (PARTITION BY city_key, country ORDER BY n DESC, city)
   CASE WHEN stanje IN ('purchase', 'signup') THEN lokalno_vreme END AS lokalno_vreme
 FROM obs""",
     "conform_wide": f"SELECT {_wide_columns()} {WIDE_FROM}",
-    "conform_misfits": f"""SELECT * FROM (SELECT l_orderkey, l_linenumber, concat_ws(',',
-  CASE WHEN length(r_name) > 10 THEN 'wind_dir' END,
-  CASE WHEN TRY_CAST(l_extendedprice AS DECIMAL(7,2)) IS NULL THEN 'pressure_mb' END,
-  CASE WHEN TRY_CAST(l_extendedprice AS DECIMAL(5,2)) IS NULL THEN 'precip_mm' END) AS misfits
+    "conform_misfits": f"""SELECT * FROM (SELECT l_orderkey, l_linenumber, {WIDE_MISFITS} AS misfits
 {WIDE_FROM}) WHERE misfits <> ''""",
+    "wide_table": f"""WITH items AS (
+  SELECT s_name, n_name, l_returnflag, {EPOCH_SECONDS} AS seconds, l_linenumber = 6 AND l_returnflag = 'R' AS cut,
+         l_linenumber = 7 AS keyless, {WIDE_MISFITS} <> '' AS misfit
+  {WIDE_FROM}), stored AS (SELECT DISTINCT s_name, n_name, seconds FROM items WHERE NOT cut AND NOT keyless)
+SELECT n_name AS name, count(*) AS n_rows, count(*) AS n_ids FROM stored GROUP BY n_name
+UNION ALL
+SELECT run AS name, count(*) FILTER (run = '0' OR l_returnflag = 'A') AS n_rows, 0 AS n_ids
+FROM items, (VALUES ('0'), ('1')) AS runs(run) WHERE cut OR keyless OR misfit GROUP BY run""",
+    "report_job": f"""WITH {ITEMS}, again AS (
+  SELECT * REPLACE (-temperatura AS temperatura) FROM obs WHERE datum BETWEEN '{REPORT_DATES[0]}' AND '{REPORT_DATES[1]}'
+), {_picks('obs')}, {_picks('again', prefix='new_')}
+SELECT * FROM new_hot JOIN new_cold USING (datum, drzava)
+UNION ALL
+SELECT * FROM hot JOIN cold USING (datum, drzava) WHERE datum NOT BETWEEN '{REPORT_DATES[0]}' AND '{REPORT_DATES[1]}'""",
     "upsert_batch": f"""WITH {OBS}, {_picks('obs')},
 {_picks('obs', IN_COUNTRIES, 'new_', 'CAST(vlaznost AS DOUBLE)')}
 SELECT * FROM new_hot JOIN new_cold USING (datum, drzava)
@@ -176,8 +210,18 @@ WHERE n = 1""",
   SELECT *, row_number() OVER (PARTITION BY grad, datum ORDER BY lokalno_vreme DESC, event_id DESC) AS n FROM obs)
 WHERE n = 1""",
     "landing_roundtrip": APPENDED,
-    "spec_ingest": f"""WITH {OBS} SELECT
-  CASE WHEN stanje IN ('click', 'view') THEN date_trunc('millisecond', lokalno_vreme) ELSE lokalno_vreme END AS timestamp,
-  grad AS city, CAST(temperatura AS VARCHAR) AS temperature, CAST(vlaznost AS VARCHAR) AS humidity, datum AS day
+    "landing_quarantine": f"""WITH {OBS} SELECT
+  {', '.join(f"CASE WHEN stanje <> 'click' THEN {name} END AS {name}" for name in ('grad', 'region', 'drzava', 'temperatura', 'osecaj'))},
+  CASE WHEN stanje NOT IN ('click', 'error') THEN vlaznost END AS vlaznost, nullif(stanje, 'click') AS stanje,
+  CASE WHEN stanje = 'view' THEN date_trunc('minute', lokalno_vreme) WHEN stanje <> 'click' THEN lokalno_vreme END AS lokalno_vreme,
+  datum, stanje <> 'click' AS readable,
+  CASE stanje WHEN 'click' THEN 'message' WHEN 'error' THEN 'vlaznost' ELSE '' END AS problems
 FROM obs""",
+    "landing_table": f"WITH {OBS} SELECT grad, datum, max(lokalno_vreme) AS lokalno_vreme FROM obs GROUP BY grad, datum",
+    "spec_ingest": f"""WITH {OBS}, made AS (
+  SELECT CASE stanje WHEN 'click' THEN date_trunc('millisecond', lokalno_vreme) WHEN 'purchase' THEN lokalno_vreme - INTERVAL 2 HOUR
+         WHEN 'signup' THEN lokalno_vreme - INTERVAL 330 MINUTE ELSE lokalno_vreme END AS made_at, grad, temperatura, stanje
+  FROM obs WHERE stanje <> 'error')
+SELECT made_at, grad AS station, CAST(temperatura AS VARCHAR) AS degrees, stanje AS kind, CAST(made_at AS DATE) AS day
+FROM made""",
 }

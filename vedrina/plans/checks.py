@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -11,9 +13,17 @@ from vedrina.functions.times import auto_time, calendar_date, date_of, from_epoc
 from vedrina.operators import extremes as ex
 from vedrina.operators.cities import consolidate_cities, enrich_cities
 from vedrina.operators.conform import MISFITS, conform
-from vedrina.operators.dictionary import translate_with
+from vedrina.operators.dictionary import check_dictionary, translate_with
 from vedrina.operators.parsing import PROBLEMS, accepted, parse_flat, parse_nested
-from vedrina.operators.rows import extract_columns, in_countries, set_columns, split_json, split_lines
+from vedrina.operators.rows import (
+    extract_columns,
+    in_countries,
+    set_columns,
+    split_json,
+    split_json_rejected,
+    split_lines,
+)
+from vedrina.plans.jobs import daily_extremes_job, landing_job, read_report, read_wide, wide_job
 from vedrina.plans.observations import (
     cities,
     envelope,
@@ -30,7 +40,7 @@ from vedrina.sinks.append import read_appended
 from vedrina.sinks.ddl import insert_rows, replace_table, with_row_id
 from vedrina.sinks.landing import write_landing
 from vedrina.sinks.merge import upsert
-from vedrina.sources.files import read_landing
+from vedrina.sources.files import read_landing, read_landing_lines, read_lines
 from vedrina.sources.ingestion_spec import IngestionSpec
 from vedrina.sources.message_log import ARRIVAL
 from vedrina.streaming.streams import append_stream, ingest, upsert_stream
@@ -38,6 +48,9 @@ from vedrina.streaming.streams import append_stream, ingest, upsert_stream
 # The four countries of the report checks.
 COUNTRIES = ["NATION_3", "NATION_7", "NATION_11", "NATION_19"]
 
+# The dates of which the report is made anew.
+REPORT_DATES = ("1995-02-01", "1995-04-30")
+
 # Event types read as condition texts; two stay outside the condition dictionary.
 EVENT_CONDITIONS = {"click": "Sunny", "view": "Partly cloudy", "purchase": "Light rain", "error": "Fog"}
 
@@ -49,9 +62,9 @@ EVENT_SPEC = {
         "parser": {
             "type": "json",
             "parseSpec": {
-                "timestampSpec": {"column": "timestamp", "format": "auto"},
-                "dimensionsSpec": {"dimensions": ["city", "temperature", "humidity"]},
-                "columns": ["timestamp", "city", "temperature", "humidity"],
+                "timestampSpec": {"column": "made_at", "format": "auto"},
+                "dimensionsSpec": {"dimensions": ["station", "degrees", "kind"]},
+                "columns": ["made_at", "station", "degrees", "kind"],
             },
         },
         "ioConfig": {
@@ -59,7 +72,7 @@ EVENT_SPEC = {
             "topic": "events",
             "consumerProperties": {"bootstrap.servers": "log:9092", "group.id": "events"},
         },
-        "tuningConfig": {"type": "index", "maxRowsPerSegment": 50000, "maxTotalRows": 1000000},
+        "tuningConfig": {"type": "index", "maxRowsPerSegment": 30000, "maxTotalRows": 700000},
     },
 }
 
@@ -129,9 +142,31 @@ def json_path_query(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def split_json_query(spark: SparkSession, sf_dir: str) -> DataFrame:
-    line = F.transform(F.split("text", "\n", -1), lambda part: F.struct(part.alias("line")))
-    arrays = table(spark, sf_dir, "documents").select("doc_id", F.to_json(line).alias("body"))
-    return split_json(arrays, "body", "struct<line:string>")
+    # The lines of the documents as arrays: those of one language are cut short, those of another are no arrays, and in those
+    # of one source the first number is none.
+    no_number = F.col("source") == "src3"
+    lines = F.transform(
+        F.split("text", "\n", -1),
+        lambda part, n: F.struct(part.alias("line"), F.when(no_number & (n == 0), F.lit("many")).otherwise(n.cast("string")).alias("n")),
+    )
+    body = F.to_json(lines)
+    spoiled = F.when(F.col("lang") == "fr", F.expr("left(body, length(body) - 1)")).when(F.col("lang") == "es", F.lit("junk"))
+    arrays = table(spark, sf_dir, "documents").withColumn("body", body)
+    arrays = arrays.select("doc_id", F.coalesce(spoiled, "body").alias("body"))
+    fields = [("line", "line", "string"), ("n", "n", "int")]
+    rows = split_json(arrays, "body", fields).withColumn("problems", F.lit(""))
+    aside = split_json_rejected(arrays, "body", fields).withColumn("problems", F.array_join(PROBLEMS, ","))
+    return rows.withColumn("aside", F.lit(False)).unionByName(aside.drop("readable", "raw").withColumn("aside", F.lit(True)))
+
+
+def file_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The lines of the documents, written as text files and read again."""
+    path = new_path(spark, "lines")
+    lines = split_lines(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    lines.select(F.concat_ws("|", "doc_id", "line_no", "line").alias("value")).write.text(path)
+    pattern = r"^([0-9]+)\|([0-9]+)\|(.*)$"
+    found = extract_columns(read_lines(spark, path), "value", pattern, ["doc_id", "line_no", "line"])
+    return found.select(F.col("doc_id").cast("bigint"), F.col("line_no").cast("int"), "line")
 
 
 def split_lines_query(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -163,7 +198,14 @@ def epoch(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def auto_time_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     millis = F.expr("cast(timestampdiff(MILLISECOND, timestamp_ntz'1970-01-01 00:00:00', ts) AS string)")
-    text = F.when(F.col("event_type").isin("click", "view"), millis).otherwise(F.col("ts").cast("string"))
+    local = F.col("ts").cast("string")
+    text = (
+        F.when(F.col("event_type") == "click", millis)
+        .when(F.col("event_type") == "view", F.concat(local, F.lit("+02")))
+        .when(F.col("event_type") == "purchase", F.concat(local, F.lit(" Asia/Kolkata")))
+        .when(F.col("event_type") == "error", F.concat(local, F.lit(" Nowhere/Land")))
+        .otherwise(local)
+    )
     return table(spark, sf_dir, "events").select("event_id", auto_time(text).alias("time"))
 
 
@@ -179,6 +221,7 @@ def translate_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     words = table(spark, sf_dir, "customer").filter("c_acctbal > 5000")
     words = words.select(F.col("c_custkey").cast("string").alias("word"), F.col("c_name").alias("meaning"))
     orders = table(spark, sf_dir, "orders").select("o_orderkey", F.col("o_custkey").cast("string").alias("grad"))
+    check_dictionary(words)
     return translate_with(orders, "grad", words)
 
 
@@ -207,7 +250,8 @@ def city_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
-    # Messages spoiled by kind: cut short, a number out of range, two unreadable fields, an array.
+    # Messages spoiled by kind: cut short, a number out of range, two unreadable fields, and, by the order of arrival, an array,
+    # a message of the other shape, one without any field.
     text = flat_text()
     spoiled = (
         F.when(F.col("stanje") == "click", F.expr("left(message, length(message) - 1)"))
@@ -220,7 +264,12 @@ def quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
                 '"lokalno_vreme":"junk"',
             ),
         )
-        .when(F.col("stanje") == "error", F.concat(F.lit("["), "message", F.lit("]")))
+        .when(
+            F.col("stanje") == "error",
+            F.when(F.col("event_id") % 3 == 0, F.concat(F.lit("["), "message", F.lit("]")))
+            .when(F.col("event_id") % 3 == 1, nested_text())
+            .otherwise(F.lit("{}")),
+        )
         .otherwise(F.col("message"))
     )
     rows = observations(spark, sf_dir).withColumn("message", text)
@@ -289,22 +338,56 @@ def _wide_input(spark: SparkSession, sf_dir: str) -> DataFrame:
     wide = items.select(
         "l_orderkey",
         "l_linenumber",
+        "l_returnflag",
         *[F.col(source).alias(name) for name, source in WIDE_SOURCES.items()],
         seconds.cast("string").alias("localtime_epoch"),
         seconds.alias("last_updated_epoch"),
     )
-    return wide.withColumn("local_time", F.col("local_time").cast("string"))
+    # Whole numbers as they are written elsewhere, a bigint and an int.
+    number = F.col("l_linenumber")
+    epoch_text = (
+        F.when(number == 1, F.concat("localtime_epoch", F.lit(".0"))).when(number == 2, F.concat("localtime_epoch", F.lit("f")))
+        .when(number == 3, F.lit("6.5e1")).when(number == 6, F.lit("0x1p3")).otherwise(F.col("localtime_epoch"))
+    )
+    cloud = (
+        F.when(number == 4, F.lit("65.0")).when(number == 5, F.lit("1f")).when(number == 6, F.lit("0x1p3"))
+        .when(number == 7, F.lit("6.5e1")).otherwise(number.cast("string"))
+    )
+    return wide.withColumns({"local_time": F.col("local_time").cast("string"), "localtime_epoch": epoch_text, "cloud": cloud})
 
 
 def conform_wide(spark: SparkSession, sf_dir: str) -> DataFrame:
-    name = "vedrina_wide_check"
+    # A name of its own: the catalog may be shared.
+    name = f"vedrina_wide_{uuid.uuid4().hex}"
     replace_table(spark, name, WIDE_TABLE, new_path(spark, "wide"))
     columns = [column for column in WIDE_TABLE if column[0] != "id"]
     insert_rows(with_row_id(conform(_wide_input(spark, sf_dir), columns).drop(MISFITS)), name)
-    # The id is a hash of Spark's own, so the check leaves it out.
+    # Line items share keys here; ``wide_table`` checks the ids.
     return spark.table(name).drop("id")
 
 
+def wide_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Line items as messages through the job, which is run, repeated, and run again with a part of them: the rows and
+    distinct ids stored per country, and the messages set aside per run."""
+    wide = _wide_input(spark, sf_dir).withColumn("last_updated", F.col("last_updated").cast("string"))
+    city = F.when(F.col("l_linenumber") != 7, F.col("city"))
+    fields = [name for name, _ in WIDE_TABLE if name not in ("id", "city")]
+    message = F.to_json(F.struct(city.alias("city"), *fields))
+    cut = (F.col("l_linenumber") == 6) & (F.col("l_returnflag") == "R")
+    messages = wide.select("l_returnflag", message.alias("value"), cut.alias("cut"))
+    messages = messages.withColumn("value", F.when(F.col("cut"), F.expr("left(value, 40)")).otherwise(F.col("value")))
+    target, aside, state = (new_path(spark, name) for name in ("wide-table", "wide-aside", "wide-state"))
+    for run_id in (0, 0):
+        wide_job(messages, target, aside, state, run_id)
+    wide_job(messages.filter("l_returnflag = 'A'"), target, aside, state, 1)
+    stored = read_wide(spark, target).groupBy(F.col("country").alias("name")).agg(
+        F.count("*").alias("n_rows"), F.countDistinct("id").alias("n_ids")
+    )
+    runs = spark.read.schema("readable boolean, run int").parquet(aside).groupBy(F.col("run").cast("string").alias("name"))
+    runs = runs.agg(F.count("*").alias("n_rows"), F.lit(0).cast("bigint").alias("n_ids"))
+    return stored.unionByName(runs)
+
+
 def conform_misfits(spark: SparkSession, sf_dir: str) -> DataFrame:
     columns = [column for column in WIDE_TABLE if column[0] != "id"]
     rows = conform(_wide_input(spark, sf_dir), columns, keep=["l_orderkey", "l_linenumber"])
@@ -341,6 +424,16 @@ def upsert_by_time(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_landing(spark, target, OBSERVATIONS, "parquet")
 
 
+def report_job(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The report of all dates, then that of three months anew on top of it, with the prices turned round."""
+    rows = line_items(spark, sf_dir)
+    report, state = new_path(spark, "report"), new_path(spark, "report-state")
+    daily_extremes_job(rows, report, state, None)
+    turned = rows.withColumn("temperatura", -F.col("temperatura"))
+    daily_extremes_job(turned, report, state, None, dates=REPORT_DATES)
+    return read_report(spark, report)
+
+
 def append_stream_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = observations(spark, sf_dir, event_stream(spark, sf_dir))
     target, checkpoint = new_path(spark, "appended"), new_path(spark, "append-checkpoint")
@@ -365,18 +458,50 @@ def landing_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_landing(spark, path, OBSERVATIONS)
 
 
+def landing_quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Landed lines spoiled by kind: no JSON, a time to the minute, a quoted number, a field that does not fit."""
+    path = new_path(spark, "landing")
+    spoiled = (
+        F.when(F.col("stanje") == "click", F.lit("not json"))
+        .when(F.col("stanje") == "view", F.regexp_replace("value", r'("lokalno_vreme":"[^"]{16})[^"]*"', '$1"'))
+        .when(F.col("stanje") == "purchase", F.regexp_replace("value", r'"temperatura":([0-9.]+)', '"temperatura":"$1"'))
+        .when(F.col("stanje") == "error", F.regexp_replace("value", r'"vlaznost":\d+', '"vlaznost":"many"'))
+        .otherwise(F.col("value"))
+    )
+    rows = observations(spark, sf_dir).withColumn("value", flat_text()).select(spoiled.alias("value"), "datum")
+    rows.write.partitionBy("datum").text(path)
+    lines = read_landing_lines(spark, path, OBSERVATIONS)
+    return lines.withColumn("problems", F.array_join(PROBLEMS, ",")).drop("raw")
+
+
+def landing_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Landed observations into the keyed table, by the job, and again as a repeated run."""
+    landing, target = new_path(spark, "landing"), new_path(spark, "landed")
+    state, aside = new_path(spark, "landed-state"), new_path(spark, "landed-aside")
+    write_landing(observations(spark, sf_dir).drop("event_id"), landing)
+    for _ in range(2):
+        landing_job(spark, landing, target, aside, state, 0, words={})
+    latest = read_landing(spark, target, OBSERVATIONS, "parquet")
+    # Rows of one city and time are decided by their content, which the check leaves out.
+    return latest.select("grad", "datum", "lokalno_vreme")
+
+
 def spec_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = observations(spark, sf_dir, event_stream(spark, sf_dir))
     millis = F.expr("timestampdiff(MILLISECOND, timestamp_ntz'1970-01-01 00:00:00', lokalno_vreme)")
     values = [
-        F.col("grad").alias("city"),
-        F.col("temperatura").alias("temperature"),
-        F.col("vlaznost").alias("humidity"),
+        F.col("grad").alias("station"),
+        F.col("temperatura").alias("degrees"),
+        F.col("stanje").alias("kind"),
     ]
-    # Some messages carry the time as a number, the others as text.
-    text = F.when(
-        F.col("stanje").isin("click", "view"), F.to_json(F.struct(millis.alias("timestamp"), *values))
-    ).otherwise(F.to_json(F.struct(F.col("lokalno_vreme").cast("string").alias("timestamp"), *values)))
+    # Some messages carry the time as a number, the others as text, with and without a zone; one zone is none.
+    zone = F.create_map(
+        *[F.lit(word) for word in ("purchase", "+02", "signup", " Asia/Kolkata", "error", " Nowhere/Land", "view", "")]
+    )
+    local = F.concat(F.col("lokalno_vreme").cast("string"), zone[F.col("stanje")])
+    text = F.when(F.col("stanje") == "click", F.to_json(F.struct(millis.alias("made_at"), *values))).otherwise(
+        F.to_json(F.struct(local.alias("made_at"), *values))
+    )
     spec = IngestionSpec.read(EVENT_SPEC)
     target, checkpoint = new_path(spark, spec.table), new_path(spark, "ingest-checkpoint")
     ingest(envelope(rows, text), spec, target, checkpoint, new_path(spark, "quarantine")).awaitTermination()
@@ -398,6 +523,7 @@ QUERIES = {
     "json_path": json_path_query,
     "split_json": split_json_query,
     "split_lines": split_lines_query,
+    "file_lines": file_lines,
     "temporal": temporal,
     "epoch": epoch,
     "auto_time": auto_time_query,
@@ -409,10 +535,14 @@ QUERIES = {
     "quarantine": quarantine,
     "conform_wide": conform_wide,
     "conform_misfits": conform_misfits,
+    "wide_table": wide_table,
+    "report_job": report_job,
     "upsert_batch": upsert_batch,
     "upsert_by_time": upsert_by_time,
     "append_stream": append_stream_query,
     "upsert_stream": upsert_stream_query,
     "landing_roundtrip": landing_roundtrip,
+    "landing_quarantine": landing_quarantine,
+    "landing_table": landing_table,
     "spec_ingest": spec_ingest,
 }

@@ -41,11 +41,15 @@ EXTREMES = (
     "najhladniji_grad string, min_temperatura double, stanje_najhladnijeg string"
 )
 EXTREMES_KEYS = ["datum", "drzava"]
+# As stored, with the month that names the directory: a date has a few rows only.
+REPORT_MONTH = "mesec"
+REPORT_STORED = f"{EXTREMES}, {REPORT_MONTH} date"
+REPORT_KEYS = [REPORT_MONTH, *EXTREMES_KEYS]
 
-# The wide observation table. The id is a hash of the natural key (see sinks.ddl),
+# The wide observation table. The id is a digest of the natural key (see sinks.ddl),
 # so a retried job gives a row the same id again.
 WIDE_TABLE = [
-    ("id", "bigint"),
+    ("id", "varchar(64)"),
     ("city", "varchar(100)"),
     ("region", "varchar(100)"),
     ("country", "varchar(100)"),
@@ -87,6 +91,11 @@ WIDE_TABLE = [
     ("gust_kph", "decimal(5,2)"),
 ]
 WIDE_NATURAL_KEY = ["city", "last_updated_epoch"]
+# As stored, with the day that names the directory.
+WIDE_DAY = "day"
+WIDE_STORED = ", ".join(
+    f"{name} {'string' if kind.startswith('varchar') else kind}" for name, kind in [*WIDE_TABLE, (WIDE_DAY, "date")]
+)
 
 # Countries the daily report covers.
 REPORT_COUNTRIES = ["Srbija", "Hrvatska", "BiH", "Severna Makedonija"]

@@ -40,15 +40,14 @@ def append_jdbc(
     table: str,
     stream_id: str,
     batch_id: int,
-    execute: Callable[[str], None] | None = None,
+    execute: Callable[[str], None],
     properties: dict[str, str] | None = None,
     connections: int = 16,
 ) -> None:
     """Append a micro-batch to a database table that has the columns ``stream_id`` and ``batch_id``
-    besides those of the rows. ``execute`` runs a statement on the caller's connection; with it, a
-    repeated batch first removes what it had appended before."""
-    if execute:
-        execute(f"DELETE FROM {table} WHERE stream_id = '{stream_id}' AND batch_id = {batch_id}")
+    besides those of the rows. ``execute`` runs a statement on the caller's connection: a repeated
+    batch first removes what it had appended before."""
+    execute(f"DELETE FROM {table} WHERE stream_id = '{stream_id}' AND batch_id = {batch_id}")
     numbered = rows.withColumns(
         {"stream_id": F.lit(stream_id), "batch_id": F.lit(batch_id).cast("bigint")}
     )

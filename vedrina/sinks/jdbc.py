@@ -19,8 +19,14 @@ def write_table(
     connections: int = 16,
 ) -> None:
     """Write a DataFrame to a database table from the executors, at most ``connections`` at once."""
-    options = {"batchsize": "10000", **(properties or {}), "numPartitions": str(connections)}
-    df.write.jdbc(url, table, mode=mode, properties=options)
+    options = {"batchsize": "10000", **(properties or {})}
+    for_connections(df, connections).write.jdbc(url, table, mode=mode, properties=options)
+
+
+def for_connections(df: DataFrame, connections: int) -> DataFrame:
+    """The rows in one part per connection. They are shuffled to these parts, so what comes before runs in as many tasks
+    as it would; the writer's own ``numPartitions`` would run all of it in one task per connection."""
+    return df.repartition(connections)
 
 
 def upsert_statement(table: str, staging: str, columns: list[str], keys: list[str]) -> str:
