@@ -13,8 +13,12 @@ so that probabilities sum to one.
 Training goes over all training documents: tasks count the triples of classes, of which there are at most
 CLASSES^3 whatever the corpus, and the noise-contrastive objective is raised on these counts, with the noise's
 expectation over all classes in closed form (matrix products over batches of contexts), so nothing is drawn at
-random. The counts of words, which grow with the corpus, are never gathered: they are joined to the
-distinct words of blocks of documents, and only the sums per document go on.
+random.
+
+The counts of words grow with the corpus and are never gathered. Documents are grouped in blocks, and a block's distinct words
+are dealt by a hash to buckets, one row per block and bucket. Bucket by bucket the words are counted over all blocks,
+and each block is answered with the counts of its words; then a block is scored on its own. So words move once per
+block that has them, packed, and documents as numbers.
 
 Defined results: a null or empty text has the end as its only token. A null id counts as any other. Without
 training documents all counts are zero and all classes are equally likely. Rows stay one to one with the input.
@@ -46,11 +50,11 @@ CLASSES = 1 + FREQUENT + ENDINGS + HASHED
 START = CLASSES
 WIDTH = 24
 NOISE = 10.0
-STEPS, RATE = 120, 0.06
-# Distinct words counted in a task before they are sent on.
-COUNTED = 400_000
-# A block of documents: its distinct words are looked up once.
-BLOCK_BYTES, BLOCK_ROWS = 32 << 20, 50_000
+STEPS, RATE = 60, 0.1
+# A block of documents has about this many bytes of text or one longer text, and at most so many documents.
+BLOCK_BYTES, BLOCK_ROWS = 12 << 20, 50_000
+# A bucket has the words that fall to it in about this many bytes of text.
+BUCKET_BYTES, LEAST_BUCKETS = 64 << 20, 32
 
 
 def words_of(text: str | None) -> list[bytes]:
@@ -88,30 +92,142 @@ def _numbered(texts: list[str | None]) -> tuple[list[bytes], np.ndarray, np.ndar
     return list(number), which, sizes
 
 
-# --- counting -----------------------------------------------------------------------------------
+# --- blocks and buckets -------------------------------------------------------------------------
+
+
+class _Block:
+    """Documents whose words are numbered together."""
+
+    def __init__(self) -> None:
+        self.number: dict[bytes, int] = {END.encode(): 0}
+        self.which: list[np.ndarray] = []
+        self.sizes: list[np.ndarray] = []
+        self.ids: list[pa.Array] = []
+        self.held_out: list[pa.Array] = []
+        self.bytes = self.rows = 0
+
+    def add(self, part: pa.RecordBatch) -> None:
+        """Rows of id, text, held_out."""
+        number = self.number
+        per_text = [words_of(text) for text in part.column(1).to_pylist()]
+        sizes = np.fromiter(map(len, per_text), np.int32, len(per_text))
+        words = (number.setdefault(w, len(number)) for ws in per_text for w in ws)
+        self.which.append(np.fromiter(words, np.int32, int(sizes.sum())))
+        self.sizes.append(sizes)
+        self.ids.append(part.column(0))
+        self.held_out.append(part.column(2))
+        self.bytes += part.column(1).nbytes
+        self.rows += part.num_rows
+
+    def packed(self, block: int, buckets: int) -> pa.RecordBatch:
+        """One row (bucket -1) with the documents and their words by number, and one for each bucket that has words, with these
+        and their counts in documents that are not held out. Numbers go by bucket."""
+        which, sizes = np.concatenate(self.which), np.concatenate(self.sizes)
+        held_out = pa.concat_arrays(self.held_out)
+        teaches = ~held_out.to_numpy(zero_copy_only=False).astype(bool)
+        counts = np.bincount(which[np.repeat(teaches, sizes)], minlength=len(self.number))
+        counts[0] += teaches.sum()
+        words = list(self.number)
+        bucket = np.fromiter((zlib.crc32(w) % buckets for w in words), np.int64, len(words))
+        order = np.argsort(bucket, kind="stable")
+        place = np.empty(len(words), np.int32)
+        place[order] = np.arange(len(words), dtype=np.int32)
+        counts, bucket = counts[order], bucket[order]
+        heads = np.flatnonzero(np.concatenate([[True], bucket[1:] != bucket[:-1]]))
+        cuts = [*heads.tolist(), len(words)]
+        order = order.tolist()
+        packed = [b"\n".join([words[n] for n in order[low:high]]) for low, high in zip(cuts, cuts[1:])]
+        numbers = [counts[low:high].astype("<i8").tobytes() for low, high in zip(cuts, cuts[1:])]
+        documents = pa.StructArray.from_arrays([pa.concat_arrays(self.ids), held_out, pa.array(sizes)], ["id", "held_out", "size"])
+        listed = pa.ListArray.from_arrays(pa.array([0, len(sizes)], pa.int32()), documents)
+        n = len(packed)
+        return pa.RecordBatch.from_arrays(
+            [
+                pa.array(np.full(n + 1, block)),
+                pa.array(np.concatenate([[-1], bucket[heads]])),
+                pa.array([None, *packed], pa.binary()),
+                pa.array([place[which].astype("<i4").tobytes(), *numbers], pa.binary()),
+                pa.concat_arrays([listed, pa.nulls(n, listed.type)]),
+            ],
+            ["block", "bucket", "words", "numbers", "documents"],
+        )
+
+
+def _blocks(buckets: int):
+    def of_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        number = TaskContext.get().partitionId() << 32
+        block = _Block()
+        for part in parts(batches, 1):
+            if block.rows and (block.bytes + part.column(1).nbytes > BLOCK_BYTES or block.rows + part.num_rows > BLOCK_ROWS):
+                yield block.packed(number, buckets)
+                number, block = number + 1, _Block()
+            block.add(part)
+        if block.rows:
+            yield block.packed(number, buckets)
+
+    return of_batches
+
+
+def blocks_of(rows: DataFrame) -> DataFrame:
+    """Rows (id, text, held_out) in blocks, see ``_Block.packed``."""
+    size = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    buckets = max(LEAST_BUCKETS, math.ceil(size / BUCKET_BYTES))
+    kind = rows.schema["id"].dataType.simpleString()
+    schema = f"block bigint, bucket bigint, words binary, numbers binary, documents array<struct<id:{kind},held_out:boolean,size:int>>"
+    return rows.mapInArrow(_blocks(buckets), schema)
+
 
+def _buckets(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, list[tuple[int, list[bytes], np.ndarray]]]]:
+    """Rows (block, bucket, words, numbers), sorted by bucket, as buckets with their blocks' words and counts."""
+    current, found = -1, []
+    for batch in batches:
+        for block, bucket, words, numbers in zip(*(column.to_pylist() for column in batch.columns)):
+            if bucket != current:
+                if found:
+                    yield current, found
+                current, found = bucket, []
+            found.append((block, words.split(b"\n"), np.frombuffer(numbers, "<i8")))
+    if found:
+        yield current, found
 
-def _count_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    def sent(counts: Counter) -> pa.RecordBatch:
-        names = [w.decode("utf-8", "surrogatepass") for w in counts]
-        return pa.RecordBatch.from_arrays([pa.array(names, pa.string()), pa.array(list(counts.values()), pa.int64())], ["word", "c"])
 
+def _counted(blocks: list[tuple[int, list[bytes], np.ndarray]]) -> Counter:
     counts: Counter = Counter()
-    for part in parts(batches, 0):
-        for text in part.column(0).to_pylist():
-            counts.update(words_of(text))
-        counts[END.encode()] += part.num_rows
-        if len(counts) > COUNTED:
-            yield sent(counts)
-            counts.clear()
-    if counts:
-        yield sent(counts)
+    for _, words, numbers in blocks:
+        for word, c in zip(words, numbers.tolist()):
+            counts[word] += c
+    return counts
+
+
+def _count_buckets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for _, blocks in _buckets(batches):
+        known = [(w.decode("utf-8", "surrogatepass"), c) for w, c in _counted(blocks).items() if c]
+        yield pa.RecordBatch.from_arrays([pa.array([w for w, _ in known], pa.string()), pa.array([c for _, c in known], pa.int64())], ["word", "c"])
+
+
+def _answer_buckets(classes: Classes):
+    def of_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for bucket, blocks in _buckets(batches):
+            counts = _counted(blocks)
+            answers = {word: (c, classes.of(word)) for word, c in counts.items()}
+            for block, words, _ in blocks:
+                answer = np.array([answers[word] for word in words], "<i8")
+                yield pa.RecordBatch.from_arrays([pa.array([block]), pa.array([bucket]), pa.array([answer.tobytes()], pa.binary())], ["block", "bucket", "numbers"])
+
+    return of_batches
 
 
-def word_counts(texts: DataFrame) -> DataFrame:
-    """``word`` and ``c`` of all texts (the first column); the end is the empty word."""
-    counted = texts.mapInArrow(_count_words, "word string, c bigint")
-    return counted.groupBy("word").agg(F.sum("c").alias("c"))
+def _by_bucket(blocks: DataFrame) -> DataFrame:
+    rows = blocks.filter("bucket >= 0").select("block", "bucket", "words", "numbers")
+    return rows.repartition("bucket").sortWithinPartitions("bucket")
+
+
+def word_counts(blocks: DataFrame) -> DataFrame:
+    """``word`` and ``c`` of the documents that are not held out; the end is the empty word."""
+    return _by_bucket(blocks).mapInArrow(_count_buckets, "word string, c bigint")
+
+
+# --- classes ------------------------------------------------------------------------------------
 
 
 def classes_of(counts: DataFrame) -> Classes:
@@ -287,114 +403,56 @@ def probability_table(model: LogBilinear) -> np.ndarray:
 
 # --- scoring ------------------------------------------------------------------------------------
 
-# Of a document: its place in the block, tokens, tokens of frequent words or the end, their sum of log10(c + 1), the sum of
-# log10 P(class | context), and of what the classes of its other tokens divide by.
-_DOCUMENT = "struct<id:{id},held_out:boolean,n_tokens:bigint,n_sure:bigint,sure:double,context:double,divided:double>"
-
-
-def _blocks(classes: Classes, fields: Broadcast):
-    """Rows of blocks of documents: for each distinct word that is not sure, ``word`` and ``postings`` (place of the
-    document and number of occurrences, as pairs of int32); and one row with the block's documents, under a word that
-    no text has, another one for each block, so that these rows do not meet in one task."""
-
-    def of_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        table, sure_counts, divisors = (fields.value[k] for k in ("table", "sure", "divisors"))
-        number = TaskContext.get().partitionId() << 32
-        for part in _grouped(batches):
-            ids, texts, held = part.column(0), part.column(1).to_pylist(), part.column(2)
-            names, which, sizes = _numbered(texts)
-            of_word = np.fromiter(map(classes.of, names), np.int64, len(names))
-            k = of_word[which]
-            context, token = _with_ends(k, sizes)
-            ends = np.cumsum(sizes + 1)
-            cuts = np.concatenate([[0], ends])
-            doc = np.repeat(np.arange(len(sizes)), sizes)
-            log_context = _sums(table[context, token].astype(np.float64), cuts)
-            # A frequent word or the end is known with its count; of the others the counts are looked up.
-            single = token <= FREQUENT
-            sure = _sums(np.where(single, sure_counts[np.minimum(token, FREQUENT)], 0.0), cuts)
-            divided = _sums(np.where(single, 0.0, divisors[token]), cuts)
-            n_sure = _sums((single & (sure_counts[np.minimum(token, FREQUENT)] > 0)).astype(np.int64), cuts)
-            documents = pa.StructArray.from_arrays(
-                [ids, held, pa.array(sizes + 1), pa.array(n_sure), pa.array(sure), pa.array(log_context), pa.array(divided)],
-                ["id", "held_out", "n_tokens", "n_sure", "sure", "context", "divided"],
-            )
-            looked_up = k > FREQUENT
-            pairs, times = np.unique(which[looked_up] * len(sizes) + doc[looked_up], return_counts=True)
-            word, place = pairs // len(sizes), pairs % len(sizes)
-            heads = np.flatnonzero(np.concatenate([[True], word[1:] != word[:-1]])) if len(word) else np.empty(0, np.int64)
-            raw = np.column_stack([place, times]).astype("<i4")
-            offsets = np.concatenate([heads, [len(word)]]).astype(np.int32) * 8
-            n = len(heads)
-            postings = pa.BinaryArray.from_buffers(pa.binary(), n, [None, pa.py_buffer(offsets), pa.py_buffer(np.ascontiguousarray(raw))])
-            listed = pa.ListArray.from_arrays(pa.array([0, len(sizes)], pa.int32()), documents)
-            yield pa.RecordBatch.from_arrays(
-                [
-                    pa.array([names[w].decode("utf-8", "surrogatepass") for w in word[heads]] + [f"\n{number}"], pa.string()),
-                    pa.array(np.full(n + 1, number)),
-                    pa.concat_arrays([postings, pa.array([None], pa.binary())]),
-                    pa.concat_arrays([pa.nulls(n, listed.type), listed]),
-                ],
-                ["word", "block", "postings", "documents"],
-            )
-            number += 1
-
-    return of_batches
-
 
 def _sums(values: np.ndarray, cuts: np.ndarray) -> np.ndarray:
     """The sum of each run; no run is empty."""
     return np.add.reduceat(values, cuts[:-1]) if len(cuts) > 1 else values[:0]
 
 
-def _grouped(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Parts joined to blocks of about BLOCK_BYTES of text."""
-    waiting, size, rows = [], 0, 0
-    for part in parts(batches, 1):
-        n = part.column(1).nbytes
-        if waiting and (size + n > BLOCK_BYTES or rows + part.num_rows > BLOCK_ROWS):
-            yield pa.Table.from_batches(waiting).combine_chunks().to_batches()[0]
-            waiting, size, rows = [], 0, 0
-        waiting.append(part)
-        size, rows = size + n, rows + part.num_rows
-    if waiting:
-        yield pa.Table.from_batches(waiting).combine_chunks().to_batches()[0]
-
+def _scored(documents: pa.StructArray, which: np.ndarray, answers: np.ndarray, model: dict) -> pa.RecordBatch:
+    """The rows of a block. ``answers``: count and class of each of its words by number."""
+    ids, held_out, sizes = documents.flatten()
+    sizes = sizes.to_numpy().astype(np.int64)
+    count_of, class_of = answers[:, 0], answers[:, 1]
+    context, token = _with_ends(class_of[which], sizes)
+    cuts = np.concatenate([[0], np.cumsum(sizes + 1)])
+    is_word = np.ones(len(token), bool)
+    is_word[cuts[1:] - 1] = False
+    c = np.full(len(token), model["ends"], np.int64)
+    c[is_word] = count_of[which]
+    log_c = np.log10(c + 1.0)
+    # A word that is a class of its own is sure once its class is.
+    in_class = np.where(token > FREQUENT, log_c - model["divisors"][token], 0.0)
+    return pa.RecordBatch.from_arrays(
+        [
+            ids,
+            held_out,
+            pa.array(sizes + 1),
+            pa.array(_sums((c > 0).astype(np.int64), cuts)),
+            pa.array(_sums(log_c, cuts)),
+            pa.array(_sums(model["table"][context, token] + in_class, cuts)),
+        ],
+        ["id", "held_out", "n_tokens", "n_known", "log_counts", "score"],
+    )
 
-def _document_sums(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows come sorted by block, its documents first: adds up log10(c + 1) and the known tokens of each document."""
-    documents, found, known = None, None, None
 
-    def done() -> pa.RecordBatch:
-        flat = documents.flatten()
-        return pa.RecordBatch.from_arrays(
-            [*flat, pa.array(found), pa.array(known)],
-            ["id", "held_out", "n_tokens", "n_sure", "sure", "context", "divided", "found", "n_found"],
-        )
+def _score_blocks(fields: Broadcast):
+    def of_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Rows come sorted by block and bucket: a block's documents, then the answers."""
+        documents, which, answers = None, None, []
+        for batch in batches:
+            for row, bucket in enumerate(batch.column(0).to_pylist()):
+                if bucket < 0:
+                    if documents is not None:
+                        yield _scored(documents, which, np.concatenate(answers), fields.value)
+                    documents = batch.column(2).slice(row, 1).flatten()
+                    which, answers = np.frombuffer(batch.column(1)[row].as_py(), "<i4"), []
+                else:
+                    answers.append(np.frombuffer(batch.column(1)[row].as_py(), "<i8").reshape(-1, 2))
+        if documents is not None:
+            yield _scored(documents, which, np.concatenate(answers), fields.value)
 
-    for batch in batches:
-        heads = np.flatnonzero(batch.column(2).is_valid().to_numpy(zero_copy_only=False))
-        cuts = np.concatenate([[0], heads, [batch.num_rows]]) if len(heads) else np.array([0, batch.num_rows])
-        for low, high in zip(cuts[:-1], cuts[1:]):
-            low, high = int(low), int(high)
-            if low == high:
-                continue
-            if batch.column(2)[low].is_valid:
-                if documents is not None:
-                    yield done()
-                documents = batch.column(2).slice(low, 1).flatten()
-                found, known = np.zeros(len(documents)), np.zeros(len(documents), np.int64)
-                low += 1
-            if low < high:
-                postings = batch.column(1).slice(low, high - low)
-                widths = np.fromiter((len(p) for p in postings.to_pylist()), np.int64, high - low) // 8
-                pairs = np.frombuffer(b"".join(postings.to_pylist()), "<i4").reshape(-1, 2)
-                c = np.repeat(batch.column(0).slice(low, high - low).to_numpy(), widths)
-                n = len(found)
-                found += np.bincount(pairs[:, 0], pairs[:, 1] * np.log10(c + 1.0), n)
-                known += np.bincount(pairs[:, 0], pairs[:, 1] * (c > 0), n).astype(np.int64)
-    if documents is not None:
-        yield done()
+    return of_batches
 
 
 def lm_scores(docs: DataFrame, held_out: Column, id: str = "doc_id", text: str = "text") -> DataFrame:
@@ -405,33 +463,29 @@ def lm_scores(docs: DataFrame, held_out: Column, id: str = "doc_id", text: str =
     """
     spark = docs.sparkSession
     rows = docs.select(F.col(id).alias("id"), F.col(text).alias("text"), F.coalesce(held_out, F.lit(False)).alias("held_out"))
-    learning = rows.filter(~F.col("held_out")).select("text")
-    counts = written(word_counts(learning), new_path(spark, "lm-counts"))
+    blocks = written(blocks_of(rows), new_path(spark, "lm-blocks"))
+    counts = written(word_counts(blocks), new_path(spark, "lm-counts"))
     n_tokens, n_words = counts.agg(F.coalesce(F.sum("c"), F.lit(0)), F.count("*")).first()
     classes = classes_of(counts)
     tokens, words = class_totals(counts, classes)
-    model = train(triple_counts(learning, classes))
+    model = train(triple_counts(rows.filter(~F.col("held_out")).select("text"), classes))
     # Of fixed size: at most (CLASSES + 1)^2 * CLASSES numbers.
     fields = spark.sparkContext.broadcast(
-        {
-            "table": probability_table(model),
-            "sure": np.where(tokens[: FREQUENT + 1] > 0, np.log10(tokens[: FREQUENT + 1] + 1.0), 0.0),
-            "divisors": np.log10(tokens + words + 1.0),
-        }
+        {"table": probability_table(model), "ends": int(tokens[0]), "divisors": np.log10(tokens + words + 1.0)}
     )
+    answered = _by_bucket(blocks).mapInArrow(_answer_buckets(classes), "block bigint, bucket bigint, numbers binary")
+    gathered = blocks.filter("bucket < 0").select("block", "bucket", "numbers", "documents").unionByName(answered, allowMissingColumns=True)
+    gathered = gathered.repartition("block").sortWithinPartitions("block", "bucket").select("bucket", "numbers", "documents")
     kind = rows.schema["id"].dataType.simpleString()
-    schema = f"word string, block bigint, postings binary, documents array<{_DOCUMENT.format(id=kind)}>"
-    blocks = rows.mapInArrow(_blocks(classes, fields), schema)
-    counted = blocks.join(counts, "word", "left").select(F.coalesce("c", F.lit(0)).alias("c"), "postings", "documents", "block")
-    gathered = counted.repartition("block").sortWithinPartitions("block", F.col("documents").isNull()).drop("block")
-    flat = f"id {kind}, held_out boolean, n_tokens bigint, n_sure bigint, sure double, context double, divided double, found double, n_found bigint"
-    sums = gathered.mapInArrow(_document_sums, flat)
-    return sums.select(
+    scores = gathered.mapInArrow(
+        _score_blocks(fields), f"id {kind}, held_out boolean, n_tokens bigint, n_known bigint, log_counts double, score double"
+    )
+    return scores.select(
         F.col("id").alias(id),
         "held_out",
         "n_tokens",
-        (F.col("n_sure") + F.col("n_found")).alias("n_known"),
+        "n_known",
         F.lit(n_tokens).cast("bigint").alias("train_tokens"),
-        (F.col("sure") + F.col("found") - F.col("n_tokens") * math.log10(n_tokens + n_words + 1)).alias("base_score"),
-        (F.col("context") + F.col("found") - F.col("divided")).alias("score"),
+        (F.col("log_counts") - F.col("n_tokens") * math.log10(n_tokens + n_words + 1)).alias("base_score"),
+        "score",
     )
