@@ -1,0 +1,69 @@
+import pytest
+from pyspark.sql import functions as F
+
+from vedrina.llm.known_licenses import KNOWN
+from vedrina.llm.licenses import canonical, known_digests, license_scan, matches
+
+
+def scan(docs_of, texts):
+    return {row.doc_id: row for row in license_scan(docs_of(list(enumerate(texts)))).collect()}
+
+
+def test_every_known_text_is_found_by_its_name(docs_of):
+    texts = [(name, text) for name, listed in KNOWN.items() for text in listed]
+    found = scan(docs_of, [text for _, text in texts])
+    for n, (name, _) in enumerate(texts):
+        assert found[n].is_license and name in found[n].licenses.split(",")
+
+
+def test_spellings(docs_of):
+    mit = KNOWN["MIT"][1]
+    variants = [
+        mit.upper(), "Copyright (c) 2020 Someone\n\n" + mit, "© 2019 A, B\nAll rights reserved.\n" + mit, mit.replace("\n", " "),
+        mit.replace('"', "“").replace(",", " ,"), "* " + mit.replace("\n", "\n * "), mit.replace("sublicense", "sub-license"),
+        mit.replace("sublicense", "sub-licence").replace("COPYRIGHT HOLDERS", "COPYRIGHT OWNERS"),
+    ]
+    found = scan(docs_of, variants)
+    assert [found[n].licenses for n in range(len(variants))] == ["MIT"] * len(variants)
+    assert all(row.is_license for row in found.values())
+
+
+def test_only_entire_texts_and_lines_match(docs_of):
+    mit, notice = KNOWN["MIT"][1], "Licensed under the Apache License, Version 2.0."
+    texts = [
+        mit + "\nand more", mit[:-20], f"Prose before.\n{notice}\nProse behind.", f"see: {notice}", f"{notice}\n{notice}", "", None, "...", "Copyright 2020 X",
+    ]
+    found = scan(docs_of, texts)
+    assert [found[n].licenses for n in range(len(texts))] == ["", "", "Apache-2.0", "", "Apache-2.0", "", "", "", ""]
+    assert [found[n].n_matching_lines for n in range(len(texts))] == [0, 0, 1, 0, 2, 0, 0, 0, 0]
+    assert not any(row.is_license for row in found.values())
+    assert found[2].n_lines == 3 and found[5].n_lines == 1
+
+
+@pytest.mark.parametrize(
+    "text, form", [("The  Licence,\tlicence!", "the license license"), ("Copyright law\nis old", "is old"), ("HTTP://X.org", "https x org"), ("Ä-ö", "ä ö")]
+)
+def test_canonical_form(spark, text, form):
+    assert spark.range(1).select(canonical(F.lit(text))).first()[0] == form
+
+
+def test_awkward_rows(awkward):
+    found = license_scan(awkward).collect()
+    assert len(found) == awkward.select("doc_id").distinct().count()
+    assert {row.licenses for row in found} == {""}
+
+
+def test_no_rows(empty):
+    assert license_scan(empty).count() == 0
+
+
+def test_other_known_texts(spark, docs_of):
+    known = known_digests(spark, {"Own": ["Our own terms."], "Same": ["our OWN terms"]})
+    assert known.count() == 1
+    [row] = license_scan(docs_of([(1, "x\nour own TERMS!")]), known).collect()
+    assert (row.licenses, row.n_matching_lines) == ("Own", 1)
+
+
+def test_digests_are_joined_without_python(docs_of, spark):
+    plan = matches(docs_of([(1, "x")]), known_digests(spark))._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in plan and "Python" not in plan and "Arrow" not in plan

@@ -1,0 +1,98 @@
+"""The pipeline against a plain version, and the queries against their SQL."""
+
+import math
+import re
+
+import duckdb
+import numpy as np
+import pytest
+
+import __spark_entry__ as entry_points
+import corpus_pipeline
+from tests.conftest import SF_DIR
+from tests.llm.test_quality import by_hand as measures
+from tests.llm.test_simhash import by_hand as fingerprint
+from tests.llm.test_simhash import components_by_hand
+from vedrina.llm import queries
+from vedrina.llm.pieces import load
+from vedrina.llm.sentencepiece import decode_ids
+from vedrina.llm.sql import MIXING_SQL
+
+SMALL = "/root/testdata/sf0.001"
+
+
+def good(text):
+    n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words = measures(text)
+    lines = sum(bool(re.search(r"[^\x20\x09-\x0D]", line)) for line in text.split("\n"))
+    capitals, letters = sum(c.isupper() for c in text), sum(c.isalpha() for c in text)
+    return not (
+        n_words < 50 or n_repeat_words * 100 > n_words * 50 or n_symbols * 10 > n_words * 3 or n_dup_lines * 10 > lines * 6
+        or word_chars < 2 * n_words or word_chars > 20 * n_words or capitals * 2 > letters
+    )
+
+
+def stages_by_hand(rows):
+    """The ids that each stage keeps, with how often."""
+    kept = [row for row in rows if good(row.text or "")]
+    yield sorted(row.doc_id for row in kept)
+    last = {row.text: row for row in sorted(kept, key=lambda row: row.doc_id)}
+    kept = sorted(last.values(), key=lambda row: row.doc_id)
+    yield [row.doc_id for row in kept]
+    fps = {row.doc_id: fingerprint(row.text) for row in kept}
+    component = components_by_hand(sorted(fps), lambda a, b: (fps[a] ^ fps[b]).bit_count() <= 2)
+    kept = [row for row in kept if component[row.doc_id] == row.doc_id]
+    yield [row.doc_id for row in kept]
+    connection = duckdb.connect()
+    connection.execute("CREATE TABLE documents (doc_id BIGINT, text VARCHAR, source VARCHAR)")
+    connection.executemany("INSERT INTO documents VALUES (?, ?, ?)", [(row.doc_id, row.text, row.source) for row in kept])
+    taken = connection.execute(f"SELECT doc_id, size, taken FROM ({MIXING_SQL})").fetchall()
+    yield sorted(id for id, size, n in taken for _ in range(math.floor(n / size + 0.5)))
+
+
+def test_stages(spark):
+    docs = spark.read.parquet(f"{SMALL}/documents.parquet")
+    rows = docs.collect()
+    texts = {row.doc_id: row.text for row in rows}
+    columns = docs.columns
+    for (name, stage), expected in zip(corpus_pipeline.STAGES, stages_by_hand(rows)):
+        docs = stage(spark, docs, SMALL)
+        assert docs.columns == columns, name
+        assert sorted(row.doc_id for row in docs.collect()) == expected, name
+    tokens = corpus_pipeline.STAGES[-1][1](spark, docs, SMALL).collect()
+    assert sorted(row.doc_id for row in tokens) == expected
+    assert all(decode_ids(load(), np.array(row.ids)) == texts[row.doc_id] for row in tokens)
+    whole = corpus_pipeline.run(spark, SMALL)
+    assert sorted(map(str, whole.collect())) == sorted(map(str, tokens))
+
+
+def test_stages_on_awkward_and_empty_documents(spark, awkward, empty):
+    for docs in (awkward, empty):
+        columns = docs.columns
+        for name, stage in corpus_pipeline.STAGES[:-1]:
+            docs = stage(spark, docs, SMALL)
+            assert docs.columns == columns, name
+        assert corpus_pipeline.STAGES[-1][1](spark, docs, SMALL).count() == docs.count()
+
+
+def test_registered():
+    names = list(queries.QUERIES)
+    assert [name.split("_")[0] for name in names] == [f"op{n}" for n in range(1, 11)]
+    assert set(names) | {"pipeline"} <= set(entry_points.queries())
+    assert set(queries.ORACLE_SQL) <= set(names)
+
+
+@pytest.mark.parametrize("name", list(queries.ORACLE_SQL))
+def test_query_equals_sql(spark, name):
+    connection = duckdb.connect()
+    connection.execute(f"CREATE VIEW documents AS SELECT * FROM '{SF_DIR}/documents.parquet'")
+    expected = connection.sql(queries.ORACLE_SQL[name])
+    frame = queries.QUERIES[name](spark, SF_DIR)
+    assert sorted(frame.columns) == sorted(expected.columns)
+    ours = sorted(map(tuple, frame.select(*expected.columns).collect()))
+    assert ours == sorted(expected.fetchall())
+
+
+@pytest.mark.parametrize("name, rows", [("op1_token_counts", 1000), ("op5_sentencepiece", 1000), ("op10_simhash", 1000), ("op8_toxicity", 1000)])
+def test_one_row_per_document(spark, name, rows):
+    frame = queries.QUERIES[name](spark, SF_DIR)
+    assert frame.count() == frame.select("doc_id").distinct().count() == rows

@@ -1,0 +1,92 @@
+import re
+from collections import Counter
+
+import pytest
+from pyspark.sql import functions as F
+
+from vedrina.llm import quality
+from vedrina.llm.quality import RULES, estimate, first_broken, good_documents, quality_cascade, with_measures
+
+WORD = re.compile(r"[^\x20\x09-\x0D]+")
+
+
+def by_hand(text):
+    text = text or ""
+    words = WORD.findall(text)
+    lines = [line for line in text.split("\n") if WORD.search(line)]
+    spans = [tuple(words[i : i + 3]) for i in range(len(words) - 2)]
+    often = Counter(spans)
+    covered = {i + k for i, span in enumerate(spans) if often[span] > 1 for k in range(3)}
+    return (
+        len(words), sum(map(len, words)), sum(c in "#*$%&|<>" for c in text), len(lines) - len(set(lines)), len(covered),
+    )
+
+
+TEXTS = [
+    "a b c a b c", "a b c d a b c", "a a a a", "a a a", "a b", "", None, "x\nx\n\nx \n x\n", "# a *b $c %d &e |f <g> h", "a b c x a b c y b c x z",
+    "a\vb\fc\rd\te", "ä ö ü ä ö ü 𝔘", " ".join(["the cat sat on the mat"] * 30), "one two three four five one two three four six two three four five",
+]
+
+
+def test_measures(docs_of):
+    rows = list(enumerate(TEXTS))
+    found = {row.doc_id: row for row in with_measures(docs_of(rows)).collect()}
+    for n, text in rows:
+        row = found[n]
+        assert (row.n_words, row.word_chars, row.n_symbols, row.n_dup_lines, row.n_repeat_words) == by_hand(text), text
+
+
+def test_awkward_rows(awkward):
+    measured = with_measures(awkward)
+    assert measured.columns.count("n_words") == 1 and measured.count() == awkward.count()
+    for row in measured.collect():
+        assert (row.n_words, row.word_chars, row.n_symbols, row.n_dup_lines, row.n_repeat_words) == by_hand(row.text)
+    judged = {(row.doc_id, row.text): row.broken_rule for row in quality_cascade(awkward).collect()}
+    assert judged[(2, None)] == judged[(3, "")] == "few_words" and judged[(9, "a" * 5000)] == "few_words"
+    good = good_documents(awkward)
+    assert good.columns == awkward.columns
+    # Repeated rows stay repeated; the long text repeats itself.
+    assert sorted(row.doc_id or 0 for row in good.collect()) == [0, 1, 5, 6, 6]
+
+
+def test_no_rows(empty):
+    assert quality_cascade(empty).count() == 0 and good_documents(empty).columns == empty.columns
+
+
+JUNK = {
+    "few_words": "too short",
+    "repeats": "buy now and save today " * 30,
+    "symbols": " ".join(f"w{n}###" for n in range(80)),
+    "duplicate_lines": "\n".join(f"line {n % 7} {'abcdefg'[n % 7]}" for n in range(60)) + "".join(f" w{n} x{n}" for n in range(150)),
+    "word_length": " ".join(f"{n % 10}" if n % 2 else chr(97 + n % 26) for n in range(90)),
+    "shouting": " ".join(f"WORD{n} LOUD{n * 7}" for n in range(60)),
+}
+
+
+@pytest.mark.parametrize("name", list(JUNK))
+def test_each_rule(docs_of, name):
+    rule = next(rule for rule in RULES if rule.name == name)
+    docs = docs_of([(1, JUNK[name]), (2, " ".join(f"word{n} other{n * 3}," for n in range(60)))])
+    found = {row.doc_id: row.b for row in docs.select("doc_id", first_broken([rule]).alias("b")).collect()}
+    assert found == {1: name, 2: None}
+
+
+def test_order_changes_no_verdict(docs_of, prose):
+    docs = docs_of([(n, prose(n * 7 % 200, n) + JUNK["symbols"] * (n % 2)) for n in range(40)])
+    one = {row.doc_id: row.b is None for row in docs.select("doc_id", first_broken(RULES).alias("b")).collect()}
+    other = {row.doc_id: row.b is None for row in docs.select("doc_id", first_broken(RULES[::-1]).alias("b")).collect()}
+    assert one == other and set(one.values()) == {True, False}
+
+
+def test_rules_go_by_rejection_per_cost(docs_of, prose):
+    docs = docs_of([(n, prose(10, n)) for n in range(30)])
+    never = quality.Rule("never", lambda text, words: F.length(text) < 0)
+    found = estimate(docs, [never, *RULES])
+    assert [e.worth for e in found] == sorted((e.worth for e in found), reverse=True)
+    assert found[0].rejected > 0 and {e.rule.name: e.rejected for e in found}["never"] == 0
+    assert {e.rule.name: e.rejected for e in found}["few_words"] == 1
+
+
+def test_no_python_in_the_plan(docs_of, prose):
+    plan = with_measures(quality_cascade(docs_of([(1, prose(60, 1))])))._jdf.queryExecution().toString()
+    assert "Python" not in plan and "Arrow" not in plan and "Pandas" not in plan

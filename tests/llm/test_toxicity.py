@@ -1,0 +1,107 @@
+import pytest
+from pyspark.sql import functions as F
+
+from tests.conftest import SF_DIR
+from vedrina.llm import toxicity
+from vedrina.llm.queries import toxic
+from vedrina.llm.toxicity import Lexicon, folded_words, learn, phrase_key, rate_of, scored
+
+
+@pytest.mark.parametrize(
+    "text, words",
+    [
+        ("You IDIOT!", ["you", "idiot"]), ("1d10t", ["idiot"]), ("id​iot", ["idiot"]), ("іdіоt", ["idiot"]), ("ｉｄｉｏｔ", ["idiot"]), ("$tupid", ["stupid"]),
+        ("455 and 1.5", ["455", "and", "1", "5"]), ("stup!d, l0ser", ["stupid", "loser"]), ("", []), (None, []), ("###", []), ("the%%% end$$$", ["the", "end"]),
+        ("chón", ["chón"]), ("@ss", ["ass"]), ("véqu", ["véqu"]),
+    ],
+)
+def test_folding(text, words):
+    assert folded_words(text) == words
+
+
+LEXICON = Lexicon({" idiot ": 5.0, " trash ": 4.0, " vequ": 3.0}, (phrase_key("Trash can"),), 2.0, -2.0)
+
+
+@pytest.mark.parametrize(
+    "text, weight",
+    [
+        ("an idiot", 5), ("idiotic", 0), ("trash", 4), ("the trash can", 0), ("trash cannot", 4), ("trash can and trash", 4), ("vequais vequ", 6), ("xvequ", 0),
+        ("1D10T trash", 9), ("", 0), ("idiot idiot idiot", 15),
+    ],
+)
+def test_matches(text, weight):
+    import math
+
+    words = folded_words(text)
+    assert rate_of(words, LEXICON.automaton()) == pytest.approx(weight / math.log(math.e + len(words)) if words else 0)
+
+
+def test_longer_texts_have_lower_scores():
+    automaton = LEXICON.automaton()
+    rates = [rate_of(folded_words("idiot " + "word " * n), automaton) for n in (1, 10, 100, 1000)]
+    assert rates == sorted(rates, reverse=True) and rates[-1] > 0
+
+
+def labelled(docs_of, spark, prose, n=240):
+    """A third is toxic: bad words in any place, words with a bad beginning, and one passage that copies share."""
+    import random
+
+    dice = random.Random(3)
+    rows, marks, vocabulary = [], [], [a + b for a in "ba de fi go lu".split() for b in "na pe ri so tu mel kor van".split()]
+    for k in range(n):
+        words = prose(60, k, vocabulary).split()
+        bad = k % 3 == 0
+        if bad:
+            for _ in range(4):
+                words.insert(dice.randrange(len(words)), dice.choice(["gruff", "zorble" + dice.choice(["ta", "to", "mi", "ru", "ke"])]))
+            if k % 2:
+                words += "only copies have this passage here".split()
+        rows.append((k, " ".join(words)))
+        marks.append((k, int(bad)))
+    return docs_of(rows), spark.createDataFrame(marks + [(None, 1), (5000, None), (7, 0)], "doc_id bigint, toxic int"), marks
+
+
+def test_learned_lexicon(docs_of, spark, prose):
+    docs, labels, marks = labelled(docs_of, spark, prose)
+    lexicon = learn(docs, labels, F.col("doc_id") % 4 != 1)
+    assert set(lexicon.weights) == {" gruff ", " zorble"}
+    found = {row.doc_id: row.score for row in scored(docs, lexicon).collect()}
+    assert len(found) == len(marks) and all(0 <= score <= 1 for score in found.values())
+    assert all((found[id] >= 0.7) == bool(bad) for id, bad in marks)
+    hidden = docs_of([(1, prose(60, 1) + " ZORBL3xx gr​uff"), (2, prose(60, 2)), (3, None), (4, "")])
+    scores = {row.doc_id: row.score for row in scored(hidden, lexicon).collect()}
+    assert scores[1] >= 0.7 > scores[2] and scores[3] == scores[4] == min(scores.values())
+
+
+def test_sample_is_bounded_and_does_not_depend_on_the_order(docs_of, spark, prose):
+    docs, labels, _ = labelled(docs_of, spark, prose)
+    samples = [toxicity.training_sample(d, l, F.lit(True), 20, "doc_id", "text").groupBy("toxic").count().collect()
+               for d, l in ((docs, labels), (docs.repartition(5), labels.repartition(3)))]
+    assert samples[0] and sorted(samples[0]) == sorted(samples[1]) and all(row["count"] <= 20 for row in samples[0])
+
+
+def test_without_labels_of_both_kinds(docs_of, spark, prose):
+    docs, labels, _ = labelled(docs_of, spark, prose)
+    for some in (labels.filter("toxic = 0"), labels.filter("toxic = 1"), labels.limit(0)):
+        lexicon = learn(docs, some, F.lit(True))
+        assert not lexicon.weights
+        assert {row.score for row in scored(docs, lexicon).collect()} == {0.0}
+
+
+def test_awkward_rows(awkward, spark):
+    labels = spark.createDataFrame([(1, 1), (6, 0), (None, 1)], "doc_id bigint, toxic int")
+    found = scored(awkward, learn(awkward, labels, F.lit(True)))
+    assert found.columns == ["doc_id", "score"] and found.count() == awkward.count()
+    assert scored(awkward, LEXICON).count() == awkward.count()
+
+
+def test_no_rows(empty, spark):
+    labels = spark.createDataFrame([], "doc_id bigint, toxic int")
+    assert scored(empty, learn(empty, labels, F.lit(True))).count() == 0
+    assert scored(empty, LEXICON).count() == 0
+
+
+def test_held_out_accuracy(spark):
+    found = toxic(spark, SF_DIR).join(spark.read.parquet(f"{SF_DIR}/labels.parquet"), "doc_id").filter("held_out").collect()
+    bad, good = [r for r in found if r.toxic], [r for r in found if not r.toxic]
+    assert sum(r.predicted for r in bad) >= 0.8 * len(bad) and sum(r.predicted for r in good) <= 0.02 * len(good)
