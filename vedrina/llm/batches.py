@@ -9,7 +9,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 
 # A part has about this many bytes of text, or one longer text.
-PART_BYTES = 4 << 20
+PART_BYTES = 1 << 20
 
 
 def parts(batches: Iterator[pa.RecordBatch], text: int, most: int = PART_BYTES) -> Iterator[pa.RecordBatch]:
