@@ -54,7 +54,9 @@ STEPS, RATE = 60, 0.1
 # A block of documents has about this many bytes of text or one longer text, and at most so many documents.
 BLOCK_BYTES, BLOCK_ROWS = 12 << 20, 50_000
 # A bucket has the words that fall to it in about this many bytes of text.
-BUCKET_BYTES, LEAST_BUCKETS = 64 << 20, 32
+BUCKET_BYTES, LEAST_BUCKETS = 64 << 20, 128
+# Tokens scored at once (or those of one longer document).
+SCORED = 1 << 18
 
 
 def words_of(text: str | None) -> list[bytes]:
@@ -95,6 +97,15 @@ def _numbered(texts: list[str | None]) -> tuple[list[bytes], np.ndarray, np.ndar
 # --- blocks and buckets -------------------------------------------------------------------------
 
 
+def _planes(numbers: np.ndarray) -> bytes:
+    """Small numbers, first bytes first: the planes of high bytes are nearly empty and compress well."""
+    return np.ascontiguousarray(numbers.astype("<i4").view(np.uint8).reshape(-1, 4).T).tobytes()
+
+
+def _from_planes(raw: bytes) -> np.ndarray:
+    return np.ascontiguousarray(np.frombuffer(raw, np.uint8).reshape(4, -1).T).view("<i4").ravel()
+
+
 class _Block:
     """Documents whose words are numbered together."""
 
@@ -120,8 +131,9 @@ class _Block:
         self.rows += part.num_rows
 
     def packed(self, block: int, buckets: int) -> pa.RecordBatch:
-        """One row (bucket -1) with the documents and their words by number, and one for each bucket that has words, with these
-        and their counts in documents that are not held out. Numbers go by bucket."""
+        """One row (bucket -1) with the documents, their words by number (in order of appearance, so that frequent words have
+        small ones) and the place of each number in the order by bucket; and one row for each bucket that has words, with
+        these and their counts in documents that are not held out."""
         which, sizes = np.concatenate(self.which), np.concatenate(self.sizes)
         held_out = pa.concat_arrays(self.held_out)
         teaches = ~held_out.to_numpy(zero_copy_only=False).astype(bool)
@@ -145,8 +157,8 @@ class _Block:
             [
                 pa.array(np.full(n + 1, block)),
                 pa.array(np.concatenate([[-1], bucket[heads]])),
-                pa.array([None, *packed], pa.binary()),
-                pa.array([place[which].astype("<i4").tobytes(), *numbers], pa.binary()),
+                pa.array([_planes(place), *packed], pa.binary()),
+                pa.array([_planes(which), *numbers], pa.binary()),
                 pa.concat_arrays([listed, pa.nulls(n, listed.type)]),
             ],
             ["block", "bucket", "words", "numbers", "documents"],
@@ -181,7 +193,8 @@ def _buckets(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, list[tupl
     """Rows (block, bucket, words, numbers), sorted by bucket, as buckets with their blocks' words and counts."""
     current, found = -1, []
     for batch in batches:
-        for block, bucket, words, numbers in zip(*(column.to_pylist() for column in batch.columns)):
+        for row in range(batch.num_rows):
+            block, bucket, words, numbers = (column[row].as_py() for column in batch.columns)
             if bucket != current:
                 if found:
                     yield current, found
@@ -409,48 +422,58 @@ def _sums(values: np.ndarray, cuts: np.ndarray) -> np.ndarray:
     return np.add.reduceat(values, cuts[:-1]) if len(cuts) > 1 else values[:0]
 
 
-def _scored(documents: pa.StructArray, which: np.ndarray, answers: np.ndarray, model: dict) -> pa.RecordBatch:
-    """The rows of a block. ``answers``: count and class of each of its words by number."""
+def _scored(
+    documents: pa.StructArray, which: np.ndarray, counts: np.ndarray, classes: np.ndarray, model: dict
+) -> Iterator[pa.RecordBatch]:
+    """The rows of a block, some at a time. ``counts`` and ``classes`` of its words by number."""
     ids, held_out, sizes = documents.flatten()
     sizes = sizes.to_numpy().astype(np.int64)
-    count_of, class_of = answers[:, 0], answers[:, 1]
-    context, token = _with_ends(class_of[which], sizes)
-    cuts = np.concatenate([[0], np.cumsum(sizes + 1)])
-    is_word = np.ones(len(token), bool)
-    is_word[cuts[1:] - 1] = False
-    c = np.full(len(token), model["ends"], np.int64)
-    c[is_word] = count_of[which]
-    log_c = np.log10(c + 1.0)
-    # A word that is a class of its own is sure once its class is.
-    in_class = np.where(token > FREQUENT, log_c - model["divisors"][token], 0.0)
-    return pa.RecordBatch.from_arrays(
-        [
-            ids,
-            held_out,
-            pa.array(sizes + 1),
-            pa.array(_sums((c > 0).astype(np.int64), cuts)),
-            pa.array(_sums(log_c, cuts)),
-            pa.array(_sums(model["table"][context, token] + in_class, cuts)),
-        ],
-        ["id", "held_out", "n_tokens", "n_known", "log_counts", "score"],
-    )
+    ends = np.cumsum(sizes)
+    parts = np.concatenate([[0], np.flatnonzero(np.diff(ends // SCORED)) + 1, [len(sizes)]])
+    for low, high in zip(parts[:-1].tolist(), parts[1:].tolist()):
+        words = which[ends[low] - sizes[low] : ends[high - 1]]
+        context, token = _with_ends(classes[words], sizes[low:high])
+        cuts = np.concatenate([[0], np.cumsum(sizes[low:high] + 1)])
+        is_word = np.ones(len(token), bool)
+        is_word[cuts[1:] - 1] = False
+        c = np.full(len(token), model["ends"], np.int64)
+        c[is_word] = counts[words]
+        log_c = np.log10(c + 1.0)
+        # A word that is a class of its own is sure once its class is.
+        in_class = np.where(token > FREQUENT, log_c - model["divisors"][token], 0.0)
+        yield pa.RecordBatch.from_arrays(
+            [
+                ids.slice(low, high - low),
+                held_out.slice(low, high - low),
+                pa.array(sizes[low:high] + 1),
+                pa.array(_sums((c > 0).astype(np.int64), cuts)),
+                pa.array(_sums(log_c, cuts)),
+                pa.array(_sums(model["table"][context, token] + in_class, cuts)),
+            ],
+            ["id", "held_out", "n_tokens", "n_known", "log_counts", "score"],
+        )
 
 
 def _score_blocks(fields: Broadcast):
     def of_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """Rows come sorted by block and bucket: a block's documents, then the answers."""
-        documents, which, answers = None, None, []
+        """Rows (bucket, words, numbers, documents) come sorted by block and bucket: a block's documents, then the answers."""
+        documents, which, place, answers = None, None, None, []
+
+        def done() -> Iterator[pa.RecordBatch]:
+            found = np.concatenate(answers)
+            return _scored(documents, which, found[place, 0], found[place, 1], fields.value)
+
         for batch in batches:
-            for row, bucket in enumerate(batch.column(0).to_pylist()):
-                if bucket < 0:
+            for row in range(batch.num_rows):
+                if batch.column(0)[row].as_py() < 0:
                     if documents is not None:
-                        yield _scored(documents, which, np.concatenate(answers), fields.value)
-                    documents = batch.column(2).slice(row, 1).flatten()
-                    which, answers = np.frombuffer(batch.column(1)[row].as_py(), "<i4"), []
+                        yield from done()
+                    documents, answers = batch.column(3).slice(row, 1).flatten(), []
+                    place, which = (_from_planes(batch.column(k)[row].as_py()) for k in (1, 2))
                 else:
-                    answers.append(np.frombuffer(batch.column(1)[row].as_py(), "<i8").reshape(-1, 2))
+                    answers.append(np.frombuffer(batch.column(2)[row].as_py(), "<i8").reshape(-1, 2))
         if documents is not None:
-            yield _scored(documents, which, np.concatenate(answers), fields.value)
+            yield from done()
 
     return of_batches
 
@@ -474,8 +497,8 @@ def lm_scores(docs: DataFrame, held_out: Column, id: str = "doc_id", text: str =
         {"table": probability_table(model), "ends": int(tokens[0]), "divisors": np.log10(tokens + words + 1.0)}
     )
     answered = _by_bucket(blocks).mapInArrow(_answer_buckets(classes), "block bigint, bucket bigint, numbers binary")
-    gathered = blocks.filter("bucket < 0").select("block", "bucket", "numbers", "documents").unionByName(answered, allowMissingColumns=True)
-    gathered = gathered.repartition("block").sortWithinPartitions("block", "bucket").select("bucket", "numbers", "documents")
+    gathered = blocks.filter("bucket < 0").unionByName(answered, allowMissingColumns=True)
+    gathered = gathered.repartition("block").sortWithinPartitions("block", "bucket").select("bucket", "words", "numbers", "documents")
     kind = rows.schema["id"].dataType.simpleString()
     scores = gathered.mapInArrow(
         _score_blocks(fields), f"id {kind}, held_out boolean, n_tokens bigint, n_known bigint, log_counts double, score double"
