@@ -334,6 +334,8 @@ def _wide_input(spark: SparkSession, sf_dir: str) -> DataFrame:
     places = nation.join(region, F.col("n_regionkey") == F.col("r_regionkey"))
     suppliers = table(spark, sf_dir, "supplier").join(places, F.col("s_nationkey") == F.col("n_nationkey"))
     items = table(spark, sf_dir, "lineitem").join(suppliers, F.col("l_suppkey") == F.col("s_suppkey"))
+    # The check table is one file with one row group, which one task would parse.
+    items = items.repartition(spark.sparkContext.defaultParallelism)
     seconds = to_epoch(F.col("l_shipdate"))
     wide = items.select(
         "l_orderkey",
@@ -378,8 +380,8 @@ def wide_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     messages = messages.withColumn("value", F.when(F.col("cut"), F.expr("left(value, 40)")).otherwise(F.col("value")))
     target, aside, state = (new_path(spark, name) for name in ("wide-table", "wide-aside", "wide-state"))
     for run_id in (0, 0):
-        wide_job(messages, target, aside, state, run_id)
-    wide_job(messages.filter("l_returnflag = 'A'"), target, aside, state, 1)
+        wide_job(messages, target, aside, state, run_id, period="month")
+    wide_job(messages.filter("l_returnflag = 'A'"), target, aside, state, 1, period="month")
     stored = read_wide(spark, target).groupBy(F.col("country").alias("name")).agg(
         F.count("*").alias("n_rows"), F.countDistinct("id").alias("n_ids")
     )

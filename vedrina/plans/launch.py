@@ -53,6 +53,7 @@ def parser() -> argparse.ArgumentParser:
 
     made = command("wide", "messages in text files into the wide table", "messages", "table", "quarantine", "state")
     made.add_argument("--run-id", type=int)
+    made.add_argument("--period", default="day", choices=["day", "week", "month", "quarter", "year"])
 
     made = command("report", "the daily extremes", "observations", "report", "state")
     made.add_argument("--dates", nargs=2, metavar=("FIRST", "LAST"))
@@ -84,7 +85,8 @@ def run(spark: SparkSession, arguments: Sequence[str]) -> None:
     elif given.job == "landing":
         jobs.landing_job(spark, given.landing, given.table, given.quarantine, given.state, given.run_id, dates)
     elif given.job == "wide":
-        jobs.wide_job(spark.read.text(given.messages, lineSep="\n"), given.table, given.quarantine, given.state, given.run_id)
+        messages = spark.read.text(given.messages, lineSep="\n")
+        jobs.wide_job(messages, given.table, given.quarantine, given.state, given.run_id, period=given.period)
     elif given.job == "report":
         observations = read_landing(spark, given.observations, OBSERVATIONS, "parquet")
         jobs.daily_extremes_job(

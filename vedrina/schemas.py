@@ -91,10 +91,10 @@ WIDE_TABLE = [
     ("gust_kph", "decimal(5,2)"),
 ]
 WIDE_NATURAL_KEY = ["city", "last_updated_epoch"]
-# As stored, with the day that names the directory.
-WIDE_DAY = "day"
+# As stored, with the first day of the period that names the directory.
+WIDE_PERIOD = "period"
 WIDE_STORED = ", ".join(
-    f"{name} {'string' if kind.startswith('varchar') else kind}" for name, kind in [*WIDE_TABLE, (WIDE_DAY, "date")]
+    f"{name} {'string' if kind.startswith('varchar') else kind}" for name, kind in [*WIDE_TABLE, (WIDE_PERIOD, "date")]
 )
 
 # Countries the daily report covers.
