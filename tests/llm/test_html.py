@@ -96,6 +96,20 @@ def test_innermost_hint_counts():
     assert [said[block.element] for block in blocks] == [1, -1, 1, -1, 0]
 
 
+@pytest.mark.parametrize(
+    "page, said",
+    [
+        ('<div class="comments"><div class="body">x</div></div>', -1), ("<aside><article>x</article></aside>", -1), ("<form><main>x</main></form>", 1),
+        ('<form class="search"><div class="content">x</div></form>', 1), ('<div class="wrap with-sidebar"><div class="entry">x</div></div>', 1),
+        ('<div class="with-sidebar">x</div>', 0), ('<footer><div class="text-center">x</div></footer>', -1), ('<div class="text-center">x</div>', 0),
+        ('<div id="post-comments">x</div>', -1), ('<section role="contentinfo">x</section>', -1), ("<p>x</p>", 0),
+    ],
+)
+def test_what_elements_say(page, said):
+    elements, blocks = parse(page)
+    assert hints(elements)[blocks[0].element] == said
+
+
 def test_many_blocks():
     page = "<article>" + "".join(f"<p>Line {n} of a very long article.</p>" for n in range(20_000)) + "</article>"
     assert main_text(page, PRIOR).count("\n") == 19_999

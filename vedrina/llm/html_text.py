@@ -5,7 +5,7 @@ terminals; edges between neighbours in page order and between neighbours under o
 closer the blocks are in the tree, make a change of label cost. The minimum cut labels all blocks at once.
 
 The classifier is logistic. What an element's name, class or id says counts with a fixed weight, the innermost that says
-anything; the weights of the text itself (length, links, punctuation and so on) begin at documented values and are
+anything, but inside boilerplate all is boilerplate (a form may hold the whole page, so content in it counts); the weights of the text itself (length, links, punctuation and so on) begin at documented values and are
 fitted on the blocks of a bounded sample of pages whose own elements tell the label.
 
 Defined results: a null or empty page has an empty text. Nothing is cut off: all blocks with the label content
@@ -50,6 +50,8 @@ NEXT, SIBLING = 0.8, 0.5
 
 _MARK = re.compile(r"[a-z]+")
 _PARTS = re.compile(r"[\s_]+")
+# Marks of a wrapper that tell what the page has besides, as in "with-sidebar".
+_BESIDES = ("no-", "has-", "with-", "without-", "is-", "text-")
 
 
 def hint_of(element: Element) -> int:
@@ -60,23 +62,24 @@ def hint_of(element: Element) -> int:
         return -1
     marks = set()
     for mark in _PARTS.split(element.marks):
-        marks.add(mark)
-        marks.update(_MARK.findall(mark))
+        if not mark.startswith(_BESIDES):
+            marks.add(mark)
+            marks.update(_MARK.findall(mark))
     if marks & BOILER_MARKS and element.name not in CONTENT_NAMES:
         return -1
     return 1 if element.name in CONTENT_NAMES or marks & CONTENT_MARKS else 0
 
 
 def hints(elements: list[Element]) -> list[int]:
-    """For each element what the innermost of it and those around it says. A header inside an article that
-    says nothing else belongs to the article."""
-    found = [0] * len(elements)
-    for number, element in enumerate(elements):
-        own = hint_of(element) if number else 0
-        around = found[element.parent] if number else 0
+    """For each element what it and those around it say: -1 inside any that is boilerplate by itself, else what the innermost
+    says. A header inside an article that says nothing else belongs to the article."""
+    found, final = [0] * len(elements), [False] * len(elements)
+    for number, element in enumerate(elements[1:], 1):
+        own, around = hint_of(element), found[element.parent]
         if element.name == "header" and around == 1 and not element.marks:
             own = 0
-        found[number] = own or around
+        final[number] = final[element.parent] or (own == -1 and element.name != "form")
+        found[number] = -1 if final[number] else own or around
     return found
 
 
