@@ -114,5 +114,14 @@ def test_awkward_rows(awkward):
     assert {row.taken for row in mixture(awkward).collect()} == {"own"}
 
 
+def test_documents_without_ids_are_spread(docs_of, prose):
+    docs = docs_of([(None, prose(40, k)) for k in range(200)])
+    found = sorted(row.taken for row in mixed(docs, shard_words=300).collect())
+    assert found == sorted(row.taken for row in mixed(docs.repartition(7), shard_words=300).collect())
+    shards = docs.select(F.pmod(F.conv(F.substring(mixing._hash("doc_id", "text", 0), 1, 8), 16, 10).cast("bigint"), F.lit(8)))
+    assert shards.distinct().count() == 8
+    assert mixture(docs).count() > 200
+
+
 def test_no_rows(empty):
     assert mixed(empty).count() == 0 and mixture(empty).count() == 0

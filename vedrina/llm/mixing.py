@@ -10,10 +10,10 @@
    takes all blocks as often as it can and then the first ones in that order, so all but one document of
    a shard are taken whole.
 
-Sources may be any number; only rows per source and per shard pass through single tasks, never documents.
+Sources may be any number: rows per source, and per shard of a source, pass through one task; documents go by shard.
 
-Defined results: a null text has no words; a null source is a source of its own, the last in order; a null id is
-hashed as the empty text. Rows that repeat an id follow one another. Documents without words are never
+Defined results: a null text has no words; a null source is a source of its own, the last in order; of a null id the
+text is hashed. Rows that repeat an id follow one another. Documents without words are never
 taken. An empty table gives an empty result. Reruns give the same rows, as only ids, sizes and the seed decide.
 """
 
@@ -90,9 +90,9 @@ def dealt(rows: DataFrame, group: list[str], weight: str, blocks: str, order: st
     return rows.join(won, [*group, order])
 
 
-def _hash(id: str, seed: int) -> Column:
-    """A hash of the id that splits into shards by its first digits and orders by the others."""
-    return F.md5(F.concat(F.lit(f"{seed}|"), F.coalesce(F.col(id).cast("string"), F.lit(""))))
+def _hash(id: str, text: str, seed: int) -> Column:
+    """A hash of the id (without one, of the text) that splits into shards by its first digits and orders by the others."""
+    return F.md5(F.concat(F.lit(f"{seed}|"), F.coalesce(F.col(id).cast("string"), F.md5(filled(text)))))
 
 
 def _shard(n_shards: Column) -> Column:
@@ -118,7 +118,7 @@ def _mix(
 ) -> Mix:
     spark = docs.sparkSession
     sized = docs.select(
-        F.col(id).alias("_id"), F.col(source).alias("_source"), F.size(words(text)).cast("bigint").alias("size"), _hash(id, seed).alias("_hash")
+        F.col(id).alias("_id"), F.col(source).alias("_source"), F.size(words(text)).cast("bigint").alias("size"), _hash(id, text, seed).alias("_hash")
     )
     sized = written(sized, new_path(spark, "mix-sizes"))
     sizes = sized.groupBy(F.col("_source").alias("source")).agg(F.sum("size").alias("source_size"))
@@ -198,7 +198,7 @@ def mixture(
     if cuts.count() <= BROADCAST_SHARDS:
         cuts = F.broadcast(cuts)
     sources = mix.quotas.select(F.col("source").alias("_source"), F.col("ordinal").alias("_ordinal_of"), "n_shards")
-    found = docs.filter(filled(text).rlike(WORD)).withColumn("_hash", _hash(id, seed))
+    found = docs.filter(filled(text).rlike(WORD)).withColumn("_hash", _hash(id, text, seed))
     found = found.join(sources.withColumnRenamed("n_shards", "_n_shards"), F.col(source).eqNullSafe(F.col("_source")))
     found = found.join(cuts, (F.col("_ordinal_of") == F.col("_ordinal")) & (_shard(F.col("_n_shards")) == F.col("_shard")))
     times = F.col("_times") + F.coalesce((_order() <= F.col("_cut")).cast("int"), F.lit(0))

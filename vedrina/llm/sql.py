@@ -47,7 +47,7 @@ FROM judged
 MIXING_SQL = rf"""
 WITH sized AS (
     SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), {_WORD})) AS size,
-           md5('0|' || coalesce(doc_id::VARCHAR, '')) AS h
+           md5('0|' || coalesce(doc_id::VARCHAR, md5(coalesce(text, '')))) AS h
     FROM documents
 ), sources AS (
     SELECT source, sum(size)::BIGINT AS source_size, row_number() OVER (ORDER BY source NULLS LAST) AS ordinal
