@@ -155,3 +155,39 @@ def test_sample_is_bounded(spark, monkeypatch):
     monkeypatch.setattr(html_text, "fitted", lambda rows, labels: seen.append(len(rows)) or PRIOR)
     learn(spark.read.parquet(f"{SF_DIR}/pages.parquet").withColumn("extra", F.lit(1)))
     assert seen == [7]
+
+
+LONG = "This is a paragraph of the article, and it says a few things about the matter at hand."
+
+
+@pytest.mark.parametrize(
+    "page",
+    [
+        '<div class="content-sidebar-wrap"><main class="content">{}</main></div>', '<div class="wrapper sidebar-right">{}</div>',
+        '<div class="post category-social">{}</div>', '<div id="legal"><article>{}</article></div>', '<div class="social"><main>{}</main></div>',
+        '<div id="legal"><div class="content">{}</div></div>', '<div id="sidebar-right"><article>{}</article></div>',
+    ],
+)
+def test_a_boilerplate_word_of_a_wrapper_does_not_lose_the_article(page):
+    page = page.format(f"<p>{LONG}</p><p>{LONG}</p>")
+    assert main_text(f"<body>{page}<footer><p>Imprint</p></footer></body>", PRIOR) == f"{LONG}\n{LONG}"
+
+
+@pytest.mark.parametrize(
+    "part",
+    [
+        '<div id="comments"><article class="comment-body"><p>Nice, thank you.</p></article></div>', '<div class="comments-area"><div class="comment-list"><p>Nice, thanks.</p></div></div>',
+        '<aside><article><p>{}</p></article></aside>', '<nav><main><p>{}</p></main></nav>', '<div class="related"><article><a>Read this one</a></article></div>',
+    ],
+)
+def test_boilerplate_besides_an_article_stays_out(part):
+    part = part.format(LONG)
+    assert main_text(f"<body><article><p>{LONG}</p></article>{part}</body>", PRIOR) == LONG
+    assert main_text(f"<body><article><p>{LONG}</p>{part}</article></body>", PRIOR) == LONG
+
+
+def test_text_and_neighbours_outweigh_a_mark():
+    long = " ".join([LONG] * 9)
+    page = f'<article><p>{long}</p><div class="promo"><p>{long}</p></div><p>{long}</p></article>'
+    assert main_text(page, PRIOR).count("\n") == 2
+    assert main_text(page.replace(f'promo"><p>{long}', 'promo"><p>Buy now!'), PRIOR).count("\n") == 1

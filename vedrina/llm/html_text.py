@@ -5,8 +5,11 @@ terminals; edges between neighbours in page order and between neighbours under o
 closer the blocks are in the tree, make a change of label cost. The minimum cut labels all blocks at once.
 
 The classifier is logistic. What an element's name, class or id says counts with a fixed weight, the innermost that says
-anything, but inside boilerplate all is boilerplate (a form may hold the whole page, so content in it counts); the weights of the text itself (length, links, punctuation and so on) begin at documented values and are
-fitted on the blocks of a bounded sample of pages whose own elements tell the label.
+anything. Inside an element that is boilerplate by its name all is boilerplate (a form may hold the whole page, so content in it
+counts). A class or id weighs less, so that text and neighbours can outweigh it, and an article or main inside overrides it; a
+boilerplate word counts only as the whole mark or its last word, and little as its first. The weights of the text itself
+(length, links, punctuation and so on) begin at documented values and are fitted on the blocks of a bounded sample of pages whose
+own elements tell the label.
 
 Defined results: a null or empty page has an empty text. Nothing is cut off: all blocks with the label content
 are joined by \\n in page order, whatever their number. Rows stay one to one with the input.
@@ -38,7 +41,10 @@ BOILER_MARKS = set(
     "hidden skip complementary contentinfo tags tagcloud byline author-bio".split()
 )
 CONTENT_MARKS = set("article articlebody content maincontent main post postbody entry story storybody body text page-content".split())
-HINT = 6.0
+# What a name or a content mark weighs, a boilerplate mark, and a mark that only begins with a boilerplate word.
+HINT, MARK_HINT, WEAK_HINT = 6.0, 4.0, 2.0
+# Marks of elements that hold other parts of the page.
+WRAPPERS = set("wrap wrapper container outer inner row grid layout page site".split())
 
 FEATURES = ["bias", "length", "links", "punctuation", "sentence", "list item", "heading", "few words"]
 # Where the fit begins, and stays if no page tells its labels.
@@ -50,37 +56,82 @@ NEXT, SIBLING = 0.8, 0.5
 
 _MARK = re.compile(r"[a-z]+")
 _PARTS = re.compile(r"[\s_]+")
-# Marks of a wrapper that tell what the page has besides, as in "with-sidebar".
-_BESIDES = ("no-", "has-", "with-", "without-", "is-", "text-")
+# Marks that tell what the page has besides, or how a post is filed, as in "with-sidebar" and "category-social".
+_BESIDES = ("no-", "has-", "with-", "without-", "is-", "text-", "category-", "cat-", "tag-", "type-", "format-", "layout-")
 
 
-def hint_of(element: Element) -> int:
-    """1: content, -1: boilerplate, 0: the element says nothing."""
-    if element.name in ("", "html", "body"):
-        return 0
-    if element.name in BOILER_NAMES:
-        return -1
-    marks = set()
+def mark_pull(element: Element) -> float:
+    """What the class, id and role say: above 0 for content, below for boilerplate."""
+    sure = weak = content = wrapper = False
     for mark in _PARTS.split(element.marks):
-        if not mark.startswith(_BESIDES):
-            marks.add(mark)
-            marks.update(_MARK.findall(mark))
-    if marks & BOILER_MARKS and element.name not in CONTENT_NAMES:
-        return -1
-    return 1 if element.name in CONTENT_NAMES or marks & CONTENT_MARKS else 0
+        words = _MARK.findall(mark)
+        if not words or mark.startswith(_BESIDES):
+            continue
+        if mark in BOILER_MARKS or words[-1] in BOILER_MARKS:
+            sure = True
+        elif words[0] in BOILER_MARKS:
+            weak = True
+        elif mark in CONTENT_MARKS or (CONTENT_MARKS.intersection(words) and not BOILER_MARKS.intersection(words)):
+            content = True
+        wrapper = wrapper or mark in WRAPPERS
+    if sure:
+        return -WEAK_HINT if content else -MARK_HINT
+    if content:
+        return HINT
+    return -WEAK_HINT if weak and not wrapper else 0.0
+
+
+def _pulls(elements: list[Element], elsewhere: bool) -> tuple[list[float], bool]:
+    """The pull of each element, and whether any content stands outside boilerplate. ``elsewhere``: it does."""
+    found = [0.0] * len(elements)
+    # Inside boilerplate by a mark (1), by a mark within content (2), by a name (3).
+    inside = [0] * len(elements)
+    any_open = False
+    for number, element in enumerate(elements[1:], 1):
+        around, within = found[element.parent], inside[element.parent]
+        name = element.name
+        if within == 3:
+            found[number], inside[number] = around, 3
+            continue
+        if name in BOILER_NAMES and not (name == "header" and around > 0 and not element.marks):
+            found[number], inside[number] = -HINT, within if name == "form" else 3
+            continue
+        own = mark_pull(element) if name not in ("html", "body") else 0.0
+        named = name in CONTENT_NAMES
+        if within:
+            found[number], inside[number] = around, within
+            if name == "main" and own >= 0:
+                found[number], inside[number], any_open = HINT, 0, True
+            elif named and own >= 0 and within == 1:
+                # The page's own article, or one besides it, of which its text decides.
+                found[number], inside[number] = (0.0, within) if elsewhere else (HINT, 0)
+            elif own > 0 and within == 1 and not elsewhere:
+                found[number] = max(around, -WEAK_HINT)
+            continue
+        if named or own > 0:
+            found[number], any_open = HINT, True
+        elif own <= -MARK_HINT:
+            found[number], inside[number] = min(own, around), 2 if around > 0 else 1
+        elif own < 0:
+            # Weak marks inside one another add up.
+            found[number] = min(around, max(min(around, 0.0) + own, -MARK_HINT))
+        else:
+            found[number] = around
+    return found, any_open
+
+
+def pulls(elements: list[Element]) -> list[float]:
+    """For each element what it and those around it say, as a gain: below 0 inside any that is boilerplate by name, else what
+    the innermost says. A main inside boilerplate by class or id is content, and so is an article unless the page has content
+    elsewhere (then its text decides) or the boilerplate is a part of the content (as comments are). A header inside an
+    article that says nothing else belongs to the article."""
+    found, elsewhere = _pulls(elements, True)
+    return found if elsewhere else _pulls(elements, False)[0]
 
 
 def hints(elements: list[Element]) -> list[int]:
-    """For each element what it and those around it say: -1 inside any that is boilerplate by itself, else what the innermost
-    says. A header inside an article that says nothing else belongs to the article."""
-    found, final = [0] * len(elements), [False] * len(elements)
-    for number, element in enumerate(elements[1:], 1):
-        own, around = hint_of(element), found[element.parent]
-        if element.name == "header" and around == 1 and not element.marks:
-            own = 0
-        final[number] = final[element.parent] or (own == -1 and element.name != "form")
-        found[number] = -1 if final[number] else own or around
-    return found
+    """For each element 1: content, -1: boilerplate, 0: nothing is said."""
+    return [(pull > 0) - (pull < 0) for pull in pulls(elements)]
 
 
 def features(elements: list[Element], block: Block) -> list[float]:
@@ -198,9 +249,9 @@ def main_text(page: str | None, weights: np.ndarray) -> str:
     elements, blocks = parse(page)
     if not blocks:
         return ""
-    said = hints(elements)
+    said = pulls(elements)
     scores = np.array([features(elements, b) for b in blocks]) @ weights
-    gain = [float(s) + HINT * said[b.element] for s, b in zip(scores, blocks)]
+    gain = [float(s) + said[b.element] for s, b in zip(scores, blocks)]
     labels = minimum_cut(gain, edges_of(elements, blocks))
     return "\n".join(b.text for b, content in zip(blocks, labels) if content)
 
@@ -214,8 +265,8 @@ def _labelled_blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBat
         rows, labels = [], []
         for page in part.column(0).to_pylist():
             elements, blocks = parse(page)
-            said = hints(elements)
-            told = [(b, said[b.element]) for b in blocks if said[b.element]]
+            said = pulls(elements)
+            told = [(b, 1 if said[b.element] > 0 else -1) for b in blocks if abs(said[b.element]) >= MARK_HINT]
             if len({label for _, label in told}) == 2:
                 rows += [features(elements, b) for b, _ in told]
                 labels += [label for _, label in told]
