@@ -105,3 +105,28 @@ def test_held_out_accuracy(spark):
     found = toxic(spark, SF_DIR).join(spark.read.parquet(f"{SF_DIR}/labels.parquet"), "doc_id").filter("held_out").collect()
     bad, good = [r for r in found if r.toxic], [r for r in found if not r.toxic]
     assert sum(r.predicted for r in bad) >= 0.8 * len(bad) and sum(r.predicted for r in good) <= 0.02 * len(good)
+
+
+def learned(docs_of, spark, texts):
+    """The lexicon from (text, toxic)."""
+    docs = docs_of([(k, text) for k, (text, _) in enumerate(texts)])
+    labels = spark.createDataFrame([(k, toxic) for k, (_, toxic) in enumerate(texts)], "doc_id bigint, toxic int")
+    return learn(docs, labels, F.lit(True))
+
+
+def test_set_phrases_are_counted_in_every_text(docs_of, spark, prose):
+    """A word behind one and the same word, a phrase of harmless words, and a passage that is copied."""
+    texts = []
+    for k in range(240):
+        one, two = prose(30, k), prose(30, 1000 + k)
+        bad = ["damned gruff", "bring ruin upon", "of copies that have this one passage"][k % 3]
+        texts += [(f"{one} {bad} {two}", 1), (f"{one} {two} damned if upon bring that and ruin", 0)]
+    weights = learned(docs_of, spark, texts).weights
+    assert " gruff " in weights and {" bring ruin ", " ruin upon "} <= set(weights)
+    assert not any(word in entry for entry in weights for word in ("copies", "passage", "have", "this", "alpha"))
+
+
+def test_the_least_count_does_not_rise_with_the_sample(docs_of, spark, prose):
+    """Forty places in 10,000 toxic texts."""
+    texts = [(prose(6, k) + (f" gruff {prose(5, k + 7)}" if k % 2 and k < 80 else f" n{k}"), k % 2) for k in range(20_000)]
+    assert " gruff " in learned(docs_of, spark, texts).weights
