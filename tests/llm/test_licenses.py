@@ -1,6 +1,9 @@
+import pathlib
+
 import pytest
 from pyspark.sql import functions as F
 
+from vedrina.llm import licenses
 from vedrina.llm.known_licenses import KNOWN
 from vedrina.llm.licenses import canonical, known_digests, license_scan, matches
 
@@ -67,3 +70,39 @@ def test_other_known_texts(spark, docs_of):
 def test_digests_are_joined_without_python(docs_of, spark):
     plan = matches(docs_of([(1, "x")]), known_digests(spark))._jdf.queryExecution().executedPlan().toString()
     assert "BroadcastHashJoin" in plan and "Python" not in plan and "Arrow" not in plan
+
+
+def test_entire_licenses(docs_of):
+    """The published texts, and the usual LICENSE files and file notices."""
+    folder = pathlib.Path(licenses.__file__).parent / "license_texts"
+    names = ["Apache-2.0", "GPL-2.0-only", "GPL-3.0-only", "LGPL-2.1-only", "MPL-2.0", "CC0-1.0", "LGPL-3.0-only", "Unlicense", "CC-BY-SA-4.0"]
+    texts = [(name, (folder / f"{name}.txt").read_text()) for name in names]
+    bsd = KNOWN["BSD-3-Clause"][1]
+    texts += [
+        ("GPL-3.0-only", texts[2][1].replace("\n\n", "\0").replace("\n", " ").replace("\0", "\n\n")), ("Apache-2.0", texts[0][1].split("   APPENDIX")[0]),
+        ("Apache-2.0", texts[0][1].replace("[yyyy] [name of copyright owner]", "2021 Someone")), ("MPL-2.0", " ".join(texts[4][1].split())),
+        ("BSD-3-Clause", "BSD 3-Clause License\n\nCopyright (c) 2020, X\nAll rights reserved.\n\n" + bsd),
+        ("BSD-3-Clause", bsd.replace("1. ", "* ").replace("2. ", "* ").replace("3. ", "* ")), ("Zlib", "zlib License\n\n(C) 2020 X\n\n" + KNOWN["Zlib"][1]),
+        ("GPL-2.0-or-later", GPL_NOTICE), ("GPL-3.0-or-later", GPL_NOTICE.replace("version 2", "version 3").replace("; you", ": you")),
+    ]
+    found = scan(docs_of, [text for _, text in texts] + [texts[2][1] + "\nand more", texts[0][1][:-400]])
+    assert all(found[n].is_license and name in found[n].licenses.split(",") for n, (name, _) in enumerate(texts))
+    assert not found[len(texts)].is_license and not found[len(texts) + 1].is_license
+
+
+GPL_NOTICE = """Copyright (C) 2020 Someone
+
+This program is free software; you can redistribute it and/or modify
+it under the terms of the GNU General Public License as published by
+the Free Software Foundation; either version 2 of the License, or
+(at your option) any later version.
+
+This program is distributed in the hope that it will be useful,
+but WITHOUT ANY WARRANTY; without even the implied warranty of
+MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE.  See the
+GNU General Public License for more details.
+
+You should have received a copy of the GNU General Public License along
+with this program; if not, write to the Free Software Foundation, Inc.,
+51 Franklin Street, Fifth Floor, Boston, MA 02110-1301 USA.
+"""

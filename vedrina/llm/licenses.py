@@ -15,6 +15,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from vedrina.llm.entire_licenses import entire
 from vedrina.llm.known_licenses import KNOWN, SPELLINGS
 from vedrina.llm.text import filled
 
@@ -37,13 +38,21 @@ def digest(text: Column, spellings: tuple[tuple[str, str], ...] = SPELLINGS) ->
     return F.sha2(canonical(text, spellings), 256)
 
 
-def known_digests(spark: SparkSession, known: dict[str, list[str]] = KNOWN) -> DataFrame:
-    """``digest`` and ``license`` of the known texts. Its size is that of the list, which the planner sees."""
-    rows = [(name, text) for name, texts in known.items() for text in texts]
+def _listed(spark: SparkSession, columns: str, rows: list[tuple[str, str]]) -> DataFrame:
     values = ", ".join(f"(:n{k}, :t{k})" for k in range(len(rows)))
     named = {f"n{k}": name for k, (name, _) in enumerate(rows)} | {f"t{k}": text for k, (_, text) in enumerate(rows)}
-    listed = spark.sql(f"SELECT * FROM VALUES {values} AS known(license, text)", named)
-    return listed.groupBy(digest(F.col("text")).alias("digest")).agg(F.min("license").alias("license"))
+    return spark.sql(f"SELECT * FROM VALUES {values} AS known({columns})", named)
+
+
+def known_digests(spark: SparkSession, known: dict[str, list[str]] | None = None) -> DataFrame:
+    """``digest`` and ``license`` of the known texts (those of ``known_licenses`` and ``entire_licenses`` unless others are
+    given). Its size is that of the list, which the planner sees: the digests are made first, and pass through the driver."""
+    listed = [known] if known is not None else [KNOWN, entire()]
+    rows = [(name, text) for names in listed for name, texts in names.items() for text in texts]
+    # A form that is all copyright lines would match every text of which nothing is left.
+    texts = _listed(spark, "license, text", rows).filter(canonical(F.col("text")) != "")
+    digests = texts.groupBy(digest(F.col("text")).alias("digest")).agg(F.min("license").alias("license"))
+    return _listed(spark, "license, digest", [(row["license"], row["digest"]) for row in digests.collect()]).select("digest", "license")
 
 
 def matches(docs: DataFrame, known: DataFrame, id: str = "doc_id", text: str = "text") -> DataFrame:
