@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vedrina.llm import exact_dedup, html_text, language_model, licenses, mixing, quality, simhash, toxicity
+from vedrina.llm import conversations, exact_dedup, html_text, language_model, licenses, mixing, quality, simhash, toxicity
 from vedrina.llm import sentencepiece as pieces_codec
 from vedrina.llm import token_counts as counts
 from vedrina.llm.sql import DEDUP_SQL, LICENSE_SQL, MIXING_SQL, QUALITY_SQL
@@ -74,6 +74,29 @@ def near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", fingerprint.alias("fingerprint"), "component_id")
 
 
+def repaired_conversations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = spark.read.parquet(f"{sf_dir}/conversations.parquet")
+    known = F.coalesce(F.col("conv_id").cast("string"), F.lit(" ")), F.coalesce(F.col("turn").cast("string"), F.lit(" "))
+    damage = F.pmod(F.crc32(F.concat_ws(":", *known)), F.lit(20))
+    role, text = F.coalesce("role", F.lit(" ")), F.coalesce("text", F.lit(" "))
+    damaged = rows.withColumn("damage", damage).filter("damage <> 0").select(
+        "conv_id", "turn",
+        F.when(F.col("damage") == 4, F.lit("user")).otherwise(role).alias("role"),
+        F.when(F.col("damage") == 1, F.lit("")).when(F.col("damage") == 2, F.translate(text, ".!?", "")).otherwise(text).alias("text"),
+        F.explode(F.array_repeat(F.lit(0), F.when(F.col("damage") == 3, 2).otherwise(1))).alias("copy"),
+    )
+    repair = conversations.repair(damaged)
+    counts = ("gaps", "blank", "duplicate", "truncated", "illegal", "cost")
+    found = rows.select("conv_id").distinct()
+    for side in (repair.conversations, conversations.digests(repair)):
+        side = side.withColumnRenamed("conv_id", "own_id")
+        found = found.join(side, F.col("conv_id").eqNullSafe(F.col("own_id")), "left").drop("own_id")
+    return found.select(
+        "conv_id", *[F.coalesce(name, F.lit(0)).alias(name) for name in counts], F.coalesce("audit", F.lit("")).alias("audit"),
+        F.coalesce("repaired_sha256", F.sha2(F.lit(""), 256)).alias("repaired_sha256"),
+    )
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_token_counts": token_counts,
     "op2_lm_scores": lm_scores,
@@ -85,6 +108,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_toxicity": toxic,
     "op9_html_text": main_texts,
     "op10_simhash": near_duplicates,
+    "op11_conversations": repaired_conversations,
 }
 
 ORACLE_SQL: dict[str, str] = {
