@@ -84,7 +84,8 @@ def test_registered():
 @pytest.mark.parametrize("name", list(queries.ORACLE_SQL))
 def test_query_equals_sql(spark, name):
     connection = duckdb.connect()
-    connection.execute(f"CREATE VIEW documents AS SELECT * FROM '{SF_DIR}/documents.parquet'")
+    for table in ("documents", "benchmark"):
+        connection.execute(f"CREATE VIEW {table} AS SELECT * FROM '{SF_DIR}/{table}.parquet'")
     expected = connection.sql(queries.ORACLE_SQL[name])
     frame = queries.QUERIES[name](spark, SF_DIR)
     assert sorted(frame.columns) == sorted(expected.columns)

@@ -7,10 +7,10 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vedrina.llm import conversations, exact_dedup, html_text, language_model, licenses, mixing, quality, simhash, toxicity
+from vedrina.llm import conversations, exact_dedup, html_text, language_model, lexical, licenses, mixing, quality, simhash, toxicity
 from vedrina.llm import sentencepiece as pieces_codec
 from vedrina.llm import token_counts as counts
-from vedrina.llm.sql import DEDUP_SQL, LICENSE_SQL, MIXING_SQL, QUALITY_SQL
+from vedrina.llm.sql import DEDUP_SQL, LICENSE_SQL, MIXING_SQL, QUALITY_SQL, SEARCH_SQL
 from vedrina.llm.text import filled
 
 
@@ -97,6 +97,11 @@ def repaired_conversations(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    index = lexical.build_index(_documents(spark, sf_dir))
+    return lexical.search(index, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_token_counts": token_counts,
     "op2_lm_scores": lm_scores,
@@ -109,6 +114,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_html_text": main_texts,
     "op10_simhash": near_duplicates,
     "op11_conversations": repaired_conversations,
+    "op12_lexical_search": ranked_search,
 }
 
 ORACLE_SQL: dict[str, str] = {
@@ -116,4 +122,5 @@ ORACLE_SQL: dict[str, str] = {
     "op4_exact_dedup": DEDUP_SQL,
     "op6_quality_rules": QUALITY_SQL,
     "op7_mixing": MIXING_SQL,
+    "op12_lexical_search": SEARCH_SQL,
 }

@@ -133,3 +133,28 @@ SELECT doc_id, count(*) FILTER (line >= 0) AS n_lines, count(license) FILTER (li
 FROM digests LEFT JOIN known USING (digest)
 GROUP BY doc_id
 """
+
+_LOWERED = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+_TERMS = rf"regexp_extract_all({_LOWERED}, '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')"
+
+SEARCH_SQL = f"""
+WITH docs AS (
+    SELECT row_number() OVER () AS row, doc_id, terms, len(terms)::BIGINT AS n
+    FROM (SELECT doc_id, {_TERMS} AS terms FROM documents) WHERE len(terms) > 0
+), totals AS (
+    SELECT count(*) AS all_docs, sum(n)::BIGINT AS all_terms FROM docs
+), postings AS (
+    SELECT row, doc_id, n, term, count(*) AS tf FROM (SELECT row, doc_id, n, unnest(terms) AS term FROM docs) GROUP BY ALL
+), weights AS (
+    SELECT term, CAST(floor(1000 * ln((2 * all_docs + 2)::DOUBLE / (2 * count(*) + 1))) AS BIGINT) AS w
+    FROM postings, totals GROUP BY term, all_docs
+), wanted AS (
+    SELECT DISTINCT item_id, unnest({_TERMS}) AS term FROM benchmark
+), scores AS (
+    SELECT item_id, row, doc_id,
+           CAST(sum(w * ((1000000000 * tf) // (1000 * tf + 20 * (50 + (50 * n * all_docs) // all_terms)))) AS BIGINT) AS score
+    FROM wanted JOIN postings USING (term) JOIN weights USING (term), totals GROUP BY ALL
+)
+SELECT item_id, CAST(row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id NULLS LAST) AS INTEGER) AS rank, doc_id, score
+FROM scores WHERE score > 0 QUALIFY rank <= 50
+"""
