@@ -7,10 +7,10 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vedrina.llm import conversations, exact_dedup, html_text, language_model, lexical, licenses, mixing, quality, simhash, toxicity
+from vedrina.llm import conversations, exact_dedup, html_text, language_model, lexical, licenses, line_runs, mixing, quality, simhash, toxicity
 from vedrina.llm import sentencepiece as pieces_codec
 from vedrina.llm import token_counts as counts
-from vedrina.llm.sql import DEDUP_SQL, LICENSE_SQL, MIXING_SQL, QUALITY_SQL, SEARCH_SQL
+from vedrina.llm.sql import DEDUP_SQL, LICENSE_SQL, LINES_SQL, MIXING_SQL, QUALITY_SQL, SEARCH_SQL
 from vedrina.llm.text import filled
 
 
@@ -102,6 +102,11 @@ def ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lexical.search(index, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
 
 
+def line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = line_runs.deduplicated(_documents(spark, sf_dir).select("doc_id", "text"))
+    return found.select("doc_id", "n_lines", "n_dropped", F.sha2("text", 256).alias("kept_sha256"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_token_counts": token_counts,
     "op2_lm_scores": lm_scores,
@@ -115,6 +120,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_simhash": near_duplicates,
     "op11_conversations": repaired_conversations,
     "op12_lexical_search": ranked_search,
+    "op13_line_dedup": line_dedup,
 }
 
 ORACLE_SQL: dict[str, str] = {
@@ -123,4 +129,5 @@ ORACLE_SQL: dict[str, str] = {
     "op6_quality_rules": QUALITY_SQL,
     "op7_mixing": MIXING_SQL,
     "op12_lexical_search": SEARCH_SQL,
+    "op13_line_dedup": LINES_SQL,
 }

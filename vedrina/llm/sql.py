@@ -158,3 +158,23 @@ WITH docs AS (
 SELECT item_id, CAST(row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id NULLS LAST) AS INTEGER) AS rank, doc_id, score
 FROM scores WHERE score > 0 QUALIFY rank <= 50
 """
+
+LINES_SQL = """
+WITH docs AS (
+    SELECT row_number() OVER () AS row, doc_id, string_split(coalesce(text, ''), chr(10)) AS lines FROM documents
+), placed AS (
+    SELECT row, doc_id, lines, unnest(range(1, len(lines) + 1)) AS place FROM docs
+), keyed AS (
+    SELECT row, doc_id, place, lines[place] AS line,
+           translate(trim(lines[place], ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)),
+                     'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS key
+    FROM placed
+), common AS (
+    SELECT key FROM keyed WHERE length(key) >= 1 GROUP BY key HAVING count(DISTINCT row) >= 10
+), marked AS (
+    SELECT row, doc_id, place, line, key IN (SELECT key FROM common) AS dropped FROM keyed
+)
+SELECT doc_id, count(*) AS n_lines, count(*) FILTER (dropped) AS n_dropped,
+       sha256(coalesce(string_agg(line, chr(10) ORDER BY place) FILTER (NOT dropped), '')) AS kept_sha256
+FROM marked GROUP BY row, doc_id
+"""
