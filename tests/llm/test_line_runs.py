@@ -6,8 +6,7 @@ from collections import Counter
 
 import pytest
 
-from vedrina.llm import line_runs
-from vedrina.llm.line_runs import LineRuns, common_lines, deduplicated
+from vedrina.llm.line_runs import LineRuns, common_lines, deduplicated, keyed_lines
 
 
 def key_of(line):
@@ -97,9 +96,11 @@ def test_a_very_long_text(docs_of):
 
 
 def test_no_rows(empty):
-    assert deduplicated(empty).count() == 0 and common_lines(empty, batches=2).count() == 0
+    assert deduplicated(empty).count() == 0 and common_lines(keyed_lines(empty)).count() == 0
 
 
-def test_key_is_128_bits(spark):
-    [row] = spark.createDataFrame([(" \x0bABc É\r",)], "line string").select(line_runs.line_key(line_runs.F.col("line")).alias("key")).collect()
-    assert row.key == hashlib.md5("abc É".encode()).hexdigest()
+def test_keyed_lines(docs_of):
+    rows = keyed_lines(docs_of([(1, " \x0bABc \xc9\r\n\nabc \xc9\n\x1c")], 1), least_chars=1).orderBy("place").collect()
+    keys = [hashlib.md5(key.encode()).digest() for key in ("abc \xc9", "abc \xc9", "\x1c")]
+    assert [row.key and bytes(row.key) for row in rows] == [keys[0], None, keys[1], keys[2]]
+    assert [row.first for row in rows] == [True, False, False, True]

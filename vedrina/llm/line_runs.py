@@ -11,8 +11,8 @@ bucket by bucket without being shuffled again.
    meets a number of runs that grows with the logarithm of the number of batches.
 
 At the end the counts of all runs are added up; keys at the threshold are common. Lines of common keys are dropped from
-every document, also from those of earlier batches. Texts are shuffled once, to meet the marks of their lines; everything else
-is hashes, and equal texts share their marks.
+every document, also from those of earlier batches. Texts are taken apart once, and shuffled once to meet the marks of their
+lines; everything else is hashes, and equal texts share their marks.
 
 Defined results: a text is split at \\n; a null or empty text is one empty line. A line's key is the line without spaces and
 \\t \\n \\v \\f \\r at both ends, with A-Z lowered. Keys shorter than ``least_chars`` code points are never dropped. Rows are documents of
@@ -22,12 +22,16 @@ result. Hashes have 128 bits.
 
 from __future__ import annotations
 
+import hashlib
 import uuid
+from collections.abc import Iterator
 from functools import reduce
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from vedrina.llm.batches import parts
 from vedrina.llm.text import filled
 from vedrina.shared import new_path, shared_folder, written
 
@@ -38,24 +42,41 @@ FANOUT = 2
 # Batches of a table that is taken apart for the runs.
 BATCHES = 8
 
-_BLANKS = " \t\n\v\f\r"
-_CAPITALS, _SMALL = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
-
-def lines(text: str | Column) -> Column:
-    """The lines of a text, in order."""
-    return F.split(filled(text), "\n", -1)
-
-
-def line_key(line: Column, least_chars: int = LEAST_CHARS) -> Column:
-    """The hash of a line's key, null for keys that are too short."""
-    key = F.translate(F.trim(line, F.lit(_BLANKS)), _CAPITALS, _SMALL)
-    return F.when(F.length(key) >= least_chars, F.md5(key))
-
-
-def line_keys(text: str | Column, least_chars: int = LEAST_CHARS) -> Column:
-    """The hash of each line, in order."""
-    return F.transform(lines(text), lambda line: line_key(line, least_chars))
+def keyed_lines(docs: DataFrame, text: str = "text", least_chars: int = LEAST_CHARS, batches: int = 1) -> DataFrame:
+    """A row per line: ``batch`` (these take the documents in turn), ``text_key`` (the hash of the text), ``place``, ``key`` (null
+    if too short), and ``first``: no line before in the document has the key. Written."""
+
+    def keyed(tables: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for table in parts(tables, 1):
+            own_batch, text_keys, places, keys, first = [], [], [], [], []
+            for batch, text in zip(table.column(0).to_pylist(), table.column(1)):
+                data = (text.as_py() or "").encode("utf-8", "surrogatepass")
+                found = [_key(line, least_chars) for line in data.lower().split(b"\n")]
+                own_batch.extend([batch] * len(found))
+                text_keys.extend([hashlib.md5(data).digest()] * len(found))
+                places.extend(range(len(found)))
+                keys.extend(found)
+                seen: set[bytes | None] = {None}
+                # Adding to a set says nothing; a key is new if the set grows.
+                first.extend(len(seen) < (seen.add(key) or len(seen)) for key in found)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(own_batch, pa.int32()), pa.array(text_keys, pa.binary()), pa.array(places, pa.int32()), pa.array(keys, pa.binary()), pa.array(first, pa.bool_())],
+                ["batch", "text_key", "place", "key", "first"],
+            )
+
+    numbered = docs.select(F.pmod(F.monotonically_increasing_id(), F.lit(batches)).cast("int").alias("batch"), F.col(text).alias("text"))
+    rows = numbered.mapInArrow(keyed, "batch int, text_key binary, place int, key binary, first boolean")
+    return written(rows, new_path(docs.sparkSession, "line-keys"))
+
+
+def _key(line: bytes, least_chars: int) -> bytes | None:
+    """The hash of a line whose A-Z are lowered (bytes are lowered in ASCII only, and stripped of the six blanks)."""
+    key = line.strip()
+    # A code point has a byte at least, so few need to be counted.
+    if len(key) < least_chars or (least_chars > 1 and len(key.decode("utf-8", "surrogatepass")) < least_chars):
+        return None
+    return hashlib.md5(key).digest()
 
 
 class LineRuns:
@@ -124,25 +145,16 @@ class LineRuns:
         self.levels = []
 
 
-def document_counts(docs: DataFrame, text: str = "text", least_chars: int = LEAST_CHARS, batches: int = 1) -> DataFrame:
-    """In how many ``documents`` of a ``batch`` each ``key`` is. Batches take the rows in turn."""
-    numbered = docs.select(
-        F.pmod(F.monotonically_increasing_id(), F.lit(batches)).cast("int").alias("batch"),
-        F.explode(F.array_distinct(line_keys(text, least_chars))).alias("key"),
-    )
-    each = numbered.filter("key is not null").select("batch", F.unhex("key").alias("key"))
-    return each.groupBy("batch", "key").agg(F.count("*").alias("documents"))
+def document_counts(lines: DataFrame) -> DataFrame:
+    """In how many ``documents`` of a ``batch`` each ``key`` of ``keyed_lines`` is."""
+    return lines.filter("first and key is not null").groupBy("batch", "key").agg(F.count("*").alias("documents"))
 
 
-def common_lines(
-    docs: DataFrame, text: str = "text", least_documents: int = LEAST_DOCUMENTS, least_chars: int = LEAST_CHARS,
-    batches: int = BATCHES, fanout: int = FANOUT,
-) -> DataFrame:
-    """The keys of the lines to drop: the documents are taken in batches through ``LineRuns``."""
-    spark = docs.sparkSession
-    # The documents are read once; a batch is a directory.
+def common_lines(lines: DataFrame, least_documents: int = LEAST_DOCUMENTS, fanout: int = FANOUT, batches: int = 1) -> DataFrame:
+    """The keys to drop of ``keyed_lines``, whose batches go through ``LineRuns``."""
+    spark = lines.sparkSession
     path = new_path(spark, "line-batches")
-    document_counts(docs, text, least_chars, batches).write.partitionBy("batch").parquet(path)
+    document_counts(lines).write.partitionBy("batch").parquet(path)
     counts = spark.read.schema("key binary, documents bigint, batch int").parquet(path)
     runs = LineRuns(spark, least_documents, fanout)
     for batch in range(batches):
@@ -156,14 +168,13 @@ def _text_key(text: str) -> Column:
     return F.unhex(F.md5(filled(text)))
 
 
-def marks(docs: DataFrame, common: DataFrame, text: str = "text", least_chars: int = LEAST_CHARS) -> DataFrame:
+def marks(lines: DataFrame, common: DataFrame) -> DataFrame:
     """Of each different text (``text_key``) that has common lines, which of its lines they are: ``dropped``, an array of
     booleans. Written."""
-    spark = docs.sparkSession
-    each = docs.select(_text_key(text).alias("text_key"), F.posexplode(line_keys(text, least_chars)).alias("place", "hex"))
+    spark = lines.sparkSession
     # Lines that are never dropped have no key in common, so they lie over all tasks.
-    key = F.coalesce(F.unhex("hex"), F.concat(F.lit("-").cast("binary"), F.col("text_key")))
-    placed = each.select("text_key", "place", key.alias("key")).distinct()
+    key = F.coalesce("key", F.concat(F.lit("-").cast("binary"), F.col("text_key")))
+    placed = lines.select("text_key", "place", key.alias("key")).distinct()
     placed = written(placed, new_path(spark, "line-places"))
     known = common.select("key", F.lit(True).alias("common"))
     joined = placed.join(known, "key", "left").select("text_key", F.struct("place", F.col("common").isNotNull().alias("common")).alias("line"))
@@ -172,12 +183,11 @@ def marks(docs: DataFrame, common: DataFrame, text: str = "text", least_chars: i
     return written(dropped, new_path(spark, "line-marks"))
 
 
-def without_common_lines(
-    docs: DataFrame, common: DataFrame, text: str = "text", least_chars: int = LEAST_CHARS, n_lines: str = "n_lines", n_dropped: str = "n_dropped",
+def without_marked_lines(
+    docs: DataFrame, marked: DataFrame, text: str = "text", n_lines: str = "n_lines", n_dropped: str = "n_dropped"
 ) -> DataFrame:
-    """``docs`` with the common lines dropped from ``text``, and two more columns: the numbers of lines before, and of
+    """``docs`` without the lines that ``marks`` found in ``text``, and two more columns: the numbers of lines before, and of
     dropped lines. These columns replace ones of their names."""
-    marked = marks(docs, common, text, least_chars)
     # The input's columns travel as one, whatever their names are.
     rows = docs.select(F.struct(*[F.col(f"`{name}`") for name in docs.columns]).alias("row"), _text_key(text).alias("own_key"), filled(text).alias("whole"))
     joined = rows.join(marked, F.col("own_key") == F.col("text_key"), "left")
@@ -198,5 +208,5 @@ def deduplicated(
     fanout: int = FANOUT,
 ) -> DataFrame:
     """``docs`` without the lines that at least ``least_documents`` of them have, with ``n_lines`` and ``n_dropped``."""
-    common = common_lines(docs, text, least_documents, least_chars, batches, fanout)
-    return without_common_lines(docs, common, text, least_chars)
+    lines = keyed_lines(docs, text, least_chars, batches)
+    return without_marked_lines(docs, marks(lines, common_lines(lines, least_documents, fanout, batches)), text)
