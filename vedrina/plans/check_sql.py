@@ -206,6 +206,7 @@ SELECT {OBS_COLUMNS} FROM (
         UNION ALL SELECT event_id, {OBS_COLUMNS}, 1 AS batch FROM late))
 WHERE n = 1""",
     "append_stream": APPENDED,
+    "append_compacted": APPENDED,
     "upsert_stream": f"""WITH {OBS} SELECT {OBS_COLUMNS} FROM (
   SELECT *, row_number() OVER (PARTITION BY grad, datum ORDER BY lokalno_vreme DESC, event_id DESC) AS n FROM obs)
 WHERE n = 1""",

@@ -36,7 +36,8 @@ from vedrina.plans.observations import (
 )
 from vedrina.schemas import CONDITION_WORDS, EXTREMES, EXTREMES_KEYS, OBSERVATION_KEYS, OBSERVATIONS, WIDE_TABLE
 from vedrina.shared import new_path
-from vedrina.sinks.append import read_appended
+from vedrina.sinks.append import append_batch, read_appended
+from vedrina.sinks.compaction import compact
 from vedrina.sinks.ddl import insert_rows, replace_table, with_row_id
 from vedrina.sinks.landing import write_landing
 from vedrina.sinks.merge import upsert
@@ -446,6 +447,18 @@ def append_stream_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_appended(spark, target, OBSERVATIONS)
 
 
+def append_compacted(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A day's quarters as batches, packed while they come in and at the end; a packed batch is delivered again."""
+    rows, target = observations(spark, sf_dir).drop("event_id"), new_path(spark, "compacted")
+    quarter = F.floor(F.hour("lokalno_vreme") / 6)
+    for batch_id in (0, 1, 2, 3, 1):
+        append_batch(rows.filter(quarter == batch_id), target, "events", batch_id)
+        if batch_id >= 2:
+            compact(spark, target, OBSERVATIONS, fanout=2)
+    compact(spark, target, OBSERVATIONS, fanout=2, ended=True)
+    return read_appended(spark, target, OBSERVATIONS)
+
+
 def upsert_stream_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = observations(spark, sf_dir, event_stream(spark, sf_dir))
     target, checkpoint = new_path(spark, "upserted"), new_path(spark, "upsert-checkpoint")
@@ -542,6 +555,7 @@ QUERIES = {
     "upsert_batch": upsert_batch,
     "upsert_by_time": upsert_by_time,
     "append_stream": append_stream_query,
+    "append_compacted": append_compacted,
     "upsert_stream": upsert_stream_query,
     "landing_roundtrip": landing_roundtrip,
     "landing_quarantine": landing_quarantine,

@@ -20,6 +20,7 @@ from pyspark.sql import SparkSession
 
 from vedrina.plans import jobs
 from vedrina.schemas import COUNTRY_WORDS, OBSERVATIONS, REPORT_COUNTRIES
+from vedrina.sinks.compaction import TARGET_BYTES, compact
 from vedrina.sources.files import read_landing
 from vedrina.sources.ingestion_spec import IngestionSpec
 from vedrina.sources.message_log import read_log
@@ -47,6 +48,10 @@ def parser() -> argparse.ArgumentParser:
     made = command("ingest", "messages as an ingestion specification asks", "spec", "table", "checkpoint", "quarantine")
     made.add_argument("--starting", default="earliest", choices=["earliest", "latest"])
 
+    made = command("compact", "an appended observation table's small files into large ones", "table")
+    made.add_argument("--target-bytes", type=int, default=TARGET_BYTES)
+    made.add_argument("--ended", action="store_true", help="no stream writes to the table any more")
+
     made = command("landing", "the landing zone into the table by city and date", "landing", "table", "quarantine", "state")
     made.add_argument("--dates", nargs=2, metavar=("FIRST", "LAST"))
     made.add_argument("--run-id", type=int)
@@ -82,6 +87,8 @@ def run(spark: SparkSession, arguments: Sequence[str]) -> None:
         spec = IngestionSpec.read(text)
         log = read_log(spark, spec.servers, spec.topic, starting=given.starting, max_per_batch=spec.max_rows_per_batch)
         ingest(log, spec, given.table, given.checkpoint, given.quarantine).awaitTermination()
+    elif given.job == "compact":
+        compact(spark, given.table, OBSERVATIONS, target_bytes=given.target_bytes, ended=given.ended)
     elif given.job == "landing":
         jobs.landing_job(spark, given.landing, given.table, given.quarantine, given.state, given.run_id, dates)
     elif given.job == "wide":

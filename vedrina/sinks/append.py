@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from vedrina.sinks.compaction import fresh_rows, is_packed, packed_rows, packed_state
 from vedrina.sinks.jdbc import write_table
 from vedrina.sinks.landing import write_partitioned
 
@@ -22,16 +23,21 @@ def append_batch(
     """Store a micro-batch in a directory of its own; repeating the batch replaces that directory.
 
     ``stream_id`` belongs to the checkpoint, so a stream started over, whose batches count from 0
-    again, does not touch what an earlier one stored.
+    again, does not touch what an earlier one stored. A batch that is in a pack (``sinks.compaction``) is stored already.
     """
+    if is_packed(rows.sparkSession, table, stream_id, batch_id):
+        return
     path = f"{table}/stream={stream_id}/batch_id={batch_id}"
     write_partitioned(rows, path, partition_by, "parquet", max_rows_per_file)
 
 
 def read_appended(spark: SparkSession, table: str, schema: str) -> DataFrame:
-    """All rows of an appended table, in the columns of ``schema``."""
-    stored = spark.read.schema(f"{schema}, stream string, batch_id bigint").parquet(table)
-    return stored.drop("stream", "batch_id")
+    """All rows of an appended table, packed or not, in the columns of ``schema``."""
+    state = packed_state(spark, table)
+    fresh = fresh_rows(spark, table, schema, state).drop("stream", "batch_id")
+    if not state.packs:
+        return fresh
+    return packed_rows(spark, table, schema, state.paths(table)).unionByName(fresh)
 
 
 def append_jdbc(
