@@ -183,3 +183,37 @@ def test_json_path(spark):
     body = '{"a":{"b":1.5,"c":null},"d":[{"e":"x"}]}'
     for path, found in (("$.a.b", "1.5"), ("$.a.c", None), ("$.z", None), ("$.d[0].e", "x")):
         assert value(spark, json_path(F.col("v"), path), v=body) == found
+
+
+@pytest.mark.parametrize(
+    "written",
+    ["1e-30", "5.0000000000000000000001", "-0.5e0", "65e-1", "1234e-3", "0.00000000000000000001", "1.05e1", "10.5", "5e-324", "1e-999"],
+)
+def test_a_fraction_however_small_is_no_whole_number(spark, written):
+    for kind in ("int", "bigint"):
+        assert value(spark, whole_from_text(F.col("v").cast("string"), kind), v=written) is None
+
+
+@pytest.mark.parametrize(
+    "written, whole",
+    [
+        ("650e-1", 65), ("0.65e2", 65), (".5e1", 5), ("0e-30", 0), ("-0.000", 0), ("00012", 12), ("5.000000000000000000000000000000", 5),
+        ("1000000000000000000000e-20", 10), ("0.0e-5", 0), ("\t12\n", 12), ("12.", 12),
+    ],
+)
+def test_whole_numbers_in_other_forms(spark, written, whole):
+    for kind in ("int", "bigint"):
+        assert value(spark, whole_from_text(F.col("v").cast("string"), kind), v=written) == whole
+
+
+def test_json_arrays_with_something_behind_them_are_set_aside(spark):
+    clean = ['[{"line":"a"}]', ' [ {"line":"a"} , {"line":"b"} ] ', "[]"]
+    spoiled = [
+        '[{"line":"a"}],"z":1', '[{"line":"b"}]} junk', '[{"line":"d"}],"items":[{"line":"e"}]', '[{"line":"a"}] junk', '[{"line":"a"}],[1]',
+        '[{"line":"a"}],["x"]] []', '[{"line":"a"}]]', '[[{"line":"a"}]', "null", '"[]"', "",
+    ]
+    df = spark.createDataFrame([(n, text) for n, text in enumerate(clean + spoiled)], "id int, body string").repartition(3)
+    fields = [("line", "line", "string")]
+    assert sorted(map(tuple, split_json(df, "body", fields).collect())) == [(0, 0, "a"), (1, 0, "a"), (1, 1, "b")]
+    aside = split_json_rejected(df, "body", fields).orderBy("id").collect()
+    assert [(row.id, row.raw, row.problems) for row in aside] == [(n + 3, text, ["message"]) for n, text in enumerate(spoiled)]

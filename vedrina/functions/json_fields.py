@@ -17,10 +17,22 @@ def json_path(text: Column, path: str) -> Column:
 
 
 def read_elements(text: Column) -> Column:
-    """A JSON array as a struct: ``items``, the text of each element, and ``_corrupt``, the text when it is no such
-    array."""
-    wrapped = F.concat(F.lit('{"items":'), text, F.lit("}"))
-    return F.from_json(wrapped, f"items array<string>, {CORRUPT} string", {"columnNameOfCorruptRecord": CORRUPT})
+    """A JSON array as the text of each of its elements, in one more array, whose second entry tells that nothing followed the
+    array: see ``whole_array``. Parse it once and test it then."""
+    wrapped = F.concat(F.lit("["), text, F.lit(',["'), _end_mark(text), F.lit('"]]'))
+    return F.from_json(wrapped, "array<array<string>>")
+
+
+def whole_array(read: Column, text: Column) -> Column:
+    """Whether ``read``, made of ``text`` by ``read_elements``, is one array and nothing else."""
+    end = F.try_element_at(read, F.lit(2))
+    found = (F.size(read) == 2) & F.try_element_at(read, F.lit(1)).isNotNull() & (F.try_element_at(end, F.lit(1)) == _end_mark(text))
+    return F.coalesce(found, F.lit(False))
+
+
+def _end_mark(text: Column) -> Column:
+    # A text that closes the array itself and goes on would have to contain its own hash.
+    return F.xxhash64(text).cast("string")
 
 
 def text_schema(paths: list[str]) -> T.StructType:

@@ -8,6 +8,9 @@ from pyspark.sql import functions as F
 
 # A written number, as JSON and databases write it. The casts alone also take ``1f``, ``1.5d`` and ``0x1p3``.
 WRITTEN = r"^\s*[+-]?(\d+(\.\d*)?|\.\d+)([eE][+-]?\d{1,3})?\s*$"
+# Digits that any bigint can hold, and the parts of other written numbers.
+PLAIN = r"^\s*[+-]?\d{1,18}\s*$"
+PARTS = r"^\s*[+-]?(\d*)\.?(\d*)(?:[eE]([+-]?\d{1,3}))?\s*$"
 NOT_FINITE = r"(?i)^\s*([+-]?inf(inity)?|nan)\s*$"
 
 # The range of each whole-number type; the upper end is the first value beyond it.
@@ -22,15 +25,22 @@ def whole_from_real(real: Column, data_type: str) -> Column:
 
 
 def whole_from_text(text: Column, data_type: str) -> Column:
-    """A written whole number; ``65``, ``65.0`` and ``6.5e1`` are one."""
-    written = F.when(text.rlike(WRITTEN), text)
-    if data_type == "int":
-        # A double holds every int exactly.
-        return whole_from_real(written.try_cast("double"), data_type)
-    # Every bigint fits before this point, and 18 digits of a fraction behind it.
-    number = written.try_cast("decimal(38,18)")
-    fits = (number == F.floor(number)) & number.between(F.lit(-(2**63)).cast("decimal(38,0)"), F.lit(2**63 - 1).cast("decimal(38,0)"))
-    return F.when(fits, number.try_cast(data_type))
+    """A written whole number; ``65``, ``65.0`` and ``6.5e1`` are one. A fraction, however small, makes it none."""
+    low, high = (-(2**31), 2**31 - 1) if data_type == "int" else (-(2**63), 2**63 - 1)
+    # Most numbers are plain digits, which a bigint holds.
+    plain = text.try_cast("bigint")
+    in_range = F.when(plain.between(F.lit(low), F.lit(high)), plain).try_cast(data_type)
+    number = F.when(text.rlike(WRITTEN) & _is_whole(text), text).try_cast("decimal(38,18)")
+    fits = number.between(F.lit(low).cast("decimal(38,0)"), F.lit(high).cast("decimal(38,0)"))
+    return F.when(text.rlike(PLAIN), in_range).otherwise(F.when(fits, number.try_cast(data_type)))
+
+
+def _is_whole(text: Column) -> Column:
+    """Whether a written number has no digit but 0 behind the point, once the exponent has moved it."""
+    digits, fraction = F.regexp_extract(text, PARTS, 1), F.regexp_extract(text, PARTS, 2)
+    exponent = F.coalesce(F.regexp_extract(text, PARTS, 3).try_cast("int"), F.lit(0))
+    significant = F.rtrim(F.concat(digits, fraction), F.lit("0"))
+    return (F.length(significant) == 0) | (F.length(significant) <= F.length(digits) + exponent)
 
 
 def real_from_text(text: Column, data_type: str = "double") -> Column:

@@ -9,7 +9,7 @@ from typing import Any
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from vedrina.functions.json_fields import CORRUPT, read_elements
+from vedrina.functions.json_fields import read_elements, whole_array
 from vedrina.functions.text import extract
 from vedrina.operators.parsing import FINDINGS, PROBLEMS, RAW, READABLE, UNREADABLE, parse_messages
 from vedrina.schemas import REPORT_COUNTRIES
@@ -39,9 +39,9 @@ def parse_json_arrays(df: DataFrame, column: str, fields: list[tuple[str, str, s
     problem of a text that is no array is ``message``, too. An empty array and a null give no row."""
     others = [name for name in df.columns if name != column]
     read = df.select(*others, F.col(column).alias("_array"), F.explode(F.array(read_elements(F.col(column)))).alias("_read"))
-    whole = F.col(f"_read.{CORRUPT}").isNull() & F.col("_read.items").isNotNull()
+    whole = whole_array(F.col("_read"), F.col("_array"))
     # A text that is no array takes the place of its one element, which cannot be read either.
-    items = F.when(whole, F.col("_read.items")).otherwise(F.array(F.col("_array")))
+    items = F.when(whole, F.element_at("_read", 1)).otherwise(F.array(F.col("_array")))
     elements = read.filter(F.col("_array").isNotNull()).select(*others, whole.alias("_whole"), F.posexplode(items).alias("_place", "_element"))
     parsed = parse_messages(elements, fields, "_element", [*others, "_whole", "_place", "_element"])
     readable = F.col("_whole") & F.col(READABLE)

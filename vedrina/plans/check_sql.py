@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from vedrina.functions.text import ACCENTED, PLAIN
-from vedrina.plans.checks import COUNTRIES, EVENT_CONDITIONS, REPORT_DATES, WIDE_SOURCES
+from vedrina.plans.checks import ARRAYS_GO_ON, COUNTRIES, EVENT_CONDITIONS, REPORT_DATES, WIDE_SOURCES
 from vedrina.schemas import CONDITION_WORDS, WIDE_TABLE
 
 
@@ -94,6 +94,7 @@ def _wide_columns() -> str:
     return ", ".join(columns)
 
 
+NO_ARRAY = f"(lang IN ('fr', 'es') OR source IN ({', '.join(map(_quoted, ARRAYS_GO_ON))}))"
 URL = "'^(https?)://([^/]+)/([a-z]+)/([0-9]+)'"
 
 
@@ -127,13 +128,13 @@ FROM lineitem JOIN (
     "json_path": """SELECT event_id, json_extract_string(props, '$.k') AS k,
   json_extract_string(props, '$.a.b') AS missing FROM events""",
     "split_json": f"""WITH lines AS ({LINES.format(number="element_no")}), spoiled AS (
-  SELECT doc_id, source = 'src3' AS no_number FROM documents WHERE lang NOT IN ('fr', 'es')
+  SELECT doc_id, source = 'src3' AS no_number FROM documents WHERE NOT {NO_ARRAY}
 ), rows AS (
   SELECT doc_id, element_no, line, CASE WHEN NOT (no_number AND element_no = 0) THEN element_no END AS n
   FROM lines JOIN spoiled USING (doc_id))
 SELECT *, '' AS problems, false AS aside FROM rows
 UNION ALL SELECT *, 'n' AS problems, true AS aside FROM rows WHERE n IS NULL
-UNION ALL SELECT doc_id, NULL, NULL, NULL, 'message', true FROM documents WHERE lang IN ('fr', 'es')""",
+UNION ALL SELECT doc_id, NULL, NULL, NULL, 'message', true FROM documents WHERE {NO_ARRAY}""",
     "file_lines": LINES.format(number="line_no"),
     "split_lines": LINES.format(number="line_no"),
     "temporal": """SELECT event_id, date_trunc('minute', ts) AS lokalno_vreme, CAST(ts AS DATE) AS datum,

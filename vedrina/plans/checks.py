@@ -55,6 +55,9 @@ REPORT_DATES = ("1995-02-01", "1995-04-30")
 # Event types read as condition texts; two stay outside the condition dictionary.
 EVENT_CONDITIONS = {"click": "Sunny", "view": "Partly cloudy", "purchase": "Light rain", "error": "Fog"}
 
+# What follows the arrays of three sources; each of it, read as part of an object, would pass.
+ARRAYS_GO_ON = {"src4": ',"z":1', "src5": "} junk", "src6": ',"items":[{"line":"e"}]'}
+
 # A specification for messages made from the events.
 EVENT_SPEC = {
     "type": "kafka",
@@ -143,8 +146,8 @@ def json_path_query(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def split_json_query(spark: SparkSession, sf_dir: str) -> DataFrame:
-    # The lines of the documents as arrays: those of one language are cut short, those of another are no arrays, and in those
-    # of one source the first number is none.
+    # The lines of the documents as arrays: those of one language are cut short, those of another are no arrays, those of three
+    # sources go on behind the array, and in those of one source the first number is none.
     no_number = F.col("source") == "src3"
     lines = F.transform(
         F.split("text", "\n", -1),
@@ -152,6 +155,8 @@ def split_json_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     body = F.to_json(lines)
     spoiled = F.when(F.col("lang") == "fr", F.expr("left(body, length(body) - 1)")).when(F.col("lang") == "es", F.lit("junk"))
+    for source, rest in ARRAYS_GO_ON.items():
+        spoiled = spoiled.when(F.col("source") == source, F.concat("body", F.lit(rest)))
     arrays = table(spark, sf_dir, "documents").withColumn("body", body)
     arrays = arrays.select("doc_id", F.coalesce(spoiled, "body").alias("body"))
     fields = [("line", "line", "string"), ("n", "n", "int")]
