@@ -58,6 +58,11 @@ EXTREMES = f"WITH {OBS}, {_picks('obs', IN_COUNTRIES)} SELECT * FROM hot JOIN co
 ITEM_EXTREMES = f"WITH {ITEMS}, {_picks('obs')} SELECT * FROM hot JOIN cold USING (datum, drzava)"
 PARSED = f"WITH {OBS} SELECT event_id, {OBS_COLUMNS} FROM obs"
 APPENDED = f"WITH {OBS} SELECT {OBS_COLUMNS} FROM obs"
+# Rows of one city and time are decided by their content.
+LANDED = f"""WITH {OBS} SELECT {OBS_COLUMNS} FROM (
+  SELECT *, row_number() OVER (PARTITION BY grad, datum ORDER BY lokalno_vreme DESC, region DESC, drzava DESC,
+    temperatura DESC, osecaj DESC, vlaznost DESC, stanje DESC) AS n FROM obs)
+WHERE n = 1"""
 LINES = """SELECT doc_id, CAST(n - 1 AS INTEGER) AS {number}, parts[n] AS line
 FROM (SELECT doc_id, parts, unnest(range(1, len(parts) + 1)) AS n
       FROM (SELECT doc_id, string_split(text, chr(10)) AS parts FROM documents))"""
@@ -219,7 +224,8 @@ WHERE n = 1""",
   datum, stanje <> 'click' AS readable,
   CASE stanje WHEN 'click' THEN 'message' WHEN 'error' THEN 'vlaznost' ELSE '' END AS problems
 FROM obs""",
-    "landing_table": f"WITH {OBS} SELECT grad, datum, max(lokalno_vreme) AS lokalno_vreme FROM obs GROUP BY grad, datum",
+    "landing_table": LANDED,
+    "landing_new": LANDED,
     "spec_ingest": f"""WITH {OBS}, made AS (
   SELECT CASE stanje WHEN 'click' THEN date_trunc('millisecond', lokalno_vreme) WHEN 'purchase' THEN lokalno_vreme - INTERVAL 2 HOUR
          WHEN 'signup' THEN lokalno_vreme - INTERVAL 330 MINUTE ELSE lokalno_vreme END AS made_at, grad, temperatura, stanje

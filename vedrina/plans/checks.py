@@ -501,9 +501,19 @@ def landing_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     write_landing(observations(spark, sf_dir).drop("event_id"), landing)
     for _ in range(2):
         landing_job(spark, landing, target, aside, state, 0, words={})
-    latest = read_landing(spark, target, OBSERVATIONS, "parquet")
-    # Rows of one city and time are decided by their content, which the check leaves out.
-    return latest.select("grad", "datum", "lokalno_vreme")
+    return read_landing(spark, target, OBSERVATIONS, "parquet")
+
+
+def landing_new(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Observations that land a part of the day at a time, each part followed by a run that reads the new files only."""
+    landing, target = new_path(spark, "landing"), new_path(spark, "landed")
+    state, aside = new_path(spark, "landed-state"), new_path(spark, "landed-aside")
+    rows = observations(spark, sf_dir).drop("event_id")
+    for afternoon in (True, False):
+        write_landing(rows.filter((F.hour("lokalno_vreme") >= 12) == afternoon), landing)
+        for _ in range(2):
+            landing_job(spark, landing, target, aside, state, words={}, only_new=True)
+    return read_landing(spark, target, OBSERVATIONS, "parquet")
 
 
 def spec_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -565,5 +575,6 @@ QUERIES = {
     "landing_roundtrip": landing_roundtrip,
     "landing_quarantine": landing_quarantine,
     "landing_table": landing_table,
+    "landing_new": landing_new,
     "spec_ingest": spec_ingest,
 }

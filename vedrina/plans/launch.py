@@ -55,6 +55,7 @@ def parser() -> argparse.ArgumentParser:
     made = command("landing", "the landing zone into the table by city and date", "landing", "table", "quarantine", "state")
     made.add_argument("--dates", nargs=2, metavar=("FIRST", "LAST"))
     made.add_argument("--run-id", type=int)
+    made.add_argument("--only-new", action="store_true", help="only files that no such run has read")
 
     made = command("wide", "messages in text files into the wide table", "messages", "table", "quarantine", "state")
     made.add_argument("--run-id", type=int)
@@ -90,7 +91,7 @@ def run(spark: SparkSession, arguments: Sequence[str]) -> None:
     elif given.job == "compact":
         compact(spark, given.table, OBSERVATIONS, target_bytes=given.target_bytes, ended=given.ended)
     elif given.job == "landing":
-        jobs.landing_job(spark, given.landing, given.table, given.quarantine, given.state, given.run_id, dates)
+        jobs.landing_job(spark, given.landing, given.table, given.quarantine, given.state, given.run_id, dates, only_new=given.only_new)
     elif given.job == "wide":
         messages = spark.read.text(given.messages, lineSep="\n")
         jobs.wide_job(messages, given.table, given.quarantine, given.state, given.run_id, period=given.period)

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from vedrina.operators.parsing import accepted, parse_messages
+from vedrina.sources.pickup import exact_path
 
 # The reader's default pattern would cut local times to milliseconds.
 TIME_PATTERN = {"timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"}
@@ -41,6 +42,20 @@ def read_landing_lines(spark: SparkSession, path: str, schema: str, partition_by
     return parse_landing(lines, schema, partition_by)
 
 
+def read_landing_files(
+    spark: SparkSession, files: DataFrame, path: str, schema: str, partition_by: str | None = "datum"
+) -> DataFrame | None:
+    """The lines of some of the landed files (``sources.pickup``), parsed, with the findings; None if there are no files.
+
+    The driver names the files to the reader, as it does for those it lists itself.
+    """
+    paths = [exact_path(row["path"]) for row in files.select("path").collect()]
+    if not paths:
+        return None
+    lines = spark.read.schema(_line_schema(schema, partition_by)).option("basePath", path).text(paths)
+    return parse_landing(lines, schema, partition_by)
+
+
 def stream_landing_lines(
     spark: SparkSession,
     path: str,
