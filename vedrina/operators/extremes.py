@@ -16,6 +16,7 @@ HIGHEST, LOWEST = "max_value", "min_value"
 # Names inside the plans that an input does not use.
 _AT_TOP, _AT_BOTTOM = "_at_top", "_at_bottom"
 _HIGHEST, _LOWEST = "_highest", "_lowest"
+_COUNTED = "_counted"
 
 
 def _measured(df: DataFrame, keys: list[str], measure: str) -> DataFrame:
@@ -64,21 +65,47 @@ def extreme_ties(df: DataFrame, keys: list[str], measure: str, values_path: str)
     return tied.select(*kept, F.col(_AT_TOP).alias("is_highest"), F.col(_AT_BOTTOM).alias("is_lowest"))
 
 
-def _one_pass(df: DataFrame, keys: list[str], measure: str, order: list[str]) -> DataFrame:
+def _one_pass(df: DataFrame, keys: list[str], measure: str, order: list[str], *more) -> DataFrame:
     """Both picks in one aggregation: the least of (rank of the measure, tie order) per group."""
     value, kind = F.col(measure), df.schema[measure].dataType
     # NaN is the largest number; negated it would come last, so it is ranked by a flag.
     not_nan = ~F.isnan(value) if isinstance(kind, (T.FloatType, T.DoubleType)) else F.lit(True)
-    # Turns the order round and is its own inverse; the smallest whole number has no negative.
-    reverse = F.bitwise_not if isinstance(kind, T.IntegralType) else F.negative
+    reverse = _reversed(kind)
     # Aliases by position: a struct may not repeat a name, and the order columns may include any.
     ties = [F.col(name).alias(f"by{n}") for n, name in enumerate(order)]
     top = F.min(F.struct(not_nan.alias("not_nan"), reverse(value).alias("reversed"), *ties))
     bottom = F.min(F.struct(value.alias("value"), *ties))
-    picks = _measured(df, keys, measure).groupBy(*keys).agg(top.alias("top"), bottom.alias("bottom"))
-    return picks.select(
-        *keys, reverse(F.col("top.reversed")).alias(HIGHEST), "top", F.col("bottom.value").alias(LOWEST), "bottom"
-    )
+    picks = _measured(df, keys, measure).groupBy(*keys).agg(top.alias("top"), bottom.alias("bottom"), *more)
+    others = [name for name in picks.columns if name not in keys]
+    return picks.select(*keys, reverse(F.col("top.reversed")).alias(HIGHEST), F.col("bottom.value").alias(LOWEST), *others)
+
+
+def extreme_state(df: DataFrame, keys: list[str], measure: str, order: list[str]) -> DataFrame:
+    """Per group what ``merged_state`` needs to go on from: ``top`` and ``bottom``, the row at each extreme as a struct that is
+    least where the row is picked, and ``n``, the number of rows."""
+    picks = _one_pass(df.withColumn(_COUNTED, F.lit(1)), keys, measure, order, F.count(_COUNTED).alias("n"))
+    return picks.select(*keys, "top", "bottom", "n")
+
+
+def merged_state(states: DataFrame, keys: list[str]) -> DataFrame:
+    """States of the same groups over different rows, as one state over all of them."""
+    return states.groupBy(*keys).agg(F.min("top").alias("top"), F.min("bottom").alias("bottom"), F.sum("n").alias("n"))
+
+
+def from_state(states: DataFrame, keys: list[str], order: list[str], kind: T.DataType) -> DataFrame:
+    """The result of ``group_extremes`` from states, and ``n``; ``kind`` is the type of the measure."""
+    top, bottom = _chosen("top", order), _chosen("bottom", order)
+    highest = _reversed(kind)(F.col("top.reversed")).alias(HIGHEST)
+    return states.select(*keys, highest, F.col("bottom.value").alias(LOWEST), *top, *bottom, "n")
+
+
+def _chosen(side: str, order: list[str]) -> list:
+    return [F.col(f"{side}.by{n}").alias(f"{side}_{name}") for n, name in enumerate(order)]
+
+
+def _reversed(kind: T.DataType):
+    # Turns the order round and is its own inverse; the smallest whole number has no negative.
+    return F.bitwise_not if isinstance(kind, T.IntegralType) else F.negative
 
 
 def _two_pass(df: DataFrame, keys: list[str], measure: str, order: list[str], values_path: str) -> DataFrame:
@@ -114,12 +141,7 @@ def group_extremes(
         picks = _one_pass(df, keys, measure, order)
     else:
         picks = _two_pass(df, keys, measure, order, values_path)
-    chosen = [
-        F.col(f"{side}.by{n}").alias(f"{side}_{name}")
-        for side in ("top", "bottom")
-        for n, name in enumerate(order)
-    ]
-    return picks.select(*keys, HIGHEST, LOWEST, *chosen)
+    return picks.select(*keys, HIGHEST, LOWEST, *_chosen("top", order), *_chosen("bottom", order))
 
 
 def hottest(df: DataFrame, keys: list[str] = EXTREMES_KEYS, values_path: str | None = None) -> DataFrame:
@@ -158,7 +180,11 @@ def daily_extremes(
     """The daily report: hottest and coldest city per date and country, of the listed countries
     (all of them for None)."""
     rows = df if countries is None else in_countries(df, countries)
-    picks = group_extremes(rows, keys, "temperatura", TIE_ORDER, values_path)
+    return report_columns(group_extremes(rows, keys, "temperatura", TIE_ORDER, values_path), keys)
+
+
+def report_columns(picks: DataFrame, keys: list[str] = EXTREMES_KEYS) -> DataFrame:
+    """The extremes of groups in the columns of the report."""
     return picks.select(
         *keys,
         F.col("top_grad").alias("najtopliji_grad"),

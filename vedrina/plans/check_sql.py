@@ -196,6 +196,8 @@ FROM items, (VALUES ('0'), ('1')) AS runs(run) WHERE cut OR keyless OR misfit GR
 SELECT * FROM new_hot JOIN new_cold USING (datum, drzava)
 UNION ALL
 SELECT * FROM hot JOIN cold USING (datum, drzava) WHERE datum NOT BETWEEN '{REPORT_DATES[0]}' AND '{REPORT_DATES[1]}'""",
+    "report_running": f"""WITH {ITEMS}, {_picks('obs')}, counted AS (SELECT datum, drzava, count(*) AS n FROM obs GROUP BY ALL)
+SELECT * FROM hot JOIN cold USING (datum, drzava) JOIN counted USING (datum, drzava)""",
     "upsert_batch": f"""WITH {OBS}, {_picks('obs')},
 {_picks('obs', IN_COUNTRIES, 'new_', 'CAST(vlaznost AS DOUBLE)')}
 SELECT * FROM new_hot JOIN new_cold USING (datum, drzava)

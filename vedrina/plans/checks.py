@@ -23,7 +23,15 @@ from vedrina.operators.rows import (
     split_json_rejected,
     split_lines,
 )
-from vedrina.plans.jobs import daily_extremes_job, landing_job, read_report, read_wide, wide_job
+from vedrina.plans.jobs import (
+    daily_extremes_job,
+    landing_job,
+    read_report,
+    read_running_report,
+    read_wide,
+    report_increment,
+    wide_job,
+)
 from vedrina.plans.observations import (
     cities,
     envelope,
@@ -442,6 +450,16 @@ def report_job(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_report(spark, report)
 
 
+def report_running(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The report grown from three batches that share their dates: what came in on time, late rows, and one of the two again."""
+    rows = line_items(spark, sf_dir)
+    late = F.col("stanje") == "F"
+    report, state = new_path(spark, "running"), new_path(spark, "running-state")
+    for batch_id, batch in ((0, rows.filter(~late)), (1, rows.filter(late)), (1, rows.filter(late))):
+        report_increment(batch, report, state, None, batch_id)
+    return read_running_report(spark, report)
+
+
 def append_stream_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = observations(spark, sf_dir, event_stream(spark, sf_dir))
     target, checkpoint = new_path(spark, "appended"), new_path(spark, "append-checkpoint")
@@ -567,6 +585,7 @@ QUERIES = {
     "conform_misfits": conform_misfits,
     "wide_table": wide_table,
     "report_job": report_job,
+    "report_running": report_running,
     "upsert_batch": upsert_batch,
     "upsert_by_time": upsert_by_time,
     "append_stream": append_stream_query,

@@ -17,6 +17,7 @@ if __name__ == "__main__" and __package__ in (None, ""):
     sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__)))))
 
 from pyspark.sql import SparkSession
+from pyspark.sql import functions as F
 
 from vedrina.plans import jobs
 from vedrina.schemas import COUNTRY_WORDS, OBSERVATIONS, REPORT_COUNTRIES
@@ -65,6 +66,11 @@ def parser() -> argparse.ArgumentParser:
     made.add_argument("--dates", nargs=2, metavar=("FIRST", "LAST"))
     made.add_argument("--countries", nargs="*", default=REPORT_COUNTRIES, help="none: all of them")
     made.add_argument("--one-pass", action="store_true")
+
+    made = command("report-new", "new observations of an appended table into the running report", "observations", "report", "state")
+    made.add_argument("--dates", nargs=2, metavar=("FIRST", "LAST"), help="of the new observations")
+    made.add_argument("--countries", nargs="*", default=REPORT_COUNTRIES, help="none: all of them")
+    made.add_argument("--batch-id", type=int)
     return top
 
 
@@ -100,6 +106,11 @@ def run(spark: SparkSession, arguments: Sequence[str]) -> None:
         jobs.daily_extremes_job(
             observations, given.report, given.state, given.countries or None, dates=dates, two_passes=not given.one_pass
         )
+    elif given.job == "report-new":
+        observations = read_landing(spark, given.observations, OBSERVATIONS, "parquet")
+        if dates:
+            observations = observations.filter(F.col("datum").between(*[F.lit(date).cast("date") for date in dates]))
+        jobs.report_increment(observations, given.report, given.state, given.countries or None, given.batch_id)
 
 
 def main() -> None:

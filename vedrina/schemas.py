@@ -46,6 +46,13 @@ REPORT_MONTH = "mesec"
 REPORT_STORED = f"{EXTREMES}, {REPORT_MONTH} date"
 REPORT_KEYS = [REPORT_MONTH, *EXTREMES_KEYS]
 
+# The report as a table that goes on from what it has: per group the row at each extreme, ready to be compared with others.
+_PICK = "by0: string, by1: timestamp_ntz, by2: string"
+REPORT_STATE = (
+    f"datum date, drzava string, top struct<not_nan: boolean, reversed: double, {_PICK}>, bottom struct<value: double, {_PICK}>, "
+    f"n bigint, {REPORT_MONTH} date"
+)
+
 # The wide observation table. The id is a digest of the natural key (see sinks.ddl),
 # so a retried job gives a row the same id again.
 WIDE_TABLE = [
