@@ -66,32 +66,48 @@ def clustered(seed, n, spread):
     return found
 
 
+def signed(fp):
+    return fp - (1 << 64) if fp >> 63 else fp
+
+
 @pytest.mark.parametrize("seed, spread", [(1, 4), (2, 3), (3, 6), (4, 2)])
-def test_links(spark, seed, spread, monkeypatch):
+def test_links(spark, seed, spread):
     fps = sorted(set(clustered(seed, 400, spread)))
-    signed = [fp - (1 << 64) if fp >> 63 else fp for fp in fps]
-    for paired in (256, 1):
-        monkeypatch.setattr(simhash, "PAIRED", paired)
-        entries = spark.createDataFrame([(fp, n) for n, fp in enumerate(signed)], "fp bigint, rep bigint").repartition(5)
-        links = simhash.fingerprint_links(entries, 2)
+    entries = spark.createDataFrame([(signed(fp),) for fp in fps], "fp bigint").repartition(5)
+    for max_bits, long in ((2, None), (2, 3), (1, 2), (3, 4), (0, 1)):
+        links = simhash.fingerprint_links(entries, max_bits, long)
         found = {row.node: row.component for row in connected_components(links, "a", "b").collect()}
-        expected = components_by_hand(range(len(fps)), lambda a, b: (fps[a] ^ fps[b]).bit_count() <= 2)
-        assert {n: found.get(n, n) for n in expected} == expected
+        label = components_by_hand(range(len(fps)), lambda a, b: (fps[a] ^ fps[b]).bit_count() <= max_bits)
+        groups = {}
+        for n, fp in enumerate(fps):
+            groups.setdefault(label[n], []).append(signed(fp))
+        expected = {fp: min(group) for group in groups.values() for fp in group}
+        assert {fp: found.get(fp, fp) for fp in expected} == expected, (max_bits, long)
 
 
 @pytest.mark.parametrize("max_bits", [0, 1, 2, 3])
-def test_links_in_a_list(max_bits):
+@pytest.mark.parametrize("block", [1 << 20, 700])
+def test_links_in_a_list(max_bits, block, monkeypatch):
+    monkeypatch.setattr(simhash, "BLOCK_PAIRS", block)
     dice = random.Random(max_bits)
     base = dice.getrandbits(64)
-    fps = np.array(sorted({base ^ dice.getrandbits(16) for _ in range(300)}), dtype=np.uint64)
-    long = simhash._by_neighbours(fps, max_bits)
-    differing = fps[:, None] ^ fps[None, :]
-    assert (long == simhash._forest(np.bitwise_count(differing) <= max_bits)).all()
-    short = fps[:200]
-    differing = short[:, None] ^ short[None, :]
-    shared = (differing[..., None].view(np.uint8) == 0).sum(axis=-1)
-    expected = simhash._forest((np.bitwise_count(differing) <= max_bits) & (shared >= 8 - max_bits))
-    assert (links_in_list(short, max_bits) == expected).all()
+    fps = sorted({base ^ dice.getrandbits(16) for _ in range(300)})
+    expected = components_by_hand(range(len(fps)), lambda a, b: (fps[a] ^ fps[b]).bit_count() <= max_bits)
+    found = links_in_list(np.array(fps, dtype=np.uint64), max_bits)
+    assert dict(enumerate(found.tolist())) == expected
+
+
+def test_the_tally_drops_pairs_below_the_minimum(monkeypatch):
+    """Of pairs that share the four bytes of a list only those with six in common have their bits compared."""
+    compared = []
+    real = np.bitwise_count
+    monkeypatch.setattr(simhash.np, "bitwise_count", lambda values: compared.append(len(values)) or real(values))
+    base = 0x1122334455667788
+    # Six, five and four bytes in common with the first, and one that is within two bits.
+    fps = np.array([base, base ^ 0x1010, base ^ 0x030303, base ^ 0x04040404, base ^ 0x0100], dtype=np.uint64)
+    assert links_in_list(fps, 2).tolist() == [0, 0, 2, 3, 0]
+    # Every member with itself, and the three pairs of the first, second and last in both orders; of 25.
+    assert sum(compared) == 5 + 6
 
 
 def test_a_pair_that_reaches_the_minimum_is_in_one_list(spark):
@@ -100,11 +116,30 @@ def test_a_pair_that_reaches_the_minimum_is_in_one_list(spark):
     for n in range(60):
         fp = dice.getrandbits(64)
         pairs.append((n, fp, fp ^ (1 << dice.randrange(64)) ^ (1 << dice.randrange(64))))
-    signed = lambda fp: fp - (1 << 64) if fp >> 63 else fp
     rows = spark.createDataFrame([(n, signed(a), signed(b)) for n, a, b in pairs], "n int, a bigint, b bigint")
     lists = [rows.select("n", simhash.index_keys(F.col(side), 2).alias("key")).distinct() for side in "ab"]
     assert lists[0].join(lists[1], ["n", "key"]).select("n").distinct().count() == 60
-    assert lists[0].groupBy("n").count().filter("count <> 28").count() == 0
+    assert lists[0].groupBy("n").count().filter("count <> 6").count() == 0
+    # So it is in the shorter lists of each list that has it.
+    finer = [part.select("n", "key", F.explode(simhash.finer_keys(F.col("fp"), F.col("key.positions"), 2)).alias("finer")) for part in (
+        rows.select("n", F.col(side).alias("fp"), simhash.index_keys(F.col(side), 2).alias("key")) for side in "ab")]
+    met = lists[0].join(lists[1], ["n", "key"]).distinct().count()
+    assert finer[0].join(finer[1], ["n", "key", "finer"]).select("n", "key").distinct().count() == met
+
+
+def test_another_text_under_a_dropped_id_stays(docs_of, prose):
+    a, b = prose(80, 1), prose(80, 2)
+    kept = without_near_duplicates(docs_of([(1, a), (5, a), (5, b), (None, prose(80, 3))])).collect()
+    assert sorted((row.doc_id or 0, row.text) for row in kept) == sorted([(1, a), (5, b), (0, prose(80, 3))])
+
+
+def test_documents_without_ids_link_others(docs_of, monkeypatch):
+    """Two texts that only a text without an id is near to are one group."""
+    near = {"a": 0b0011, "b": 0b1111, "c": 0b111111}
+    monkeypatch.setattr(simhash, "fingerprint", lambda text, width: near[text])
+    found = near_duplicates(docs_of([(3, "a"), (None, "b"), (7, "c")])).collect()
+    assert {(row.doc_id, row.component_id) for row in found} == {(3, 3), (None, 3), (7, 3)}
+    assert sorted(str(row.doc_id) for row in without_near_duplicates(docs_of([(3, "a"), (None, "b"), (7, "c")])).collect()) == ["3", "None"]
 
 
 def test_components_of_chains_and_stars(spark):
