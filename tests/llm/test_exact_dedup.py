@@ -71,3 +71,17 @@ def test_a_full_bitmap_only_costs_time(docs_of, prose, monkeypatch):
     monkeypatch.setattr(bitmap, "PAGE_BITS", 15)
     rows = [(n, prose(5, n % 40)) for n in range(120)]
     assert set(results(docs_of(rows))) == by_hand(rows)
+
+
+def test_columns_with_names_of_the_operators_own(spark, prose):
+    names = "_id _source _hash _order _ordinal _ordinal_of _shard _n_shards _times _cut _copy _again _once_more _full _candidate _page " \
+        "_page_bytes _length _prefix _rows _all row own_id own_text own_source size source_size"
+    columns = "doc_id bigint, text string, source string, " + ", ".join(f"{name} string" for name in names.split())
+    rows = [(n, prose(40, n % 5), f"s{n % 2}", *[f"{n} {name}" for name in names.split()]) for n in range(12)]
+    docs = spark.createDataFrame(rows, columns).repartition(3)
+    plain = docs.select("doc_id", "text", "source")
+    kept = distinct_documents(docs)
+    assert kept.columns == docs.columns
+    found = sorted(map(tuple, kept.collect()))
+    assert sorted(row[:3] for row in found) == sorted(map(tuple, distinct_documents(plain).collect()))
+    assert set(found) <= set(rows) and len(found) > 2

@@ -70,10 +70,12 @@ def exact_copies(
 def distinct_documents(docs: DataFrame, id: str = "doc_id", text: str = "text") -> DataFrame:
     """The rows that stay, with all their columns: one per text. Of rows with one id and text, the one
     whose other columns come last as JSON. Only texts that may have copies are shuffled."""
-    columns = docs.columns
-    others = [F.col(name) for name in columns if name not in (id, text)]
-    hashed = with_full_hash(docs, text)
-    order = F.struct(F.col(id), F.to_json(F.struct(*others)) if others else F.lit(""))
-    row = F.max_by(F.struct(*columns), order)
-    copies = hashed.filter("_full is not null").groupBy("_full").agg(row.alias("_row")).select("_row.*")
-    return hashed.filter("_full is null").select(*columns).unionByName(copies)
+    # The input's columns travel as one, whatever their names are.
+    row = F.struct(*[F.col(f"`{name}`") for name in docs.columns])
+    rows = docs.select(row.alias("row"), F.col(f"`{id}`").alias("own_id"), F.col(f"`{text}`").alias("own_text"))
+    hashed = with_full_hash(rows, "own_text")
+    others = [F.col("row").getField(name).alias(name) for name in docs.columns if name not in (id, text)]
+    order = F.struct("own_id", F.to_json(F.struct(*others)) if others else F.lit(""))
+    copies = hashed.filter("_full is not null").groupBy("_full").agg(F.max_by("row", order).alias("row"))
+    kept = hashed.filter("_full is null").select("row").unionByName(copies.select("row"))
+    return kept.select(*[F.col("row").getField(name).alias(name) for name in docs.columns])

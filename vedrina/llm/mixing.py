@@ -198,8 +198,11 @@ def mixture(
     if cuts.count() <= BROADCAST_SHARDS:
         cuts = F.broadcast(cuts)
     sources = mix.quotas.select(F.col("source").alias("_source"), F.col("ordinal").alias("_ordinal_of"), "n_shards")
-    found = docs.filter(filled(text).rlike(WORD)).withColumn("_hash", _hash(id, text, seed))
-    found = found.join(sources.withColumnRenamed("n_shards", "_n_shards"), F.col(source).eqNullSafe(F.col("_source")))
+    # The input's columns travel as one, whatever their names are.
+    row = F.struct(*[F.col(f"`{name}`") for name in docs.columns]).alias("row")
+    found = docs.filter(filled(F.col(f"`{text}`")).rlike(WORD)).select(row, F.col(f"`{source}`").alias("own_source"), _hash(id, text, seed).alias("_hash"))
+    found = found.join(sources.withColumnRenamed("n_shards", "_n_shards"), F.col("own_source").eqNullSafe(F.col("_source")))
     found = found.join(cuts, (F.col("_ordinal_of") == F.col("_ordinal")) & (_shard(F.col("_n_shards")) == F.col("_shard")))
     times = F.col("_times") + F.coalesce((_order() <= F.col("_cut")).cast("int"), F.lit(0))
-    return found.filter(times > 0).select(*docs.columns, F.explode(F.sequence(F.lit(1), times)).alias("_copy")).drop("_copy")
+    taken = found.filter(times > 0).select("row", F.explode(F.sequence(F.lit(1), times)).alias("_copy"))
+    return taken.select(*[F.col("row").getField(name).alias(name) for name in docs.columns])
