@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from vedrina.functions.text import fold, translate_words
+from vedrina.operators.asof import asof_join
 from vedrina.operators.latest import latest_per_key
 from vedrina.operators.rows import extract_columns, with_values
 from vedrina.schemas import COUNTRY_WORDS
@@ -57,3 +58,10 @@ def enrich_cities(
     """
     latest = latest_per_key(with_values(replies, keys), keys, order, values_path=values_path)
     return cities.join(latest, keys, "left")
+
+
+def enrich_as_of(
+    observations: DataFrame, replies: DataFrame, keys: list[str], time: str, columns: list[str], order: list[str] | None = None
+) -> DataFrame:
+    """Every observation with ``columns`` of the reply that was the city's last one at its time (see ``operators.asof``)."""
+    return asof_join(observations, replies, keys, time, columns, order)

@@ -162,6 +162,11 @@ FROM pages""",
   WHERE n = 1)
 SELECT grad, drzava, latest.temperatura, latest.stanje, latest.lokalno_vreme
 FROM cities LEFT JOIN latest USING (grad, drzava)""",
+    "enrich_as_of": f"""WITH {OBS}, replies AS (
+  SELECT drzava, lokalno_vreme, max(event_id) AS reply_id, arg_max(temperatura, event_id) AS reply
+  FROM obs WHERE stanje = 'signup' GROUP BY drzava, lokalno_vreme)
+SELECT event_id, obs.drzava, obs.lokalno_vreme, temperatura, reply_id, reply
+FROM obs ASOF LEFT JOIN replies ON obs.drzava = replies.drzava AND obs.lokalno_vreme >= replies.lokalno_vreme""",
     "city_dedup": f"""SELECT city_key, country, city, CAST(sum(n) OVER w AS BIGINT) AS listed FROM (
   SELECT city, country, translate(city, '{ACCENTED}', '{PLAIN}') AS city_key, count(*) AS n FROM (
     SELECT city, CASE WHEN country = 'en' THEN 'English' ELSE country END AS country
@@ -215,6 +220,7 @@ SELECT {OBS_COLUMNS} FROM (
 WHERE n = 1""",
     "append_stream": APPENDED,
     "append_compacted": APPENDED,
+    "append_redelivered": APPENDED,
     "upsert_stream": f"""WITH {OBS} SELECT {OBS_COLUMNS} FROM (
   SELECT *, row_number() OVER (PARTITION BY grad, datum ORDER BY lokalno_vreme DESC, event_id DESC) AS n FROM obs)
 WHERE n = 1""",

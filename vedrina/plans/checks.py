@@ -11,7 +11,7 @@ from vedrina.functions.json_fields import json_path
 from vedrina.functions.text import translate_words
 from vedrina.functions.times import auto_time, calendar_date, date_of, from_epoch, to_epoch, wall_time
 from vedrina.operators import extremes as ex
-from vedrina.operators.cities import consolidate_cities, enrich_cities
+from vedrina.operators.cities import consolidate_cities, enrich_as_of, enrich_cities
 from vedrina.operators.conform import MISFITS, conform
 from vedrina.operators.dictionary import check_dictionary, translate_with
 from vedrina.operators.parsing import PROBLEMS, accepted, parse_flat, parse_nested
@@ -24,6 +24,7 @@ from vedrina.operators.rows import (
     split_lines,
 )
 from vedrina.plans.jobs import (
+    append_job,
     daily_extremes_job,
     landing_job,
     read_report,
@@ -253,6 +254,15 @@ def enrich_cities_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     return enrich_cities(places, replies, ["grad", "drzava"], ["lokalno_vreme", "event_id"]).drop("event_id")
 
 
+def enrich_as_of_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each observation with the last one that its country signed up at that time."""
+    rows = observations(spark, sf_dir).select("event_id", "drzava", "lokalno_vreme", "temperatura")
+    replies = observations(spark, sf_dir).filter("stanje = 'signup'").select(
+        "drzava", "lokalno_vreme", F.col("event_id").alias("reply_id"), F.col("temperatura").alias("reply")
+    )
+    return enrich_as_of(rows, replies, ["drzava"], "lokalno_vreme", ["reply_id", "reply"], ["reply_id"])
+
+
 def city_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     # Every word of every text is a place name; documents and conversations are two lists.
     def words(name: str, country: str) -> DataFrame:
@@ -470,6 +480,19 @@ def append_stream_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_appended(spark, target, OBSERVATIONS)
 
 
+def append_redelivered(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every message delivered twice under other offsets, half of them in a later run."""
+    rows, log = observations(spark, sf_dir), new_path(spark, "log")
+    messages = envelope(rows, flat_text()).withColumn("timestamp", F.col("timestamp").cast("timestamp")).drop("stanje")
+    target, checkpoint, aside = (new_path(spark, name) for name in ("once", "once-checkpoint", "once-aside"))
+    again = messages.withColumn("offset", -F.col("offset"))
+    for delivered in (messages.unionByName(again.filter("offset % 2 = 0")), again.filter("offset % 2 <> 0")):
+        delivered.write.mode("append").parquet(log)
+        stream = spark.readStream.schema(messages.schema).parquet(log)
+        append_job(stream, target, checkpoint, aside, "10 days").awaitTermination()
+    return read_appended(spark, target, OBSERVATIONS)
+
+
 def append_compacted(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A day's quarters as batches, packed while they come in and at the end; a packed batch is delivered again."""
     rows, target = observations(spark, sf_dir).drop("event_id"), new_path(spark, "compacted")
@@ -579,6 +602,7 @@ QUERIES = {
     "translate_join": translate_join,
     "extract_text": extract_text,
     "enrich_cities": enrich_cities_query,
+    "enrich_as_of": enrich_as_of_query,
     "city_dedup": city_dedup,
     "quarantine": quarantine,
     "conform_wide": conform_wide,
@@ -590,6 +614,7 @@ QUERIES = {
     "upsert_by_time": upsert_by_time,
     "append_stream": append_stream_query,
     "append_compacted": append_compacted,
+    "append_redelivered": append_redelivered,
     "upsert_stream": upsert_stream_query,
     "landing_roundtrip": landing_roundtrip,
     "landing_quarantine": landing_quarantine,

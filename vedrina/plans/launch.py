@@ -42,6 +42,8 @@ def parser() -> argparse.ArgumentParser:
         made = command(name, text, "servers", "topic", "table", "checkpoint", "quarantine")
         made.add_argument("--starting", default="earliest" if name == "append" else "latest", choices=["earliest", "latest"])
         made.add_argument("--max-per-batch", type=int)
+        if name == "append":
+            made.add_argument("--redelivered-within", help="leave out messages that come again within this interval")
         if name == "upsert":
             made.add_argument("--report-countries", action="store_true", help="country names as the report selects by them")
             made.add_argument("--by-event-time", action="store_true")
@@ -81,7 +83,7 @@ def run(spark: SparkSession, arguments: Sequence[str]) -> None:
     if given.job in ("append", "upsert"):
         log = read_log(spark, given.servers, given.topic, starting=given.starting, max_per_batch=given.max_per_batch)
         if given.job == "append":
-            query = jobs.append_job(log, given.table, given.checkpoint, given.quarantine)
+            query = jobs.append_job(log, given.table, given.checkpoint, given.quarantine, given.redelivered_within)
         else:
             countries = COUNTRY_WORDS if given.report_countries else None
             query = jobs.upsert_job(
