@@ -1,0 +1,94 @@
+"""Repaired messages enter once; numbers of a batch come without another scan."""
+
+import json
+
+import pytest
+from pyspark.sql import functions as F
+
+from vedrina.operators.parsing import parse_flat
+from vedrina.plans import replay
+from vedrina.plans.replay import pending, replay_job
+from vedrina.schemas import OBSERVATIONS
+from vedrina.sinks.append import read_appended
+from vedrina.streaming.streams import append_stream, read_counts, upsert_stream
+
+
+def text(city, **more):
+    return json.dumps({"grad": city, "datum": "2024-01-01", "lokalno_vreme": "2024-01-01 05:00", **more})
+
+
+@pytest.fixture
+def stream(spark, path):
+    """Delivers messages to the append stream and returns the table's cities."""
+
+    class Stream:
+        aside, table, counts = path("aside"), path("table"), path("counts")
+
+        def deliver(self, *texts, start=append_stream, **settings):
+            rows = [(value, n) for n, value in enumerate(texts)]
+            spark.createDataFrame(rows, "value string, offset int").coalesce(1).write.mode("append").parquet(path("log"))
+            log = spark.readStream.schema("value string, offset int").parquet(path("log"))
+            parsed = parse_flat(log.withColumns({"timestamp": F.lit(0), "partition": F.lit(0)}), keep=["timestamp", "partition", "offset"])
+            start(parsed, self.table, path("checkpoint"), self.aside, **settings).awaitTermination()
+
+        def cities(self):
+            return sorted(row.grad for row in read_appended(spark, self.table, OBSERVATIONS).collect())
+
+    return Stream()
+
+
+def closed(value):
+    return F.concat(value, F.lit("}"))
+
+
+def test_two_replays_store_each_message_once(spark, stream):
+    stream.deliver(text("good"), text("cut")[:-1], text("cut")[:-1], "junk", text("misfit", vlaznost="many"))
+    assert stream.cities() == ["good", "misfit"]
+    assert replay_job(spark, stream.aside, stream.table, closed) == 0
+    assert stream.cities() == ["cut", "good", "misfit"]
+    assert [row.raw for row in pending(spark, stream.aside).collect()] == ["junk"]
+    assert replay_job(spark, stream.aside, stream.table, closed) == 1
+    assert stream.cities() == ["cut", "good", "misfit"]
+    # The same text set aside once more, and a new one; then another repair for what is left.
+    stream.deliver(text("cut")[:-1], text("new")[:-1])
+    replay_job(spark, stream.aside, stream.table, closed)
+    assert stream.cities() == ["cut", "good", "misfit", "new"]
+    replay_job(spark, stream.aside, stream.table, lambda value: F.when(value == "junk", F.lit(text("found"))).otherwise(value))
+    assert stream.cities() == ["cut", "found", "good", "misfit", "new"]
+    assert pending(spark, stream.aside).count() == 0
+
+
+def test_a_replay_that_ends_in_between(spark, stream, monkeypatch):
+    stream.deliver(text("good"), text("cut")[:-1])
+
+    def append_and_end(*arguments):
+        replay_append(*arguments)
+        raise RuntimeError("ended")
+
+    replay_append = replay.append_batch
+    with monkeypatch.context() as patch:
+        patch.setattr(replay, "append_batch", append_and_end)
+        with pytest.raises(RuntimeError, match="ended"):
+            replay_job(spark, stream.aside, stream.table, closed)
+    stream.deliver(text("more")[:-1])
+    assert replay_job(spark, stream.aside, stream.table, closed) == 0
+    assert stream.cities() == ["cut", "good", "more"]
+
+
+def test_numbers_of_each_batch(spark, stream):
+    stream.deliver(text("a"), text("b")[:-1], text("c", vlaznost="many"), counts=stream.counts)
+    stream.deliver(text("d"), counts=stream.counts)
+    rows = read_counts(spark, stream.counts).orderBy("batch_id").collect()
+    names = ("batch_id", "messages", "accepted", "misfits", "unreadable", "keyless")
+    assert [tuple(row[name] for name in names) for row in rows] == [(0, 3, 2, 1, 1, 0), (1, 1, 1, 0, 0, 0)]
+
+
+def test_numbers_of_an_upsert(spark, stream):
+    stream.deliver(text("a"), text(None), text(None, vlaznost="many"), "junk", start=upsert_stream, counts=stream.counts)
+    [row] = read_counts(spark, stream.counts).collect()
+    assert (row.messages, row.accepted, row.misfits, row.unreadable, row.keyless) == (4, 1, 0, 1, 1)
+
+
+def test_numbers_come_with_the_quarantine(spark, stream):
+    with pytest.raises(ValueError, match="quarantine"):
+        append_stream(parse_flat(spark.createDataFrame([("x",)], "value string")), "t", "c", None, counts="n")

@@ -184,6 +184,14 @@ QUALIFY row_number() OVER (PARTITION BY city_key, country ORDER BY n DESC, city)
   CASE WHEN stanje IN ('view', 'signup') THEN CAST(vlaznost AS VARCHAR) END AS vlaznost,
   CASE WHEN stanje IN ('purchase', 'signup') THEN lokalno_vreme END AS lokalno_vreme
 FROM obs""",
+    "stream_counts": f"""WITH {OBS}
+SELECT 'append' AS name, count(*) AS messages, count(*) FILTER (stanje <> 'click') AS accepted,
+  count(*) FILTER (stanje = 'purchase') AS misfits, count(*) FILTER (stanje = 'click') AS unreadable, CAST(0 AS BIGINT) AS keyless FROM obs
+UNION ALL
+SELECT 'upsert', count(*), count(*) FILTER (stanje NOT IN ('click', 'view')), count(*) FILTER (stanje = 'purchase'),
+  count(*) FILTER (stanje = 'click'), count(*) FILTER (stanje = 'view') FROM obs""",
+    "replayed": f"""WITH {OBS} SELECT CASE WHEN stanje <> 'view' THEN grad END AS grad, region, drzava, temperatura, osecaj,
+  CASE WHEN stanje <> 'purchase' THEN vlaznost END AS vlaznost, stanje, lokalno_vreme, datum FROM obs""",
     "conform_wide": f"SELECT {_wide_columns()} {WIDE_FROM}",
     "conform_misfits": f"""SELECT * FROM (SELECT l_orderkey, l_linenumber, {WIDE_MISFITS} AS misfits
 {WIDE_FROM}) WHERE misfits <> ''""",

@@ -43,6 +43,7 @@ from vedrina.plans.observations import (
     observations,
     table,
 )
+from vedrina.plans.replay import replay_job
 from vedrina.schemas import CONDITION_WORDS, EXTREMES, EXTREMES_KEYS, OBSERVATION_KEYS, OBSERVATIONS, WIDE_TABLE
 from vedrina.shared import new_path
 from vedrina.sinks.append import append_batch, read_appended
@@ -53,7 +54,7 @@ from vedrina.sinks.merge import upsert
 from vedrina.sources.files import read_landing, read_landing_lines, read_lines
 from vedrina.sources.ingestion_spec import IngestionSpec
 from vedrina.sources.message_log import ARRIVAL
-from vedrina.streaming.streams import append_stream, ingest, upsert_stream
+from vedrina.streaming.streams import append_stream, ingest, read_counts, upsert_stream
 
 # The four countries of the report checks.
 COUNTRIES = ["NATION_3", "NATION_7", "NATION_11", "NATION_19"]
@@ -273,6 +274,40 @@ def city_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return consolidate_cities([words("documents", "lang"), words("conversations", "role")], {"en": "English"})
 
 
+def _spoiled(rows: DataFrame) -> DataFrame:
+    """Messages of which those of one kind are cut short and those of another have a field that does not fit."""
+    text = F.col("message")
+    spoiled = (
+        F.when(F.col("stanje") == "click", F.expr("left(message, length(message) - 1)"))
+        .when(F.col("stanje") == "purchase", F.regexp_replace(text, r'"vlaznost":\d+', '"vlaznost":3000000000'))
+        .when(F.col("stanje") == "view", F.regexp_replace(text, r'"grad":"[^"]*",', ""))
+        .otherwise(text)
+    )
+    return envelope(rows.withColumn("message", flat_text()), spoiled)
+
+
+def stream_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What the append and the upsert stream count in a batch of which a part is spoiled or lacks its key."""
+    rows = observations(spark, sf_dir, event_stream(spark, sf_dir))
+    found = []
+    for name, start in (("append", append_stream), ("upsert", upsert_stream)):
+        target, checkpoint, aside, counts = (new_path(spark, f"counted-{part}") for part in ("rows", "checkpoint", "aside", "counts"))
+        start(parse_flat(_spoiled(rows), keep=ARRIVAL), target, checkpoint, aside, counts=counts).awaitTermination()
+        sums = read_counts(spark, counts).agg(*[F.sum(column).alias(column) for column in ("messages", "accepted", "misfits", "unreadable", "keyless")])
+        found.append(sums.withColumn("name", F.lit(name)))
+    return found[0].unionByName(found[1])
+
+
+def replayed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Cut messages, set aside by the append stream, repaired and replayed twice."""
+    rows = observations(spark, sf_dir, event_stream(spark, sf_dir))
+    target, checkpoint, aside = (new_path(spark, f"replay-{part}") for part in ("rows", "checkpoint", "aside"))
+    append_stream(parse_flat(_spoiled(rows)), target, checkpoint, aside).awaitTermination()
+    for _ in range(2):
+        replay_job(spark, aside, target, lambda text: F.concat(text, F.lit("}")))
+    return read_appended(spark, target, OBSERVATIONS)
+
+
 def quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
     # Messages spoiled by kind: cut short, a number out of range, two unreadable fields, and, by the order of arrival, an array,
     # a message of the other shape, one without any field.
@@ -605,6 +640,8 @@ QUERIES = {
     "enrich_as_of": enrich_as_of_query,
     "city_dedup": city_dedup,
     "quarantine": quarantine,
+    "stream_counts": stream_counts,
+    "replayed": replayed,
     "conform_wide": conform_wide,
     "conform_misfits": conform_misfits,
     "wide_table": wide_table,
