@@ -132,6 +132,13 @@ FROM lineitem JOIN (
     "parse_nested": PARSED,
     "json_path": """SELECT event_id, json_extract_string(props, '$.k') AS k,
   json_extract_string(props, '$.a.b') AS missing FROM events""",
+    "json_paths": f"""WITH {OBS}, whole AS (SELECT *, stanje NOT IN ('click', 'view') AS ok FROM obs)
+SELECT event_id, {', '.join(f"CASE WHEN ok THEN {name} END AS {name}" for name in ('grad', 'region', 'drzava', 'lokalno_vreme', 'temperatura', 'osecaj', 'stanje'))},
+  CASE WHEN ok AND stanje <> 'purchase' THEN vlaznost END AS vlaznost, CASE WHEN ok THEN CAST(vlaznost AS BIGINT) END AS k,
+  CAST(NULL AS BIGINT) AS missing, ok AS readable,
+  CASE WHEN NOT ok THEN 'message' WHEN stanje = 'purchase' THEN 'vlaznost' ELSE '' END AS problems,
+  NOT ok OR stanje = 'purchase' AS raw FROM whole""",
+    "json_elements": f"""SELECT doc_id, element_no, line, CAST(length(line) AS INTEGER) AS n FROM ({LINES.format(number="element_no")})""",
     "split_json": f"""WITH lines AS ({LINES.format(number="element_no")}), spoiled AS (
   SELECT doc_id, source = 'src3' AS no_number FROM documents WHERE NOT {NO_ARRAY}
 ), rows AS (

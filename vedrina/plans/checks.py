@@ -14,6 +14,7 @@ from vedrina.operators import extremes as ex
 from vedrina.operators.cities import consolidate_cities, enrich_as_of, enrich_cities
 from vedrina.operators.conform import MISFITS, conform
 from vedrina.operators.dictionary import check_dictionary, translate_with
+from vedrina.operators.documents import explode_array, select_paths
 from vedrina.operators.parsing import PROBLEMS, accepted, parse_flat, parse_nested
 from vedrina.operators.rows import (
     extract_columns,
@@ -155,6 +156,38 @@ def json_path_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+# Paths of a nested message, with their types.
+MESSAGE_PATHS = [
+    ("$.location.name", "grad", "string"), ("$.location.region", "region", "string"), ("$.location.country", "drzava", "string"),
+    ("$.location.localtime", "lokalno_vreme", "timestamp_ntz"), ("$.current.temp_c", "temperatura", "double"),
+    ("$.current.feelslike_c", "osecaj", "double"), ("$.current.humidity", "vlaznost", "int"), ("$.current.condition.text", "stanje", "string"),
+    ("$.props[0].k", "k", "bigint"), ("$.props[1].k", "missing", "bigint"),
+]
+
+
+def json_paths(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ten paths of nested messages with an array, parsed once; some are cut, some go on, and some have a value that does not fit."""
+    text = F.expr("concat(left(message, length(message) - 1), ',\"props\":[', props, ']}')")
+    spoiled = (
+        F.when(F.col("stanje") == "click", F.expr("left(text, length(text) - 1)"))
+        .when(F.col("stanje") == "view", F.concat("text", F.lit(",{}")))
+        .when(F.col("stanje") == "purchase", F.regexp_replace("text", r'"humidity":\d+', '"humidity":"many"'))
+        .otherwise(F.col("text"))
+    )
+    rows = observations(spark, sf_dir).withColumn("message", nested_text())
+    props = table(spark, sf_dir, "events").select(F.col("event_id").alias("own_id"), "props")
+    rows = rows.join(props, F.col("event_id") == F.col("own_id")).withColumn("text", text)
+    found = select_paths(rows.select("event_id", spoiled.alias("text")), "text", MESSAGE_PATHS, ["event_id"])
+    return found.withColumn("problems", F.array_join(PROBLEMS, ",")).withColumn("raw", F.col("raw").isNotNull())
+
+
+def json_elements(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The lines of the documents, as an array inside a JSON text, each with its length."""
+    lines = F.transform(F.split("text", "\n", -1), lambda line: F.struct(line.alias("line"), F.length(line).alias("n")))
+    texts = table(spark, sf_dir, "documents").select("doc_id", F.to_json(F.struct(lines.alias("lines"))).alias("body"))
+    return explode_array(texts, "body", "$.lines", [("$.line", "line", "string"), ("$.n", "n", "int")], ["doc_id"])
+
+
 def split_json_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     # The lines of the documents as arrays: those of one language are cut short, those of another are no arrays, those of three
     # sources go on behind the array, and in those of one source the first number is none.
@@ -627,6 +660,8 @@ QUERIES = {
     "parse_flat": parse_flat_query,
     "parse_nested": parse_nested_query,
     "json_path": json_path_query,
+    "json_paths": json_paths,
+    "json_elements": json_elements,
     "split_json": split_json_query,
     "split_lines": split_lines_query,
     "file_lines": file_lines,
