@@ -2,6 +2,7 @@ import html
 import itertools
 import random
 import re
+import time
 
 import numpy as np
 import pytest
@@ -191,3 +192,35 @@ def test_text_and_neighbours_outweigh_a_mark():
     page = f'<article><p>{long}</p><div class="promo"><p>{long}</p></div><p>{long}</p></article>'
     assert main_text(page, PRIOR).count("\n") == 2
     assert main_text(page.replace(f'promo"><p>{long}', 'promo"><p>Buy now!'), PRIOR).count("\n") == 1
+
+
+@pytest.mark.parametrize(
+    "page",
+    [
+        "<a " * 100_000, "<a " * 100_000 + ">", "<p x='" * 50_000, '<p x="' * 50_000 + ">", "<" * 300_000, "</" * 150_000, "<!-- " * 60_000, "<p a=b c " * 30_000,
+        "<x>" * 60_000 + "</y>" * 20_000, "<x>" * 60_000 + "<td>" * 5_000, "<script>" + "</script " * 30_000, "<b x=" * 60_000 + "'>",
+    ],
+)
+def test_spoiled_pages_are_read_in_one_go(page):
+    start = time.perf_counter()
+    parse(page)
+    assert time.perf_counter() - start < 2
+
+
+@pytest.mark.parametrize(
+    "page, texts",
+    [
+        ("<p data-x=don't>One.</p><p>It's two.</p><p>Three isn't.</p>", ["One.", "It's two.", "Three isn't."]),
+        ('<p title="a > b" class=x>One.</p><p title=\'it"s\'>Two.</p>', ["One.", "Two."]), ("<p title='it's'>One.</p>", ["One."]),
+        ("<p class=\"open>One.</p><p>Two.</p>", ["One.", "Two."]), ("<p =x a=>One.</p>", ["One."]), ("<p/>One.<p / a = 'b' >Two.", ["One.", "Two."]),
+        ("<p>So <math><mi>x</mi><mo>=</mo><mn>2</mn></math> it is.</p>", ["So x=2 it is."]), ("<p>One. <a href='x", ["One. <a href='x"]),
+        ("<script>a</scripts>b</script >c", ["c"]), ("<p>1 <2> 3 </3> <_> 4</p>", ["1 <2> 3 </3> <_> 4"]),
+    ],
+)
+def test_tags_as_written(page, texts):
+    assert [block.text for block in parse(page)[1]] == texts
+
+
+def test_marks_are_read_from_attributes_only():
+    elements, _ = parse("<div title='x class=ad id=nav' class=Content class=other>x</div><div style='display: none'>y</div><div data-hidden=1>z</div>")
+    assert [element.marks for element in elements[1:]] == ["content", " hidden", ""]

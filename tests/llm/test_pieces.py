@@ -159,3 +159,42 @@ def test_parts_of_batches(spark, docs_of, prose, monkeypatch):
     whole = sorted(map(tuple, token_counts.token_counts(docs).collect()))
     monkeypatch.setattr(batches.parts, "__defaults__", (500,))
     assert sorted(map(tuple, token_counts.token_counts(docs).collect())) == whole
+
+
+def unigram_file(path):
+    """A small unigram file with byte fallback, written as the library reads it."""
+    proto = pytest.importorskip("sentencepiece.sentencepiece_model_pb2")
+    model = proto.ModelProto()
+    model.trainer_spec.model_type, model.trainer_spec.byte_fallback = 1, True
+    model.trainer_spec.unk_id, model.trainer_spec.bos_id, model.trainer_spec.eos_id, model.trainer_spec.pad_id = 0, 1, 2, -1
+    model.normalizer_spec.name, model.normalizer_spec.add_dummy_prefix = "identity", True
+    model.normalizer_spec.remove_extra_whitespaces, model.normalizer_spec.escape_whitespaces = False, True
+    entries = [("<unk>", 0.0, 2), ("<s>", 0.0, 3), ("</s>", 0.0, 3), *[(f"<0x{b:02X}>", 0.0, 6) for b in range(256)]]
+    entries += [(name, score, 1) for name, score in SCORES.items()]
+    for name, score, kind in entries:
+        model.pieces.add(piece=name, score=score, type=kind)
+    with open(path, "wb") as file:
+        file.write(model.SerializeToString())
+
+
+@pytest.mark.parametrize("text", ["ab abab", "abba  ba", "cab abc a", "ababab b", "", "a", "bb abab"])
+def test_a_unigram_files_own_scores_count(tmp_path, text):
+    library = pytest.importorskip("sentencepiece")
+    path = str(tmp_path / "unigram.model")
+    unigram_file(path)
+    own = load(path)
+    assert [own.score[259 + n] for n in range(len(SCORES))] == [np.float32(score) for score in SCORES.values()]
+    ids, cuts = sentencepiece.encode_texts(own, [text])
+    expected = library.SentencePieceProcessor(model_file=path).encode(text)
+    assert ids[cuts[0] : cuts[1]].tolist() == expected
+    assert sentencepiece.decode_ids(own, ids) == text
+
+
+def test_kinds_of_files(tmp_path, vocabulary):
+    path = str(tmp_path / "unigram.model")
+    unigram_file(path)
+    with open(path, "rb") as own, open(pieces.VOCABULARY, "rb") as public:
+        assert pieces.model_kind(own.read()) == pieces.UNIGRAM and pieces.model_kind(public.read()) == pieces.BPE
+    assert pieces.model_kind(b"") == pieces.UNIGRAM
+    # Ranks are under Zipf's law.
+    assert vocabulary.score[vocabulary.score < 0].max() > -5 and vocabulary.score.min() > -30

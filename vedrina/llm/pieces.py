@@ -1,7 +1,8 @@
 """A vocabulary of pieces in a double-array trie, with log scores.
 
-The pieces come from a SentencePiece file (its path is a parameter; nothing is trained or copied). A BPE file has
-merge ranks instead of probabilities: there the log score of a piece is that of its rank under Zipf's law.
+The pieces come from a SentencePiece file (its path is a parameter; nothing is trained or copied). A unigram file has the
+log scores of its pieces, and these are taken. A BPE file has merge ranks instead of probabilities: there the log score of a piece is
+that of its rank under Zipf's law.
 
 Texts are cut into units, which no piece crosses: a run of spaces with the characters up to the next
 space or line break, or a line break. Spaces are the marker U+2581 of the pieces, and a text gets one in front.
@@ -130,6 +131,46 @@ def build(entries: list[tuple[str, float]], byte_ids: list[int], ids: list[int],
     return Pieces(code, base, check, piece, score, np.array(byte_ids, np.int32), bytes_of, unknown)
 
 
+# Kinds of model, the place of the kind in a model file (a message of fields), and that of its trainer's settings.
+UNIGRAM, BPE = 1, 2
+_SETTINGS, _KIND = 2, 3
+
+
+def _varint(data: bytes, at: int) -> tuple[int, int]:
+    value = shift = 0
+    while True:
+        byte = data[at]
+        at += 1
+        value |= (byte & 0x7F) << shift
+        shift += 7
+        if byte < 0x80:
+            return value, at
+
+
+def _field(data: bytes, wanted: int) -> int | bytes | None:
+    """The last value of a field of a serialized message."""
+    at, found = 0, None
+    while at < len(data):
+        key, at = _varint(data, at)
+        wire = key & 7
+        if wire == 0:
+            value, at = _varint(data, at)
+        else:
+            size = {1: 8, 5: 4}.get(wire)
+            if size is None:
+                size, at = _varint(data, at)
+            value, at = data[at : at + size], at + size
+        if key >> 3 == wanted:
+            found = value
+    return found
+
+
+def model_kind(data: bytes) -> int:
+    """The kind of a SentencePiece file; a file that does not say is a unigram one."""
+    settings = _field(data, _SETTINGS)
+    return UNIGRAM if not settings else _field(settings, _KIND) or UNIGRAM
+
+
 @lru_cache(maxsize=4)
 def load(path: str = VOCABULARY) -> Pieces:
     """The pieces of a SentencePiece file with byte fallback."""
@@ -147,8 +188,10 @@ def load(path: str = VOCABULARY) -> Pieces:
             ids.append(i)
             names.append(name)
             bytes_of[i] = name.replace(MARKER, " ").encode()
-    norm = math.log(math.fsum(1 / (rank + ZIPF_OFFSET) for rank in range(len(ids))))
-    scores = [-math.log(rank + ZIPF_OFFSET) - norm for rank in range(len(ids))]
+    scores = [file.get_score(i) for i in ids]
+    if model_kind(file.serialized_model_proto()) == BPE:
+        norm = math.log(math.fsum(1 / (rank + ZIPF_OFFSET) for rank in range(len(ids))))
+        scores = [-math.log(rank + ZIPF_OFFSET) - norm for rank in range(len(ids))]
     return build(list(zip(names, scores)), byte_ids, ids, size, bytes_of)
 
 
