@@ -182,6 +182,18 @@ FROM obs ASOF LEFT JOIN replies ON obs.drzava = replies.drzava AND obs.lokalno_v
   GROUP BY city, country)
 WINDOW w AS (PARTITION BY city_key, country)
 QUALIFY row_number() OVER (PARTITION BY city_key, country ORDER BY n DESC, city) = 1""",
+    "city_spellings": """WITH RECURSIVE names AS (
+  SELECT n_name AS country, CASE WHEN o_orderpriority = '1-URGENT' THEN replace(c_name, 'Customer', 'Custmer') ELSE c_name END AS city, count(*) AS listed
+  FROM orders JOIN customer ON o_custkey = c_custkey JOIN nation ON c_nationkey = n_nationkey GROUP BY ALL
+), links AS (
+  SELECT a.country, a.city AS a, b.city AS b FROM names a JOIN names b
+  ON a.country = b.country AND a.city <> b.city AND abs(length(a.city) - length(b.city)) <= 1 AND levenshtein(a.city, b.city) = 1
+), reached(country, city, root) AS (
+  SELECT country, city, city FROM names
+  UNION SELECT links.country, links.b, root FROM reached JOIN links ON reached.country = links.country AND reached.city = links.a
+), grouped AS (SELECT country, city, min(root) AS root FROM reached GROUP BY country, city)
+SELECT country, first(city ORDER BY listed DESC, city) AS city, CAST(sum(listed) AS BIGINT) AS listed, count(*) AS spellings
+FROM grouped JOIN names USING (country, city) GROUP BY country, root""",
     "quarantine": f"""WITH {OBS} SELECT event_id,
   CASE WHEN stanje IN ('click', 'error') THEN 'message' WHEN stanje = 'purchase' THEN 'vlaznost'
        WHEN stanje = 'view' THEN 'temperatura,lokalno_vreme' ELSE '' END AS problems,

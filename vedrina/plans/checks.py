@@ -24,6 +24,7 @@ from vedrina.operators.rows import (
     split_json_rejected,
     split_lines,
 )
+from vedrina.operators.spellings import consolidate_spellings
 from vedrina.plans.jobs import (
     append_job,
     daily_extremes_job,
@@ -307,6 +308,13 @@ def city_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return consolidate_cities([words("documents", "lang"), words("conversations", "role")], {"en": "English"})
 
 
+def city_spellings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The customers' names on their orders, by nation, one letter missing on urgent ones."""
+    orders = table(spark, sf_dir, "orders").join(cities(spark, sf_dir), F.col("o_custkey") == F.col("c_custkey"))
+    name = F.when(F.col("o_orderpriority") == "1-URGENT", F.replace("grad", F.lit("Customer"), F.lit("Custmer"))).otherwise(F.col("grad"))
+    return consolidate_spellings([orders.select(name.alias("city"), F.col("drzava").alias("country"))], {})
+
+
 def _spoiled(rows: DataFrame) -> DataFrame:
     """Messages of which those of one kind are cut short and those of another have a field that does not fit."""
     text = F.col("message")
@@ -674,6 +682,7 @@ QUERIES = {
     "enrich_cities": enrich_cities_query,
     "enrich_as_of": enrich_as_of_query,
     "city_dedup": city_dedup,
+    "city_spellings": city_spellings,
     "quarantine": quarantine,
     "stream_counts": stream_counts,
     "replayed": replayed,
