@@ -8,8 +8,8 @@ from pyspark.sql import functions as F
 
 # A written number, as JSON and databases write it. The casts alone also take ``1f``, ``1.5d`` and ``0x1p3``.
 WRITTEN = r"^\s*[+-]?(\d+(\.\d*)?|\.\d+)([eE][+-]?\d{1,3})?\s*$"
-# Digits that any bigint can hold, and the parts of other written numbers.
-PLAIN = r"^\s*[+-]?\d{1,18}\s*$"
+# Digits that any bigint can hold, also with zeros behind a point, and the parts of other written numbers.
+PLAIN = r"^\s*[+-]?\d{1,18}(?:\.0*)?\s*$"
 PARTS = r"^\s*[+-]?(\d*)\.?(\d*)(?:[eE]([+-]?\d{1,3}))?\s*$"
 NOT_FINITE = r"(?i)^\s*([+-]?inf(inity)?|nan)\s*$"
 
@@ -27,8 +27,8 @@ def whole_from_real(real: Column, data_type: str) -> Column:
 def whole_from_text(text: Column, data_type: str) -> Column:
     """A written whole number; ``65``, ``65.0`` and ``6.5e1`` are one. A fraction, however small, makes it none."""
     low, high = (-(2**31), 2**31 - 1) if data_type == "int" else (-(2**63), 2**63 - 1)
-    # Most numbers are plain digits, which a bigint holds.
-    plain = text.try_cast("bigint")
+    # Most numbers are plain digits, which a bigint holds; one pattern tells them.
+    plain = F.substring_index(text, ".", 1).try_cast("bigint")
     in_range = F.when(plain.between(F.lit(low), F.lit(high)), plain).try_cast(data_type)
     number = F.when(text.rlike(WRITTEN) & _is_whole(text), text).try_cast("decimal(38,18)")
     fits = number.between(F.lit(low).cast("decimal(38,0)"), F.lit(high).cast("decimal(38,0)"))
