@@ -63,6 +63,16 @@ LANDED = f"""WITH {OBS} SELECT {OBS_COLUMNS} FROM (
   SELECT *, row_number() OVER (PARTITION BY grad, datum ORDER BY lokalno_vreme DESC, region DESC, drzava DESC,
     temperatura DESC, osecaj DESC, vlaznost DESC, stanje DESC) AS n FROM obs)
 WHERE n = 1"""
+BY_TIME = f"""WITH {OBS}, late AS (
+  SELECT event_id, grad, region, drzava, -temperatura AS temperatura, osecaj, vlaznost, stanje,
+         lokalno_vreme - INTERVAL 1 HOUR AS lokalno_vreme,
+         CAST(lokalno_vreme - INTERVAL 1 HOUR AS DATE) AS datum
+  FROM obs)
+SELECT {OBS_COLUMNS} FROM (
+  SELECT *, row_number() OVER (PARTITION BY grad, datum ORDER BY lokalno_vreme DESC, batch DESC, event_id DESC) AS n
+  FROM (SELECT event_id, {OBS_COLUMNS}, 0 AS batch FROM obs
+        UNION ALL SELECT event_id, {OBS_COLUMNS}, 1 AS batch FROM late))
+WHERE n = 1"""
 LINES = """SELECT doc_id, CAST(n - 1 AS INTEGER) AS {number}, parts[n] AS line
 FROM (SELECT doc_id, parts, unnest(range(1, len(parts) + 1)) AS n
       FROM (SELECT doc_id, string_split(text, chr(10)) AS parts FROM documents))"""
@@ -235,16 +245,8 @@ SELECT * FROM hot JOIN cold USING (datum, drzava) JOIN counted USING (datum, drz
 SELECT * FROM new_hot JOIN new_cold USING (datum, drzava)
 UNION ALL
 SELECT * FROM hot JOIN cold USING (datum, drzava) WHERE NOT {IN_COUNTRIES}""",
-    "upsert_by_time": f"""WITH {OBS}, late AS (
-  SELECT event_id, grad, region, drzava, -temperatura AS temperatura, osecaj, vlaznost, stanje,
-         lokalno_vreme - INTERVAL 1 HOUR AS lokalno_vreme,
-         CAST(lokalno_vreme - INTERVAL 1 HOUR AS DATE) AS datum
-  FROM obs)
-SELECT {OBS_COLUMNS} FROM (
-  SELECT *, row_number() OVER (PARTITION BY grad, datum ORDER BY lokalno_vreme DESC, batch DESC, event_id DESC) AS n
-  FROM (SELECT event_id, {OBS_COLUMNS}, 0 AS batch FROM obs
-        UNION ALL SELECT event_id, {OBS_COLUMNS}, 1 AS batch FROM late))
-WHERE n = 1""",
+    "upsert_by_time": BY_TIME,
+    "upsert_by_file": BY_TIME,
     "append_stream": APPENDED,
     "append_compacted": APPENDED,
     "append_redelivered": APPENDED,

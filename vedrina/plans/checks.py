@@ -53,6 +53,7 @@ from vedrina.sinks.compaction import compact
 from vedrina.sinks.ddl import insert_rows, replace_table, with_row_id
 from vedrina.sinks.landing import write_landing
 from vedrina.sinks.merge import upsert
+from vedrina.sinks.versions import read_version, upsert_files
 from vedrina.sources.files import read_landing, read_landing_lines, read_lines
 from vedrina.sources.ingestion_spec import IngestionSpec
 from vedrina.sources.message_log import ARRIVAL
@@ -526,6 +527,20 @@ def upsert_by_time(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_landing(spark, target, OBSERVATIONS, "parquet")
 
 
+def upsert_by_file(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """As ``upsert_by_time``, but only files that hold the keys of a batch are written anew; the late batch comes twice."""
+    rows, target = observations(spark, sf_dir), new_path(spark, "by-file")
+    earlier = F.col("lokalno_vreme") - F.expr("INTERVAL 1 HOUR")
+    late = rows.withColumns(
+        {"lokalno_vreme": earlier, "datum": date_of(earlier), "temperatura": -F.col("temperatura")}
+    )
+    for batch_id, batch in ((0, rows), (1, late), (1, late)):
+        upsert_files(
+            batch, target, OBSERVATIONS, OBSERVATION_KEYS, "datum", ["lokalno_vreme", "event_id"], batch_id, ["lokalno_vreme"], 50
+        )
+    return read_version(spark, target, OBSERVATIONS)
+
+
 def report_job(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The report of all dates, then that of three months anew on top of it, with the prices turned round."""
     rows = line_items(spark, sf_dir)
@@ -693,6 +708,7 @@ QUERIES = {
     "report_running": report_running,
     "upsert_batch": upsert_batch,
     "upsert_by_time": upsert_by_time,
+    "upsert_by_file": upsert_by_file,
     "append_stream": append_stream_query,
     "append_compacted": append_compacted,
     "append_redelivered": append_redelivered,

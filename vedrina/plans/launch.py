@@ -47,6 +47,7 @@ def parser() -> argparse.ArgumentParser:
         if name == "upsert":
             made.add_argument("--report-countries", action="store_true", help="country names as the report selects by them")
             made.add_argument("--by-event-time", action="store_true")
+            made.add_argument("--by-file", action="store_true", help="a table of versions, of which a batch rewrites few files")
 
     made = command("ingest", "messages as an ingestion specification asks", "spec", "table", "checkpoint", "quarantine")
     made.add_argument("--starting", default="earliest", choices=["earliest", "latest"])
@@ -87,7 +88,7 @@ def run(spark: SparkSession, arguments: Sequence[str]) -> None:
         else:
             countries = COUNTRY_WORDS if given.report_countries else None
             query = jobs.upsert_job(
-                log, given.table, given.checkpoint, given.quarantine, countries=countries, by_event_time=given.by_event_time
+                log, given.table, given.checkpoint, given.quarantine, countries=countries, by_event_time=given.by_event_time, by_file=given.by_file
             )
         query.awaitTermination()
     elif given.job == "ingest":

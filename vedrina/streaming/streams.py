@@ -15,6 +15,7 @@ from vedrina.schemas import FLAT_MESSAGE, OBSERVATION_KEYS, OBSERVATIONS
 from vedrina.sinks.append import append_batch, append_jdbc
 from vedrina.sinks.jdbc import upsert_table
 from vedrina.sinks.merge import upsert
+from vedrina.sinks.versions import upsert_files
 from vedrina.sources.ingestion_spec import DAY, IngestionSpec, parse_specified
 from vedrina.sources.message_log import ARRIVAL
 from vedrina.streaming.run import run_stream
@@ -55,20 +56,31 @@ def append_stream_jdbc(
 
 
 def upsert_stream(
-    parsed: DataFrame, table: str, checkpoint: str, quarantine: str, by_event_time: bool = False, counts: str | None = None, **settings
+    parsed: DataFrame,
+    table: str,
+    checkpoint: str,
+    quarantine: str,
+    by_event_time: bool = False,
+    counts: str | None = None,
+    by_file: bool = False,
+    **settings,
 ) -> StreamingQuery:
     """Upsert parsed messages into the parquet table at ``table`` by city and date.
 
     The message that arrived last counts or, ``by_event_time``, the one with the latest local time,
     whichever batch it came in. ``parsed`` must carry the arrival columns (``keep`` of the parser).
     Messages with problems, and those without city or date, go to ``quarantine``, their numbers to ``counts``. The state of
-    the upsert is kept with the checkpoint.
+    the upsert is kept with the checkpoint. ``by_file`` makes it a table of versions (``sinks.versions``), read by
+    ``read_version``: a batch rewrites the files of its keys only, and readers see it in full or not at all.
     """
     time = ["lokalno_vreme"] if by_event_time else []
 
     def store(batch: DataFrame, stream_id: str, batch_id: int) -> None:
         state = f"{checkpoint}/upsert/{stream_id}"
         rows, order = accepted(batch), [*time, *ARRIVAL]
+        if by_file:
+            upsert_files(rows, table, OBSERVATIONS, OBSERVATION_KEYS, "datum", order, batch_id, time, stream_id=stream_id)
+            return
         upsert(rows, table, OBSERVATIONS, OBSERVATION_KEYS, "datum", order, state, batch_id, time)
 
     settings = {"output_mode": "update", **settings}
