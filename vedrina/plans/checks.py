@@ -536,7 +536,7 @@ def upsert_by_file(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     for batch_id, batch in ((0, rows), (1, late), (1, late)):
         upsert_files(
-            batch, target, OBSERVATIONS, OBSERVATION_KEYS, "datum", ["lokalno_vreme", "event_id"], batch_id, ["lokalno_vreme"], 50
+            batch, target, OBSERVATIONS, OBSERVATION_KEYS, "datum", ["lokalno_vreme", "event_id"], batch_id, ["lokalno_vreme"], 2000
         )
     return read_version(spark, target, OBSERVATIONS)
 
