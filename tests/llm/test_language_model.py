@@ -7,7 +7,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from vedrina.llm import language_model as lm
-from vedrina.llm.language_model import CLASSES, START, LogBilinear, lm_scores, probability_table, train
+from vedrina.llm.language_model import Training, lm_scores, shares, train, untrained, with_ends
+
 
 def held_out_rows():
     return F.expr("pmod(crc32(coalesce(string(doc_id), '')), 7) = 2")
@@ -91,14 +92,39 @@ def test_a_shuffled_text_is_less_likely(docs_of, prose):
     assert found[held] > found[other]
 
 
+def trained(counts, tokens, steps=1, seed=0):
+    training = Training(untrained(counts), shares(counts), 0.1, seed)
+    for _ in range(steps):
+        training.step(*tokens)
+    return training.model
+
+
 def test_probabilities_sum_to_one():
     dice = np.random.default_rng(1)
-    counts = np.zeros(((CLASSES + 1) ** 2, CLASSES), np.float32)
-    counts[dice.integers(0, len(counts), 500), dice.integers(0, CLASSES, 500)] = dice.integers(1, 50, 500)
-    model = train(counts)
-    table = probability_table(model)
-    assert np.allclose((10.0 ** table.astype(float)).sum(axis=1), 1, atol=1e-4)
-    assert (train(counts).target == model.target).all()
+    for leaves in (17, 101, 400):
+        tokens = tuple(dice.integers(0, leaves, (3, 500)))
+        model = trained(np.bincount(tokens[2], minlength=leaves), tokens, 20)
+        for context in ((leaves, leaves), (3, leaves), (5, 16)):
+            before, second = np.full(leaves, context[0]), np.full(leaves, context[1])
+            logs = model.log_probabilities(before, second, np.arange(leaves))
+            assert np.exp(logs.astype(float)).sum() == pytest.approx(1, abs=1e-4)
+        again = trained(np.bincount(tokens[2], minlength=leaves), tokens, 20)
+        assert (again.flat() == model.flat()).all()
+
+
+def test_probabilities_by_hand():
+    """Both softmaxes over all groups and all leaves, one token at a time."""
+    dice = np.random.default_rng(2)
+    leaves = 50
+    tokens = tuple(dice.integers(0, leaves, (3, 300)))
+    model = trained(np.bincount(tokens[2], minlength=leaves), tokens, 5)
+    found = model.log_probabilities(*tokens)
+    for before, second, token, log in zip(*(t[:40] for t in tokens), found[:40]):
+        h = model.given[before] @ model.near + model.given[second] @ model.far
+        groups = np.exp(h @ model.group.T + model.group_bias)
+        mine = [leaf for leaf in range(leaves) if leaf // 8 == token // 8]
+        members = {leaf: math.exp(h @ model.target[leaf] + model.bias[leaf]) for leaf in mine}
+        assert log == pytest.approx(math.log(groups[token // 8] / groups.sum() * members[token] / sum(members.values())), abs=1e-4)
 
 
 def test_the_second_factor_sums_to_one():
@@ -109,43 +135,77 @@ def test_the_second_factor_sums_to_one():
     assert sum((c + 1) / total for c in known) + 1 / total == pytest.approx(1)
 
 
-def test_gradient_raises_the_objective():
-    """After training, the scores of a saturated problem come near the data: one context, three classes."""
-    counts = np.zeros(((CLASSES + 1) ** 2, CLASSES), np.float32)
-    counts[START * (CLASSES + 2), [1, 2, 3]] = [700, 200, 100]
-    counts[5, [1, 2, 3]] = [100, 100, 800]
-    table = 10.0 ** probability_table(train(counts)).astype(float)
-    assert table[START * (CLASSES + 2), [1, 2, 3]] == pytest.approx([0.7, 0.2, 0.1], abs=0.08)
-    assert table[5, [1, 2, 3]] == pytest.approx([0.1, 0.1, 0.8], abs=0.08)
+def test_steps_raise_the_objective():
+    """After training, probabilities come near the data: two contexts, three leaves."""
+    dice = np.random.default_rng(3)
+    leaves, start = 30, 30
+    one, two = dice.choice([1, 12, 29], 3000, p=[0.7, 0.2, 0.1]), dice.choice([1, 12, 29], 3000, p=[0.1, 0.1, 0.8])
+    before, second = np.repeat([start, 5], 3000), np.full(6000, start)
+    token = np.concatenate([one, two])
+    model = trained(np.bincount(token, minlength=leaves), (before, second, token), 300)
+    for context, expected in ((start, [0.7, 0.2, 0.1]), (5, [0.1, 0.1, 0.8])):
+        logs = model.log_probabilities(np.full(3, context), np.full(3, start), np.array([1, 12, 29]))
+        assert np.exp(logs) == pytest.approx(expected, abs=0.08)
 
 
 def test_contexts():
-    classes = lm.Classes({"": 0, "a": 1, "b": 2}, {})
-    context, token = lm.token_classes(["a b a", "", "b"], classes)
+    before, second, token = with_ends(np.array([1, 2, 1, 2]), np.array([3, 0, 1]), 9)
     assert token.tolist() == [1, 2, 1, 0, 0, 2, 0]
-    n = CLASSES + 1
-    expected = [(START, START), (1, START), (2, 1), (1, 2), (START, START), (START, START), (2, START)]
-    assert context.tolist() == [before + second * n for before, second in expected]
+    assert list(zip(before.tolist(), second.tolist())) == [(9, 9), (1, 9), (2, 1), (1, 2), (9, 9), (9, 9), (2, 9)]
 
 
-def test_scores_by_hand(spark, docs_of, prose):
-    """The whole score of each document from the counts, the classes and the table."""
+def learned(docs_of, rows):
+    frame = docs_of(rows).select(F.col("doc_id").alias("id"), "text", held_out_rows().alias("held_out"))
+    blocks = lm.blocks_of(frame)
+    counts = lm.word_counts(blocks)
+    c = {row.word: row.c for row in counts.collect()}
+    leaves = lm.leaves_of(counts, sum(c.values()))
+    return blocks, c, leaves
+
+
+def test_leaves(docs_of, prose):
+    """Every word that is frequent enough has its own, and the rest are counted by theirs; more text has more leaves."""
+    sizes = []
+    for n in (30, 300):
+        _, c, leaves = learned(docs_of, [(k, prose(100, k) + f" x{k}y x{k % 7}z q{k}") for k in range(n)])
+        least = lm.least_count(sum(c.values()))
+        assert set(leaves.words) == {word for word, count in c.items() if count >= least} | {""}
+        tokens, words = Counter(), Counter()
+        for word, count in c.items():
+            tokens[leaves.of(word.encode())] += count
+            words[leaves.of(word.encode())] += 1
+        assert [tokens[k] for k in range(len(leaves.tokens))] == leaves.tokens.tolist()
+        assert [words[k] for k in range(len(leaves.tokens))] == leaves.n_words.tolist()
+        assert len(leaves.words) <= lm.SHARE * math.sqrt(sum(c.values())) + 1
+        sizes.append(least)
+    assert sizes[1] > sizes[0]
+    assert lm.passes_over(10_000) == lm.MOST_PASSES and lm.passes_over(10**10) == 1
+
+
+def test_scores_by_hand(docs_of, prose, monkeypatch):
+    """The whole score of each document from the counts, the leaves and the model."""
     rows = languages(prose, 60)
+    models = []
+    monkeypatch.setattr(lm, "train", lambda *given: models.append(train(*given)) or models[-1])
     found = {row.doc_id: row.score for row in lm_scores(docs_of(rows), held_out_rows()).collect()}
-    frame = docs_of(rows).select(F.col("doc_id").alias("id"), "text", held_out_rows().alias("held_out"))
-    counts = lm.word_counts(lm.blocks_of(frame))
-    classes = lm.classes_of(counts)
-    of_class, words_of_class, c = Counter(), Counter(), {row.word: row.c for row in counts.collect()}
-    for word, n in c.items():
-        of_class[classes.of(word.encode())] += n
-        words_of_class[classes.of(word.encode())] += 1
-    learning = docs_of([row for row in rows if not is_held_out(row[0])]).select("text")
-    table = probability_table(train(lm.triple_counts(learning, classes)))
+    _, c, leaves = learned(docs_of, rows)
+    [model] = models
     for id, text in rows[::7]:
-        context, token = lm.token_classes([text], classes)
-        score = float(table[context, token].astype(float).sum())
-        for word, k in zip(text.lower().split(), token):
-            if k > lm.FREQUENT:
-                score += math.log10((c.get(word, 0) + 1) / (of_class[k] + words_of_class[k] + 1))
+        words = text.lower().split()
+        tokens = with_ends(np.array([leaves.of(word.encode()) for word in words]), np.array([len(words)]), len(leaves.tokens))
+        score = float(model.log_probabilities(*tokens).sum()) / math.log(10)
+        for word, leaf in zip(words, tokens[2]):
+            if word not in leaves.words:
+                score += math.log10((c.get(word, 0) + 1) / (leaves.tokens[leaf] + leaves.n_words[leaf] + 1))
         assert found[id] == pytest.approx(score, rel=1e-5)
-    assert isinstance(train(np.zeros(((CLASSES + 1) ** 2, CLASSES), np.float32)), LogBilinear)
+
+
+def test_moves_are_averaged_by_tokens():
+    import pyarrow as pa
+
+    rows = [(0, 300, [1.0, 2.0]), (0, 100, [5.0, -2.0]), (1, 100, [0.5])]
+    batch = pa.RecordBatch.from_arrays(
+        [pa.array([r[0] for r in rows]), pa.array([r[1] for r in rows]), pa.array([np.array(r[2], "<f2").tobytes() for r in rows])], ["piece", "trained", "moves"]
+    )
+    [summed] = lm._sum_moves(iter([batch]))
+    assert [np.frombuffer(m, "<f4").tolist() for m in summed["moves"].to_pylist()] == [[2.0, 1.0], [0.5]]

@@ -1,27 +1,28 @@
 """A log-bilinear language model, trained in numpy by noise-contrastive estimation, and the scores it gives.
 
-Every word has a class: the most frequent words are classes of their own, the others share one by their ending (the most
-frequent endings; the rest by a hash). The model predicts the class of a token from the classes of the two before it:
+A leaf is a word that occurs often enough, at least sqrt(tokens) / SHARE times, so that there are SHARE * sqrt(tokens) at most and
+more of them as the corpus grows; or an ending that stands for its rarer words; or, for words with a rare ending, one of HASHED. Every
+leaf has vectors of its own, as context and as target. Leaves lie in groups of about the square root of their number,
+neighbours by spelling from the end. The model predicts the leaf of a token from the leaves of the two before it:
 
-    s(class, context) = (r[c1] C1 + r[c2] C2) . t[class] + b[class]
+    h = r[l1] C1 + r[l2] C2
+    P(token | context) = softmax(h . U + a)[group] * softmax(h . T + b, within the group)[leaf] * (c + 1) / (tokens + words + 1)
 
-    P(token | context) = softmax(s)[class of token] * (c + 1) / (tokens of its class + words of its class + 1)
-
-where the second factor (1 for classes of one word) leaves the mass of one more word to all unseen ones of a class,
-so that probabilities sum to one.
-
-Training goes over all training documents: tasks count the triples of classes, of which there are at most
-CLASSES^3 whatever the corpus, and the noise-contrastive objective is raised on these counts, with the noise's
-expectation over all classes in closed form (matrix products over batches of contexts), so nothing is drawn at
-random.
+where the last factor (1 for leaves of one word) is over the words of the leaf and leaves the mass of one more word to all unseen
+ones, so that probabilities sum to one.
 
 The counts of words grow with the corpus and are never gathered. Documents are grouped in blocks, and a block's distinct words
 are dealt by a hash to buckets, one row per block and bucket. Bucket by bucket the words are counted over all blocks,
-and each block is answered with the counts of its words; then a block is scored on its own. So words move once per
-block that has them, packed, and documents as numbers.
+and each block is answered with the counts and leaves of its words; then it is stored as numbers of leaves, from which the model is
+trained and the documents are scored. So words move once per block that has them, packed, and documents as numbers.
+
+Training goes over all training documents in rounds: every task goes from the same model over the tokens of its blocks, in steps up
+the noise-contrastive objective of both softmaxes with drawn noise; Spark adds up the tasks' moves, weighted by their tokens. There are
+about tokens / (TOKENS_A_LEAF * leaves) tasks, so that the moves stay a small part of the corpus. A small corpus is passed over
+several times, VISITS tokens in addition to its own.
 
 Defined results: a null or empty text has the end as its only token. A null id counts as any other. Without
-training documents all counts are zero and all classes are equally likely. Rows stay one to one with the input.
+training documents all counts are zero and all leaves are equally likely but for the sizes of groups. Rows stay one to one with the input.
 """
 
 from __future__ import annotations
@@ -30,7 +31,7 @@ import math
 import zlib
 from collections import Counter
 from collections.abc import Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, fields
 
 import numpy as np
 import pyarrow as pa
@@ -43,20 +44,24 @@ from vedrina.shared import new_path, written
 
 # The end of a text, as a word. Words are never empty.
 END = ""
-FREQUENT, ENDINGS, HASHED = 95, 48, 16
+SHARE, HASHED = 8, 16
 ENDING_CHARS = 2
-CLASSES = 1 + FREQUENT + ENDINGS + HASHED
-# The context before the first token.
-START = CLASSES
-WIDTH = 24
-NOISE = 10.0
-STEPS, RATE = 60, 0.1
+WIDTH = 16
+# Noise per token in each softmax, and the choices drawn for it for all tokens of a step.
+NOISE, DRAWN_GROUPS, DRAWN_LEAVES = 10.0, 16, 8
+ROUNDS, RATE = 3, 0.1
+VISITS, MOST_PASSES = 4 << 20, 24
+LEAST_TASKS, TOKENS_A_LEAF = 4, 512
 # A block of documents has about this many bytes of text or one longer text, and at most so many documents.
 BLOCK_BYTES, BLOCK_ROWS = 12 << 20, 50_000
 # A bucket has the words that fall to it in about this many bytes of text.
 BUCKET_BYTES, LEAST_BUCKETS = 64 << 20, 128
-# Tokens scored at once (or those of one longer document).
-SCORED = 1 << 18
+# Blocks are gathered in partitions of about so many tokens.
+GATHERED, LEAST_GATHERED = 4 << 20, 16
+# Tokens scored at once (or those of one longer document), and rows of a matrix.
+SCORED, ROWS = 1 << 18, 1 << 13
+# Numbers of the model in one row of moves.
+PIECE = 1 << 16
 
 
 def words_of(text: str | None) -> list[bytes]:
@@ -69,11 +74,13 @@ def ending(word: str) -> str:
 
 
 @dataclass(frozen=True)
-class Classes:
-    """The classes of the frequent words and endings, by name."""
+class Leaves:
+    """The leaves of the frequent words and of endings, by name; ``tokens`` and ``words`` of each leaf."""
 
     words: dict[str, int]
     endings: dict[str, int]
+    tokens: np.ndarray
+    n_words: np.ndarray
 
     def of(self, word: bytes) -> int:
         text = word.decode("utf-8", "surrogatepass")
@@ -81,17 +88,15 @@ class Classes:
         if found is None:
             found = self.endings.get(ending(text))
         if found is None:
-            found = 1 + FREQUENT + ENDINGS + zlib.crc32(ending(text).encode("utf-8", "surrogatepass")) % HASHED
+            found = 1 + zlib.crc32(ending(text).encode("utf-8", "surrogatepass")) % HASHED
         return found
 
-
-def _numbered(texts: list[str | None]) -> tuple[list[bytes], np.ndarray, np.ndarray]:
-    """The distinct words, the number of each token's word, and the number of words of each text."""
-    number: dict[bytes, int] = {}
-    per_text = [words_of(text) for text in texts]
-    sizes = np.fromiter(map(len, per_text), np.int64, len(texts))
-    which = np.fromiter((number.setdefault(w, len(number)) for ws in per_text for w in ws), np.int64, int(sizes.sum()))
-    return list(number), which, sizes
+    @property
+    def divisors(self) -> np.ndarray:
+        """The logarithm of what a word's count is divided by within its leaf; nan for leaves of one word."""
+        found = np.log10(self.tokens + self.n_words + 1.0)
+        found[list(self.words.values())] = np.nan
+        return found
 
 
 # --- blocks and buckets -------------------------------------------------------------------------
@@ -218,11 +223,11 @@ def _count_buckets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch
         yield pa.RecordBatch.from_arrays([pa.array([w for w, _ in known], pa.string()), pa.array([c for _, c in known], pa.int64())], ["word", "c"])
 
 
-def _answer_buckets(classes: Classes):
+def _answer_buckets(leaves: Broadcast):
     def of_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for bucket, blocks in _buckets(batches):
             counts = _counted(blocks)
-            answers = {word: (c, classes.of(word)) for word, c in counts.items()}
+            answers = {word: (c, leaves.value.of(word)) for word, c in counts.items()}
             for block, words, _ in blocks:
                 answer = np.array([answers[word] for word in words], "<i8")
                 yield pa.RecordBatch.from_arrays([pa.array([block]), pa.array([bucket]), pa.array([answer.tobytes()], pa.binary())], ["block", "bucket", "numbers"])
@@ -240,97 +245,109 @@ def word_counts(blocks: DataFrame) -> DataFrame:
     return _by_bucket(blocks).mapInArrow(_count_buckets, "word string, c bigint")
 
 
-# --- classes ------------------------------------------------------------------------------------
-
-
-def classes_of(counts: DataFrame) -> Classes:
-    """The classes from the word counts; at most FREQUENT words and ENDINGS endings come to the driver."""
-    order = [F.desc("c"), "word"]
-    frequent = [row["word"] for row in counts.filter(F.col("word") != END).orderBy(*order).limit(FREQUENT).collect()]
-    rare = counts.filter(~F.col("word").isin([END, *frequent]))
-    rare = rare.groupBy(F.right("word", F.lit(ENDING_CHARS)).alias("word")).agg(F.sum("c").alias("c"))
-    endings = [row["word"] for row in rare.orderBy(*order).limit(ENDINGS).collect()]
-    return Classes(
-        {END: 0} | {word: k for k, word in enumerate(frequent, 1)},
-        {e: k for k, e in enumerate(endings, 1 + FREQUENT)},
-    )
-
-
-def class_totals(counts: DataFrame, classes: Classes) -> tuple[np.ndarray, np.ndarray]:
-    """Tokens and words of each class."""
-
-    def of_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tokens, words = np.zeros(CLASSES, np.int64), np.zeros(CLASSES, np.int64)
-        for batch in batches:
-            if batch.num_rows:
-                k = np.array([classes.of(w.encode()) for w in batch.column(0).to_pylist()])
-                np.add.at(tokens, k, batch.column(1).to_numpy())
-                np.add.at(words, k, 1)
-        yield pa.RecordBatch.from_arrays([pa.array(np.arange(CLASSES)), pa.array(tokens), pa.array(words)], ["k", "tokens", "words"])
-
-    found = counts.select("word", "c").mapInArrow(of_batches, "k bigint, tokens bigint, words bigint")
-    tokens, words = np.zeros(CLASSES, np.int64), np.zeros(CLASSES, np.int64)
-    for row in found.groupBy("k").agg(F.sum("tokens").alias("tokens"), F.sum("words").alias("words")).collect():
-        tokens[row["k"]], words[row["k"]] = row["tokens"], row["words"]
-    return tokens, words
-
-
-def token_classes(texts: list[str | None], classes: Classes) -> tuple[np.ndarray, np.ndarray]:
-    """The contexts and the class of each token, the ends among them; a context is (class before) + (the one before
-    that) * (CLASSES + 1)."""
-    names, which, sizes = _numbered(texts)
-    of_word = np.fromiter(map(classes.of, names), np.int64, len(names))
-    return _with_ends(of_word[which], sizes)
-
-
-def _with_ends(word_classes: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+# --- leaves -------------------------------------------------------------------------------------
+
+
+def least_count(n_tokens: int) -> float:
+    """How often a word occurs that has a leaf of its own."""
+    return max(2.0, math.sqrt(n_tokens) / SHARE)
+
+
+def leaves_of(counts: DataFrame, n_tokens: int) -> Leaves:
+    """The leaves from the word counts; at most 2 * SHARE * sqrt(n_tokens) + HASHED rows come to the driver."""
+    least = least_count(n_tokens)
+    ends = [row["c"] for row in counts.filter(F.col("word") == END).collect()]
+    spelled = counts.filter(F.col("word") != END)
+    frequent = [(row["word"], row["c"]) for row in spelled.filter(F.col("c") >= least).collect()]
+    rare = spelled.filter(F.col("c") < least).groupBy(F.right("word", F.lit(ENDING_CHARS)).alias("ending"))
+    rare = rare.agg(F.sum("c").alias("c"), F.count("*").alias("words"))
+    own = F.when(F.col("c") >= least, F.col("ending"))
+    hashed = F.when(F.col("c") < least, F.pmod(F.crc32("ending"), F.lit(HASHED)))
+    shared = rare.groupBy(own.alias("ending"), hashed.alias("hashed")).agg(F.sum("c").alias("c"), F.sum("words").alias("words")).collect()
+    endings = [(row["ending"], row["c"], row["words"]) for row in shared if row["ending"] is not None]
+    listed = sorted([(word[::-1], 0, c, 1) for word, c in frequent] + [(end[::-1], 1, c, n) for end, c, n in endings])
+    tokens, words = (np.zeros(1 + HASHED + len(listed), np.int64) for _ in range(2))
+    tokens[0], words[0] = sum(ends), len(ends)
+    for row in shared:
+        if row["ending"] is None:
+            tokens[1 + row["hashed"]], words[1 + row["hashed"]] = row["c"], row["words"]
+    found: tuple[dict[str, int], dict[str, int]] = ({END: 0}, {})
+    for leaf, (backwards, is_ending, c, n) in enumerate(listed, 1 + HASHED):
+        found[is_ending][backwards[::-1]] = leaf
+        tokens[leaf], words[leaf] = c, n
+    return Leaves(*found, tokens, words)
+
+
+def with_ends(word_leaves: np.ndarray, sizes: np.ndarray, start: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The two leaves before each token and its own, the ends among them; ``start`` stands before the first."""
     ends = np.cumsum(sizes + 1) - 1
-    token = np.zeros(len(word_classes) + len(sizes), np.int64)
+    token = np.zeros(len(word_leaves) + len(sizes), np.int64)
     is_word = np.ones(len(token), bool)
     is_word[ends] = False
-    token[is_word] = word_classes
-    before = np.concatenate([[START], token[:-1]])
-    second = np.concatenate([[START, START], token[:-2]])[: len(token)]
+    token[is_word] = word_leaves
+    before = np.concatenate([[start], token[:-1]])
+    second = np.concatenate([[start, start], token[:-2]])[: len(token)]
     starts = ends - sizes
-    before[starts] = START
-    second[starts] = START
-    second[(starts + 1)[sizes > 0]] = START
-    return before + second * (CLASSES + 1), token
+    before[starts] = start
+    second[starts] = start
+    second[(starts + 1)[sizes > 0]] = start
+    return before, second, token
 
 
-def triple_counts(texts: DataFrame, classes: Classes) -> np.ndarray:
-    """How often each class follows each context: an array of fixed size."""
-    n = (CLASSES + 1) ** 2 * CLASSES
-    schema = "context bigint, counts binary"
+def _answered(documents: pa.StructArray, which: np.ndarray, counts: np.ndarray, leaf: np.ndarray, n_ends: int, divisors: np.ndarray) -> pa.RecordBatch:
+    """A block as a row: of each document what the counts alone decide, and the leaves of all words. ``counts`` and ``leaf`` of the
+    block's words by number."""
+    ids, held_out, sizes = documents.flatten()
+    sizes = sizes.to_numpy().astype(np.int64)
+    log_c = np.log10(counts + 1.0)
+    within = np.nan_to_num(log_c - divisors[leaf], nan=0.0)
+    cuts = np.concatenate([[0], np.cumsum(sizes)])
+    sums = [np.concatenate([[0], np.cumsum(values[which], dtype=kind)]) for values, kind in ((counts > 0, np.int64), (log_c, float), (within, float))]
+    known, logs, inside = (total[cuts[1:]] - total[cuts[:-1]] for total in sums)
+    measured = {
+        "id": ids, "held_out": held_out, "size": pa.array(sizes.astype(np.int32)), "n_known": pa.array(known + int(n_ends > 0)),
+        "log_counts": pa.array(logs + math.log10(n_ends + 1)), "within": pa.array(inside),
+    }
+    rows = pa.StructArray.from_arrays(list(measured.values()), list(measured))
+    listed = pa.ListArray.from_arrays(pa.array([0, len(sizes)], pa.int32()), rows)
+    return pa.RecordBatch.from_arrays([listed, pa.array([_planes(leaf[which])], pa.binary())], ["documents", "leaves"])
+
+
+def _answer_blocks(fixed: Broadcast):
+    def of_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Rows (bucket, words, numbers, documents) come sorted by block and bucket: a block's documents, then the answers."""
+        documents, which, place, answers = None, None, None, []
 
-    def rows(counts: np.ndarray, contexts: np.ndarray) -> pa.RecordBatch:
-        return pa.RecordBatch.from_arrays(
-            [pa.array(contexts), pa.array([row.tobytes() for row in counts], pa.binary())], ["context", "counts"]
-        )
+        def done() -> pa.RecordBatch:
+            found = np.concatenate(answers)[place]
+            return _answered(documents, which, found[:, 0], found[:, 1], *fixed.value)
 
-    def of_texts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counts = np.zeros(n, np.int64)
-        for part in parts(batches, 0):
-            context, token = token_classes(part.column(0).to_pylist(), classes)
-            np.add.at(counts, context * CLASSES + token, 1)
-        counts = counts.reshape(-1, CLASSES)
-        found = np.flatnonzero(counts.any(axis=1))
-        yield rows(counts[found], found)
-
-    def added(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        sums: dict[int, np.ndarray] = {}
         for batch in batches:
-            for context, row in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                row = np.frombuffer(row, np.int64)
-                sums[context] = sums[context] + row if context in sums else row
-        if sums:
-            yield rows(np.stack(list(sums.values())), np.fromiter(sums, np.int64, len(sums)))
-
-    found = texts.mapInArrow(of_texts, schema).repartition("context").mapInArrow(added, schema).toArrow()
-    counts = np.zeros((n // CLASSES, CLASSES), np.float32)
-    for context, row in zip(found["context"].to_pylist(), found["counts"].to_pylist()):
-        counts[context] = np.frombuffer(row, np.int64)
-    return counts
+            for row in range(batch.num_rows):
+                if batch.column(0)[row].as_py() < 0:
+                    if documents is not None:
+                        yield done()
+                    documents, answers = batch.column(3).slice(row, 1).flatten(), []
+                    place, which = (_from_planes(batch.column(k)[row].as_py()) for k in (1, 2))
+                else:
+                    answers.append(np.frombuffer(batch.column(2)[row].as_py(), "<i8").reshape(-1, 2))
+        if documents is not None:
+            yield done()
+
+    return of_batches
+
+
+def numbered(blocks: DataFrame, leaves: Leaves, n_tokens: int, kind: str) -> DataFrame:
+    """The blocks (of ``blocks_of``) with leaves in place of words, one row per block: ``documents`` and ``leaves``."""
+    context = blocks.sparkSession.sparkContext
+    # As many words and endings as leaves_of allows.
+    answered = _by_bucket(blocks).mapInArrow(_answer_buckets(context.broadcast(leaves)), "block bigint, bucket bigint, numbers binary")
+    gathered = blocks.filter("bucket < 0").unionByName(answered, allowMissingColumns=True)
+    gathered = gathered.repartition(max(LEAST_GATHERED, n_tokens // GATHERED), "block").sortWithinPartitions("block", "bucket")
+    fixed = context.broadcast((int(leaves.tokens[0]), leaves.divisors))
+    measured = f"id:{kind},held_out:boolean,size:int,n_known:bigint,log_counts:double,within:double"
+    schema = f"documents array<struct<{measured}>>, leaves binary"
+    return gathered.select("bucket", "words", "numbers", "documents").mapInArrow(_answer_blocks(fixed), schema)
 
 
 # --- the model ----------------------------------------------------------------------------------
@@ -338,142 +355,272 @@ def triple_counts(texts: DataFrame, classes: Classes) -> np.ndarray:
 
 @dataclass
 class LogBilinear:
-    """``given``: vectors of context classes; ``near`` and ``far``: matrices of the two places; ``target``, ``bias``: of
-    predicted classes."""
+    """``given``: vectors of the leaves as context (the last one: before the first token); ``near`` and ``far``: matrices of
+    the two places; ``group``, ``group_bias`` and ``target``, ``bias``: of predicted groups and leaves."""
 
     given: np.ndarray
     near: np.ndarray
     far: np.ndarray
+    group: np.ndarray
+    group_bias: np.ndarray
     target: np.ndarray
     bias: np.ndarray
 
-    def scores(self, context: np.ndarray) -> np.ndarray:
-        before, second = context % (CLASSES + 1), context // (CLASSES + 1)
-        return (self.given[before] @ self.near + self.given[second] @ self.far) @ self.target.T + self.bias
-
-    def log_probabilities(self, context: np.ndarray) -> np.ndarray:
-        """Normalised natural logarithms, one row per context."""
-        s = self.scores(context).astype(np.float64)
-        s -= s.max(axis=1, keepdims=True)
-        return s - np.log(np.exp(s).sum(axis=1, keepdims=True))
-
-
-def train(counts: np.ndarray, seed: int = 0, batch: int = 4096) -> LogBilinear:
-    """Raises sum over contexts h and classes w of n(h, w) log p(data) + NOISE n(h) q(w) log p(noise), where q is the
-    distribution of the classes and p(data) = logistic(s - log(NOISE q)), by Adam steps on all contexts."""
-    rng = np.random.default_rng(seed)
-    small = lambda *shape: (0.1 * rng.standard_normal(shape)).astype(np.float32)
-    total = counts.sum()
-    noise = (counts.sum(axis=0) + 1) / (total + CLASSES)
-    model = LogBilinear(
-        small(CLASSES + 1, WIDTH),
-        np.eye(WIDTH, dtype=np.float32),
-        0.5 * np.eye(WIDTH, dtype=np.float32),
-        small(CLASSES, WIDTH),
-        np.log(noise).astype(np.float32),
-    )
-    if not total:
-        model.target[:] = 0
-        return model
-    contexts = np.flatnonzero(counts.sum(axis=1))
-    names = ["given", "near", "far", "target", "bias"]
-    first = {name: np.zeros_like(getattr(model, name)) for name in names}
-    second = {name: np.zeros_like(getattr(model, name)) for name in names}
-    log_noise = np.log(NOISE * noise).astype(np.float32)
-    for step in range(1, STEPS + 1):
-        gradient = {name: np.zeros_like(getattr(model, name)) for name in names}
-        for at in range(0, len(contexts), batch):
-            context = contexts[at : at + batch]
-            before, far = context % (CLASSES + 1), context // (CLASSES + 1)
-            seen = counts[context]
-            given_near, given_far = model.given[before], model.given[far]
-            predicted = given_near @ model.near + given_far @ model.far
-            delta = predicted @ model.target.T + model.bias - log_noise
-            data = 1 / (1 + np.exp(-np.clip(delta, -30, 30)))
-            push = (seen * (1 - data) - NOISE * seen.sum(axis=1, keepdims=True) * noise.astype(np.float32) * data) / total
-            gradient["target"] += push.T @ predicted
-            gradient["bias"] += push.sum(axis=0)
-            back = push @ model.target
-            gradient["near"] += given_near.T @ back
-            gradient["far"] += given_far.T @ back
-            np.add.at(gradient["given"], before, back @ model.near.T)
-            np.add.at(gradient["given"], far, back @ model.far.T)
-        rate = RATE * (1 - 0.9 * step / STEPS)
-        for name in names:
-            first[name] = 0.9 * first[name] + 0.1 * gradient[name]
-            second[name] = 0.99 * second[name] + 0.01 * gradient[name] ** 2
-            move = (first[name] / (1 - 0.9**step)) / (np.sqrt(second[name] / (1 - 0.99**step)) + 1e-9)
-            setattr(model, name, (getattr(model, name) + rate * move).astype(np.float32))
-    return model
-
+    @property
+    def size(self) -> int:
+        """Leaves in a group; the last group may have fewer."""
+        return math.ceil(math.sqrt(len(self.target)))
+
+    def predicted(self, before: np.ndarray, second: np.ndarray) -> np.ndarray:
+        return self.given[before] @ self.near + self.given[second] @ self.far
+
+    def group_scores(self, predicted: np.ndarray) -> np.ndarray:
+        return predicted @ self.group.T + self.group_bias
+
+    def leaf_scores(self, predicted: np.ndarray, group: int) -> np.ndarray:
+        low = group * self.size
+        return predicted @ self.target[low : low + self.size].T + self.bias[low : low + self.size]
+
+    def log_probabilities(self, before: np.ndarray, second: np.ndarray, token: np.ndarray) -> np.ndarray:
+        """Natural logarithms of each token's leaf after its context, normalised, by batches of matrix products."""
+        order = np.argsort(token, kind="stable")
+        token = token[order]
+        groups = token // self.size
+        found = np.empty(len(token), np.float32)
+        cuts = np.searchsorted(groups, np.arange(len(self.group) + 1))
+        for group, (low, high) in enumerate(zip(cuts[:-1].tolist(), cuts[1:].tolist())):
+            for at in range(low, high, ROWS):
+                part = slice(at, min(at + ROWS, high))
+                predicted = self.predicted(before[order[part]], second[order[part]])
+                found[part] = _chosen(self.group_scores(predicted), groups[part])
+                found[part] += _chosen(self.leaf_scores(predicted, group), token[part] - group * self.size)
+        back = np.empty_like(found)
+        back[order] = found
+        return back
+
+    def flat(self) -> np.ndarray:
+        return np.concatenate([getattr(self, f.name).ravel() for f in fields(self)])
+
+    def moved(self, moves: np.ndarray) -> LogBilinear:
+        arrays = [getattr(self, f.name) for f in fields(self)]
+        cuts = np.cumsum([a.size for a in arrays])[:-1]
+        return LogBilinear(*(a + part.reshape(a.shape).astype(np.float32) for a, part in zip(arrays, np.split(moves, cuts))))
+
+
+def _chosen(scores: np.ndarray, choice: np.ndarray) -> np.ndarray:
+    """The logarithm of the softmax at each row's choice."""
+    scores -= scores.max(axis=1, keepdims=True)
+    at = scores[np.arange(len(scores)), choice]
+    np.exp(scores, out=scores)
+    return at - np.log(scores.sum(axis=1))
+
+
+def shares(counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The noise: smoothed shares of the groups of leaves, and of each leaf in its group."""
+    size = math.ceil(math.sqrt(len(counts)))
+    smooth = counts + 1.0
+    group = np.add.reduceat(smooth, np.arange(0, len(counts), size))
+    return (group / group.sum()).astype(np.float32), (smooth / group[np.arange(len(counts)) // size]).astype(np.float32)
+
+
+def untrained(counts: np.ndarray, seed: int = 0) -> LogBilinear:
+    """The unigram shares of the leaves with these counts, whatever the context."""
+    group, leaf = shares(counts)
+    given = (0.1 * np.random.default_rng(seed).standard_normal((len(counts) + 1, WIDTH))).astype(np.float32)
+    eye = np.eye(WIDTH, dtype=np.float32)
+    zeros = [np.zeros((rows, WIDTH), np.float32) for rows in (len(group), len(leaf))]
+    return LogBilinear(given, eye, 0.5 * eye, zeros[0], np.log(group), zeros[1], np.log(leaf))
+
+
+def _logistic(x: np.ndarray) -> np.ndarray:
+    return 1 / (1 + np.exp(-np.clip(x, -30, 30)))
+
+
+def _added(rows: np.ndarray, values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The distinct rows in order, and the sum of the values of each."""
+    order = np.argsort(rows, kind="stable")
+    rows = rows[order]
+    heads = np.flatnonzero(np.concatenate([[True], rows[1:] != rows[:-1]]))
+    return rows[heads], np.add.reduceat(values[order], heads, axis=0)
+
+
+class Training:
+    """Steps of one task from a model: each a move up log p(data) + NOISE E[log p(noise)] of some tokens in both softmaxes, with
+    p(data) = logistic(s - log(NOISE q)) and the expectation over drawn choices. AdaGrad, so that rare leaves move as far as
+    frequent ones."""
+
+    def __init__(self, model: LogBilinear, noise: tuple[np.ndarray, np.ndarray], rate: float, seed: int) -> None:
+        self.model = LogBilinear(*(getattr(model, f.name).copy() for f in fields(model)))
+        self.seen = {f.name: np.full(getattr(model, f.name).shape, 1e-6, np.float32) for f in fields(model)}
+        self.rate, self.dice = rate, np.random.default_rng(seed)
+        self.below = [np.log(NOISE * q) for q in noise]
+        # Draws are places on one line, where every group has its leaves side by side.
+        self.groups_line = np.cumsum(noise[0], dtype=float)
+        self.leaves_line = np.cumsum(noise[1], dtype=float)
+        size = model.size
+        self.firsts = np.arange(0, len(noise[1]), size)
+        self.lasts = np.minimum(self.firsts + size, len(noise[1])) - 1
+
+    def _move(self, name: str, gradient: np.ndarray, rows: slice | np.ndarray = slice(None)) -> None:
+        seen = self.seen[name][rows] + gradient * gradient
+        self.seen[name][rows] = seen
+        getattr(self.model, name)[rows] += self.rate * gradient / np.sqrt(seen)
+
+    def _data(self, names: tuple[str, str], below: np.ndarray, predicted: np.ndarray, chosen: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The push of the data: on what was predicted, and how strong it is."""
+        vectors, bias = (getattr(self.model, name) for name in names)
+        own = vectors[chosen]
+        push = 1 - _logistic(np.einsum("ij,ij->i", predicted, own) + (bias - below)[chosen])
+        return push[:, None] * own, push
+
+    def _noise(self, names: tuple[str, str], below: np.ndarray, predicted: np.ndarray, drawn: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        vectors, bias = (getattr(self.model, name) for name in names)
+        push = _logistic(predicted @ vectors[drawn].T + (bias[drawn] - below[drawn]))
+        push *= -NOISE / len(drawn)
+        return push @ vectors[drawn], push
+
+    def _finish(self, names: tuple[str, str], predicted: np.ndarray, chosen: np.ndarray, push: np.ndarray, drawn: np.ndarray, back: np.ndarray, n: np.ndarray) -> None:
+        """Moves the choices: ``push`` of the data for each token, ``back`` and ``n`` of each drawn choice."""
+        heads = np.flatnonzero(np.concatenate([[True], chosen[1:] != chosen[:-1]]))
+        pushed = np.concatenate([push[:, None] * predicted, push[:, None]], axis=1)
+        own = np.add.reduceat(pushed, heads, axis=0)
+        rows, sums = _added(np.concatenate([chosen[heads], drawn]), np.concatenate([own, np.concatenate([back, n[:, None]], axis=1)]))
+        sums /= len(chosen)
+        self._move(names[0], sums[:, :-1], rows)
+        self._move(names[1], sums[:, -1], rows)
+
+    def step(self, before: np.ndarray, second: np.ndarray, token: np.ndarray) -> None:
+        model = self.model
+        order = np.argsort(token, kind="stable")
+        before, second, token = before[order], second[order], token[order]
+        groups = token // model.size
+        given_near, given_far = model.given[before], model.given[second]
+        predicted = given_near @ model.near + given_far @ model.far
+
+        names, below = ("group", "group_bias"), self.below[0]
+        back, push = self._data(names, below, predicted, groups)
+        drawn = np.searchsorted(self.groups_line, self.dice.random(DRAWN_GROUPS) * self.groups_line[-1])
+        drawn = np.minimum(drawn, len(self.firsts) - 1)
+        more, noise = self._noise(names, below, predicted, drawn)
+        back += more
+        moves = [(names, groups, push, drawn, noise.T @ predicted, noise.sum(axis=0))]
+
+        names, below = ("target", "bias"), self.below[1]
+        more, push = self._data(names, below, predicted, token)
+        back += more
+        heads = np.flatnonzero(np.concatenate([[True], groups[1:] != groups[:-1]]))
+        present = groups[heads]
+        low, high = self.firsts[present], self.lasts[present]
+        under = np.where(low > 0, self.leaves_line[low - 1], 0.0)
+        places = under[:, None] + self.dice.random((len(present), DRAWN_LEAVES)) * (self.leaves_line[high] - under)[:, None]
+        drawn = np.clip(np.searchsorted(self.leaves_line, places), low[:, None], high[:, None])
+        backs, sums = np.empty((*drawn.shape, WIDTH), np.float32), np.empty(drawn.shape, np.float32)
+        for k, (first, last) in enumerate(zip(heads.tolist(), [*heads[1:].tolist(), len(token)])):
+            part = predicted[first:last]
+            more, noise = self._noise(names, below, part, drawn[k])
+            back[first:last] += more
+            backs[k], sums[k] = noise.T @ part, noise.sum(axis=0)
+        moves.append((names, token, push, drawn.ravel(), backs.reshape(-1, WIDTH), sums.ravel()))
+
+        for names, chosen, push, drawn, pushed, n in moves:
+            self._finish(names, predicted, chosen, push, drawn, pushed, n)
+        back /= len(token)
+        contexts, pushes = _added(np.concatenate([before, second]), np.concatenate([back @ model.near.T, back @ model.far.T]))
+        self._move("near", given_near.T @ back)
+        self._move("far", given_far.T @ back)
+        self._move("given", pushes, contexts)
+
+    def steps(self, before: np.ndarray, second: np.ndarray, token: np.ndarray) -> None:
+        """Once over the tokens: as many steps as keep one about twice the leaves, each with tokens from everywhere."""
+        n = math.ceil(len(token) / (1024 + 2 * len(self.model.target)))
+        for k in range(n):
+            self.step(before[k::n], second[k::n], token[k::n])
+
+
+def passes_over(n_tokens: int) -> int:
+    """How often the training goes over the corpus."""
+    return min(MOST_PASSES, max(1, round((n_tokens + VISITS) / max(1, n_tokens))))
+
+
+def _train_round(given: Broadcast, round: int, passes: int):
+    def of_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Rows (documents, leaves). The passes over a block are dealt over the rounds."""
+        model, noise = given.value
+        task = TaskContext.get().partitionId()
+        training, trained, block = Training(model, noise, RATE * (1 - round / ROUNDS), task), 0, task
+        for batch in batches:
+            for row in range(batch.num_rows):
+                block += 1
+                times = sum((at + block) % ROUNDS == round for at in range(passes))
+                documents = batch.column(0).slice(row, 1).flatten()
+                teaches = ~documents.field("held_out").to_numpy(zero_copy_only=False).astype(bool)
+                if not times or not teaches.any():
+                    continue
+                sizes = documents.field("size").to_numpy().astype(np.int64)
+                leaves = _from_planes(batch.column(1)[row].as_py())[np.repeat(teaches, sizes)]
+                tokens = with_ends(leaves, sizes[teaches], len(model.target))
+                for _ in range(times):
+                    training.steps(*tokens)
+                    trained += len(tokens[2])
+        if trained:
+            moves = (training.model.flat() - model.flat()).astype("<f2")
+            pieces = [moves[at : at + PIECE].tobytes() for at in range(0, len(moves), PIECE)]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(range(len(pieces)), pa.int64()), pa.array([trained] * len(pieces), pa.int64()), pa.array(pieces, pa.binary())], ["piece", "trained", "moves"]
+            )
 
-def probability_table(model: LogBilinear) -> np.ndarray:
-    """log10 P(class | context) for all contexts, by batches of matrix products."""
-    contexts = np.arange((CLASSES + 1) ** 2)
-    rows = [model.log_probabilities(part) for part in np.array_split(contexts, max(1, len(contexts) // 4096))]
-    return (np.concatenate(rows) / math.log(10)).astype(np.float32)
+    return of_batches
 
 
-# --- scoring ------------------------------------------------------------------------------------
+def _sum_moves(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The tasks' moves of each piece, averaged by the tokens that made them."""
+    sums: dict[int, np.ndarray] = {}
+    weights: Counter = Counter()
+    for batch in batches:
+        for piece, trained, moves in zip(*(column.to_pylist() for column in batch.columns)):
+            sums[piece] = sums.get(piece, 0) + trained * np.frombuffer(moves, "<f2").astype(float)
+            weights[piece] += trained
+    yield pa.RecordBatch.from_arrays(
+        [pa.array(list(sums), pa.int64()), pa.array([(sums[p] / weights[p]).astype("<f4").tobytes() for p in sums], pa.binary())], ["piece", "moves"]
+    )
 
 
-def _sums(values: np.ndarray, cuts: np.ndarray) -> np.ndarray:
-    """The sum of each run; no run is empty."""
-    return np.add.reduceat(values, cuts[:-1]) if len(cuts) > 1 else values[:0]
+def train(rows: DataFrame, counts: np.ndarray, n_tokens: int) -> LogBilinear:
+    """The model of leaves with these counts, from ``numbered`` blocks. What comes to the driver is of the size of the model."""
+    model, noise = untrained(counts), shares(counts)
+    tasks = LEAST_TASKS + n_tokens // (TOKENS_A_LEAF * len(counts))
+    for round in range(ROUNDS if n_tokens else 0):
+        given = rows.sparkSession.sparkContext.broadcast((model, noise))
+        moves = rows.coalesce(tasks).mapInArrow(_train_round(given, round, passes_over(n_tokens)), "piece bigint, trained bigint, moves binary")
+        found = moves.repartition("piece").mapInArrow(_sum_moves, "piece bigint, moves binary").toArrow()
+        given.unpersist()
+        pieces = dict(zip(found["piece"].to_pylist(), found["moves"].to_pylist()))
+        if pieces:
+            model = model.moved(np.frombuffer(b"".join(pieces[k] for k in range(len(pieces))), "<f4"))
+    return model
 
 
-def _scored(
-    documents: pa.StructArray, which: np.ndarray, counts: np.ndarray, classes: np.ndarray, model: dict
-) -> Iterator[pa.RecordBatch]:
-    """The rows of a block, some at a time. ``counts`` and ``classes`` of its words by number."""
-    ids, held_out, sizes = documents.flatten()
-    sizes = sizes.to_numpy().astype(np.int64)
-    ends = np.cumsum(sizes)
-    parts = np.concatenate([[0], np.flatnonzero(np.diff(ends // SCORED)) + 1, [len(sizes)]])
-    for low, high in zip(parts[:-1].tolist(), parts[1:].tolist()):
-        words = which[ends[low] - sizes[low] : ends[high - 1]]
-        context, token = _with_ends(classes[words], sizes[low:high])
-        cuts = np.concatenate([[0], np.cumsum(sizes[low:high] + 1)])
-        is_word = np.ones(len(token), bool)
-        is_word[cuts[1:] - 1] = False
-        c = np.full(len(token), model["ends"], np.int64)
-        c[is_word] = counts[words]
-        log_c = np.log10(c + 1.0)
-        # A word that is a class of its own is sure once its class is.
-        in_class = np.where(token > FREQUENT, log_c - model["divisors"][token], 0.0)
-        yield pa.RecordBatch.from_arrays(
-            [
-                ids.slice(low, high - low),
-                held_out.slice(low, high - low),
-                pa.array(sizes[low:high] + 1),
-                pa.array(_sums((c > 0).astype(np.int64), cuts)),
-                pa.array(_sums(log_c, cuts)),
-                pa.array(_sums(model["table"][context, token] + in_class, cuts)),
-            ],
-            ["id", "held_out", "n_tokens", "n_known", "log_counts", "score"],
-        )
+# --- scoring ------------------------------------------------------------------------------------
 
 
-def _score_blocks(fields: Broadcast):
+def _score_blocks(given: Broadcast):
     def of_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """Rows (bucket, words, numbers, documents) come sorted by block and bucket: a block's documents, then the answers."""
-        documents, which, place, answers = None, None, None, []
-
-        def done() -> Iterator[pa.RecordBatch]:
-            found = np.concatenate(answers)
-            return _scored(documents, which, found[place, 0], found[place, 1], fields.value)
-
+        """Rows (documents, leaves), some documents at a time."""
+        model = given.value
         for batch in batches:
             for row in range(batch.num_rows):
-                if batch.column(0)[row].as_py() < 0:
-                    if documents is not None:
-                        yield from done()
-                    documents, answers = batch.column(3).slice(row, 1).flatten(), []
-                    place, which = (_from_planes(batch.column(k)[row].as_py()) for k in (1, 2))
-                else:
-                    answers.append(np.frombuffer(batch.column(2)[row].as_py(), "<i8").reshape(-1, 2))
-        if documents is not None:
-            yield from done()
+                documents = batch.column(0).slice(row, 1).flatten()
+                leaves = _from_planes(batch.column(1)[row].as_py())
+                sizes = documents.field("size").to_numpy().astype(np.int64)
+                ends = np.cumsum(sizes)
+                cuts = np.concatenate([[0], np.flatnonzero(np.diff(ends // SCORED)) + 1, [len(sizes)]])
+                for low, high in zip(cuts[:-1].tolist(), cuts[1:].tolist()):
+                    part, some = documents.slice(low, high - low), sizes[low:high]
+                    tokens = with_ends(leaves[ends[low] - sizes[low] : ends[high - 1]], some, len(model.target))
+                    logs = model.log_probabilities(*tokens).astype(float) / math.log(10)
+                    score = np.add.reduceat(logs, np.cumsum(some + 1) - some - 1) + part.field("within").to_numpy()
+                    columns = [part.field(name) for name in ("id", "held_out", "n_known", "log_counts")]
+                    yield pa.RecordBatch.from_arrays([*columns, pa.array(some + 1), pa.array(score)], ["id", "held_out", "n_known", "log_counts", "n_tokens", "score"])
 
     return of_batches
 
@@ -486,22 +633,15 @@ def lm_scores(docs: DataFrame, held_out: Column, id: str = "doc_id", text: str =
     """
     spark = docs.sparkSession
     rows = docs.select(F.col(id).alias("id"), F.col(text).alias("text"), F.coalesce(held_out, F.lit(False)).alias("held_out"))
+    kind = rows.schema["id"].dataType.simpleString()
     blocks = written(blocks_of(rows), new_path(spark, "lm-blocks"))
     counts = written(word_counts(blocks), new_path(spark, "lm-counts"))
     n_tokens, n_words = counts.agg(F.coalesce(F.sum("c"), F.lit(0)), F.count("*")).first()
-    classes = classes_of(counts)
-    tokens, words = class_totals(counts, classes)
-    model = train(triple_counts(rows.filter(~F.col("held_out")).select("text"), classes))
-    # Of fixed size: at most (CLASSES + 1)^2 * CLASSES numbers.
-    fields = spark.sparkContext.broadcast(
-        {"table": probability_table(model), "ends": int(tokens[0]), "divisors": np.log10(tokens + words + 1.0)}
-    )
-    answered = _by_bucket(blocks).mapInArrow(_answer_buckets(classes), "block bigint, bucket bigint, numbers binary")
-    gathered = blocks.filter("bucket < 0").unionByName(answered, allowMissingColumns=True)
-    gathered = gathered.repartition("block").sortWithinPartitions("block", "bucket").select("bucket", "words", "numbers", "documents")
-    kind = rows.schema["id"].dataType.simpleString()
-    scores = gathered.mapInArrow(
-        _score_blocks(fields), f"id {kind}, held_out boolean, n_tokens bigint, n_known bigint, log_counts double, score double"
+    leaves = leaves_of(counts, n_tokens)
+    leaved = written(numbered(blocks, leaves, n_tokens, kind), new_path(spark, "lm-leaves"))
+    model = spark.sparkContext.broadcast(train(leaved, leaves.tokens, n_tokens))
+    scores = leaved.mapInArrow(
+        _score_blocks(model), f"id {kind}, held_out boolean, n_known bigint, log_counts double, n_tokens bigint, score double"
     )
     return scores.select(
         F.col("id").alias(id),
