@@ -50,7 +50,7 @@ WIDTH = 16
 # Noise per token in each softmax, and the choices drawn for it for all tokens of a step.
 NOISE, DRAWN_GROUPS, DRAWN_LEAVES = 10.0, 16, 8
 ROUNDS, RATE = 3, 0.1
-VISITS, MOST_PASSES = 4 << 20, 24
+VISITS, MOST_PASSES = 8 << 20, 24
 LEAST_TASKS, TOKENS_A_LEAF = 4, 512
 # A block of documents has about this many bytes of text or one longer text, and at most so many documents.
 BLOCK_BYTES, BLOCK_ROWS = 12 << 20, 50_000
@@ -58,8 +58,8 @@ BLOCK_BYTES, BLOCK_ROWS = 12 << 20, 50_000
 BUCKET_BYTES, LEAST_BUCKETS = 64 << 20, 128
 # Blocks are gathered in partitions of about so many tokens.
 GATHERED, LEAST_GATHERED = 4 << 20, 16
-# Tokens scored at once (or those of one longer document), and rows of a matrix.
-SCORED, ROWS = 1 << 18, 1 << 13
+# Numbers of leaves in one row (or those of one longer document), and rows of a matrix.
+ROW_TOKENS, ROWS = 1 << 18, 1 << 13
 # Numbers of the model in one row of moves.
 PIECE = 1 << 16
 
@@ -281,12 +281,12 @@ def leaves_of(counts: DataFrame, n_tokens: int) -> Leaves:
 def with_ends(word_leaves: np.ndarray, sizes: np.ndarray, start: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """The two leaves before each token and its own, the ends among them; ``start`` stands before the first."""
     ends = np.cumsum(sizes + 1) - 1
-    token = np.zeros(len(word_leaves) + len(sizes), np.int64)
+    token = np.zeros(len(word_leaves) + len(sizes), np.int32)
     is_word = np.ones(len(token), bool)
     is_word[ends] = False
     token[is_word] = word_leaves
-    before = np.concatenate([[start], token[:-1]])
-    second = np.concatenate([[start, start], token[:-2]])[: len(token)]
+    before, second = np.full_like(token, start), np.full_like(token, start)
+    before[1:], second[2:] = token[:-1], token[:-2]
     starts = ends - sizes
     before[starts] = start
     second[starts] = start
@@ -294,23 +294,29 @@ def with_ends(word_leaves: np.ndarray, sizes: np.ndarray, start: int) -> tuple[n
     return before, second, token
 
 
-def _answered(documents: pa.StructArray, which: np.ndarray, counts: np.ndarray, leaf: np.ndarray, n_ends: int, divisors: np.ndarray) -> pa.RecordBatch:
-    """A block as a row: of each document what the counts alone decide, and the leaves of all words. ``counts`` and ``leaf`` of the
-    block's words by number."""
+def _answered(
+    documents: pa.StructArray, which: np.ndarray, counts: np.ndarray, leaf: np.ndarray, n_ends: int, divisors: np.ndarray
+) -> Iterator[pa.RecordBatch]:
+    """A block in rows of about ROW_TOKENS tokens or one longer document: of each document what the counts alone decide, and the
+    leaves of all words. ``counts`` and ``leaf`` of the block's words by number."""
     ids, held_out, sizes = documents.flatten()
     sizes = sizes.to_numpy().astype(np.int64)
     log_c = np.log10(counts + 1.0)
     within = np.nan_to_num(log_c - divisors[leaf], nan=0.0)
-    cuts = np.concatenate([[0], np.cumsum(sizes)])
-    sums = [np.concatenate([[0], np.cumsum(values[which], dtype=kind)]) for values, kind in ((counts > 0, np.int64), (log_c, float), (within, float))]
-    known, logs, inside = (total[cuts[1:]] - total[cuts[:-1]] for total in sums)
-    measured = {
-        "id": ids, "held_out": held_out, "size": pa.array(sizes.astype(np.int32)), "n_known": pa.array(known + int(n_ends > 0)),
-        "log_counts": pa.array(logs + math.log10(n_ends + 1)), "within": pa.array(inside),
-    }
-    rows = pa.StructArray.from_arrays(list(measured.values()), list(measured))
-    listed = pa.ListArray.from_arrays(pa.array([0, len(sizes)], pa.int32()), rows)
-    return pa.RecordBatch.from_arrays([listed, pa.array([_planes(leaf[which])], pa.binary())], ["documents", "leaves"])
+    ends = np.cumsum(sizes)
+    cuts = np.concatenate([[0], np.flatnonzero(np.diff((ends + np.arange(len(sizes))) // ROW_TOKENS)) + 1, [len(sizes)]])
+    for low, high in zip(cuts[:-1].tolist(), cuts[1:].tolist()):
+        words = which[ends[low] - sizes[low] : ends[high - 1]]
+        heads = np.concatenate([[0], ends[low:high] - ends[low] + sizes[low]])
+        sums = [np.concatenate([[0], np.cumsum(values[words], dtype=kind)])[heads] for values, kind in ((counts > 0, np.int64), (log_c, float), (within, float))]
+        known, logs, inside = (np.diff(total) for total in sums)
+        measured = {
+            "id": ids.slice(low, high - low), "held_out": held_out.slice(low, high - low), "size": pa.array(sizes[low:high].astype(np.int32)),
+            "n_known": pa.array(known + int(n_ends > 0)), "log_counts": pa.array(logs + math.log10(n_ends + 1)), "within": pa.array(inside),
+        }
+        rows = pa.StructArray.from_arrays(list(measured.values()), list(measured))
+        listed = pa.ListArray.from_arrays(pa.array([0, high - low], pa.int32()), rows)
+        yield pa.RecordBatch.from_arrays([listed, pa.array([_planes(leaf[words])], pa.binary())], ["documents", "leaves"])
 
 
 def _answer_blocks(fixed: Broadcast):
@@ -318,7 +324,7 @@ def _answer_blocks(fixed: Broadcast):
         """Rows (bucket, words, numbers, documents) come sorted by block and bucket: a block's documents, then the answers."""
         documents, which, place, answers = None, None, None, []
 
-        def done() -> pa.RecordBatch:
+        def done() -> Iterator[pa.RecordBatch]:
             found = np.concatenate(answers)[place]
             return _answered(documents, which, found[:, 0], found[:, 1], *fixed.value)
 
@@ -326,19 +332,19 @@ def _answer_blocks(fixed: Broadcast):
             for row in range(batch.num_rows):
                 if batch.column(0)[row].as_py() < 0:
                     if documents is not None:
-                        yield done()
+                        yield from done()
                     documents, answers = batch.column(3).slice(row, 1).flatten(), []
                     place, which = (_from_planes(batch.column(k)[row].as_py()) for k in (1, 2))
                 else:
                     answers.append(np.frombuffer(batch.column(2)[row].as_py(), "<i8").reshape(-1, 2))
         if documents is not None:
-            yield done()
+            yield from done()
 
     return of_batches
 
 
 def numbered(blocks: DataFrame, leaves: Leaves, n_tokens: int, kind: str) -> DataFrame:
-    """The blocks (of ``blocks_of``) with leaves in place of words, one row per block: ``documents`` and ``leaves``."""
+    """The blocks (of ``blocks_of``) with leaves in place of words, in rows (``documents``, ``leaves``)."""
     context = blocks.sparkSession.sparkContext
     # As many words and endings as leaves_of allows.
     answered = _by_bucket(blocks).mapInArrow(_answer_buckets(context.broadcast(leaves)), "block bigint, bucket bigint, numbers binary")
@@ -412,7 +418,7 @@ def _chosen(scores: np.ndarray, choice: np.ndarray) -> np.ndarray:
     scores -= scores.max(axis=1, keepdims=True)
     at = scores[np.arange(len(scores)), choice]
     np.exp(scores, out=scores)
-    return at - np.log(scores.sum(axis=1))
+    return at - np.log(scores @ np.ones(scores.shape[1], np.float32))
 
 
 def shares(counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -544,14 +550,14 @@ def passes_over(n_tokens: int) -> int:
 
 def _train_round(given: Broadcast, round: int, passes: int):
     def of_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """Rows (documents, leaves). The passes over a block are dealt over the rounds."""
+        """Rows (documents, leaves). The passes over a row are dealt over the rounds."""
         model, noise = given.value
         task = TaskContext.get().partitionId()
-        training, trained, block = Training(model, noise, RATE * (1 - round / ROUNDS), task), 0, task
+        training, trained, number = Training(model, noise, RATE * (1 - round / ROUNDS), task), 0, task
         for batch in batches:
             for row in range(batch.num_rows):
-                block += 1
-                times = sum((at + block) % ROUNDS == round for at in range(passes))
+                number += 1
+                times = sum((at + number) % ROUNDS == round for at in range(passes))
                 documents = batch.column(0).slice(row, 1).flatten()
                 teaches = ~documents.field("held_out").to_numpy(zero_copy_only=False).astype(bool)
                 if not times or not teaches.any():
@@ -605,22 +611,18 @@ def train(rows: DataFrame, counts: np.ndarray, n_tokens: int) -> LogBilinear:
 
 def _score_blocks(given: Broadcast):
     def of_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """Rows (documents, leaves), some documents at a time."""
+        """Rows (documents, leaves)."""
         model = given.value
         for batch in batches:
             for row in range(batch.num_rows):
                 documents = batch.column(0).slice(row, 1).flatten()
                 leaves = _from_planes(batch.column(1)[row].as_py())
                 sizes = documents.field("size").to_numpy().astype(np.int64)
-                ends = np.cumsum(sizes)
-                cuts = np.concatenate([[0], np.flatnonzero(np.diff(ends // SCORED)) + 1, [len(sizes)]])
-                for low, high in zip(cuts[:-1].tolist(), cuts[1:].tolist()):
-                    part, some = documents.slice(low, high - low), sizes[low:high]
-                    tokens = with_ends(leaves[ends[low] - sizes[low] : ends[high - 1]], some, len(model.target))
-                    logs = model.log_probabilities(*tokens).astype(float) / math.log(10)
-                    score = np.add.reduceat(logs, np.cumsum(some + 1) - some - 1) + part.field("within").to_numpy()
-                    columns = [part.field(name) for name in ("id", "held_out", "n_known", "log_counts")]
-                    yield pa.RecordBatch.from_arrays([*columns, pa.array(some + 1), pa.array(score)], ["id", "held_out", "n_known", "log_counts", "n_tokens", "score"])
+                tokens = with_ends(leaves, sizes, len(model.target))
+                logs = model.log_probabilities(*tokens).astype(float) / math.log(10)
+                score = np.add.reduceat(logs, np.cumsum(sizes + 1) - sizes - 1) + documents.field("within").to_numpy()
+                columns = [documents.field(name) for name in ("id", "held_out", "n_known", "log_counts")]
+                yield pa.RecordBatch.from_arrays([*columns, pa.array(sizes + 1), pa.array(score)], ["id", "held_out", "n_known", "log_counts", "n_tokens", "score"])
 
     return of_batches
 
