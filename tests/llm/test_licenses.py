@@ -1,4 +1,6 @@
 import pathlib
+import re
+import textwrap
 
 import pytest
 from pyspark.sql import functions as F
@@ -6,6 +8,7 @@ from pyspark.sql import functions as F
 from vedrina.llm import licenses
 from vedrina.llm.known_licenses import KNOWN
 from vedrina.llm.licenses import canonical, known_digests, license_scan, matches
+from vedrina.llm.sql import LICENSE_SQL
 
 
 def scan(docs_of, texts):
@@ -86,10 +89,46 @@ def test_entire_licenses(docs_of):
         ("GPL-2.0-or-later", GPL_NOTICE), ("GPL-3.0-or-later", GPL_NOTICE.replace("version 2", "version 3").replace("; you", ": you")),
     ]
     found = scan(docs_of, [text for _, text in texts] + [texts[2][1] + "\nand more", texts[0][1][:-400]])
-    assert all(found[n].is_license and name in found[n].licenses.split(",") for n, (name, _) in enumerate(texts))
+    assert [n for n, (name, _) in enumerate(texts) if not (found[n].is_license and name in found[n].licenses.split(","))] == []
     assert not found[len(texts)].is_license and not found[len(texts) + 1].is_license
 
 
+def test_texts_wrapped_anew(docs_of):
+    """The same words in the same paragraphs are the same licence, wherever lines break."""
+    texts = []
+    for file in sorted((pathlib.Path(licenses.__file__).parent / "license_texts").iterdir()):
+        paragraphs = re.split(r"\n\s*\n", file.read_text())
+        texts += [(file.stem, "\n\n".join(textwrap.fill(" ".join(p.split()), width) for p in paragraphs)) for width in (60, 72, 100)]
+    assert len(texts) == 27
+    found = scan(docs_of, [text for _, text in texts])
+    assert [name for n, (name, _) in enumerate(texts) if not (found[n].is_license and name in found[n].licenses.split(","))] == []
+
+
+@pytest.mark.parametrize(
+    "text, form",
+    [
+        ("x\n(c) You must retain", "x c you must retain"), ("x\n(c) 2020 A", "x"), ("x\ncopyright holder, and", "x copyright holder and"),
+        ("x\n\nCopyright A\nAll rights reserved.\ny", "x y"), ("/*\n * Copyright (C) 2020 A\n *\n * x\n */", "x"), ("x\n© A\n\n\nCopyright B\n\ny", "x y"),
+        ("a\nCopyright (C) 1991, 1999 Free\nSoftware Foundation, Inc. <http://a.b>\nb", "a b"), ("\n" * 50_000 + "a", "a"),
+    ],
+)
+def test_claims(spark, text, form):
+    assert spark.range(1).select(canonical(F.lit(text))).first()[0] == form
+
+
+def test_sql_knows_entire_texts(spark, docs_of):
+    duckdb = pytest.importorskip("duckdb")
+    folder = pathlib.Path(licenses.__file__).parent / "license_texts"
+    rows = [(n, file.read_text()) for n, file in enumerate(sorted(folder.iterdir()))]
+    rows += [(100, KNOWN["MIT"][1] + "\n\nCopyright 2020 X"), (101, "prose\nLicensed under the MIT License.\n"), (102, ""), (103, None), (104, GPL_NOTICE)]
+    with duckdb.connect() as db:
+        db.execute("CREATE TABLE documents (doc_id BIGINT, text VARCHAR)")
+        db.executemany("INSERT INTO documents VALUES (?, ?)", rows)
+        expected = sorted(db.execute(LICENSE_SQL).fetchall())
+    found = sorted(tuple(row) for row in license_scan(docs_of(rows)).collect())
+    assert found == expected and sum(row[4] for row in found) == len(rows) - 3
+
+
 GPL_NOTICE = """Copyright (C) 2020 Someone
 
 This program is free software; you can redistribute it and/or modify

@@ -1,7 +1,8 @@
 """License scan by canonical digests, in DataFrame functions only.
 
-A text is brought to a canonical form: small letters, lines that claim a copyright dropped, everything but letters and
-digits one space, spellings that mean the same made the same. Its SHA-256 is looked up among the digests of known
+A text is brought to a canonical form: small letters, lines that claim a copyright dropped (but no line inside a paragraph that only
+begins with the word or has it in quotes, so that the form does not hang on where lines break), everything but letters and digits one space, spellings
+that mean the same made the same. Its SHA-256 is looked up among the digests of known
 licences and licence notices. What is looked up is a whole document, and each of its lines: a licence matches only
 when the entire text (or line) is that licence, never by a part of it.
 
@@ -19,13 +20,22 @@ from vedrina.llm.entire_licenses import entire
 from vedrina.llm.known_licenses import KNOWN, SPELLINGS
 from vedrina.llm.text import filled
 
-COPYRIGHT_LINE = r"(^|\n)[^\p{L}\p{N}©\n]*(?:copyright|\(c\)|©|all rights reserved)[^\n]*"
+# The statement of a text's own publisher may stand inside a paragraph, where a line break may fall anywhere.
+FOUNDATION = r"copyright[ \t\n\r]+\(c\)[ \t\n\r]+[0-9][0-9, \t\n\r-]*free[ \t\n\r]+software[ \t\n\r]+foundation,?[ \t\n\r]+inc\.([ \t\n\r]*<[^>\n]*>)?"
+# Lines without a letter or digit; they part paragraphs.
+BLANK_LINES = r"(^|\n)[^\p{L}\p{N}©]*\n"
+# A line with a copyright sign or word and a year claims a copyright wherever it stands; one that only begins like a claim does so
+# at the head of a paragraph, or below another claim.
+_DATED = r"[^\p{L}\p{N}©\n]*(?:copyright[^\p{L}\p{N}\n]*(?:c[^\p{L}\p{N}\n]+)?[0-9]{4}|\(c\)[^\p{L}\p{N}\n]*[0-9]{4}|©)[^\n]*"
+_CLAIM = r"[^\p{L}\p{N}©\x22“\n]*(?:copyright|all rights reserved)[^\n]*"
+CLAIMS = rf"(?:(?:^|\n){_DATED}|(?:^|\n\n){_CLAIM})(?:\n+(?:{_DATED}|{_CLAIM}))*"
 NOT_A_WORD = r"[^\p{L}\p{N}]+"
 
 
 def canonical(text: Column, spellings: tuple[tuple[str, str], ...] = SPELLINGS) -> Column:
     """The canonical form."""
-    plain = F.regexp_replace(F.lower(text), COPYRIGHT_LINE, " ")
+    plain = F.regexp_replace(F.lower(text), FOUNDATION, " ")
+    plain = F.regexp_replace(F.regexp_replace(plain, BLANK_LINES, "\n\n"), CLAIMS, " ")
     plain = F.concat(F.lit(" "), F.regexp_replace(plain, NOT_A_WORD, "  "), F.lit(" "))
     # Two spaces between words, so that neighbours do not share one.
     for spelling, same_as in spellings:

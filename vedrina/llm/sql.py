@@ -1,5 +1,6 @@
 """The check queries' results in SQL (DuckDB)."""
 
+from vedrina.llm.entire_licenses import entire
 from vedrina.llm.known_licenses import KNOWN, SPELLINGS
 
 _WORD = r"'[^\x20\x09-\x0D]+'"
@@ -105,19 +106,29 @@ def _quoted(text: str) -> str:
 
 
 def _canonical(text: str) -> str:
-    copyright_line = r"'(^|\n)[^\p{L}\p{N}©\n]*(?:copyright|\(c\)|©|all rights reserved)[^\n]*'"
-    plain = f"regexp_replace(lower({text}), {copyright_line}, ' ', 'g')"
+    blank = r"[ \t\n\r]"
+    foundation = rf"copyright{blank}+\(c\){blank}+[0-9][0-9, \t\n\r-]*free{blank}+software{blank}+foundation,?{blank}+inc\.({blank}*<[^>\n]*>)?"
+    dated = r"[^\p{L}\p{N}©\n]*(?:copyright[^\p{L}\p{N}\n]*(?:c[^\p{L}\p{N}\n]+)?[0-9]{4}|\(c\)[^\p{L}\p{N}\n]*[0-9]{4}|©)[^\n]*"
+    claim = r"[^\p{L}\p{N}©\x22“\n]*(?:copyright|all rights reserved)[^\n]*"
+    plain = f"regexp_replace(lower({text}), '{foundation}', ' ', 'g')"
+    plain = f"regexp_replace({plain}, '(^|\\n)[^\\p{{L}}\\p{{N}}©]*\\n', chr(10) || chr(10), 'g')"
+    plain = f"regexp_replace({plain}, '(?:(?:^|\\n){dated}|(?:^|\\n\\n){claim})(?:\\n+(?:{dated}|{claim}))*', ' ', 'g')"
     plain = f"' ' || regexp_replace({plain}, '[^\\p{{L}}\\p{{N}}]+', '  ', 'g') || ' '"
     for spelling, same_as in SPELLINGS:
         plain = f"replace({plain}, {_quoted(' ' + spelling.replace(' ', '  ') + ' ')}, {_quoted(' ' + same_as + ' ')})"
     return f"trim(regexp_replace({plain}, ' +', ' ', 'g'))"
 
 
+def _known() -> list[tuple[str, str]]:
+    """The list that the scan looks texts up in, each text once."""
+    return list(dict.fromkeys((name, text) for listed in (KNOWN, entire()) for name, texts in listed.items() for text in texts))
+
+
 LICENSE_SQL = f"""
 WITH known AS (
     SELECT sha256({_canonical("t")}) AS digest, min(name) AS license
-    FROM (VALUES {", ".join(f"({_quoted(name)}, {_quoted(text)})" for name, texts in KNOWN.items() for text in texts)}) AS v(name, t)
-    GROUP BY 1
+    FROM (VALUES {", ".join(f"({_quoted(name)}, {_quoted(text)})" for name, text in _known())}) AS v(name, t)
+    WHERE {_canonical("t")} <> '' GROUP BY 1
 ), split AS (
     SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS lines, coalesce(text, '') AS text FROM documents
 ), units AS (
