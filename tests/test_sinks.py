@@ -9,6 +9,7 @@ from vedrina.operators.conform import conform
 from vedrina.plans import checks
 from vedrina.plans.jobs import read_wide, wide_job
 from vedrina.schemas import WIDE_TABLE
+from vedrina.shared import small_splits
 from vedrina.sinks import append, jdbc, merge
 from vedrina.sinks.ddl import insert_rows, replace_table, with_row_id
 from vedrina.sinks.landing import rebalanced, write_partitioned
@@ -154,6 +155,34 @@ def test_wide_input_is_shuffled_once(spark, path):
     assert wide.count() == 2000
 
 
+def test_wide_ids_are_made_where_rows_are_stored(spark, path):
+    """The parsed copy and the batch go without ids; the table, the quarantine and a row kept by the next run have them."""
+    for run_id, cities in enumerate((["Nis", "Bor"], ["Nis"])):
+        texts = [{"city": city, "last_updated_epoch": 1742976300, "temp_c": 1013.25, "uv": run_id} for city in cities]
+        assert wide_job(wide_messages(spark, *texts), path("wide"), path("aside"), path("state"), run_id)
+        for copy in ("parsed", "merge/batch"):
+            assert "id" not in spark.read.parquet(path(f"state/{copy}")).columns
+    stored = read_wide(spark, path("wide"))
+    assert sorted((r.city, int(r.uv)) for r in stored.collect()) == [("Bor", 0), ("Nis", 1)]
+    aside = spark.read.parquet(path("aside"))
+    assert aside.columns[0] == "id" and aside.count() == 3
+    for rows in (stored, aside):
+        assert all(r.id == r.made for r in with_row_id(rows, name="made").collect())
+
+
+def test_small_splits_hold_meanwhile_only(spark):
+    setting = "spark.sql.files.maxPartitionBytes"
+    before = spark.conf.get(setting)
+    try:
+        for given, meanwhile in (("128m", "32m"), ("16m", "16m"), ("1gb", "32m"), ("1048576", "1048576")):
+            spark.conf.set(setting, given)
+            with small_splits(spark):
+                assert spark.conf.get(setting) == meanwhile
+            assert spark.conf.get(setting) == given
+    finally:
+        spark.conf.set(setting, before)
+
+
 def test_row_id_depends_on_the_natural_key_only(spark):
     df = spark.createDataFrame([("Nis", 1, 2.0), ("Nis", 1, 3.0), ("Bor", 1, 2.0)], "city string, last_updated_epoch bigint, t double")
     ids = [row.id for row in with_row_id(df).collect()]
