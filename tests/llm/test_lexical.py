@@ -10,6 +10,7 @@ import pytest
 
 from vedrina.llm import lexical
 from vedrina.llm.lexical import build_index, search, terms_of
+from vedrina.shared import BATCH_LIMITS, LARGE_ROWS, written
 
 TERM = re.compile("[^\x00-\x2f\x3a-\x40\x5b-\x60\x7b-\x7f]+")
 ITEMS = "item_id bigint, text string"
@@ -110,3 +111,20 @@ def test_no_rows(empty, docs_of, spark):
     assert found(search(build_index(empty), some)) == []
     assert found(search(build_index(docs_of([(1, None), (2, " .")])), some)) == []
     assert found(search(build_index(docs_of([(1, "alpha"), (2, "beta")])), some.limit(0))) == []
+
+
+def test_blocks_are_handled_in_small_batches(docs_of, spark, monkeypatch):
+    """Whatever the operator stores runs with small batches, its rows of megabytes in small row groups, and the session's settings stay."""
+    seen, before = {}, {name: spark.conf.get(name) for name in BATCH_LIMITS}
+
+    def watched(df, path, *args, **options):
+        seen[path.rsplit("/", 1)[1].rsplit("-", 1)[0]] = ({name: int(spark.conf.get(name)) for name in BATCH_LIMITS}, options)
+        return written(df, path, *args, **options)
+
+    monkeypatch.setattr(lexical, "written", watched)
+    rows, items = [(1, "alpha beta"), (2, "beta")], [(1, "beta")]
+    assert found(search(build_index(docs_of(rows)), spark.createDataFrame(items, ITEMS))) == by_hand(rows, items)
+    assert all(limits == BATCH_LIMITS for limits, _ in seen.values())
+    assert seen["lexical-vectors"][1] == seen["lexical-blocks"][1] == LARGE_ROWS
+    assert {"lexical-items", "lexical-found"} < set(seen)
+    assert {name: spark.conf.get(name) for name in BATCH_LIMITS} == before

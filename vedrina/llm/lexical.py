@@ -36,7 +36,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from vedrina.llm.batches import parts
-from vedrina.shared import new_path, written
+from vedrina.shared import LARGE_ROWS, new_path, small_batches, written
 
 BEST = 50
 # Terms of a block, about: a few megabytes. A longer document is a block of its own.
@@ -136,20 +136,21 @@ def build_index(docs: DataFrame, id: str = "doc_id", text: str = "text", block_t
     """The index over all documents. Ids are whole numbers."""
     spark = docs.sparkSession
     plain = docs.select(F.col(id).cast("bigint").alias("id"), F.col(text).alias("text"))
-    vectors = written(plain.mapInArrow(_vectors, "id bigint, n bigint, terms binary, counts binary"), new_path(spark, "lexical-vectors"))
-    documents, terms = vectors.agg(F.count("*"), F.coalesce(F.sum("n"), F.lit(0))).first()
-    if not documents:
-        return Index(written(spark.createDataFrame([], _BLOCK), new_path(spark, "lexical-blocks")), 0, 0)
-    m = F.expr(f"50 + (50L * n * {documents}L) div {terms}L")
-    # The place of a row in the written table tells equal rows apart, too, and stays the same when a task is repeated.
-    placed = vectors.select("*", m.alias("m"), F.xxhash64(F.monotonically_increasing_id()).alias("place"))
-    strata = placed.groupBy(F.col("m").alias("stratum")).agg(F.ceil(F.sum("n") / block_terms).alias("shards"))
-    strata = written(strata, new_path(spark, "lexical-strata"))
-    dealt = placed.join(strata, F.col("m") == F.col("stratum")).select(
-        "m", F.pmod("place", "shards").alias("shard"), "id", "terms", "counts"
-    )
-    dealt = dealt.repartition("m", "shard").sortWithinPartitions("m", "shard")
-    return Index(written(dealt.mapInArrow(_blocks, _BLOCK), new_path(spark, "lexical-blocks")), documents, terms)
+    with small_batches(spark):
+        vectors = written(plain.mapInArrow(_vectors, "id bigint, n bigint, terms binary, counts binary"), new_path(spark, "lexical-vectors"), **LARGE_ROWS)
+        documents, terms = vectors.agg(F.count("*"), F.coalesce(F.sum("n"), F.lit(0))).first()
+        if not documents:
+            return Index(written(spark.createDataFrame([], _BLOCK), new_path(spark, "lexical-blocks")), 0, 0)
+        m = F.expr(f"50 + (50L * n * {documents}L) div {terms}L")
+        # The place of a row in the written table tells equal rows apart, too, and stays the same when a task is repeated.
+        placed = vectors.select("*", m.alias("m"), F.xxhash64(F.monotonically_increasing_id()).alias("place"))
+        strata = placed.groupBy(F.col("m").alias("stratum")).agg(F.ceil(F.sum("n") / block_terms).alias("shards"))
+        strata = written(strata, new_path(spark, "lexical-strata"))
+        dealt = placed.join(strata, F.col("m") == F.col("stratum")).select(
+            "m", F.pmod("place", "shards").alias("shard"), "id", "terms", "counts"
+        )
+        dealt = dealt.repartition("m", "shard").sortWithinPartitions("m", "shard")
+        return Index(written(dealt.mapInArrow(_blocks, _BLOCK), new_path(spark, "lexical-blocks"), **LARGE_ROWS), documents, terms)
 
 
 def _item_terms(items: DataFrame, id: str, text: str) -> DataFrame:
@@ -257,15 +258,16 @@ def _best_of(blocks: list[_Wanted], item: int, terms: list[int], k: int) -> tupl
 def search(index: Index, items: DataFrame, id: str = "item_id", text: str = "text", k: int = BEST, item_terms: int = ITEM_TERMS) -> DataFrame:
     """The ``k`` documents with the highest score above 0 for each item: the item's id, ``rank``, ``doc_id``, ``score``."""
     spark = items.sparkSession
-    pairs = _item_terms(items, id, text)
-    n_blocks = max(1, math.ceil(pairs.count() / item_terms))
-    kind = pairs.schema["item"].dataType.simpleString()
-    result = None
-    for number in range(n_blocks):
-        own = pairs.filter(F.pmod(F.xxhash64("item"), F.lit(n_blocks)) == number).collect()
-        found = _searched(index, [(row.item, bytes(row.term)) for row in own], k, kind)
-        found = written(found.toDF(id, "doc_id", "score"), new_path(spark, "lexical-found"))
-        result = found if result is None else result.unionByName(found)
+    with small_batches(spark):
+        pairs = _item_terms(items, id, text)
+        n_blocks = max(1, math.ceil(pairs.count() / item_terms))
+        kind = pairs.schema["item"].dataType.simpleString()
+        result = None
+        for number in range(n_blocks):
+            own = pairs.filter(F.pmod(F.xxhash64("item"), F.lit(n_blocks)) == number).collect()
+            found = _searched(index, [(row.item, bytes(row.term)) for row in own], k, kind)
+            found = written(found.toDF(id, "doc_id", "score"), new_path(spark, "lexical-found"))
+            result = found if result is None else result.unionByName(found)
     best = Window.partitionBy(id).orderBy(F.col("score").desc(), F.col("doc_id").asc_nulls_last())
     ranked = result.withColumn("rank", F.row_number().over(best)).filter(F.col("rank") <= k)
     return ranked.select(id, "rank", "doc_id", "score")
