@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from vedrina.llm import language_model as lm
 from vedrina.llm.language_model import Training, lm_scores, shares, train, untrained, with_ends
+from vedrina.shared import BATCH_LIMITS, LARGE_ROWS, written
 
 
 def held_out_rows():
@@ -209,3 +210,56 @@ def test_moves_are_averaged_by_tokens():
     )
     [summed] = lm._sum_moves(iter([batch]))
     assert [np.frombuffer(m, "<f4").tolist() for m in summed["moves"].to_pylist()] == [[2.0, 1.0], [0.5]]
+
+
+def test_a_block_is_stored_in_bounded_rows(prose, monkeypatch):
+    """Documents of a block lie in rows of about ROW_TOKENS tokens or one longer document, from which the block's leaves come back in order."""
+    import pyarrow as pa
+
+    monkeypatch.setattr(lm, "ROW_TOKENS", 100)
+    texts = [prose(n, n) for n in (30, 30, 30, 30, 250, 0, 99, 100, 1)] + [None]
+    block = lm._Block()
+    block.add(pa.RecordBatch.from_arrays([pa.array(range(len(texts))), pa.array(texts), pa.array([k % 3 == 0 for k in range(len(texts))])], ["id", "text", "held_out"]))
+    packed = pa.Table.from_batches(list(block.packed(7, 4)))
+    rows = packed.sort_by("bucket").to_pylist()
+    stored = [row for row in rows if row["bucket"] < -1]
+    assert len(stored) > 4 and [row["bucket"] for row in rows].count(-1) == 1
+    assert all(row["block"] == 7 and sum(d["size"] for d in row["documents"][1:]) <= 100 for row in stored)
+    assert [d["id"] for row in stored for d in row["documents"]] == list(range(len(texts)))
+
+    words = {word: n for row in rows if row["bucket"] >= 0 for n, word in enumerate(row["words"].split(b"\n"), row["bucket"] * 1000)}
+    answers = [
+        {"bucket": row["bucket"], "words": None, "numbers": np.array([(1, words[word]) for word in row["words"].split(b"\n")], "<i8").tobytes(), "documents": None}
+        if row["bucket"] >= 0 else {name: row[name] for name in ("bucket", "words", "numbers", "documents")}
+        for row in rows
+    ]
+    batch = pa.RecordBatch.from_pylist(answers, packed.schema.remove(0))
+
+    class Fixed:
+        value = (1, np.full(10_000, np.nan))
+
+    found = [row for answered in lm._answer_blocks(Fixed)(iter([batch.slice(k, 1) for k in range(len(rows))] + [batch])) for row in answered.to_pylist()]
+    expected = [words[word] for text in texts for word in lm.words_of(text)]
+    assert [leaf for row in found for leaf in lm._from_planes(row["leaves"]).tolist()] == expected * 2
+    assert [d["id"] for row in found for d in row["documents"]] == list(range(len(texts))) * 2
+    assert len(found) == 2 * len(stored)
+
+
+def test_blocks_are_handled_in_small_batches(docs_of, prose, spark, monkeypatch):
+    """Whatever is stored and trained on runs with small batches, rows of megabytes lie in small row groups, and the session's settings stay."""
+    seen, before = {}, {name: spark.conf.get(name) for name in BATCH_LIMITS}
+
+    def settings():
+        return {name: int(spark.conf.get(name)) for name in BATCH_LIMITS}
+
+    def watched(df, path, *args, **options):
+        seen[path.rsplit("/", 1)[1].rsplit("-", 1)[0]] = (settings(), options)
+        return written(df, path, *args, **options)
+
+    monkeypatch.setattr(lm, "written", watched)
+    monkeypatch.setattr(lm, "train", lambda *given: seen.update(train=(settings(), {})) or train(*given))
+    assert lm_scores(docs_of([(k, prose(20, k)) for k in range(10)]), held_out_rows()).count() == 10
+    assert set(seen) == {"lm-blocks", "lm-counts", "lm-leaves", "train", "lm-scores"}
+    assert all(limits == BATCH_LIMITS for limits, _ in seen.values())
+    assert seen["lm-blocks"][1] == seen["lm-leaves"][1] == LARGE_ROWS
+    assert {name: spark.conf.get(name) for name in BATCH_LIMITS} == before

@@ -40,7 +40,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from vedrina.llm.batches import parts
-from vedrina.shared import new_path, written
+from vedrina.shared import LARGE_ROWS, new_path, small_batches, written
 
 # The end of a text, as a word. Words are never empty.
 END = ""
@@ -135,10 +135,10 @@ class _Block:
         self.bytes += part.column(1).nbytes
         self.rows += part.num_rows
 
-    def packed(self, block: int, buckets: int) -> pa.RecordBatch:
-        """One row (bucket -1) with the documents, their words by number (in order of appearance, so that frequent words have
-        small ones) and the place of each number in the order by bucket; and one row for each bucket that has words, with
-        these and their counts in documents that are not held out."""
+    def packed(self, block: int, buckets: int) -> Iterator[pa.RecordBatch]:
+        """Rows (buckets below -1) with about ROW_TOKENS tokens of documents each, or one longer document, and their words by number (in order
+        of appearance, so that frequent words have small ones); one row (bucket -1) with the place of each number in the order by bucket; and
+        one row for each bucket that has words, with these and their counts in documents that are not held out."""
         which, sizes = np.concatenate(self.which), np.concatenate(self.sizes)
         held_out = pa.concat_arrays(self.held_out)
         teaches = ~held_out.to_numpy(zero_copy_only=False).astype(bool)
@@ -156,18 +156,23 @@ class _Block:
         packed = [b"\n".join([words[n] for n in order[low:high]]) for low, high in zip(cuts, cuts[1:])]
         numbers = [counts[low:high].astype("<i8").tobytes() for low, high in zip(cuts, cuts[1:])]
         documents = pa.StructArray.from_arrays([pa.concat_arrays(self.ids), held_out, pa.array(sizes)], ["id", "held_out", "size"])
-        listed = pa.ListArray.from_arrays(pa.array([0, len(sizes)], pa.int32()), documents)
+        names = ["block", "bucket", "words", "numbers", "documents"]
+        ends = np.cumsum(sizes, dtype=np.int64)
+        cuts = np.concatenate([[0], np.flatnonzero(np.diff((ends + np.arange(len(sizes))) // ROW_TOKENS)) + 1, [len(sizes)]]).tolist()
+        for number, (low, high) in enumerate(zip(cuts, cuts[1:]), -len(cuts)):
+            listed = pa.ListArray.from_arrays(pa.array([0, high - low], pa.int32()), pa.concat_arrays([documents.slice(low, high - low)]))
+            own = which[ends[low] - sizes[low] : ends[high - 1]]
+            columns = [pa.array([block]), pa.array([number]), pa.nulls(1, pa.binary()), pa.array([_planes(own)], pa.binary()), listed]
+            yield pa.RecordBatch.from_arrays(columns, names)
         n = len(packed)
-        return pa.RecordBatch.from_arrays(
-            [
-                pa.array(np.full(n + 1, block)),
-                pa.array(np.concatenate([[-1], bucket[heads]])),
-                pa.array([_planes(place), *packed], pa.binary()),
-                pa.array([_planes(which), *numbers], pa.binary()),
-                pa.concat_arrays([listed, pa.nulls(n, listed.type)]),
-            ],
-            ["block", "bucket", "words", "numbers", "documents"],
-        )
+        columns = [
+            pa.array(np.full(n + 1, block)),
+            pa.array(np.concatenate([[-1], bucket[heads]])),
+            pa.array([_planes(place), *packed], pa.binary()),
+            pa.array([None, *numbers], pa.binary()),
+            pa.nulls(n + 1, listed.type),
+        ]
+        yield pa.RecordBatch.from_arrays(columns, names)
 
 
 def _blocks(buckets: int):
@@ -176,11 +181,11 @@ def _blocks(buckets: int):
         block = _Block()
         for part in parts(batches, 1):
             if block.rows and (block.bytes + part.column(1).nbytes > BLOCK_BYTES or block.rows + part.num_rows > BLOCK_ROWS):
-                yield block.packed(number, buckets)
+                yield from block.packed(number, buckets)
                 number, block = number + 1, _Block()
             block.add(part)
         if block.rows:
-            yield block.packed(number, buckets)
+            yield from block.packed(number, buckets)
 
     return of_batches
 
@@ -295,49 +300,51 @@ def with_ends(word_leaves: np.ndarray, sizes: np.ndarray, start: int) -> tuple[n
 
 
 def _answered(
-    documents: pa.StructArray, which: np.ndarray, counts: np.ndarray, leaf: np.ndarray, n_ends: int, divisors: np.ndarray
+    pieces: list[tuple[pa.StructArray, bytes]], counts: np.ndarray, leaf: np.ndarray, n_ends: int, divisors: np.ndarray
 ) -> Iterator[pa.RecordBatch]:
-    """A block in rows of about ROW_TOKENS tokens or one longer document: of each document what the counts alone decide, and the
-    leaves of all words. ``counts`` and ``leaf`` of the block's words by number."""
-    ids, held_out, sizes = documents.flatten()
-    sizes = sizes.to_numpy().astype(np.int64)
+    """A block in rows, as it was packed: of each document what the counts alone decide, and the leaves of all words. ``pieces``: documents
+    and their words by number; ``counts`` and ``leaf`` of the block's words by number."""
     log_c = np.log10(counts + 1.0)
     within = np.nan_to_num(log_c - divisors[leaf], nan=0.0)
-    ends = np.cumsum(sizes)
-    cuts = np.concatenate([[0], np.flatnonzero(np.diff((ends + np.arange(len(sizes))) // ROW_TOKENS)) + 1, [len(sizes)]])
-    for low, high in zip(cuts[:-1].tolist(), cuts[1:].tolist()):
-        words = which[ends[low] - sizes[low] : ends[high - 1]]
-        heads = np.concatenate([[0], ends[low:high] - ends[low] + sizes[low]])
+    for documents, which in pieces:
+        ids, held_out, sizes = documents.flatten()
+        words = _from_planes(which)
+        heads = np.concatenate([[0], np.cumsum(sizes.to_numpy(), dtype=np.int64)])
         sums = [np.concatenate([[0], np.cumsum(values[words], dtype=kind)])[heads] for values, kind in ((counts > 0, np.int64), (log_c, float), (within, float))]
         known, logs, inside = (np.diff(total) for total in sums)
         measured = {
-            "id": ids.slice(low, high - low), "held_out": held_out.slice(low, high - low), "size": pa.array(sizes[low:high].astype(np.int32)),
+            "id": ids, "held_out": held_out, "size": sizes,
             "n_known": pa.array(known + int(n_ends > 0)), "log_counts": pa.array(logs + math.log10(n_ends + 1)), "within": pa.array(inside),
         }
         rows = pa.StructArray.from_arrays(list(measured.values()), list(measured))
-        listed = pa.ListArray.from_arrays(pa.array([0, high - low], pa.int32()), rows)
+        listed = pa.ListArray.from_arrays(pa.array([0, len(rows)], pa.int32()), rows)
         yield pa.RecordBatch.from_arrays([listed, pa.array([_planes(leaf[words])], pa.binary())], ["documents", "leaves"])
 
 
 def _answer_blocks(fixed: Broadcast):
     def of_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """Rows (bucket, words, numbers, documents) come sorted by block and bucket: a block's documents, then the answers."""
-        documents, which, place, answers = None, None, None, []
+        """Rows (bucket, words, numbers, documents) come sorted by block and bucket: a block's documents, the places, then the answers."""
+        pieces, place, answers = [], None, []
 
         def done() -> Iterator[pa.RecordBatch]:
             found = np.concatenate(answers)[place]
-            return _answered(documents, which, found[:, 0], found[:, 1], *fixed.value)
+            return _answered(pieces, found[:, 0], found[:, 1], *fixed.value)
 
         for batch in batches:
             for row in range(batch.num_rows):
-                if batch.column(0)[row].as_py() < 0:
-                    if documents is not None:
+                bucket = batch.column(0)[row].as_py()
+                if bucket < -1:
+                    if answers:
                         yield from done()
-                    documents, answers = batch.column(3).slice(row, 1).flatten(), []
-                    place, which = (_from_planes(batch.column(k)[row].as_py()) for k in (1, 2))
+                        pieces, answers = [], []
+                    # A copy, as a slice would keep the batch.
+                    documents = pa.concat_arrays([batch.column(3).slice(row, 1).flatten()])
+                    pieces.append((documents, batch.column(2)[row].as_py()))
+                elif bucket == -1:
+                    place = _from_planes(batch.column(1)[row].as_py())
                 else:
                     answers.append(np.frombuffer(batch.column(2)[row].as_py(), "<i8").reshape(-1, 2))
-        if documents is not None:
+        if answers:
             yield from done()
 
     return of_batches
@@ -636,15 +643,17 @@ def lm_scores(docs: DataFrame, held_out: Column, id: str = "doc_id", text: str =
     spark = docs.sparkSession
     rows = docs.select(F.col(id).alias("id"), F.col(text).alias("text"), F.coalesce(held_out, F.lit(False)).alias("held_out"))
     kind = rows.schema["id"].dataType.simpleString()
-    blocks = written(blocks_of(rows), new_path(spark, "lm-blocks"))
-    counts = written(word_counts(blocks), new_path(spark, "lm-counts"))
-    n_tokens, n_words = counts.agg(F.coalesce(F.sum("c"), F.lit(0)), F.count("*")).first()
-    leaves = leaves_of(counts, n_tokens)
-    leaved = written(numbered(blocks, leaves, n_tokens, kind), new_path(spark, "lm-leaves"))
-    model = spark.sparkContext.broadcast(train(leaved, leaves.tokens, n_tokens))
-    scores = leaved.mapInArrow(
-        _score_blocks(model), f"id {kind}, held_out boolean, n_known bigint, log_counts double, n_tokens bigint, score double"
-    )
+    with small_batches(spark):
+        blocks = written(blocks_of(rows), new_path(spark, "lm-blocks"), **LARGE_ROWS)
+        counts = written(word_counts(blocks), new_path(spark, "lm-counts"))
+        n_tokens, n_words = counts.agg(F.coalesce(F.sum("c"), F.lit(0)), F.count("*")).first()
+        leaves = leaves_of(counts, n_tokens)
+        leaved = written(numbered(blocks, leaves, n_tokens, kind), new_path(spark, "lm-leaves"), **LARGE_ROWS)
+        model = spark.sparkContext.broadcast(train(leaved, leaves.tokens, n_tokens))
+        scores = leaved.mapInArrow(
+            _score_blocks(model), f"id {kind}, held_out boolean, n_known bigint, log_counts double, n_tokens bigint, score double"
+        )
+        scores = written(scores, new_path(spark, "lm-scores"))
     return scores.select(
         F.col("id").alias(id),
         "held_out",
