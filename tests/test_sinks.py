@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from vedrina.operators.conform import conform
 from vedrina.plans import checks
-from vedrina.plans.jobs import read_wide, wide_job
+from vedrina.plans.jobs import read_wide, wide_job, wide_rows
 from vedrina.schemas import WIDE_TABLE
 from vedrina.shared import small_splits
 from vedrina.sinks import append, jdbc, merge
@@ -155,6 +155,28 @@ def test_wide_input_is_shuffled_once(spark, path):
     assert wide.count() == 2000
 
 
+def test_wide_numbers_are_read_as_doubles_and_other_texts_again(spark, path, monkeypatch):
+    """Decimals are read without a text per number; a message with anything but numbers there gives the rows it always gave."""
+    fields = {
+        "1.005": "1.01", "65": "65.00", "-0.0": "0.00", "999.995": None, "1e2": "100.00", '"1.5"': "1.50", '" 7 "': "7.00", '"x"': None,
+        '""': None, "true": None, "NaN": None, "1e400": None, "0.00499999999999999999999": "0.01", '{"a":1}': None, "[1]": None,
+    }
+    texts = [f'{{"city":"{n}","last_updated_epoch":1,"temp_c":{text},"uv":2.5}}' for n, text in enumerate(fields)]
+    messages = wide_messages(spark, *texts, '{"city":"cut","temp_c":1.5', '{"city":"null","temp_c":null}', '{"temp_c":"1","temp_c":2}')
+    rows = wide_rows(messages)
+    plan = rows._jdf.queryExecution().optimizedPlan().toString()
+    assert "StructField(temp_c,DoubleType,true)" in plan and "StructField(temp_c,StringType,true)" in plan
+    found = {row.city: row for row in rows.collect()}
+    for n, fitted in enumerate(fields.values()):
+        row = found[str(n)]
+        assert row.temp_c == (None if fitted is None else Decimal(fitted)) and row.uv == Decimal("2.50") and row.readable
+        assert row.misfits == ([] if fitted else ["temp_c"])
+    cut, null, twice = [row for row in rows.collect() if row.city not in map(str, range(len(fields)))]
+    assert (cut.readable, cut.raw) == (False, '{"city":"cut","temp_c":1.5')
+    assert (null.city, null.temp_c, null.misfits, null.readable) == ("null", None, [], True)
+    assert (twice.temp_c, twice.misfits) == (Decimal("2.00"), [])
+
+
 def test_wide_ids_are_made_where_rows_are_stored(spark, path):
     """The parsed copy and the batch go without ids; the table, the quarantine and a row kept by the next run have them."""
     for run_id, cities in enumerate((["Nis", "Bor"], ["Nis"])):
